@@ -32,3 +32,341 @@ def topn_per_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(F.col("cluster_id").cast("bigint"), F.col("item_id").cast("bigint"),
                       _r("ranking_score").alias("ranking_score"),
                       F.col("rank").cast("bigint"))
+
+
+# ----------------------------------------------------------------- shared bits
+
+from lodestar.functions.labels import dictionary_names, flag_labels_text, info_text  # noqa: E402
+from lodestar.functions.numeric import sig_round  # noqa: E402
+from lodestar.operators import lookup, regression, splits, stats, topk  # noqa: E402
+from lodestar.session import scratch_path  # noqa: E402
+from lodestar.sources import text as io  # noqa: E402
+from lodestar.sources.tables import table  # noqa: E402
+
+# Query parameters (fixed by the query definitions, not by the data).
+TRAIN_PCT = 80
+LNO_START, LNO_STOP = 1, 10
+LNO_CAPPED_START, LNO_CAPPED_STOP, LNO_CAP = 11, 20, 1000
+KFOLDS = 5
+LOOKUP_USER, LOOKUP_ITEM = 7, 35
+CORR_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+CORR_THRESHOLD = 0.005
+OLS_FEATURES = ["l_quantity", "l_discount", "intercept"]
+
+
+def _user_mean_predictions(r: DataFrame) -> DataFrame:
+    """Baseline predictions for every rated pair: the user's mean rating,
+    rounded (a stand-in model; the join and metrics do not depend on it)."""
+    means = r.groupBy("user").agg(F.round(F.avg("rating"), 0).alias("prediction"))
+    return r.select("user", "item").join(means, "user")
+
+
+# ----------------------------------------------------------------- splits
+
+
+@query
+def holdout_split(spark, sf_dir):
+    """R1 + A1: 80/20 key-hash split of the ratings; row count per side."""
+    r = R.ratings(spark, sf_dir)
+    return splits.split_counts(splits.holdout_label(r, ["user", "item"], TRAIN_PCT))
+
+
+@query
+def sample_k(spark, sf_dir):
+    """R2: 5 points without replacement, seed 1 (md5 order, id tie-break)."""
+    return splits.sample_k(R.points(spark, sf_dir), "vec_id", 5, seed=1).select("vec_id")
+
+
+@query
+def kfold_by_position(spark, sf_dir):
+    """Contiguous 5-fold on the dense event position."""
+    h = R.history(spark, sf_dir).select("event_id", "user_id")
+    return splits.kfold_by_position(h, "event_id", KFOLDS)
+
+
+@query
+def kfold_by_sorted_position(spark, sf_dir):
+    """R4 without a position column: dense positions in (user, item) order
+    from a range sort + per-partition offsets, then contiguous 5-fold."""
+    r = R.ratings(spark, sf_dir).select("user", "item")
+    pos = splits.with_dense_position(r, ["user", "item"], "pos")
+    return splits.kfold_by_position(pos, "pos", KFOLDS).select("user", "item", "fold")
+
+
+@query
+def leave_n_out(spark, sf_dir):
+    """R5 + W4: each user's occurrences 1..10 (event order) are test rows."""
+    h = R.history(spark, sf_dir).select("event_id", "user_id")
+    return splits.leave_n_out(h, "user_id", "event_id", LNO_START, LNO_STOP)
+
+
+@query
+def leave_n_out_capped(spark, sf_dir):
+    """R5 with a global cap: occurrences 11..20, at most 1000 test rows overall
+    (the first candidates in event order)."""
+    h = R.history(spark, sf_dir).select("event_id", "user_id")
+    return splits.leave_n_out(h, "user_id", "event_id", LNO_CAPPED_START, LNO_CAPPED_STOP,
+                              max_test=LNO_CAP)
+
+
+@query
+def union_splits(spark, sf_dir):
+    """Base of round 0 = bag union of blocks 1..4 of the 5-fold split."""
+    h = splits.kfold_by_position(R.history(spark, sf_dir).select("event_id", "user_id"),
+                                 "event_id", KFOLDS)
+    blocks = [h.where(F.col("fold") == i) for i in range(1, KFOLDS)]
+    return splits.union_blocks(blocks).select("event_id", "user_id", "fold")
+
+
+@query
+def split_complement(spark, sf_dir):
+    """All events minus the leave-n-out test rows (left-anti join)."""
+    h = R.history(spark, sf_dir).select("event_id", "user_id")
+    test = splits.leave_n_out(h, "user_id", "event_id", LNO_START, LNO_STOP).where(
+        F.col("split") == "test")
+    return splits.complement(h, test, ["event_id"])
+
+
+# ----------------------------------------------------------------- lookups, projections
+
+
+@query
+def first_n_ordered(spark, sf_dir):
+    """The first 10 ratings in (user, item) order."""
+    r = R.ratings(spark, sf_dir)
+    return topk.first_n_ordered(r, ["user", "item"], 10).select(
+        "user", "item", F.col("rating").cast("bigint"))
+
+
+@query
+def drop_columns(spark, sf_dir):
+    """Drop named columns from lineitem."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.drop("l_shipdate", "l_returnflag", "l_linestatus", "l_extendedprice")
+
+
+@query
+def ratings_vs_predictions(spark, sf_dir):
+    """J1 + P8: truth ⋈ predictions on (user, item)."""
+    r = R.ratings(spark, sf_dir)
+    p = _user_mean_predictions(r)
+    return lookup.join_pairs(r, p, ["user", "item"]).select(
+        "user", "item", F.col("rating").cast("double"), F.col("prediction").cast("double"))
+
+
+@query
+def mse_rmse(spark, sf_dir):
+    """A7 + F10: mean squared error and its root over the joined pairs."""
+    j = ratings_vs_predictions(spark, sf_dir)
+    m = stats.mse_rmse(j, "rating", "prediction")
+    return m.select(F.round("mse", 9).alias("mse"), F.round("rmse", 9).alias("rmse"), "n")
+
+
+@query
+def filter_pair(spark, sf_dir):
+    """P9 + A9: squared error and its root for one (user, item) pair."""
+    j = ratings_vs_predictions(spark, sf_dir).where(
+        lookup.key_equals({"user": LOOKUP_USER, "item": LOOKUP_ITEM}))
+    m = stats.mse_rmse(j, "rating", "prediction")
+    return m.select(F.round("mse", 9).alias("squared_error"),
+                    F.round("rmse", 9).alias("root_squared_error"), "n")
+
+
+@query
+def user_ratings_lookup(spark, sf_dir):
+    """P10: all ratings of one user."""
+    r = R.ratings(spark, sf_dir)
+    return r.where(F.col("user") == LOOKUP_USER).select("user", "item", F.col("rating").cast("bigint"))
+
+
+@query
+def user_history(spark, sf_dir):
+    """A12 (batch form): number of ratings of every user."""
+    return stats.count_per_key(R.ratings(spark, sf_dir), "user", "n_ratings")
+
+
+@query
+def user_top_rated(spark, sf_dir):
+    """W3 for every user: 10 best-rated items, ties by item id."""
+    t = topk.user_top_rated(R.ratings(spark, sf_dir), 10)
+    return t.select("user", "item", F.col("rating").cast("bigint"), F.col("rank").cast("bigint"))
+
+
+@query
+def titles_lookup(spark, sf_dir):
+    """J2 + A10: every user's top-rated items with titles from a deduplicated
+    id -> title dictionary; an unknown id raises."""
+    t = topk.user_top_rated(R.ratings(spark, sf_dir), 10)
+    titles = lookup.dedup_dictionary(R.items(spark, sf_dir), "item_id", "title")
+    out = lookup.lookup_join(t, titles, "item", "item_id", "title", on_missing="error")
+    return out.select("user", "item", F.col("rating").cast("bigint"), "title")
+
+
+def _genre_dictionary(spark) -> DataFrame:
+    """Write the genre dictionary as ``name|pos`` lines and read it back."""
+    path = scratch_path(spark, "genres")
+    rows = [(f"{n}|{i}",) for i, n in enumerate(R.GENRE_NAMES)]
+    spark.createDataFrame(rows, "value string").coalesce(1).write.text(path)
+    return io.read_genres(spark, path)
+
+
+@query
+def genre_labels(spark, sf_dir):
+    """S6 + P11 + F3 + F4: item text ``title|A|B|`` from the flag bits."""
+    names = dictionary_names(_genre_dictionary(spark))
+    it = R.items(spark, sf_dir)
+    return it.select("item_id", info_text("title", "flags", names).alias("info"),
+                     flag_labels_text("flags", names).alias("genres"))
+
+
+@query
+def topn_per_cluster_enriched(spark, sf_dir):
+    """W1 + J3: the per-cluster top-20 with ``title|genres|`` text attached by a
+    lookup join (ids without an item get nulls)."""
+    names = dictionary_names(_genre_dictionary(spark))
+    info = R.items(spark, sf_dir).select("item_id", info_text("title", "flags", names).alias("info"))
+    top = topn_per_cluster(spark, sf_dir)
+    out = lookup.lookup_join(top, info.withColumnRenamed("item_id", "_iid"), "item_id", "_iid",
+                             "info", on_missing="null")
+    return out.select("cluster_id", "item_id", "info", "ranking_score")
+
+
+# ----------------------------------------------------------------- statistics
+
+
+@query
+def accuracy_metric(spark, sf_dir):
+    """Accuracy of a rule-based prediction against the class label."""
+    c = R.classed(spark, sf_dir)
+    pred = (F.when(F.col("l_discount") >= 0.06, 2).when(F.col("l_tax") >= 0.04, 1).otherwise(3))
+    a = stats.accuracy(c.withColumn("prediction", pred), "label", "prediction")
+    return a.select(F.round("accuracy", 9).alias("accuracy"), "n")
+
+
+@query
+def corr_with_target(spark, sf_dir):
+    """Pearson correlation of six lineitem columns with the price, one
+    aggregate."""
+    li = table(spark, sf_dir, "lineitem")
+    c = stats.corr_with_target(li, R.DESIGN_TARGET, CORR_FEATURES)
+    return c.select("feature", F.round("corr", 9).alias("corr"))
+
+
+@query
+def select_by_correlation(spark, sf_dir):
+    """Features whose |corr| with the price reaches the threshold; the
+    chosen columns are then projected (kept features reported with their
+    correlation)."""
+    li = table(spark, sf_dir, "lineitem")
+    projected, chosen = stats.select_by_correlation(li, R.DESIGN_TARGET, CORR_FEATURES,
+                                                    CORR_THRESHOLD, keep=["l_orderkey", "l_linenumber"])
+    c = stats.corr_with_target(projected, R.DESIGN_TARGET, chosen) if chosen else None
+    if c is None:
+        return spark.createDataFrame([], "feature string, corr double")
+    return c.select("feature", F.round("corr", 9).alias("corr"))
+
+
+@query
+def gram_matrix(spark, sf_dir):
+    """A4 + A5 + P5: XᵀX (upper triangle) and Xᵀy of the design table with an
+    intercept column, long form."""
+    d = R.design(spark, sf_dir)
+    g = stats.gram_long(d, R.DESIGN_FEATURES + ["intercept"], R.DESIGN_TARGET)
+    return g.select("row_name", "col_name", sig_round("value", 10).alias("value"))
+
+
+def _ols_train_test(spark, sf_dir):
+    d = R.design(spark, sf_dir)
+    return splits.holdout_split(d, ["l_orderkey", "l_linenumber"], TRAIN_PCT)
+
+
+@query
+def ols_coefficients(spark, sf_dir):
+    """M21 + F8: w = (XᵀX)⁻¹Xᵀy on the whole design table."""
+    d = R.design(spark, sf_dir)
+    w = regression.ols_fit(d, OLS_FEATURES, R.DESIGN_TARGET)
+    return regression.coefficients_frame(spark, w).select(
+        "feature", sig_round("coefficient", 9).alias("coefficient"))
+
+
+@query
+def ols_predictions(spark, sf_dir):
+    """Fit on the 80% key-hash train split, score the held-out rows."""
+    train, test = _ols_train_test(spark, sf_dir)
+    w = regression.ols_fit(train, OLS_FEATURES, R.DESIGN_TARGET)
+    p = regression.ols_predict(test, w)
+    return p.select("l_orderkey", "l_linenumber", sig_round("prediction", 9).alias("prediction"))
+
+
+# ----------------------------------------------------------------- sources / sinks
+
+
+@query
+def parse_ratings(spark, sf_dir):
+    """S1 + S4 + P1 + P2: ratings written as tab text, read back typed."""
+    path = scratch_path(spark, "ratings-tsv")
+    r = R.ratings(spark, sf_dir).withColumn("ts", F.lit(0).cast("bigint"))
+    io.write_delimited(r, path, "\t", ["user", "item", "rating", "ts"])
+    back = io.read_ratings(spark, path)
+    return back.select("user", "item", F.col("rating").cast("bigint").alias("rating"))
+
+
+@query
+def parse_items(spark, sf_dir):
+    """S5 + F1 + F2: item lines with pipes; flags taken from the last fields."""
+    path = scratch_path(spark, "items-psv")
+    it = R.items(spark, sf_dir).select("item_id", "title", F.lit("x").alias("url"), "flags")
+    io.write_delimited(it, path, "|")
+    back = io.read_items(spark, path, R.N_FLAGS)
+    return back.select("item_id", "title",
+                       F.aggregate("flags", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_flags"),
+                       F.array_join(F.col("flags").cast("array<string>"), "").alias("flag_bits"))
+
+
+@query
+def parse_points(spark, sf_dir):
+    """Comma lines ``id,x_1,...,x_d`` parsed to vectors, long form."""
+    path = scratch_path(spark, "points-csv")
+    io.write_delimited(R.points(spark, sf_dir).select("vec_id", "features"), path, ",")
+    back = io.read_points(spark, path)
+    return back.select(F.col("id").alias("vec_id"),
+                       F.posexplode("features").alias("dim", "value")).select(
+        "vec_id", F.col("dim").cast("bigint"), F.round("value", 9).alias("value"))
+
+
+_CLASSED_COLS = ["l_orderkey", "l_linenumber", "l_discount", "l_tax", "label"]
+
+
+@query
+def csv_roundtrip_noheader(spark, sf_dir):
+    """S2 + K1: CSV without header written (error if exists), read back with
+    inferred types; columns are ``_c0 ...``."""
+    path = scratch_path(spark, "classed-csv")
+    io.write_csv(R.classed(spark, sf_dir).select(*_CLASSED_COLS), path, header=False)
+    back = io.read_csv(spark, path, header=False, infer_schema=True)
+    return back.select(F.col("_c0").cast("bigint"), F.col("_c1").cast("bigint"),
+                       F.col("_c2").cast("double"), F.col("_c3").cast("double"),
+                       F.col("_c4").cast("bigint"))
+
+
+@query
+def csv_roundtrip_header(spark, sf_dir):
+    """S3 + K2: CSV with header, read back with the writer's schema."""
+    path = scratch_path(spark, "design-csv")
+    d = R.design(spark, sf_dir)
+    io.write_csv(d, path, header=True)
+    return io.read_csv(spark, path, header=True, schema=d.schema)
+
+
+@query
+def text_sink_roundtrip(spark, sf_dir):
+    """K3: the regression matrix dumped as text lines, parsed back."""
+    path = scratch_path(spark, "design-txt")
+    d = R.design(spark, sf_dir).select("l_orderkey", "l_linenumber", R.DESIGN_TARGET,
+                                       *R.DESIGN_FEATURES, "intercept")
+    io.write_delimited(d, path, ",")
+    back = io.read_points(spark, path, with_id=False)
+    f = F.col("features")
+    return back.select(f[0].cast("bigint").alias("l_orderkey"), f[1].cast("bigint").alias("l_linenumber"),
+                       f[2].alias(R.DESIGN_TARGET), f[3].alias("l_quantity"), f[4].alias("l_discount"),
+                       f[5].alias("l_tax"), f[6].alias("intercept"))

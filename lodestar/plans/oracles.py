@@ -31,3 +31,300 @@ SELECT CAST(label AS BIGINT) AS cluster_id, CAST(vec_id AS BIGINT) AS item_id,
        round(dist, 6) + 0.0 AS ranking_score, CAST(rn AS BIGINT) AS rank
 FROM r WHERE rn <= 20
 """
+
+
+from lodestar.functions.numeric import sql_sig_round as _sig  # noqa: E402
+
+# ---------------------------------------------------------------- relations
+
+RATINGS = """
+ratings AS (
+  SELECT o.o_custkey AS "user", l.l_partkey AS item,
+         1 + CAST(max(l.l_quantity) AS INTEGER) % 5 AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  GROUP BY o.o_custkey, l.l_partkey
+)"""
+
+PREDICTIONS = """
+means AS (SELECT "user", round(avg(rating), 0) AS prediction FROM ratings GROUP BY "user"),
+joined AS (
+  SELECT r."user", r.item, CAST(r.rating AS DOUBLE) AS rating, CAST(m.prediction AS DOUBLE) AS prediction
+  FROM ratings r JOIN means m ON r."user" = m."user"
+)"""
+
+CLASSED = """
+classed AS (
+  SELECT l_orderkey, l_linenumber, l_discount, l_tax,
+         CASE WHEN l_discount >= 0.05 THEN 2 WHEN l_tax >= 0.04 THEN 1 ELSE 3 END AS label
+  FROM lineitem
+)"""
+
+ITEMS = """
+items AS (
+  SELECT p_partkey AS item_id, p_name AS title,
+         (p_size >> 0) & 1 AS f0, (p_size >> 1) & 1 AS f1, (p_size >> 2) & 1 AS f2,
+         (p_size >> 3) & 1 AS f3, (p_size >> 4) & 1 AS f4, (p_size >> 5) & 1 AS f5
+  FROM part
+)"""
+
+GENRES_TEXT = ("concat(CASE WHEN f0 = 1 THEN 'unknown|' ELSE '' END, "
+               "CASE WHEN f1 = 1 THEN 'Action|' ELSE '' END, "
+               "CASE WHEN f2 = 1 THEN 'Adventure|' ELSE '' END, "
+               "CASE WHEN f3 = 1 THEN 'Animation|' ELSE '' END, "
+               "CASE WHEN f4 = 1 THEN 'Children''s|' ELSE '' END, "
+               "CASE WHEN f5 = 1 THEN 'Comedy|' ELSE '' END)")
+
+HASH80 = ("((('0x' || substr(md5(CAST({k1} AS VARCHAR) || ':' || CAST({k2} AS VARCHAR)), 1, 8))::BIGINT"
+          " % 100) < 80)")
+
+
+def _lno(start: int, stop: int) -> str:
+    return f"""
+occ AS (
+  SELECT event_id, user_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+  FROM events
+),
+cand AS (SELECT event_id FROM occ WHERE rn BETWEEN {start} AND {stop})"""
+
+
+# ---------------------------------------------------------------- splits
+
+ORACLES["holdout_split"] = f"""
+WITH {RATINGS}
+SELECT CASE WHEN {HASH80.format(k1='"user"', k2='item')} THEN 'train' ELSE 'test' END AS split,
+       CAST(count(*) AS BIGINT) AS n
+FROM ratings GROUP BY 1
+"""
+
+ORACLES["sample_k"] = """
+SELECT vec_id FROM embeddings ORDER BY md5('1:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 5
+"""
+
+ORACLES["kfold_by_position"] = """
+WITH s AS (SELECT min(event_id) AS lo, count(*) AS n FROM events)
+SELECT event_id, user_id, CAST(((event_id - lo) * 5) // n AS INTEGER) AS fold
+FROM events, s
+"""
+
+ORACLES["kfold_by_sorted_position"] = f"""
+WITH {RATINGS},
+p AS (SELECT "user", item, row_number() OVER (ORDER BY "user", item) - 1 AS pos FROM ratings),
+s AS (SELECT count(*) AS n FROM ratings)
+SELECT "user", item, CAST((pos * 5) // n AS INTEGER) AS fold FROM p, s
+"""
+
+ORACLES["leave_n_out"] = f"""
+WITH {_lno(1, 10)}
+SELECT e.event_id, e.user_id,
+       CASE WHEN c.event_id IS NOT NULL THEN 'test' ELSE 'base' END AS split
+FROM events e LEFT JOIN cand c ON e.event_id = c.event_id
+"""
+
+ORACLES["leave_n_out_capped"] = f"""
+WITH {_lno(11, 20)},
+capped AS (SELECT event_id FROM cand ORDER BY event_id LIMIT 1000)
+SELECT e.event_id, e.user_id,
+       CASE WHEN c.event_id IS NOT NULL THEN 'test' ELSE 'base' END AS split
+FROM events e LEFT JOIN capped c ON e.event_id = c.event_id
+"""
+
+ORACLES["union_splits"] = """
+WITH s AS (SELECT min(event_id) AS lo, count(*) AS n FROM events),
+f AS (SELECT event_id, user_id, CAST(((event_id - lo) * 5) // n AS INTEGER) AS fold FROM events, s)
+SELECT * FROM f WHERE fold = 1 UNION ALL SELECT * FROM f WHERE fold = 2
+UNION ALL SELECT * FROM f WHERE fold = 3 UNION ALL SELECT * FROM f WHERE fold = 4
+"""
+
+ORACLES["split_complement"] = f"""
+WITH {_lno(1, 10)}
+SELECT event_id, user_id FROM events WHERE event_id NOT IN (SELECT event_id FROM cand)
+"""
+
+# ---------------------------------------------------------------- lookups, projections
+
+ORACLES["first_n_ordered"] = f"""
+WITH {RATINGS}
+SELECT "user", item, CAST(rating AS BIGINT) AS rating FROM ratings ORDER BY "user", item LIMIT 10
+"""
+
+ORACLES["drop_columns"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem
+"""
+
+ORACLES["ratings_vs_predictions"] = f"""
+WITH {RATINGS}, {PREDICTIONS}
+SELECT * FROM joined
+"""
+
+ORACLES["mse_rmse"] = f"""
+WITH {RATINGS}, {PREDICTIONS}
+SELECT round(avg((rating - prediction) * (rating - prediction)), 9) + 0.0 AS mse,
+       round(sqrt(avg((rating - prediction) * (rating - prediction))), 9) + 0.0 AS rmse,
+       CAST(count(*) AS BIGINT) AS n
+FROM joined
+"""
+
+ORACLES["filter_pair"] = f"""
+WITH {RATINGS}, {PREDICTIONS}
+SELECT round(avg((rating - prediction) * (rating - prediction)), 9) + 0.0 AS squared_error,
+       round(sqrt(avg((rating - prediction) * (rating - prediction))), 9) + 0.0 AS root_squared_error,
+       CAST(count(*) AS BIGINT) AS n
+FROM joined WHERE "user" = 7 AND item = 35
+"""
+
+ORACLES["user_ratings_lookup"] = f"""
+WITH {RATINGS}
+SELECT "user", item, CAST(rating AS BIGINT) AS rating FROM ratings WHERE "user" = 7
+"""
+
+ORACLES["user_history"] = f"""
+WITH {RATINGS}
+SELECT "user", CAST(count(*) AS BIGINT) AS n_ratings FROM ratings GROUP BY "user"
+"""
+
+_TOP_RATED = """
+top AS (
+  SELECT "user", item, rating,
+         row_number() OVER (PARTITION BY "user" ORDER BY rating DESC, item) AS rn
+  FROM ratings
+)"""
+
+ORACLES["user_top_rated"] = f"""
+WITH {RATINGS}, {_TOP_RATED}
+SELECT "user", item, CAST(rating AS BIGINT) AS rating, CAST(rn AS BIGINT) AS rank
+FROM top WHERE rn <= 10
+"""
+
+ORACLES["titles_lookup"] = f"""
+WITH {RATINGS}, {_TOP_RATED},
+titles AS (SELECT p_partkey AS item_id, max(p_name) AS title FROM part GROUP BY p_partkey)
+SELECT t."user", t.item, CAST(t.rating AS BIGINT) AS rating, ti.title
+FROM top t LEFT JOIN titles ti ON t.item = ti.item_id
+WHERE t.rn <= 10
+"""
+
+ORACLES["genre_labels"] = f"""
+WITH {ITEMS}
+SELECT item_id, title || '|' || {GENRES_TEXT} AS info, {GENRES_TEXT} AS genres FROM items
+"""
+
+ORACLES["topn_per_cluster_enriched"] = ORACLES["topn_per_cluster"].replace(
+    "SELECT CAST(label AS BIGINT) AS cluster_id, CAST(vec_id AS BIGINT) AS item_id,\n"
+    "       round(dist, 6) + 0.0 AS ranking_score, CAST(rn AS BIGINT) AS rank\n"
+    "FROM r WHERE rn <= 20",
+    f""",
+{ITEMS}
+SELECT CAST(r.label AS BIGINT) AS cluster_id, CAST(r.vec_id AS BIGINT) AS item_id,
+       i.title || '|' || {GENRES_TEXT.replace('f', 'i.f').replace("'Ci.f", "'Cf")} AS info,
+       round(r.dist, 6) + 0.0 AS ranking_score
+FROM r LEFT JOIN items i ON r.vec_id = i.item_id WHERE r.rn <= 20""").replace(
+    "WITH \npl AS", "WITH \npl AS")
+
+# ---------------------------------------------------------------- statistics
+
+ORACLES["accuracy_metric"] = f"""
+WITH {CLASSED}
+SELECT round(avg(CASE WHEN (CASE WHEN l_discount >= 0.06 THEN 2 WHEN l_tax >= 0.04 THEN 1 ELSE 3 END) = label
+                 THEN 1.0 ELSE 0.0 END), 9) + 0.0 AS accuracy,
+       CAST(count(*) AS BIGINT) AS n
+FROM classed
+"""
+
+_CORR_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+
+ORACLES["corr_with_target"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(corr(l_extendedprice, {c}), 9) + 0.0 AS corr FROM lineitem"
+    for c in _CORR_FEATURES)
+
+ORACLES["select_by_correlation"] = f"""
+WITH c AS ({ORACLES["corr_with_target"]})
+SELECT feature, corr FROM c WHERE abs(corr) >= 0.005
+"""
+
+_GRAM_COLS = ["l_quantity", "l_discount", "l_tax", "intercept"]
+
+
+def _gram_sql() -> str:
+    parts = []
+    for i, a in enumerate(_GRAM_COLS):
+        for b in _GRAM_COLS[i:]:
+            parts.append(f"SELECT '{a}' AS row_name, '{b}' AS col_name, "
+                         f"{_sig(f'sum({a} * {b})', 10)} AS value FROM d")
+        parts.append(f"SELECT '{a}' AS row_name, 'l_extendedprice' AS col_name, "
+                     f"{_sig(f'sum({a} * l_extendedprice)', 10)} AS value FROM d")
+    return ("WITH d AS (SELECT l_quantity, l_discount, l_tax, 1.0 AS intercept, l_extendedprice "
+            "FROM lineitem)\n" + "\nUNION ALL\n".join(parts))
+
+
+ORACLES["gram_matrix"] = _gram_sql()
+
+
+def _ols_sql(where: str) -> str:
+    """Two features + intercept in closed form from sample covariances."""
+    return f"""
+s AS (
+  SELECT covar_samp(l_quantity, l_quantity) AS s11, covar_samp(l_discount, l_discount) AS s22,
+         covar_samp(l_quantity, l_discount) AS s12,
+         covar_samp(l_quantity, l_extendedprice) AS s1y, covar_samp(l_discount, l_extendedprice) AS s2y,
+         avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my
+  FROM lineitem {where}
+),
+b AS (
+  SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+         (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my
+  FROM s
+),
+w AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)"""
+
+
+ORACLES["ols_coefficients"] = f"""
+WITH {_ols_sql("")}
+SELECT 'l_quantity' AS feature, {_sig('b1', 9)} AS coefficient FROM w
+UNION ALL SELECT 'l_discount', {_sig('b2', 9)} FROM w
+UNION ALL SELECT 'intercept', {_sig('b0', 9)} FROM w
+"""
+
+_TRAIN = "WHERE " + HASH80.format(k1="l_orderkey", k2="l_linenumber")
+
+ORACLES["ols_predictions"] = f"""
+WITH {_ols_sql(_TRAIN)}
+SELECT l_orderkey, l_linenumber,
+       {_sig('l_quantity * b1 + l_discount * b2 + 1.0 * b0', 9)} AS prediction
+FROM lineitem, w
+WHERE NOT {HASH80.format(k1="l_orderkey", k2="l_linenumber")}
+"""
+
+# ---------------------------------------------------------------- sources / sinks
+
+ORACLES["parse_ratings"] = f"""
+WITH {RATINGS}
+SELECT "user", item, CAST(rating AS BIGINT) AS rating FROM ratings
+"""
+
+ORACLES["parse_items"] = f"""
+WITH {ITEMS}
+SELECT item_id, title, CAST(f0 + f1 + f2 + f3 + f4 + f5 AS BIGINT) AS n_flags,
+       concat(f0, f1, f2, f3, f4, f5) AS flag_bits
+FROM items
+"""
+
+ORACLES["parse_points"] = """
+SELECT vec_id, CAST(unnest(generate_series(0, len(embedding) - 1)) AS BIGINT) AS dim,
+       round(CAST(unnest(embedding) AS DOUBLE), 9) + 0.0 AS value
+FROM embeddings
+"""
+
+ORACLES["csv_roundtrip_noheader"] = f"""
+WITH {CLASSED}
+SELECT CAST(l_orderkey AS BIGINT) AS _c0, CAST(l_linenumber AS BIGINT) AS _c1,
+       l_discount AS _c2, l_tax AS _c3, CAST(label AS BIGINT) AS _c4
+FROM classed
+"""
+
+ORACLES["csv_roundtrip_header"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, 1.0 AS intercept, l_extendedprice
+FROM lineitem
+"""
+
+ORACLES["text_sink_roundtrip"] = ORACLES["csv_roundtrip_header"]
