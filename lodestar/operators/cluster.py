@@ -94,19 +94,36 @@ def init_centres(df: DataFrame, id_col: str, vec: str, k: int, init: str = "firs
 
 
 def assign_nearest(df: DataFrame, vec: str, centres, d: int,
-                   cluster_col: str = "cluster_id", dist_col: str | None = None) -> DataFrame:
+                   cluster_col: str = "cluster_id", dist_col: str | None = None,
+                   unroll: bool = False) -> DataFrame:
     """Nearest centre per row, ties to the lowest index (J6, F9).  A narrow
-    projection: centres are literals, no join."""
-    out = df.withColumn("_dists", distance_array(vec, centres, d))
+    projection: centres are literals, no join.
+
+    By default each centre is one array literal and the distance is a
+    ``zip_with``/``aggregate`` expression: the plan text is identical from one
+    Lloyd iteration to the next, so nothing is re-generated or re-compiled per
+    iteration.  ``unroll=True`` writes every term out (fully codegen'd, but new
+    code for every new set of centres)."""
+    if unroll:
+        dists = distance_array(vec, centres, d)
+    else:
+        dists = F.array(*[squared_distance(vec, [float(x) for x in c]) for c in centres])
+    out = df.withColumn("_dists", dists)
     out = out.withColumn(cluster_col, first_argmin("_dists"))
     if dist_col:
         out = out.withColumn(dist_col, F.array_min("_dists"))
     return out.drop("_dists")
 
 
-def _cluster_sums(assigned: DataFrame, vec: str, d: int, cluster_col: str) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(F.col(vec)[i]).alias(f"_s{i}") for i in range(d)]
-    return assigned.groupBy(cluster_col).agg(*aggs)
+def _cluster_means(assigned: DataFrame, vec: str, cluster_col: str) -> DataFrame:
+    """Per-cluster mean vector and count in one aggregate (A2): Spark ML's
+    ``Summarizer`` merges partial per-task buffers, so each task ships at most
+    K rows."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    s = (assigned.select(cluster_col, array_to_vector(F.col(vec)).alias("_v"))
+         .groupBy(cluster_col).agg(Summarizer.metrics("mean", "count").summary(F.col("_v")).alias("_s")))
+    return s.select(cluster_col, vector_to_array("_s.mean").alias("mean"), F.col("_s.count").alias("n"))
 
 
 def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter: int = 20,
@@ -130,12 +147,11 @@ def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter:
         res = LloydResult(centres=cur)
         limit = fixed_iterations if fixed_iterations is not None else max_iter
         for it in range(max(1, limit)):
-            sums = _cluster_sums(assign_nearest(data, vec, cur, d, "_c"), vec, d, "_c").collect()
+            means = _cluster_means(assign_nearest(data, vec, cur, d, "_c"), vec, "_c").collect()
             new = [list(c) for c in cur]
             shift = 0.0
-            for r in sums:
-                c = r["_c"]
-                m = [r[f"_s{i}"] / r["n"] for i in range(d)]
+            for r in means:             # at most K rows
+                c, m = r["_c"], list(r["mean"])
                 shift += sum((a - b) ** 2 for a, b in zip(cur[c], m))
                 new[c] = m
             cur = new

@@ -370,3 +370,205 @@ def text_sink_roundtrip(spark, sf_dir):
     return back.select(f[0].cast("bigint").alias("l_orderkey"), f[1].cast("bigint").alias("l_linenumber"),
                        f[2].alias(R.DESIGN_TARGET), f[3].alias("l_quantity"), f[4].alias("l_discount"),
                        f[5].alias("l_tax"), f[6].alias("intercept"))
+
+
+# ----------------------------------------------------------------- k-means (Lloyd)
+
+from lodestar.functions.vectors import euclidean_distance, squared_distance, vector_dim  # noqa: E402
+from lodestar.operators import classify, pca, recommend  # noqa: E402
+
+LLOYD_K = 5
+LLOYD_ITERS = 3
+
+
+def _lloyd(spark, sf_dir):
+    pts = R.points(spark, sf_dir)
+    res = cluster.lloyd_kmeans(pts, "features", LLOYD_K, id_col="vec_id", init="first",
+                               fixed_iterations=LLOYD_ITERS)
+    return pts, res
+
+
+@query
+def kmeans_lloyd_centroids(spark, sf_dir):
+    """M18 + A2: centres after 3 Lloyd iterations from the 5 lowest ids,
+    long form ``(cluster_id, dim, value)``."""
+    _, res = _lloyd(spark, sf_dir)
+    c = cluster.centres_frame(spark, res.centres)
+    return c.select(F.col("cluster_id").cast("bigint"), F.col("dim").cast("bigint"),
+                    F.round("value", 9).alias("value"))
+
+
+@query
+def kmeans_lloyd_assign(spark, sf_dir):
+    """J6 + F9 + P12: nearest final centre per point (ties to the lowest
+    index)."""
+    pts, res = _lloyd(spark, sf_dir)
+    d = len(res.centres[0])
+    a = cluster.assign_nearest(pts, "features", res.centres, d, "cluster_id")
+    return a.select("vec_id", F.col("cluster_id").cast("bigint"))
+
+
+@query
+def kmeans_lloyd_shift(spark, sf_dir):
+    """Squared centre shift per iteration (non-empty clusters)."""
+    _, res = _lloyd(spark, sf_dir)
+    rows = [(i + 1, float(s)) for i, s in enumerate(res.shifts)]
+    return spark.createDataFrame(rows, "iteration bigint, shift double").select(
+        "iteration", F.round("shift", 9).alias("shift"))
+
+
+@query
+def kmeans_cost(spark, sf_dir):
+    """A3: sum of distances and of squared distances to the nearest centre."""
+    pts, res = _lloyd(spark, sf_dir)
+    d = len(res.centres[0])
+    c = cluster.clustering_cost(pts, "features", res.centres, d)
+    return c.select(F.round("sum_distance", 6).alias("sum_distance"),
+                    F.round("sum_squared_distance", 6).alias("sum_squared_distance"))
+
+
+# ----------------------------------------------------------------- k-means (MLlib)
+
+MLLIB_SEED = 3
+
+
+def _separated_points(spark, sf_dir):
+    """Constructed, well separated clusters: every coordinate shifted by
+    100 x label."""
+    p = R.points(spark, sf_dir)
+    return p.select("vec_id", "label",
+                    F.transform("features", lambda x: x + F.col("label") * 100.0).alias("features"))
+
+
+def _mllib_fit(spark, sf_dir):
+    pts = _separated_points(spark, sf_dir)
+    k = pts.select(F.countDistinct("label")).first()[0]
+    model, feats = cluster.mllib_kmeans(pts, "features", int(k), seed=MLLIB_SEED)
+    return model, feats
+
+
+@query
+def kmeans_mllib_summary(spark, sf_dir):
+    """M16 + R3: MLlib k-means (k = number of labels, k-means||, fixed seed)
+    on separated points; per label, its size and the number of clusters its
+    points fall into (1 when the clustering recovers the labels)."""
+    model, feats = _mllib_fit(spark, sf_dir)
+    pred = model.transform(feats)
+    return pred.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n_points"),
+                                     F.countDistinct("prediction").cast("bigint").alias("n_clusters"))
+
+
+@query
+def cluster_assignments(spark, sf_dir):
+    """M17 + S9 + P7: cluster of every point, named by the smallest label it
+    contains (cluster ids themselves are arbitrary)."""
+    model, feats = _mllib_fit(spark, sf_dir)
+    pred = model.transform(feats).select("vec_id", "label", "prediction")
+    names = pred.groupBy("prediction").agg(F.min("label").alias("cluster_label"))
+    # K rows: bounded by the model's k
+    out = pred.join(F.broadcast(names), "prediction")
+    return out.select("vec_id", F.col("cluster_label").cast("bigint")).toDF("vec_id", "cluster_label")
+
+
+@query
+def model_save_load_same_predictions(spark, sf_dir):
+    """K5: save the fitted model to the shared folder, load it, and count
+    rows whose prediction changed."""
+    from pyspark.ml.clustering import KMeansModel
+    model, feats = _mllib_fit(spark, sf_dir)
+    path = scratch_path(spark, "kmeans-model")
+    model.write().overwrite().save(path)
+    loaded = KMeansModel.load(path)
+    a = model.transform(feats).select("vec_id", F.col("prediction").alias("p1"))
+    b = loaded.transform(feats).select("vec_id", F.col("prediction").alias("p2"))
+    j = a.join(b, "vec_id")
+    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                 F.sum((F.col("p1") != F.col("p2")).cast("bigint")).cast("bigint").alias("mismatches"))
+
+
+# ----------------------------------------------------------------- PCA
+
+
+@query
+def covariance_long(spark, sf_dir):
+    """M19 input: sample covariance of all embedding coordinates, long form."""
+    pts = R.points(spark, sf_dir)
+    d = vector_dim(pts, "features")
+    c = stats.covariance_long(pts, "features", d)
+    return c.select(F.col("i").cast("bigint"), F.col("j").cast("bigint"),
+                    sig_round("cov", 9).alias("cov"))
+
+
+def _first_two(spark, sf_dir):
+    p = R.points(spark, sf_dir)
+    return p.select("vec_id", "label", F.slice("features", 1, 2).alias("xy"))
+
+
+@query
+def pca_components_2d(spark, sf_dir):
+    """The two principal components of the first two coordinates,
+    largest entry made positive."""
+    pc, _, _ = pca.pca_fit(_first_two(spark, sf_dir), "xy", 2)
+    c = pca.components_frame(spark, pc)
+    return c.select(F.col("component").cast("bigint"), F.col("dim").cast("bigint"),
+                    F.round("value", 6).alias("value"))
+
+
+@query
+def pca2_with_cluster(spark, sf_dir):
+    """M20 + J7: uncentred rows projected on the components, with their
+    cluster (label) carried by id instead of zipped by position."""
+    pts = _first_two(spark, sf_dir)
+    pc, _, _ = pca.pca_fit(pts, "xy", 2)
+    out = pca.project(pts, "xy", pc, ["x1", "x2"])
+    return out.select("vec_id", F.round("x1", 6).alias("x1"), F.round("x2", 6).alias("x2"),
+                      F.col("label").cast("bigint").alias("cluster_id"))
+
+
+# ----------------------------------------------------------------- vectors
+
+
+@query
+def vector_distances(spark, sf_dir):
+    """F5 + F6: squared and Euclidean distance of every point to the point
+    with the next id (an equi-join on id + 1)."""
+    p = R.points(spark, sf_dir)
+    d = vector_dim(p, "features")
+    nxt = p.select((F.col("vec_id") - 1).alias("_prev"), F.col("vec_id").alias("next_id"),
+                   F.col("features").alias("_g"))
+    j = p.join(nxt, F.col("vec_id") == F.col("_prev"))
+    return j.select("vec_id", "next_id",
+                    F.round(squared_distance("features", "_g", d), 9).alias("squared_distance"),
+                    F.round(euclidean_distance("features", "_g", d), 9).alias("distance"))
+
+
+def _factors(spark, sf_dir):
+    return R.points(spark, sf_dir).select(F.col("vec_id").alias("id"), "features")
+
+
+@query
+def factor_score_pairs(spark, sf_dir):
+    """F7 + M13 + J4: predicted score of every rated (user, item) pair, with
+    the embedding table as both user and item factors; pairs with an unknown
+    side drop out."""
+    f = _factors(spark, sf_dir)
+    d = vector_dim(f, "features")
+    pairs = R.ratings(spark, sf_dir).select("user", "item")
+    s = recommend.score_factor_pairs(pairs, f, f, d)
+    return s.select("user", "item", F.round("score", 9).alias("score"))
+
+
+@query
+def recommend_topk(spark, sf_dir):
+    """J5 + W2 + M15: the 10 best items for one user by dot product
+    (already-seen items kept)."""
+    f = _factors(spark, sf_dir)
+    d = vector_dim(f, "features")
+    vec = recommend.factor_vector(f, LOOKUP_USER)
+    if vec is None:
+        return spark.createDataFrame([], "item bigint, score double, rank bigint")
+    top = recommend.recommend_for_user(vec, f, 10, d)
+    ranked = top.select(F.col("id").alias("item"), "score").withColumn(
+        "rank", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(
+            F.col("score").desc(), F.col("item"))).cast("bigint"))
+    return ranked.select("item", F.round("score", 9).alias("score"), "rank")

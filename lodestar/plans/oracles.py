@@ -328,3 +328,143 @@ FROM lineitem
 """
 
 ORACLES["text_sink_roundtrip"] = ORACLES["csv_roundtrip_header"]
+
+
+# ---------------------------------------------------------------- k-means (Lloyd)
+
+
+def _lloyd_sql(k: int = 5, iters: int = 3) -> str:
+    """CTE chain: init = k lowest ids, then ``iters`` rounds of (assign,
+    average, keep the old centre for an empty cluster)."""
+    ctes = [_POINTS_LONG.strip(),
+            f"""init AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS c
+                         FROM embeddings ORDER BY vec_id LIMIT {k})""",
+            "c0 AS (SELECT i.c, pl.dim, pl.x AS v FROM init i JOIN pl ON pl.vec_id = i.vec_id)"]
+    for t in range(1, iters + 2):
+        p = t - 1
+        ctes.append(f"""d{t} AS (
+  SELECT pl.vec_id, c{p}.c, sum((pl.x - c{p}.v) * (pl.x - c{p}.v)) AS dist
+  FROM pl JOIN c{p} ON pl.dim = c{p}.dim GROUP BY pl.vec_id, c{p}.c)""")
+        ctes.append(f"""a{t} AS (
+  SELECT vec_id, c, dist FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, c) AS rn FROM d{t}) WHERE rn = 1)""")
+        if t <= iters:
+            ctes.append(f"""m{t} AS (
+  SELECT a.c, pl.dim, avg(pl.x) AS v FROM a{t} a JOIN pl ON a.vec_id = pl.vec_id GROUP BY a.c, pl.dim)""")
+            ctes.append(f"""c{t} AS (
+  SELECT c{p}.c, c{p}.dim, coalesce(m{t}.v, c{p}.v) AS v
+  FROM c{p} LEFT JOIN m{t} ON c{p}.c = m{t}.c AND c{p}.dim = m{t}.dim)""")
+            ctes.append(f"""s{t} AS (
+  SELECT {t} AS iteration, coalesce(sum((c{p}.v - m{t}.v) * (c{p}.v - m{t}.v)), 0.0) AS shift
+  FROM c{p} JOIN m{t} ON c{p}.c = m{t}.c AND c{p}.dim = m{t}.dim)""")
+    return "WITH " + ",\n".join(ctes)
+
+
+_L = _lloyd_sql()
+
+ORACLES["kmeans_lloyd_centroids"] = _L + """
+SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(v, 9) + 0.0 AS value FROM c3
+"""
+
+ORACLES["kmeans_lloyd_assign"] = _L + """
+SELECT vec_id, CAST(c AS BIGINT) AS cluster_id FROM a4
+"""
+
+ORACLES["kmeans_lloyd_shift"] = _L + """
+SELECT CAST(iteration AS BIGINT) AS iteration, round(shift, 9) + 0.0 AS shift FROM s1
+UNION ALL SELECT CAST(iteration AS BIGINT), round(shift, 9) + 0.0 FROM s2
+UNION ALL SELECT CAST(iteration AS BIGINT), round(shift, 9) + 0.0 FROM s3
+"""
+
+ORACLES["kmeans_cost"] = _L + """
+SELECT round(sum(sqrt(dist)), 6) + 0.0 AS sum_distance, round(sum(dist), 6) + 0.0 AS sum_squared_distance
+FROM a4
+"""
+
+# ---------------------------------------------------------------- k-means (MLlib)
+
+ORACLES["kmeans_mllib_summary"] = """
+SELECT label, CAST(count(*) AS BIGINT) AS n_points, CAST(1 AS BIGINT) AS n_clusters
+FROM embeddings GROUP BY label
+"""
+
+ORACLES["cluster_assignments"] = """
+SELECT vec_id, CAST(label AS BIGINT) AS cluster_label FROM embeddings
+"""
+
+ORACLES["model_save_load_same_predictions"] = """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS mismatches FROM embeddings
+"""
+
+# ---------------------------------------------------------------- PCA
+
+ORACLES["covariance_long"] = f"""
+WITH {_POINTS_LONG}
+SELECT CAST(a.dim AS BIGINT) AS i, CAST(b.dim AS BIGINT) AS j, {_sig('covar_samp(a.x, b.x)', 9)} AS cov
+FROM pl a JOIN pl b ON a.vec_id = b.vec_id
+GROUP BY a.dim, b.dim
+"""
+
+_PCA2 = """
+xy AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y
+       FROM embeddings),
+cv AS (SELECT covar_samp(x, x) AS a, covar_samp(x, y) AS b, covar_samp(y, y) AS c FROM xy),
+ev AS (SELECT a, b, c, (a + c) / 2 + sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l1,
+              (a + c) / 2 - sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l2 FROM cv),
+raw AS (
+  SELECT 0 AS component, CASE WHEN abs(l1 - a) >= abs(l1 - c) THEN b ELSE l1 - c END AS u1,
+         CASE WHEN abs(l1 - a) >= abs(l1 - c) THEN l1 - a ELSE b END AS u2 FROM ev
+  UNION ALL
+  SELECT 1, CASE WHEN abs(l2 - a) >= abs(l2 - c) THEN b ELSE l2 - c END,
+         CASE WHEN abs(l2 - a) >= abs(l2 - c) THEN l2 - a ELSE b END FROM ev
+),
+nrm AS (SELECT component, u1 / sqrt(u1 * u1 + u2 * u2) AS v1, u2 / sqrt(u1 * u1 + u2 * u2) AS v2 FROM raw),
+pc AS (
+  SELECT component,
+         CASE WHEN (CASE WHEN abs(v1) >= abs(v2) THEN v1 ELSE v2 END) < 0 THEN -v1 ELSE v1 END AS v1,
+         CASE WHEN (CASE WHEN abs(v1) >= abs(v2) THEN v1 ELSE v2 END) < 0 THEN -v2 ELSE v2 END AS v2
+  FROM nrm
+)"""
+
+ORACLES["pca_components_2d"] = f"""
+WITH {_PCA2}
+SELECT CAST(component AS BIGINT) AS component, CAST(0 AS BIGINT) AS dim, round(v1, 6) + 0.0 AS value FROM pc
+UNION ALL
+SELECT CAST(component AS BIGINT), CAST(1 AS BIGINT), round(v2, 6) + 0.0 FROM pc
+"""
+
+ORACLES["pca2_with_cluster"] = f"""
+WITH {_PCA2},
+p0 AS (SELECT v1, v2 FROM pc WHERE component = 0),
+p1 AS (SELECT v1, v2 FROM pc WHERE component = 1)
+SELECT xy.vec_id, round(xy.x * p0.v1 + xy.y * p0.v2, 6) + 0.0 AS x1,
+       round(xy.x * p1.v1 + xy.y * p1.v2, 6) + 0.0 AS x2, CAST(xy.label AS BIGINT) AS cluster_id
+FROM xy, p0, p1
+"""
+
+# ---------------------------------------------------------------- vectors
+
+ORACLES["vector_distances"] = """
+SELECT a.vec_id, b.vec_id AS next_id,
+       round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+             * list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) + 0.0
+         AS squared_distance,
+       round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) + 0.0 AS distance
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+"""
+
+ORACLES["factor_score_pairs"] = f"""
+WITH {RATINGS}
+SELECT r."user", r.item,
+       round(list_inner_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 9) + 0.0 AS score
+FROM ratings r JOIN embeddings u ON u.vec_id = r."user" JOIN embeddings i ON i.vec_id = r.item
+"""
+
+ORACLES["recommend_topk"] = """
+WITH u AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 7),
+s AS (SELECT e.vec_id AS item, list_inner_product(CAST(e.embedding AS DOUBLE[]), u.v) AS score
+      FROM embeddings e, u)
+SELECT item, round(score, 9) + 0.0 AS score,
+       CAST(row_number() OVER (ORDER BY score DESC, item) AS BIGINT) AS rank
+FROM s ORDER BY score DESC, item LIMIT 10
+"""
