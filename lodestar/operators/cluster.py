@@ -6,9 +6,10 @@ k-means, cost, and distance-ranked members per cluster.
 Scale notes
 -----------
 * Centres are K x d numbers.  They live on the driver between iterations and
-  enter the plan as literals, so each iteration's plan has constant depth and
-  the assignment is a narrow, codegen'd projection (no join, no broadcast).
-* The per-cluster sums are an ordinary ``groupBy(cluster)`` aggregate: partial
+  enter the plan as array literals, so each iteration's plan has constant
+  depth, the same shape every time (no re-compilation), and the assignment is
+  a narrow projection (no join, no broadcast).
+* The per-cluster means are one ``groupBy(cluster)`` aggregate: partial
   aggregation leaves at most K rows per map task, so a cluster that holds a
   third of all points costs nothing extra.
 * The input is persisted once (MEMORY_AND_DISK) for the iterations and
