@@ -572,3 +572,163 @@ def recommend_topk(spark, sf_dir):
         "rank", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(
             F.col("score").desc(), F.col("item"))).cast("bigint"))
     return ranked.select("item", F.round("score", 9).alias("score"), "rank")
+
+
+# ----------------------------------------------------------------- classification
+
+CLASS_FEATURES = ["l_discount", "l_tax"]
+CLASS_SEED = 7
+
+
+def _classed_split(spark, sf_dir):
+    c = R.classed(spark, sf_dir)
+    return splits.holdout_split(c, ["l_orderkey", "l_linenumber"], TRAIN_PCT)
+
+
+def _fit_and_score(spark, sf_dir, kind, **params):
+    train, test = _classed_split(spark, sf_dir)
+    model = classify.fit_pipeline(train, CLASS_FEATURES, "label", kind, seed=CLASS_SEED, **params)
+    scored = classify.score(model, test)
+    return scored.select("l_orderkey", "l_linenumber", F.col("label").cast("bigint"),
+                         F.col("prediction").cast("bigint"))
+
+
+@query
+def classification_tree(spark, sf_dir):
+    """M1 + M2 + M5 + M9: decision tree of depth 10, held-out predictions."""
+    return _fit_and_score(spark, sf_dir, "tree", maxDepth=10)
+
+
+@query
+def classification_tree_default(spark, sf_dir):
+    """M6 + K1: decision tree with defaults; predictions exported to CSV
+    (error if the path exists) and read back."""
+    scored = _fit_and_score(spark, sf_dir, "tree")
+    path = scratch_path(spark, "predictions-tree")
+    classify.export_predictions(scored, path, scored.columns)
+    return io.read_csv(spark, path, schema=scored.schema)
+
+
+@query
+def classification_forest(spark, sf_dir):
+    """M7: random forest, 100 trees of depth 10 (seeded)."""
+    return _fit_and_score(spark, sf_dir, "forest", numTrees=100, maxDepth=10)
+
+
+@query
+def classification_forest_small(spark, sf_dir):
+    """M8: random forest, 10 trees of default depth (seeded)."""
+    return _fit_and_score(spark, sf_dir, "forest", numTrees=10)
+
+
+def _saturated(spark, sf_dir):
+    """One 0/1 feature (tax >= 0.04) and the 3-class label: the fitted
+    logistic model is saturated, so its probabilities equal the class
+    frequencies of each feature value."""
+    c = R.classed(spark, sf_dir)
+    return c.select((F.col("l_tax") >= 0.04).cast("double").alias("x"), "label")
+
+
+@query
+def classification_logreg(spark, sf_dir):
+    """M3 + M9: multinomial logistic regression (maxIter 100, no penalty,
+    tol 1e-8) on the saturated design; class probabilities per feature value."""
+    data = _saturated(spark, sf_dir)
+    model = classify.fit_pipeline(data, ["x"], "label", "logreg", maxIter=100, tol=1e-8)
+    probs = classify.class_probabilities(classify.score(model, data.select("x").distinct()), [1, 2, 3])
+    return probs.select(F.col("x").cast("bigint"), *[F.round(f"p{c}", 5).alias(f"p{c}") for c in (1, 2, 3)],
+                        F.col("prediction").cast("bigint"))
+
+
+@query
+def classification_logreg_enet(spark, sf_dir):
+    """M4: logistic regression with elastic net (maxIter 10, regParam 0.3,
+    alpha 0.8) on one weak feature: every coefficient is shrunk to zero, so
+    every row gets the majority class."""
+    c = R.classed(spark, sf_dir).select("l_linenumber", "label")
+    model = classify.fit_pipeline(c, ["l_linenumber"], "label", "logreg", maxIter=10,
+                                  regParam=0.3, elasticNetParam=0.8)
+    lr = model.stages[-1]
+    nonzero = int(sum(1 for v in lr.coefficientMatrix.toArray().ravel() if v != 0.0))
+    scored = classify.score(model, c)
+    return scored.groupBy(F.col("prediction").cast("bigint").alias("prediction")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n")).withColumn(
+        "nonzero_coefficients", F.lit(nonzero).cast("bigint"))
+
+
+@query
+def logreg_training_accuracy(spark, sf_dir):
+    """Training accuracy from the fitted pipeline's summary."""
+    data = _saturated(spark, sf_dir)
+    model = classify.fit_pipeline(data, ["x"], "label", "logreg", maxIter=100, tol=1e-8)
+    acc = classify.training_accuracy(model)
+    return spark.createDataFrame([(acc,)], "accuracy double").select(
+        F.round("accuracy", 9).alias("accuracy"))
+
+
+# ----------------------------------------------------------------- ALS
+
+ALS_SEED = 11
+
+
+def _rank1_ratings(spark, sf_dir):
+    """Complete rank-1 matrix from lineitem: user = line number, item = tax in
+    cents, rating = (1 + 0.1 user)(1 + 0.1 item).  Every (line, tax) pair
+    occurs, so the matrix is complete; built by one aggregate, no cross join."""
+    li = table(spark, sf_dir, "lineitem")
+    pairs = li.groupBy(F.col("l_linenumber").cast("bigint").alias("user"),
+                       F.round(F.col("l_tax") * 100).cast("bigint").alias("item")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    return pairs.select("user", "item",
+                        ((1 + 0.1 * F.col("user")) * (1 + 0.1 * F.col("item"))).alias("rating"))
+
+
+@query
+def als_rank1_reconstruct(spark, sf_dir):
+    """M11 + J4: rank-1 ALS (regParam 1e-8) reproduces a rank-1 rating
+    matrix; predictions for every rated pair."""
+    r = _rank1_ratings(spark, sf_dir)
+    model = recommend.als_fit(r, rank=1, max_iter=10, reg=1e-8, seed=ALS_SEED)
+    p = recommend.predict_pairs(model, r)
+    return p.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"),
+                    F.round("rating", 6).alias("rating"),
+                    F.round(F.col("prediction").cast("double"), 3).alias("prediction"))
+
+
+def _als10(spark, sf_dir):
+    return recommend.als_fit(R.ratings(spark, sf_dir), rank=10, max_iter=10, reg=0.01, seed=ALS_SEED)
+
+
+@query
+def als_topk_rows(spark, sf_dir):
+    """Top-10 for every user from ALS's blocked product; rows per user."""
+    model = _als10(spark, sf_dir)
+    recs = recommend.recommend_all(model, 10)
+    return recs.groupBy(F.col("user").cast("bigint").alias("user")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_recs"))
+
+
+@query
+def als_factor_shape(spark, sf_dir):
+    """Factor tables -- ids per side and vector length (= rank)."""
+    model = _als10(spark, sf_dir)
+    u = model.userFactors.agg(F.lit("user").alias("side"), F.count(F.lit(1)).cast("bigint").alias("n_ids"),
+                              F.max(F.size("features")).cast("bigint").alias("rank"))
+    i = model.itemFactors.agg(F.lit("item").alias("side"), F.count(F.lit(1)).cast("bigint").alias("n_ids"),
+                              F.max(F.size("features")).cast("bigint").alias("rank"))
+    return u.unionByName(i)
+
+
+@query
+def als_item_clusters(spark, sf_dir):
+    """M12 + M16 + M17: rank-50 ALS item factors clustered by k-means (k=5,
+    seeded); every item gets exactly one cluster id in 0..4."""
+    model = recommend.als_fit(R.ratings(spark, sf_dir), rank=50, max_iter=10, reg=0.01, seed=ALS_SEED)
+    items_f = model.itemFactors.select(F.col("id").alias("item"),
+                                       F.col("features").cast("array<double>").alias("features"))
+    km, feats = cluster.mllib_kmeans(items_f, "features", 5, seed=MLLIB_SEED, init_mode="random")
+    pred = km.transform(feats)
+    return pred.agg(F.count(F.lit(1)).cast("bigint").alias("n_items"),
+                    F.countDistinct("item").cast("bigint").alias("n_distinct_items"),
+                    F.sum(((F.col("prediction") < 0) | (F.col("prediction") > 4)).cast("bigint"))
+                    .cast("bigint").alias("n_bad_cluster_ids"))

@@ -468,3 +468,83 @@ SELECT item, round(score, 9) + 0.0 AS score,
        CAST(row_number() OVER (ORDER BY score DESC, item) AS BIGINT) AS rank
 FROM s ORDER BY score DESC, item LIMIT 10
 """
+
+
+# ---------------------------------------------------------------- classification
+
+_TEST = "NOT " + HASH80.format(k1="l_orderkey", k2="l_linenumber")
+
+_CLASS_PRED = f"""
+WITH {CLASSED}
+SELECT l_orderkey, l_linenumber, CAST(label AS BIGINT) AS label, CAST(label AS BIGINT) AS prediction
+FROM classed WHERE {_TEST}
+"""
+
+for _n in ("classification_tree", "classification_tree_default", "classification_forest",
+           "classification_forest_small"):
+    ORACLES[_n] = _CLASS_PRED
+
+_SAT = f"""
+{CLASSED},
+sat AS (SELECT CAST(l_tax >= 0.04 AS BIGINT) AS x, label FROM classed),
+freq AS (
+  SELECT x, avg(CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END) AS p1,
+         avg(CASE WHEN label = 2 THEN 1.0 ELSE 0.0 END) AS p2,
+         avg(CASE WHEN label = 3 THEN 1.0 ELSE 0.0 END) AS p3,
+         count(*) AS n
+  FROM sat GROUP BY x
+)"""
+
+ORACLES["classification_logreg"] = f"""
+WITH {_SAT}
+SELECT x, round(p1, 5) + 0.0 AS p1, round(p2, 5) + 0.0 AS p2, round(p3, 5) + 0.0 AS p3,
+       CAST(CASE WHEN p1 >= p2 AND p1 >= p3 THEN 1 WHEN p2 >= p3 THEN 2 ELSE 3 END AS BIGINT) AS prediction
+FROM freq
+"""
+
+ORACLES["logreg_training_accuracy"] = f"""
+WITH {_SAT}
+SELECT round(sum(greatest(p1, p2, p3) * n) / sum(n), 9) + 0.0 AS accuracy FROM freq
+"""
+
+ORACLES["classification_logreg_enet"] = f"""
+WITH {CLASSED},
+counts AS (SELECT label, count(*) AS n FROM classed GROUP BY label),
+major AS (SELECT label FROM counts ORDER BY n DESC, label LIMIT 1)
+SELECT CAST(major.label AS BIGINT) AS prediction, CAST((SELECT count(*) FROM classed) AS BIGINT) AS n,
+       CAST(0 AS BIGINT) AS nonzero_coefficients
+FROM major
+"""
+
+# ---------------------------------------------------------------- ALS
+
+ORACLES["als_rank1_reconstruct"] = """
+WITH p AS (
+  SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS "user", CAST(round(l_tax * 100) AS BIGINT) AS item
+  FROM lineitem
+)
+SELECT "user", item,
+       round((1.0 + CAST(0.1 AS DOUBLE) * "user") * (1.0 + CAST(0.1 AS DOUBLE) * item), 6) + 0.0 AS rating,
+       round((1.0 + CAST(0.1 AS DOUBLE) * "user") * (1.0 + CAST(0.1 AS DOUBLE) * item), 3) + 0.0 AS prediction
+FROM p
+"""
+
+ORACLES["als_topk_rows"] = f"""
+WITH {RATINGS}
+SELECT DISTINCT "user", CAST(least(10, (SELECT count(DISTINCT item) FROM ratings)) AS BIGINT) AS n_recs
+FROM ratings
+"""
+
+ORACLES["als_factor_shape"] = f"""
+WITH {RATINGS}
+SELECT 'user' AS side, CAST(count(DISTINCT "user") AS BIGINT) AS n_ids, CAST(10 AS BIGINT) AS rank FROM ratings
+UNION ALL
+SELECT 'item', CAST(count(DISTINCT item) AS BIGINT), CAST(10 AS BIGINT) FROM ratings
+"""
+
+ORACLES["als_item_clusters"] = f"""
+WITH {RATINGS}
+SELECT CAST(count(DISTINCT item) AS BIGINT) AS n_items, CAST(count(DISTINCT item) AS BIGINT) AS n_distinct_items,
+       CAST(0 AS BIGINT) AS n_bad_cluster_ids
+FROM ratings
+"""
