@@ -1,0 +1,11 @@
+"""Streaming use of the library.
+
+The reference has no streams (no readStream/writeStream, watermark or state),
+so no streaming operator is built.  The scoring operators are stateless
+column expressions -- nearest-centre assignment
+(:func:`lodestar.operators.cluster.assign_nearest`), linear scoring
+(:func:`lodestar.operators.regression.ols_predict`), flag labels
+(:mod:`lodestar.functions.labels`) and fitted Spark ML models'
+``transform`` -- and therefore apply unchanged to a streaming DataFrame.
+``tests/test_streaming.py`` runs one over a file stream.
+"""
