@@ -13,7 +13,8 @@ def test_assign_nearest_on_a_file_stream(spark):
     res = cluster.lloyd_kmeans(pts, "features", 3, id_col="vec_id", fixed_iterations=2)
     src = f"{SF_SMALL}/embeddings.parquet"
     schema = spark.read.parquet(src).schema
-    stream = (spark.readStream.schema(schema).parquet(src)
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
+              .parquet(SF_SMALL)
               .select("vec_id", F.col("embedding").cast("array<double>").alias("features")))
     scored = cluster.assign_nearest(stream, "features", res.centres, 64, "cluster_id")
     name = "assign_stream_" + scratch_path(spark, "q").rsplit("-", 1)[-1]
