@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators.partitioning import spread_for_iteration
+
 
 def feature_label_columns(df: DataFrame, label: str | None = None) -> tuple[list[str], str]:
     """Positional convention of the reference (P3): all columns but the last
@@ -47,7 +49,7 @@ def fit_pipeline(train: DataFrame, features: Sequence[str], label: str, kind: st
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
                                 handleInvalid=handle_invalid)
     est = make_estimator(kind, label, seed, **params)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = spread_for_iteration(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[assembler, est]).fit(cached)
     finally:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.vectors import (distance_array, euclidean_distance, first_argmin,
                                         squared_distance, vector_dim)
 from lodestar.operators.lookup import checked_broadcast
+from lodestar.operators.partitioning import spread_for_iteration
 from lodestar.operators.topk import top_n_per_group
 
 
@@ -139,7 +140,8 @@ def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter:
       squared centre shift, compared with ``tol`` (A11).
     """
     d = vector_dim(df, vec)
-    data = check_finite(df.select(id_col, vec), vec, na).persist(StorageLevel.MEMORY_AND_DISK)
+    data = spread_for_iteration(check_finite(df.select(id_col, vec), vec, na)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
         cur = [list(c) for c in centres] if centres is not None else init_centres(
             data, id_col, vec, k, init, seed)
@@ -194,7 +196,7 @@ def mllib_kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 10,
     from pyspark.ml.functions import array_to_vector
 
     feats = df.withColumn("features", array_to_vector(F.col(vec)))
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    feats = spread_for_iteration(feats).persist(StorageLevel.MEMORY_AND_DISK)
     km = KMeans(k=k, maxIter=max_iter, initMode=init_mode, tol=tol, seed=seed,
                 featuresCol="features", predictionCol="prediction")
     model = km.fit(feats)

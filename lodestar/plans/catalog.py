@@ -58,7 +58,7 @@ def _user_mean_predictions(r: DataFrame) -> DataFrame:
     """Baseline predictions for every rated pair: the user's mean rating,
     rounded (a stand-in model; the join and metrics do not depend on it)."""
     means = r.groupBy("user").agg(F.round(F.avg("rating"), 0).alias("prediction"))
-    return r.select("user", "item").join(means, "user")
+    return r.select("user", "item").join(lookup.checked_broadcast(means), "user")
 
 
 # ----------------------------------------------------------------- splits
