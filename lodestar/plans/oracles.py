@@ -114,6 +114,13 @@ s AS (SELECT count(*) AS n FROM ratings)
 SELECT "user", item, CAST((pos * 5) // n AS INTEGER) AS fold FROM p, s
 """
 
+ORACLES["split_files_roundtrip"] = f"""
+WITH {RATINGS},
+p AS (SELECT "user", item, rating, row_number() OVER (ORDER BY "user", item) - 1 AS pos FROM ratings),
+s AS (SELECT count(*) AS n FROM ratings)
+SELECT "user", item, CAST(rating AS BIGINT) AS rating, CAST((pos * 5) // n AS INTEGER) AS fold FROM p, s
+"""
+
 ORACLES["leave_n_out"] = f"""
 WITH {_lno(1, 10)}
 SELECT e.event_id, e.user_id,
