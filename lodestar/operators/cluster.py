@@ -190,27 +190,26 @@ def clustering_cost(df: DataFrame, vec: str, centres, d: int) -> DataFrame:
 def mllib_kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 10,
                  init_mode: str = "k-means||", tol: float = 1e-4):
     """Spark ML k-means (M16) on an ``ARRAY<DOUBLE>`` column.  The seed is
-    mandatory (7.4#15).  Returns the fitted model and the frame with a
-    ``features`` vector column."""
+    mandatory (7.4#15).  Returns the fitted model and the (persisted) frame
+    with the vector column ``_vec`` the model reads; ``vec`` is kept as is."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    feats = df.withColumn("features", array_to_vector(F.col(vec)))
+    feats = df.withColumn("_vec", array_to_vector(F.col(vec)))
     feats = spread_for_iteration(feats).persist(StorageLevel.MEMORY_AND_DISK)
     km = KMeans(k=k, maxIter=max_iter, initMode=init_mode, tol=tol, seed=seed,
-                featuresCol="features", predictionCol="prediction")
+                featuresCol="_vec", predictionCol="prediction")
     model = km.fit(feats)
     return model, feats
 
 
-def centre_distance(vec_col: str, centres, d: int, cluster_col: str) -> "F.Column":
-    """Euclidean distance from a row to its own assigned (literal) centre."""
-    expr = None
-    for c, cen in enumerate(centres):
-        dist = euclidean_distance(vec_col, list(cen), d)
-        expr = F.when(F.col(cluster_col) == c, dist) if expr is None else expr.when(
-            F.col(cluster_col) == c, dist)
-    return expr
+def centre_distance(vec_col: str, centres, cluster_col: str) -> "F.Column":
+    """Euclidean distance from a row to its own assigned centre (M17 centre
+    lookup + F6).  The K x d centres are one array literal indexed by the
+    cluster column, so the expression has the same size for any K."""
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in cen]) for cen in centres])
+    own = F.element_at(table, F.col(cluster_col).cast("int") + 1)
+    return euclidean_distance(vec_col, own)
 
 
 __all__ = [

@@ -507,6 +507,19 @@ def cluster_assignments(spark, sf_dir):
     return out.select("vec_id", F.col("cluster_label").cast("bigint")).toDF("vec_id", "cluster_label")
 
 
+@query
+def kmeans_mllib_cost(spark, sf_dir):
+    """M17 + A3 + F6: distance of every point to the centre of its assigned
+    cluster (looked up in ``clusterCenters()``), summed -- the reference's
+    "within set" error (unsquared) and the squared sum."""
+    model, feats = _mllib_fit(spark, sf_dir)
+    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    pred = model.transform(feats).withColumn(
+        "_dist", cluster.centre_distance("features", centres, "prediction"))
+    return pred.agg(F.round(F.sum("_dist"), 6).alias("sum_distance"),
+                    F.round(F.sum(F.col("_dist") * F.col("_dist")), 6).alias("sum_squared_distance"))
+
+
 @query
 def model_save_load_same_predictions(spark, sf_dir):
     """K5: save the fitted model to the shared folder, load it, and count

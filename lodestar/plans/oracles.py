@@ -399,6 +399,16 @@ ORACLES["cluster_assignments"] = """
 SELECT vec_id, CAST(label AS BIGINT) AS cluster_label FROM embeddings
 """
 
+ORACLES["kmeans_mllib_cost"] = f"""
+WITH {_POINTS_LONG},
+sp AS (SELECT vec_id, label, dim, x + label * 100.0 AS x FROM pl),
+c AS (SELECT label, dim, avg(x) AS m FROM sp GROUP BY label, dim),
+d AS (SELECT sp.vec_id, sqrt(sum((sp.x - c.m) * (sp.x - c.m))) AS dist
+      FROM sp JOIN c ON sp.label = c.label AND sp.dim = c.dim GROUP BY sp.vec_id)
+SELECT round(sum(dist), 6) + 0.0 AS sum_distance, round(sum(dist * dist), 6) + 0.0 AS sum_squared_distance
+FROM d
+"""
+
 ORACLES["model_save_load_same_predictions"] = """
 SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS mismatches FROM embeddings
 """
