@@ -1,8 +1,8 @@
 """Least squares by the normal equations.
 
-``w = (XᵀX)⁻¹ Xᵀy`` with the moments from one aggregate pass
-(:func:`lodestar.operators.stats.gram`) and a d x d ``numpy.linalg.solve`` on
-the driver.  Scoring is a linear column expression, so it stays distributed.
+``w = (XᵀX)⁻¹ Xᵀy`` with the moments from one aggregate pass and a d x d
+``numpy.linalg.solve`` on the driver (centred form when an intercept column is
+present).  Scoring is a linear column expression, so it stays distributed.
 """
 
 from __future__ import annotations
@@ -20,14 +20,52 @@ class CollinearError(ValueError):
     pass
 
 
+def _covariance_moments(df: DataFrame, xs: Sequence[str], target: str):
+    """Sample covariances among the features and with the target, and the
+    means, in one aggregate.  ``covar_samp`` merges per-task co-moments
+    (numerically stable), unlike raw sums of products."""
+    aggs = [F.avg(c).alias(f"m__{c}") for c in [*xs, target]]
+    for i, a in enumerate(xs):
+        for b in xs[i:]:
+            aggs.append(F.covar_samp(a, b).alias(f"c__{a}__{b}"))
+        aggs.append(F.covar_samp(a, target).alias(f"t__{a}"))
+    row = df.agg(*aggs).first()
+    d = len(xs)
+    cov = np.zeros((d, d))
+    for i, a in enumerate(xs):
+        for j in range(i, d):
+            cov[i, j] = cov[j, i] = row[f"c__{a}__{xs[j]}"]
+    cxy = np.array([row[f"t__{a}"] for a in xs], dtype=float)
+    means = {c: row[f"m__{c}"] for c in [*xs, target]}
+    return cov, cxy, means
+
+
+def _dependent_columns(m: np.ndarray, names: Sequence[str]) -> list[str]:
+    dep, basis = [], []
+    for i, c in enumerate(names):
+        if np.linalg.matrix_rank(m[np.ix_(basis + [i], basis + [i])]) == len(basis) + 1:
+            basis.append(i)
+        else:
+            dep.append(c)
+    return dep
+
+
 def ols_fit(df: DataFrame, features: Sequence[str], target: str, na: str = "error",
-            use_pinv: bool = False) -> dict[str, float]:
+            use_pinv: bool = False, intercept_col: str | None = "intercept") -> dict[str, float]:
     """Coefficients by name, in ``features`` order (put ``intercept`` last for
     the reference's layout, 7.4#13).
 
+    When ``intercept_col`` (a constant-1 column) is among the features, the
+    same normal equations are solved in centred form: slopes from the feature
+    covariance matrix and the feature/target covariances, intercept from the
+    means.  This is algebraically ``(XᵀX)⁻¹Xᵀy`` but does not lose digits when
+    features have very different scales.  Without an intercept the raw moments
+    ``XᵀX``, ``Xᵀy`` are used.  Either way one aggregate pass, d x d on the
+    driver.
+
     ``na="error"`` fails on a null in any used column (a null would otherwise
     turn every coefficient into NaN); ``"drop"`` removes such rows.  A singular
-    ``XᵀX`` raises :class:`CollinearError` naming the dependent columns unless
+    system raises :class:`CollinearError` naming the dependent columns unless
     ``use_pinv`` (7.4#14).
     """
     cols = list(features) + [target]
@@ -39,18 +77,23 @@ def ols_fit(df: DataFrame, features: Sequence[str], target: str, na: str = "erro
     elif na == "error":
         df = df.where(F.when(anynull, F.raise_error(F.lit("null in regression input")))
                       .otherwise(F.lit(True)))
-    xtx, xty, _ = gram(df.select(*[F.col(c).cast("double") for c in cols]), list(features), target)
-    rank = np.linalg.matrix_rank(xtx)
-    if rank < len(features) and not use_pinv:
-        # name the columns that are linear combinations of earlier ones
-        dep, basis = [], []
-        for i, c in enumerate(features):
-            if np.linalg.matrix_rank(xtx[np.ix_(basis + [i], basis + [i])]) == len(basis) + 1:
-                basis.append(i)
-            else:
-                dep.append(c)
-        raise CollinearError(f"XᵀX is singular; dependent columns: {dep}")
-    w = np.linalg.pinv(xtx) @ xty if use_pinv else np.linalg.solve(xtx, xty)
+    data = df.select(*[F.col(c).cast("double") for c in cols])
+    solve = (lambda a, b: np.linalg.pinv(a) @ b) if use_pinv else np.linalg.solve
+
+    if intercept_col and intercept_col in features:
+        xs = [c for c in features if c != intercept_col]
+        cov, cxy, means = _covariance_moments(data, xs, target)
+        if np.linalg.matrix_rank(cov) < len(xs) and not use_pinv:
+            raise CollinearError(f"XᵀX is singular; dependent columns: {_dependent_columns(cov, xs)}")
+        slopes = solve(cov, cxy) if xs else np.zeros(0)
+        w = dict(zip(xs, map(float, slopes)))
+        w[intercept_col] = float(means[target] - sum(w[c] * means[c] for c in xs))
+        return {c: w[c] for c in features}
+
+    xtx, xty, _ = gram(data, list(features), target)
+    if np.linalg.matrix_rank(xtx) < len(features) and not use_pinv:
+        raise CollinearError(f"XᵀX is singular; dependent columns: {_dependent_columns(xtx, features)}")
+    w = solve(xtx, xty)
     return {c: float(v) for c, v in zip(features, w)}
 
 
