@@ -12,7 +12,9 @@ def spread_for_iteration(df: DataFrame, min_partitions: int | None = None) -> Da
     round-robin once, before it is cached.  An input that is already split
     finer is returned as is (no shuffle).  Round-robin repartitioning sorts
     locally first, so a retried task rebuilds the same partitions."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): keep the layout
+        return df
+    return df.repartition(target) if current < target else df

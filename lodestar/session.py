@@ -46,11 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting always wins; a temp folder is made only for local
     sessions that did not name one (tests, the bench).
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        if not configured:
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    configured = configured or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
         master = sc.master or ""
         if not master.startswith("local"):
