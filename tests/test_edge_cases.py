@@ -174,3 +174,28 @@ def test_checkpoint_dir_is_taken_from_the_session(spark):
     d = ensure_checkpoint_dir(spark)
     assert d and os.path.isabs(d.replace("file:", ""))
     assert not d.startswith(tempfile.gettempdir()) or spark.sparkContext.master.startswith("local")
+
+
+def test_als_with_64_bit_ids(spark):
+    big = 10_000_000_000
+    rows = [(big + u, 3 * big + i, float((1 + 0.1 * u) * (1 + 0.1 * i))) for u in range(6) for i in range(5)]
+    r = spark.createDataFrame(rows, "user long, item long, rating double")
+    with pytest.raises(Exception):
+        recommend.als_fit(r, rank=1, max_iter=2, seed=1, blocks=2)
+    m = recommend.als_fit_indexed(r, rank=1, max_iter=15, reg=1e-8, seed=1, blocks=2)
+    pred = {(x["user"], x["item"]): x["prediction"] for x in m.predict(r.select("user", "item")).collect()}
+    for u, i, v in rows:
+        assert abs(pred[(u, i)] - v) < 1e-3
+    recs = m.recommend_all(2).collect()
+    assert {x["user"] for x in recs} == {big + u for u in range(6)}
+    assert all(x["item"] >= 3 * big for x in recs)
+    assert m.user_factors().count() == 6 and m.item_factors().count() == 5
+
+
+def test_recommend_for_user_subset(spark):
+    r = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(1, 6) for i in range(1, 8)],
+                              "user long, item long, rating double")
+    model = recommend.als_fit(r, rank=2, max_iter=3, seed=1, blocks=2)
+    users = spark.createDataFrame([(2,), (4,), (2,)], "user long")
+    out = recommend.recommend_for_users(model, users, 3).collect()
+    assert sorted({x["user"] for x in out}) == [2, 4] and len(out) == 6
