@@ -6,7 +6,7 @@ derives from them) in full.  Oracles for the same names are in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.operators import cluster
@@ -404,7 +404,7 @@ def text_sink_roundtrip(spark, sf_dir):
     io.write_delimited(d, path, ",")
     back = io.read_points(spark, path, with_id=False)
     f = F.col("features")
-    return back.select(f[0].cast("bigint").alias("l_orderkey"), f[1].cast("bigint").alias("l_linenumber"),
+    return back.select(f[0].cast("bigint").alias("l_orderkey"), f[1].cast("int").alias("l_linenumber"),
                        f[2].alias(R.DESIGN_TARGET), f[3].alias("l_quantity"), f[4].alias("l_discount"),
                        f[5].alias("l_tax"), f[6].alias("intercept"))
 
@@ -618,9 +618,9 @@ def recommend_topk(spark, sf_dir):
     if vec is None:
         return spark.createDataFrame([], "item bigint, score double, rank bigint")
     top = recommend.recommend_for_user(vec, f, 10, d)
+    # rank within the k rows already selected (a window over k rows)
     ranked = top.select(F.col("id").alias("item"), "score").withColumn(
-        "rank", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(
-            F.col("score").desc(), F.col("item"))).cast("bigint"))
+        "rank", F.row_number().over(Window.orderBy(F.col("score").desc(), F.col("item"))).cast("bigint"))
     return ranked.select("item", F.round("score", 9).alias("score"), "rank")
 
 

@@ -330,7 +330,8 @@ FROM classed
 """
 
 ORACLES["csv_roundtrip_header"] = """
-SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, 1.0 AS intercept, l_extendedprice
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, CAST(1.0 AS DOUBLE) AS intercept,
+       l_extendedprice
 FROM lineitem
 """
 
