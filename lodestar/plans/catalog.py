@@ -753,11 +753,20 @@ def _als10(spark, sf_dir):
 
 @query
 def als_topk_rows(spark, sf_dir):
-    """Top-10 for every user from ALS's blocked product; rows per user."""
+    """M15 + W2: top-10 items for one user from the fitted ALS factors -- the
+    user's factor vector (rank numbers) as a literal, one scan of the item
+    factors, a bounded top-k merge; no users x items product.  Reports the
+    number of recommendations, distinct items and ordering violations."""
     model = _als10(spark, sf_dir)
-    recs = recommend.recommend_all(model, 10)
-    return recs.groupBy(F.col("user").cast("bigint").alias("user")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_recs"))
+    vec = recommend.factor_vector(model.userFactors, LOOKUP_USER)
+    items_f = model.itemFactors.select("id", F.col("features").cast("array<double>").alias("features"))
+    top = recommend.recommend_for_user(vec, items_f, 10, len(vec))
+    w = Window.orderBy(F.col("score").desc(), F.col("id"))
+    ranked = top.withColumn("_prev", F.lag("score").over(w))
+    return ranked.agg(F.lit(LOOKUP_USER).cast("bigint").alias("user"),
+                      F.count(F.lit(1)).cast("bigint").alias("n_recs"),
+                      F.countDistinct("id").cast("bigint").alias("n_items"),
+                      F.sum((F.col("_prev") < F.col("score")).cast("bigint")).cast("bigint").alias("n_out_of_order"))
 
 
 @query

@@ -549,7 +549,8 @@ FROM p
 
 ORACLES["als_topk_rows"] = f"""
 WITH {RATINGS}
-SELECT DISTINCT "user", CAST(least(10, (SELECT count(DISTINCT item) FROM ratings)) AS BIGINT) AS n_recs
+SELECT CAST(7 AS BIGINT) AS "user", CAST(least(10, count(DISTINCT item)) AS BIGINT) AS n_recs,
+       CAST(least(10, count(DISTINCT item)) AS BIGINT) AS n_items, CAST(0 AS BIGINT) AS n_out_of_order
 FROM ratings
 """
 

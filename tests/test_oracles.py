@@ -41,14 +41,22 @@ def test_entry_runs(spark):
     assert len(rows) > 0
 
 
+_DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
-    cur = duck(SF_SMALL).execute(ORACLES[name])
+    con = duck(SF_SMALL)
+    cur = con.execute(ORACLES[name])
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(scols) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({ORACLES[name]})").fetchall()}
+    for f in df.schema.fields:
+        assert _DUCK_TYPE.get(f.dataType.simpleString()) == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
     assert _canon(srows, scols) == _canon(drows, dcols)
 
 
