@@ -9,8 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators import cluster
+from lodestar.functions.labels import dictionary_names, flag_labels_text, info_text
+from lodestar.functions.numeric import sig_round
+from lodestar.functions.vectors import euclidean_distance, squared_distance, vector_dim
+from lodestar.operators import classify, cluster, lookup, pca, recommend, regression, splits, stats, topk
 from lodestar.plans import relations as R
+from lodestar.session import scratch_path
+from lodestar.sources import text as io
+from lodestar.sources.tables import table
 
 QUERIES: dict = {}
 
@@ -36,12 +42,6 @@ def topn_per_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- shared bits
 
-from lodestar.functions.labels import dictionary_names, flag_labels_text, info_text  # noqa: E402
-from lodestar.functions.numeric import sig_round  # noqa: E402
-from lodestar.operators import lookup, regression, splits, stats, topk  # noqa: E402
-from lodestar.session import scratch_path  # noqa: E402
-from lodestar.sources import text as io  # noqa: E402
-from lodestar.sources.tables import table  # noqa: E402
 
 # Query parameters (fixed by the query definitions, not by the data).
 TRAIN_PCT = 80
@@ -411,8 +411,6 @@ def text_sink_roundtrip(spark, sf_dir):
 
 # ----------------------------------------------------------------- k-means (Lloyd)
 
-from lodestar.functions.vectors import euclidean_distance, squared_distance, vector_dim  # noqa: E402
-from lodestar.operators import classify, pca, recommend  # noqa: E402
 
 LLOYD_K = 5
 LLOYD_ITERS = 3
