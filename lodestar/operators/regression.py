@@ -83,9 +83,11 @@ def ols_fit(df: DataFrame, features: Sequence[str], target: str, na: str = "erro
     if intercept_col and intercept_col in features:
         xs = [c for c in features if c != intercept_col]
         cov, cxy, means = _covariance_moments(data, xs, target)
+        if not xs:                      # intercept only: the mean of the target
+            return {intercept_col: float(means[target])}
         if np.linalg.matrix_rank(cov) < len(xs) and not use_pinv:
             raise CollinearError(f"XᵀX is singular; dependent columns: {_dependent_columns(cov, xs)}")
-        slopes = solve(cov, cxy) if xs else np.zeros(0)
+        slopes = solve(cov, cxy)
         w = dict(zip(xs, map(float, slopes)))
         w[intercept_col] = float(means[target] - sum(w[c] * means[c] for c in xs))
         return {c: w[c] for c in features}

@@ -758,7 +758,10 @@ def als_topk_rows(spark, sf_dir):
     model = _als10(spark, sf_dir)
     vec = recommend.factor_vector(model.userFactors, LOOKUP_USER)
     items_f = model.itemFactors.select("id", F.col("features").cast("array<double>").alias("features"))
-    top = recommend.recommend_for_user(vec, items_f, 10, len(vec))
+    if vec is None:                     # unknown user: no recommendations
+        top = items_f.limit(0).withColumn("score", F.lit(0.0))
+    else:
+        top = recommend.recommend_for_user(vec, items_f, 10, len(vec))
     w = Window.orderBy(F.col("score").desc(), F.col("id"))
     ranked = top.withColumn("_prev", F.lag("score").over(w))
     return ranked.agg(F.lit(LOOKUP_USER).cast("bigint").alias("user"),

@@ -199,3 +199,8 @@ def test_recommend_for_user_subset(spark):
     users = spark.createDataFrame([(2,), (4,), (2,)], "user long")
     out = recommend.recommend_for_users(model, users, 3).collect()
     assert sorted({x["user"] for x in out}) == [2, 4] and len(out) == 6
+
+
+def test_intercept_only_regression_is_the_mean(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (6.0,)], "y double").withColumn("intercept", F.lit(1.0))
+    assert regression.ols_fit(df, ["intercept"], "y") == {"intercept": 3.0}
