@@ -144,3 +144,13 @@ def test_rank_by_centre_distance_respects_n(spark, n):
     top = cluster.rank_by_centre_distance(p, "label", "vec_id", "features", n)
     per = top.groupBy("cluster_id").count().collect()
     assert all(r["count"] == n for r in per)
+
+
+def test_xxhash_holdout_partitions_and_is_stable(spark):
+    r = R.ratings(spark, SF_SMALL)
+    tr, te = splits.holdout_split(r, ["user", "item"], method="xxhash64", seed=5)
+    n = r.count()
+    assert tr.count() + te.count() == n
+    assert 0.7 < tr.count() / n < 0.9
+    tr2, _ = splits.holdout_split(r.repartition(4), ["user", "item"], method="xxhash64", seed=5)
+    assert sorted(tr.collect()) == sorted(tr2.collect())
