@@ -52,3 +52,8 @@ def test_no_all_pairs_product(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_union_blocks_read_pruned_fold_directories(spark):
+    plan = _plan(spark, "union_splits")
+    assert plan.count("PartitionFilters: [isnotnull(fold") == 4
