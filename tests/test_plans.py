@@ -57,3 +57,9 @@ def test_no_all_pairs_product(spark, name):
 def test_union_blocks_read_pruned_fold_directories(spark):
     plan = _plan(spark, "union_splits")
     assert plan.count("PartitionFilters: [isnotnull(fold") == 4
+
+
+def test_one_user_recommendation_has_no_all_pairs_product(spark):
+    plan = _plan(spark, "als_topk_rows")
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "TakeOrderedAndProject" in plan
