@@ -188,19 +188,27 @@ def clustering_cost(df: DataFrame, vec: str, centres, d: int) -> DataFrame:
 
 
 def mllib_kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 10,
-                 init_mode: str = "k-means||", tol: float = 1e-4):
+                 init_mode: str = "k-means||", tol: float = 1e-4, restarts: int = 1):
     """Spark ML k-means (M16) on an ``ARRAY<DOUBLE>`` column.  The seed is
-    mandatory (7.4#15).  Returns the fitted model and the (persisted) frame
-    with the vector column ``_vec`` the model reads; ``vec`` is kept as is."""
+    mandatory (7.4#15).  With ``restarts > 1`` the fit is repeated with seeds
+    ``seed, seed+1, ...`` and the model with the lowest training cost is kept
+    (k-means only finds a local optimum, and which one can depend on the
+    partition layout through the initialisation sampling).  Returns the model
+    and the persisted frame with the vector column ``_vec`` the model reads;
+    ``vec`` is kept as is."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     feats = df.withColumn("_vec", array_to_vector(F.col(vec)))
     feats = spread_for_iteration(feats).persist(StorageLevel.MEMORY_AND_DISK)
-    km = KMeans(k=k, maxIter=max_iter, initMode=init_mode, tol=tol, seed=seed,
-                featuresCol="_vec", predictionCol="prediction")
-    model = km.fit(feats)
-    return model, feats
+    best = None
+    for r in range(max(1, restarts)):
+        km = KMeans(k=k, maxIter=max_iter, initMode=init_mode, tol=tol, seed=seed + r,
+                    featuresCol="_vec", predictionCol="prediction")
+        model = km.fit(feats)
+        if best is None or model.summary.trainingCost < best.summary.trainingCost:
+            best = model
+    return best, feats
 
 
 def centre_distance(vec_col: str, centres, cluster_col: str) -> "F.Column":

@@ -485,7 +485,7 @@ def _separated_points(spark, sf_dir):
 def _mllib_fit(spark, sf_dir):
     pts = _separated_points(spark, sf_dir)
     k = pts.select(F.countDistinct("label")).first()[0]
-    model, feats = cluster.mllib_kmeans(pts, "features", int(k), seed=MLLIB_SEED)
+    model, feats = cluster.mllib_kmeans(pts, "features", int(k), seed=MLLIB_SEED, restarts=3)
     return model, feats
 
 
