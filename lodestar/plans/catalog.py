@@ -440,6 +440,19 @@ def kmeans_lloyd_centroids(spark, sf_dir):
                     F.round("value", 9).alias("value"))
 
 
+@query
+def kmeans_lloyd_sampled_init(spark, sf_dir):
+    """M18 + R2: Lloyd started, as in the reference, from a seeded sample of
+    K points without replacement (seed 1, md5 order); centres after 3
+    iterations, long form."""
+    pts = R.points(spark, sf_dir)
+    res = cluster.lloyd_kmeans(pts, "features", LLOYD_K, id_col="vec_id", init="sample", seed=1,
+                               fixed_iterations=LLOYD_ITERS)
+    c = cluster.centres_frame(spark, res.centres)
+    return c.select(F.col("cluster_id").cast("bigint"), F.col("dim").cast("bigint"),
+                    F.round("value", 9).alias("value"))
+
+
 @query
 def kmeans_lloyd_assign(spark, sf_dir):
     """J6 + F9 + P12: nearest final centre per point (ties to the lowest

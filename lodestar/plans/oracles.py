@@ -341,12 +341,13 @@ ORACLES["text_sink_roundtrip"] = ORACLES["csv_roundtrip_header"]
 # ---------------------------------------------------------------- k-means (Lloyd)
 
 
-def _lloyd_sql(k: int = 5, iters: int = 3) -> str:
-    """CTE chain: init = k lowest ids, then ``iters`` rounds of (assign,
-    average, keep the old centre for an empty cluster)."""
+def _lloyd_sql(k: int = 5, iters: int = 3, order: str = "vec_id") -> str:
+    """CTE chain: init = the first k ids in ``order`` (lowest ids, or a seeded
+    md5 order), then ``iters`` rounds of (assign, average, keep the old centre
+    for an empty cluster)."""
     ctes = [_POINTS_LONG.strip(),
-            f"""init AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS c
-                         FROM embeddings ORDER BY vec_id LIMIT {k})""",
+            f"""init AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS c
+                         FROM embeddings ORDER BY {order} LIMIT {k})""",
             "c0 AS (SELECT i.c, pl.dim, pl.x AS v FROM init i JOIN pl ON pl.vec_id = i.vec_id)"]
     for t in range(1, iters + 2):
         p = t - 1
@@ -374,6 +375,11 @@ ORACLES["kmeans_lloyd_centroids"] = _L + """
 SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(v, 9) + 0.0 AS value FROM c3
 """
 
+ORACLES["kmeans_lloyd_sampled_init"] = _lloyd_sql(
+    order="md5('1:' || CAST(vec_id AS VARCHAR)), vec_id") + """
+SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(v, 9) + 0.0 AS value FROM c3
+"""
+
 ORACLES["kmeans_lloyd_assign"] = _L + """
 SELECT vec_id, CAST(c AS BIGINT) AS cluster_id FROM a4
 """
