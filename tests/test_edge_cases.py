@@ -204,3 +204,38 @@ def test_recommend_for_user_subset(spark):
 def test_intercept_only_regression_is_the_mean(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (6.0,)], "y double").withColumn("intercept", F.lit(1.0))
     assert regression.ols_fit(df, ["intercept"], "y") == {"intercept": 3.0}
+
+
+def test_point_lines_with_a_bad_number(spark):
+    path = scratch_path(spark, "points")
+    spark.createDataFrame([("1,0.5,1.5",), ("2,x,1.0",), ("",), ("3,2.0,2.5",)], "value string") \
+        .coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        io.read_points(spark, path).collect()
+    got = io.read_points(spark, path, mode="DROPMALFORMED").orderBy("id").collect()
+    assert [(r["id"], r["features"]) for r in got] == [(1, [0.5, 1.5]), (3, [2.0, 2.5])]
+
+
+def test_csv_single_file_and_inference(spark):
+    df = spark.createDataFrame([(1, 0.5, "a"), (2, 1.5, "b")], "k int, x double, s string")
+    path = scratch_path(spark, "one-file")
+    io.write_csv(df, path, header=True, single_file=True)
+    parts = [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
+    assert len(parts) == 1
+    back = io.read_csv(spark, path, header=True, infer_schema=True)
+    assert dict(back.dtypes) == {"k": "int", "x": "double", "s": "string"}
+    with pytest.raises(Exception):
+        io.write_csv(df, path, header=True)          # error if it exists
+
+
+def test_leave_n_out_with_a_hot_user(spark):
+    from lodestar.operators import splits
+    # user 0 holds a third of all rows
+    rows = [(i, 0 if i % 3 == 0 else 1 + i % 50) for i in range(3000)]
+    df = spark.createDataFrame(rows, "pos long, user long")
+    lab = splits.leave_n_out(df, "user", "pos", 2, 6)
+    test = lab.where("split = 'test'")
+    hot = sorted(r["pos"] for r in test.where("user = 0").collect())
+    assert hot == [3, 6, 9, 12, 15]            # occurrences 2..6 of user 0
+    assert lab.count() == 3000
+    assert test.count() == 5 * 51
