@@ -63,3 +63,15 @@ def test_one_user_recommendation_has_no_all_pairs_product(spark):
     plan = _plan(spark, "als_topk_rows")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "TakeOrderedAndProject" in plan
+
+
+def test_lloyd_assignment_is_a_narrow_projection(spark):
+    plan = _plan(spark, "kmeans_lloyd_assign")
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", ["kmeans_lloyd_centroids", "cluster_assignments",
+                                  "classification_tree_default", "als_factor_shape"])
+def test_fitted_queries_have_no_all_pairs_product(spark, name):
+    plan = _plan(spark, name)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
