@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import decontaminate
+from lodestar.llm import decontaminate, fingerprints
 from lodestar.llm.common import table
 
 
@@ -15,7 +15,12 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leak_report(decontaminate.find_leaks(docs, bench))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op2_winnowing_decontamination,
+    op3_document_fingerprints,
 )}
 ORACLES: dict[str, str] = {}
