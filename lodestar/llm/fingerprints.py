@@ -157,7 +157,7 @@ def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
                        F.bitwise_not(F.xxhash64(F.coalesce("text", F.lit("")))).alias("tie"))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5],
                                         10000).alias("c")).first()["c"]
-    splits = [float("-inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
+    splits = [float("-inf"), *sorted({float(c) for c in cuts or [0]}), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="as_double", outputCol="bucket", handleInvalid="keep").transform(
         rows.withColumn("as_double", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan")))))
     last = len(splits) - 2

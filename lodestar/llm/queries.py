@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import decontaminate, fingerprints
-from lodestar.llm.common import table
+from lodestar.llm import decontaminate, fingerprints, language, toxicity
+from lodestar.llm.common import is_held_out, table
 
 
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +19,23 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", is_held_out("doc_id", *language.HELD_OUT).alias("held_out"), "lang_pred", "score")
+
+
+def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", is_held_out("doc_id", *toxicity.HELD_OUT).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: f for f in (
     op2_winnowing_decontamination,
     op3_document_fingerprints,
+    op4_language_mixture,
+    op9_subword_toxicity,
 )}
 ORACLES: dict[str, str] = {}
