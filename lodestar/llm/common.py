@@ -56,9 +56,10 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this job wrote and has read for the last time."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def is_held_out(column: str, modulus: int, remainder: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import decontaminate, fingerprints, language, toxicity
+from lodestar.llm import decontaminate, fingerprints, language, tokens, toxicity
 from lodestar.llm.common import is_held_out, table
 
 
@@ -25,6 +25,10 @@ def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", is_held_out("doc_id", *language.HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encoded_positions(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -36,6 +40,7 @@ QUERIES = {f.__name__: f for f in (
     op2_winnowing_decontamination,
     op3_document_fingerprints,
     op4_language_mixture,
+    op5_token_files,
     op9_subword_toxicity,
 )}
 ORACLES: dict[str, str] = {}

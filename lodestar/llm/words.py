@@ -75,6 +75,15 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20):
         start = end
 
 
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every byte range, from running sums over the data."""
+    n = len(data)
+    up, down = _power_tables(n + 1)
+    sums = np.zeros(n + 1, dtype=U64)
+    np.cumsum(data * up[:n], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
+
+
 class Words:
     """Word boundaries and 64-bit word hashes of a column of texts.
 
@@ -101,11 +110,7 @@ class Words:
         self.lo = np.searchsorted(self.start, self.offsets[:-1], side="left")
         self.hi = np.searchsorted(self.start, self.offsets[1:], side="left")
         self.n_words = self.hi - self.lo
-        up, down = _power_tables(n + 1)
-        sums = np.zeros(n + 1, dtype=U64)
-        np.cumsum(self.data * up[:n], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start]
-                        + (self.end - self.start).astype(U64))
+        self.hash = byte_hashes(self.data, self.start, self.end)
 
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_docs), self.n_words)
