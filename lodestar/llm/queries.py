@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import decontaminate, fingerprints, language, tokens, toxicity
+from lodestar.llm import decontaminate, fingerprints, jaccard_join, language, tokens, toxicity
 from lodestar.llm.common import is_held_out, table
 
 
@@ -29,6 +29,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded_positions(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -41,6 +45,7 @@ QUERIES = {f.__name__: f for f in (
     op3_document_fingerprints,
     op4_language_mixture,
     op5_token_files,
+    op8_ngram_jaccard_join,
     op9_subword_toxicity,
 )}
 ORACLES: dict[str, str] = {}
