@@ -4,8 +4,17 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from lodestar.llm import decontaminate, fingerprints, jaccard_join, language, tokens, toxicity
+from pyspark.sql import functions as F
+
+from lodestar.llm import (
+    decontaminate,
+    fingerprints,
+    jaccard_join,
+    language,
+    sentencepiece_codec,
+    tokens,
+    toxicity,
+)
 from lodestar.llm.common import is_held_out, table
 
 
@@ -40,6 +49,11 @@ def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", is_held_out("doc_id", *toxicity.HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.round_trips(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return coded.select("doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "lossless")
+
+
 QUERIES = {f.__name__: f for f in (
     op2_winnowing_decontamination,
     op3_document_fingerprints,
@@ -47,5 +61,6 @@ QUERIES = {f.__name__: f for f in (
     op5_token_files,
     op8_ngram_jaccard_join,
     op9_subword_toxicity,
+    op10_sentencepiece_codec,
 )}
 ORACLES: dict[str, str] = {}
