@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 from lodestar.llm import (
     decontaminate,
     fingerprints,
+    html_extract,
     jaccard_join,
     language,
     sentencepiece_codec,
     tokens,
     toxicity,
+    url_filter,
 )
 from lodestar.llm.common import is_held_out, table
 
 
+def op1_crf_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     bench = table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -38,6 +44,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded_positions(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    return url_filter.judge(pages, url_filter.listed_hosts(pages))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -55,12 +66,15 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_crf_html_extraction,
     op2_winnowing_decontamination,
     op3_document_fingerprints,
     op4_language_mixture,
     op5_token_files,
+    op7_bloom_url_filter,
     op8_ngram_jaccard_join,
     op9_subword_toxicity,
     op10_sentencepiece_codec,
 )}
-ORACLES: dict[str, str] = {}
+#: the other operators have no SQL form; tests hold them against brute force
+ORACLES: dict[str, str] = {"op7_bloom_url_filter": url_filter.oracle()}
