@@ -1,26 +1,63 @@
-"""Corpus cleaning: the stages over ``documents``, each written as Parquet and
-read again as the next one's input."""
+"""Corpus cleaning over ``documents``: five stages, each applied to all rows
+its predecessor kept, written as Parquet and read again as the next one's
+``docs``.
+
+1. toxicity: documents scoring 0.5 or more go
+2. language ID: documents without letters, or in which no language has half
+   of the words, go
+3. n-gram Jaccard join: of each group of linked documents the one of least
+   doc_id stays
+4. benchmark decontamination: documents holding a window of the benchmark go
+5. SentencePiece: the rest is encoded to ids
+
+Stages 1 to 4 return the columns of ``documents``; the last returns doc_id,
+n_ids and ids.  Models are fitted on what the stage is given (with the labels
+table for toxicity).  Null and empty texts are not toxic, but have no language
+and go in stage 2.
+"""
 
 from __future__ import annotations
 
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate
+from lodestar.llm import decontaminate, jaccard_join, language, sentencepiece_codec, toxicity
 from lodestar.llm.common import table, written
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.drop_unidentified(docs, language.fit(docs))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.drop_near_copies(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents holding no window of the benchmark."""
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(docs).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+
+
 STAGES = [
+    ("toxicity", not_toxic),
+    ("language ID", in_a_language),
+    ("n-gram Jaccard join", one_of_each_group),
     ("benchmark decontamination", decontaminated),
+    ("SentencePiece encoding", encoded),
 ]
 
-ORACLE_SQL = None  # model-based stages: tested against brute force instead
+#: the stages have no SQL form; tests hold each against brute force
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

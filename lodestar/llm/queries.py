@@ -12,6 +12,7 @@ from lodestar.llm import (
     html_extract,
     jaccard_join,
     language,
+    masked_lm,
     sentencepiece_codec,
     tokens,
     toxicity,
@@ -44,6 +45,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded_positions(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return masked_lm.score(docs, masked_lm.fit(docs))
+
+
 def op7_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge(pages, url_filter.listed_hosts(pages))
@@ -71,6 +77,7 @@ QUERIES = {f.__name__: f for f in (
     op3_document_fingerprints,
     op4_language_mixture,
     op5_token_files,
+    op6_masked_lm_scoring,
     op7_bloom_url_filter,
     op8_ngram_jaccard_join,
     op9_subword_toxicity,
