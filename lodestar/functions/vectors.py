@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Above this many terms an unrolled expression becomes a very large generated
-# method; fall back to the higher-order form.
+# method; fall back to the higher-order form.  Both give the same value on
+# vectors that ``check_vectors`` has passed.
 UNROLL_LIMIT = 256
 
 
@@ -50,6 +51,22 @@ def vector_dim(df: DataFrame, col: str) -> int:
     return int(row[0]["d"])
 
 
+def check_vectors(df: DataFrame, col: str, d: int | None = None, na: str = "error") -> tuple[DataFrame, int]:
+    """``df`` with every vector of ``col`` checked inside the scan that reads
+    it, and the common dimension (that of one row unless given).  A vector
+    that is null, has another dimension, or holds a null or NaN fails the job
+    (``na="error"``) or its row is left out (``"drop"``)."""
+    d = d or vector_dim(df, col)
+    v = F.col(col)
+    bad = F.coalesce(v.isNull() | (F.size(v) != d) | F.exists(v, lambda x: x.isNull() | F.isnan(x)), F.lit(True))
+    if na == "drop":
+        return df.where(~bad), d
+    if na != "error":
+        raise ValueError("na must be 'error' or 'drop'")
+    message = F.lit(f"column {col}: a vector is null, holds null or NaN, or has not {d} coordinates")
+    return df.where(F.when(bad, F.raise_error(message)).otherwise(F.lit(True))), d
+
+
 def as_double_array(col) -> Column:
     return _col(col).cast("array<double>")
 

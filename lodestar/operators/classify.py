@@ -3,7 +3,8 @@
 Every estimator is a ``Pipeline(VectorAssembler, estimator)`` fitted on the
 training frame; scoring is ``model.transform`` (a per-row expression over the
 fitted model, no shuffle).  Labels are used raw, as in the reference (7.4#12).
-The assembled training frame is persisted while the estimator iterates.
+The assembled training frame (features and label) is persisted while the
+estimator iterates.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.partitioning import spread_for_iteration
+from lodestar.operators.partitioning import dealt_by_key
 
 
 def feature_label_columns(df: DataFrame, label: str | None = None) -> tuple[list[str], str]:
@@ -40,18 +41,23 @@ def make_estimator(kind: str, label: str, seed: int = 7, **params):
 
 
 def fit_pipeline(train: DataFrame, features: Sequence[str], label: str, kind: str,
-                 seed: int = 7, handle_invalid: str = "error", **params):
+                 seed: int = 7, handle_invalid: str = "error", key_cols: Sequence[str] = (), **params):
     """Fit ``VectorAssembler -> estimator`` (M1, M2).  ``handle_invalid`` is
-    the assembler's null policy (``error`` like the reference, or ``skip``)."""
-    from pyspark.ml import Pipeline
+    the assembler's null policy (``error`` like the reference, or ``skip``).
+    With ``key_cols`` the rows are dealt by key first, so that seeded samples
+    do not depend on how the input is split."""
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.feature import VectorAssembler
 
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
                                 handleInvalid=handle_invalid)
     est = make_estimator(kind, label, seed, **params)
-    cached = spread_for_iteration(train).persist(StorageLevel.MEMORY_AND_DISK)
+    if key_cols:
+        train = dealt_by_key(train.select(*dict.fromkeys([*key_cols, *features, label])), list(key_cols), train.count())
+    cached = assembler.transform(train.select(*features, label)).select("features", label).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[assembler, est]).fit(cached)
+        return PipelineModel(stages=[assembler, *Pipeline(stages=[est]).fit(cached).stages])
     finally:
         cached.unpersist()
 

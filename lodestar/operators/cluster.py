@@ -24,50 +24,39 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.vectors import (distance_array, euclidean_distance, first_argmin,
-                                        squared_distance, vector_dim)
+from lodestar.functions.vectors import (check_vectors, distance_array, euclidean_distance, first_argmin,
+                                        squared_distance)
 from lodestar.operators.lookup import checked_broadcast
-from lodestar.operators.partitioning import spread_for_iteration
+from lodestar.operators.partitioning import ROWS_PER_PARTITION, dealt_by_key
 from lodestar.operators.topk import top_n_per_group
 
 
-def check_finite(df: DataFrame, vec: str, na: str = "error") -> DataFrame:
-    """Null / NaN handling for vectors (decision 7.4#4): ``"error"`` fails the
-    job on the first bad vector, ``"drop"`` removes such rows."""
-    bad = (F.col(vec).isNull()
-           | F.exists(F.col(vec), lambda x: x.isNull() | F.isnan(x)))
-    if na == "drop":
-        return df.where(~bad)
-    if na == "error":
-        return df.where(F.when(bad, F.raise_error(F.lit(f"null or NaN in vector column {vec}")))
-                        .otherwise(F.lit(True)))
-    raise ValueError("na must be 'error' or 'drop'")
-
-
-def group_centroids(df: DataFrame, key: str, vec: str, d: int) -> DataFrame:
-    """Mean vector per key (A2): ``(key, n, centre ARRAY<DOUBLE>)``.
-    One hash aggregate with d partial sums (map-side combine)."""
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(F.col(vec)[i]).alias(f"_m{i}") for i in range(d)]
-    g = df.groupBy(key).agg(*aggs)
-    return g.select(key, "n", F.array(*[F.col(f"_m{i}") for i in range(d)]).alias("centre"))
+def group_centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
+    """Mean vector per key (A2): ``(key, n, centre ARRAY<DOUBLE>)`` of checked
+    vectors.  One aggregate whose tasks ship a buffer of d numbers per key."""
+    m = _cluster_means(df, vec, key)
+    return m.select(key, "n", F.col("mean").alias("centre"))
 
 
 def rank_by_centre_distance(df: DataFrame, key: str, id_col: str, vec: str, n: int,
-                            d: int | None = None) -> DataFrame:
+                            d: int | None = None, salts: int = 16, max_groups: int = 10_000) -> DataFrame:
     """Rows nearest to their group's mean, top ``n`` per group (W1 + A2 + F6).
 
-    Output ``(cluster_id, item_id, ranking_score, rank)``; ties by id.
-    The centre table is broadcast when its row count passes the size check,
-    otherwise it is shuffle-joined.  The top-n window runs a per-task
-    ``WindowGroupLimit`` before its shuffle.
+    Output ``(cluster_id, item_id, ranking_score, rank)``; ties by id.  Up to
+    ``max_groups`` centres are fetched (groups x d numbers) and broadcast as a
+    local table; more are shuffle-joined.  The top-n windows run a per-task
+    ``WindowGroupLimit`` before their shuffle, in ``salts`` parts per group
+    first.
     """
-    d = d or vector_dim(df, vec)
-    centres = checked_broadcast(group_centroids(df, key, vec, d).select(
-        F.col(key).alias("_ck"), "centre"))
+    df, d = check_vectors(df, vec, d)
+    centres = group_centroids(df, key, vec).select(F.col(key).alias("_ck"), "centre")
+    rows = centres.limit(max_groups + 1).collect()
+    if len(rows) <= max_groups:
+        centres = checked_broadcast(df.sparkSession.createDataFrame(rows, centres.schema))
     scored = (df.join(centres, F.col(key) == F.col("_ck"))
               .select(F.col(key).alias("cluster_id"), F.col(id_col).alias("item_id"),
                       euclidean_distance(vec, "centre", d).alias("ranking_score")))
-    return top_n_per_group(scored, "cluster_id", ["ranking_score", "item_id"], n)
+    return top_n_per_group(scored, "cluster_id", ["ranking_score", "item_id"], n, salts=salts)
 
 
 # --------------------------------------------------------------------------- Lloyd
@@ -78,6 +67,7 @@ class LloydResult:
     centres: list[list[float]]            # K x d, index = cluster id
     shifts: list[float] = field(default_factory=list)   # A11 per iteration
     iterations: int = 0
+    converged: bool = False
 
 
 def init_centres(df: DataFrame, id_col: str, vec: str, k: int, init: str = "first",
@@ -128,20 +118,26 @@ def _cluster_means(assigned: DataFrame, vec: str, cluster_col: str) -> DataFrame
     return s.select(cluster_col, vector_to_array("_s.mean").alias("mean"), F.col("_s.count").alias("n"))
 
 
-def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter: int = 20,
+class NotConvergedError(RuntimeError):
+    pass
+
+
+def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter: int = 100,
                  tol: float = 1e-4, init: str = "first", seed: int = 1, centres=None,
-                 fixed_iterations: int | None = None, na: str = "error") -> LloydResult:
+                 fixed_iterations: int | None = None, na: str = "error",
+                 rows_per_partition: int = ROWS_PER_PARTITION) -> LloydResult:
     """Lloyd's k-means as repeated (assign, per-cluster sum) jobs.
 
-    * at least one iteration always runs (7.4#1); ``max_iter`` bounds the loop
-      (7.4#2); ``fixed_iterations`` runs exactly that many;
+    * at least one iteration always runs (7.4#1); a loop that has not
+      converged after ``max_iter`` raises :class:`NotConvergedError` (7.4#2);
+      ``fixed_iterations`` runs exactly that many and says in ``converged``
+      whether the last shift passed the test;
     * an empty cluster keeps its centre; ties go to the lowest index (7.4#3);
     * the stop test is the reference's: sum over non-empty clusters of the
       squared centre shift, compared with ``tol`` (A11).
     """
-    d = vector_dim(df, vec)
-    data = spread_for_iteration(check_finite(df.select(id_col, vec), vec, na)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    checked, d = check_vectors(df.select(id_col, vec), vec, None, na)
+    data = dealt_by_key(checked, id_col, df.count(), rows_per_partition).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cur = [list(c) for c in centres] if centres is not None else init_centres(
             data, id_col, vec, k, init, seed)
@@ -160,9 +156,12 @@ def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter:
             cur = new
             res.shifts.append(shift)
             res.iterations = it + 1
-            if fixed_iterations is None and shift <= tol:
+            res.converged = shift <= tol
+            if fixed_iterations is None and res.converged:
                 break
         res.centres = cur
+        if fixed_iterations is None and not res.converged:
+            raise NotConvergedError(f"shift {res.shifts[-1]:g} > {tol:g} after {res.iterations} iterations")
         return res
     finally:
         data.unpersist()
@@ -187,28 +186,34 @@ def clustering_cost(df: DataFrame, vec: str, centres, d: int) -> DataFrame:
 # --------------------------------------------------------------------------- MLlib
 
 
-def mllib_kmeans(df: DataFrame, vec: str, k: int, seed: int, max_iter: int = 10,
-                 init_mode: str = "k-means||", tol: float = 1e-4, restarts: int = 1):
-    """Spark ML k-means (M16) on an ``ARRAY<DOUBLE>`` column.  The seed is
+def mllib_kmeans(df: DataFrame, vec: str, id_col: str, k: int, seed: int, max_iter: int = 10,
+                 init_mode: str = "k-means||", tol: float = 1e-4, restarts: int = 1,
+                 rows_per_partition: int = ROWS_PER_PARTITION):
+    """Spark ML k-means (M16, R3) on an ``ARRAY<DOUBLE>`` column.  The seed is
     mandatory (7.4#15).  With ``restarts > 1`` the fit is repeated with seeds
     ``seed, seed+1, ...`` and the model with the lowest training cost is kept
-    (k-means only finds a local optimum, and which one can depend on the
-    partition layout through the initialisation sampling).  Returns the model
-    and the persisted frame with the vector column ``_vec`` the model reads;
-    ``vec`` is kept as is."""
+    (k-means only finds a local optimum).  Initial sampling goes by partition,
+    so the fit reads a layout that follows from ``id_col``, the row count and
+    ``rows_per_partition`` alone.  Returns the model and the frame it predicts
+    on: ``df`` with the vector column ``_vec``, not persisted."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    df, _ = check_vectors(df, vec)
     feats = df.withColumn("_vec", array_to_vector(F.col(vec)))
-    feats = spread_for_iteration(feats).persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for r in range(max(1, restarts)):
-        km = KMeans(k=k, maxIter=max_iter, initMode=init_mode, tol=tol, seed=seed + r,
-                    featuresCol="_vec", predictionCol="prediction")
-        model = km.fit(feats)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best, feats
+    data = dealt_by_key(feats.select(id_col, "_vec"), id_col, df.count(), rows_per_partition).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        best, cost = None, None
+        for r in range(max(1, restarts)):
+            km = KMeans(k=k, maxIter=max_iter, initMode=init_mode, tol=tol, seed=seed + r,
+                        featuresCol="_vec", predictionCol="prediction")
+            model = km.fit(data)
+            if best is None or model.summary.trainingCost < cost:
+                best, cost = model, model.summary.trainingCost
+        return best, feats
+    finally:
+        data.unpersist()
 
 
 def centre_distance(vec_col: str, centres, cluster_col: str) -> "F.Column":
@@ -221,7 +226,7 @@ def centre_distance(vec_col: str, centres, cluster_col: str) -> "F.Column":
 
 
 __all__ = [
-    "LloydResult", "assign_nearest", "centre_distance", "centres_frame", "check_finite",
+    "LloydResult", "NotConvergedError", "assign_nearest", "centre_distance", "centres_frame",
     "clustering_cost", "group_centroids", "init_centres", "lloyd_kmeans", "mllib_kmeans",
     "rank_by_centre_distance", "squared_distance",
 ]

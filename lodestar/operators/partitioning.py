@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_for_iteration(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Iterative fits (tree ensembles, L-BFGS, Lloyd) make one task per input
-    partition on every pass.  When the input has fewer partitions than the
-    cluster has task slots -- a few large files or row groups -- spread it
-    round-robin once, before it is cached.  An input that is already split
-    finer is returned as is (no shuffle).  Round-robin repartitioning sorts
-    locally first, so a retried task rebuilds the same partitions."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): keep the layout
-        return df
-    return df.repartition(target) if current < target else df
+ROWS_PER_PARTITION = 20_000
+
+
+def dealt_by_key(df: DataFrame, key_cols, rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """``df`` dealt by hash of its key into sorted partitions of about
+    ``rows_per_partition`` rows.  The layout follows from the data and the
+    number of ``rows`` alone -- not from files or cores -- so seeded sampling
+    per partition gives the same result on any cluster, and an iterative fit
+    on a few large files still has many tasks."""
+    if isinstance(key_cols, str):
+        key_cols = [key_cols]
+    return df.repartition(max(1, -(-rows // rows_per_partition)), *key_cols).sortWithinPartitions(*key_cols)

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.stats import gram
+from lodestar.operators.stats import complete_rows, covariance_matrix, gram, vector_mean
 
 
 class CollinearError(ValueError):
@@ -22,22 +22,13 @@ class CollinearError(ValueError):
 
 def _covariance_moments(df: DataFrame, xs: Sequence[str], target: str):
     """Sample covariances among the features and with the target, and the
-    means, in one aggregate.  ``covar_samp`` merges per-task co-moments
-    (numerically stable), unlike raw sums of products."""
-    aggs = [F.avg(c).alias(f"m__{c}") for c in [*xs, target]]
-    for i, a in enumerate(xs):
-        for b in xs[i:]:
-            aggs.append(F.covar_samp(a, b).alias(f"c__{a}__{b}"))
-        aggs.append(F.covar_samp(a, target).alias(f"t__{a}"))
-    row = df.agg(*aggs).first()
-    d = len(xs)
-    cov = np.zeros((d, d))
-    for i, a in enumerate(xs):
-        for j in range(i, d):
-            cov[i, j] = cov[j, i] = row[f"c__{a}__{xs[j]}"]
-    cxy = np.array([row[f"t__{a}"] for a in xs], dtype=float)
-    means = {c: row[f"m__{c}"] for c in [*xs, target]}
-    return cov, cxy, means
+    means: one pass for the means, one of blocked partial sums around them
+    (``stats.covariance_long``), so wide inputs stay d^2 numbers."""
+    row = df.select(F.array(*xs, target).alias("v"))
+    mean, _ = vector_mean(row, "v")
+    cov = covariance_matrix(row, "v")
+    means = dict(zip([*xs, target], mean.tolist(), strict=True))
+    return cov[:-1, :-1], cov[:-1, -1], means
 
 
 def _dependent_columns(m: np.ndarray, names: Sequence[str]) -> list[str]:
@@ -68,16 +59,7 @@ def ols_fit(df: DataFrame, features: Sequence[str], target: str, na: str = "erro
     system raises :class:`CollinearError` naming the dependent columns unless
     ``use_pinv`` (7.4#14).
     """
-    cols = list(features) + [target]
-    anynull = F.lit(False)
-    for c in cols:
-        anynull = anynull | F.col(c).isNull()
-    if na == "drop":
-        df = df.where(~anynull)
-    elif na == "error":
-        df = df.where(F.when(anynull, F.raise_error(F.lit("null in regression input")))
-                      .otherwise(F.lit(True)))
-    data = df.select(*[F.col(c).cast("double") for c in cols])
+    data = complete_rows(df, [*features, target], na)
     solve = (lambda a, b: np.linalg.pinv(a) @ b) if use_pinv else np.linalg.solve
 
     if intercept_col and intercept_col in features:

@@ -107,18 +107,38 @@ def with_dense_position(df: DataFrame, order_cols, pos_col: str = "pos") -> Data
     return out.withColumn(pos_col, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
 
 
+def dense_range(df: DataFrame, pos_col: str) -> tuple[int, int]:
+    """(lowest position, number of rows); raises unless the positions are
+    ``lo .. lo + n - 1``, each once.  No shuffle of rows: two hash sums over
+    the positions must equal those over the range."""
+    def sums(col):
+        return [F.expr(f"bit_xor(xxhash64({col}, {s}L))").alias(f"h{s}") for s in (1, 2)]
+
+    got = df.select(F.col(pos_col).cast("bigint").alias("p")).agg(
+        F.min("p").alias("lo"), F.max("p").alias("hi"), F.count("p").alias("n"),
+        F.count(F.lit(1)).alias("rows"), *sums("p")).first()
+    if not got["rows"]:
+        return 0, 0
+    if got["n"] == got["rows"] == got["hi"] - got["lo"] + 1:
+        want = df.sparkSession.range(got["lo"], got["hi"] + 1).agg(*sums("id")).first()
+        if (got["h1"], got["h2"]) == (want["h1"], want["h2"]):
+            return got["lo"], got["n"]
+    raise ValueError(f"{pos_col} is not a dense position: {got['rows']} rows in {got['lo']}..{got['hi']}")
+
+
 def kfold_by_position(df: DataFrame, pos_col: str, k: int = 5, n: int | None = None,
                       col: str = "fold") -> DataFrame:
     """Fold of every row for contiguous k-fold (R4): ``(pos * k) div n``,
     ``pos`` 0-based and dense.  Fold i is the test block of round i; the rest is
-    its base.  One narrow projection after a count."""
+    its base.  One narrow projection after an aggregate that also checks that
+    the positions have no gaps and no repeats; a caller who gives ``n``
+    vouches for positions ``0 .. n-1``."""
     if n is None:
-        mm = df.agg(F.min(pos_col).alias("lo"), F.count(F.lit(1)).alias("n")).first()
-        lo, n = int(mm["lo"] or 0), int(mm["n"])
+        lo, n = dense_range(df, pos_col)
     else:
         lo = 0
     # exact integer arithmetic: (pos - lo) * k div n
-    block = F.expr(f"((`{pos_col}` - {lo}) * {int(k)}) div {int(n)}")
+    block = F.expr(f"((`{pos_col}` - {lo}) * {int(k)}) div {max(1, int(n))}")
     return df.withColumn(col, block.cast("int"))
 
 
@@ -127,6 +147,43 @@ def kfold_round(labelled: DataFrame, i: int, col: str = "fold") -> tuple[DataFra
     return labelled.where(F.col(col) != i), labelled.where(F.col(col) == i)
 
 
+def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 1000) -> int | None:
+    """The ``k``-th smallest value of a unique integer column (None if there
+    are fewer rows): histograms of ``buckets`` counts, each inside the bucket
+    the last one pointed to.  No task or driver sees more than the counts."""
+    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n")).first()
+    if k < 1 or row["n"] < k:
+        return None
+    lo, hi = int(row["lo"]), int(row["hi"])
+    while hi > lo:
+        width = -(-(hi - lo + 1) // buckets)
+        inside = df.where(F.col(col).between(lo, hi))
+        counts = {r["b"]: r["n"] for r in inside.groupBy(F.expr(f"(`{col}` - {lo}) div {width}").alias("b"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect()}
+        for b in sorted(counts):
+            if k <= counts[b]:
+                break
+            k -= counts[b]
+        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+    return lo
+
+
+def leave_n_out_positions(df: DataFrame, user_col: str, pos_col: str, start: int, stop: int,
+                          max_test: int = 0) -> DataFrame:
+    """``pos_col`` of the leave-n-out test rows (see :func:`leave_n_out`)."""
+    w = Window.partitionBy(user_col).orderBy(pos_col)
+    first = (df.select(user_col, pos_col)
+             .withColumn("_occ", F.row_number().over(w))
+             .where(F.col("_occ") <= stop))
+    cand = first.where(F.col("_occ") >= start).select(pos_col)
+    if max_test and max_test > 0:
+        cand = cand.checkpoint()  # read once per histogram
+        cut = kth_smallest(cand, pos_col, max_test)
+        if cut is not None:
+            cand = cand.where(F.col(pos_col) <= cut)
+    return cand
+
+
 def leave_n_out(df: DataFrame, user_col: str, pos_col: str, start: int, stop: int,
                 max_test: int = 0, col: str = "split") -> DataFrame:
     """Leave-n-out per user (R5): a user's occurrences ``start..stop`` (1-based,
@@ -136,16 +193,12 @@ def leave_n_out(df: DataFrame, user_col: str, pos_col: str, start: int, stop: in
 
     Skew: the per-user window is only asked for the first ``stop`` rows, which
     Spark plans as a ``WindowGroupLimit`` before the shuffle -- a user holding a
-    third of all rows ships at most ``stop`` rows per map task.  The candidates
-    are then attached to all rows by an equi-join on the unique position.
+    third of all rows ships at most ``stop`` rows per map task.  The cap is a
+    filter by the cut position, found by histograms.  The candidates are then
+    attached to all rows by an equi-join on the unique position.
     """
-    w = Window.partitionBy(user_col).orderBy(pos_col)
-    first = (df.select(user_col, pos_col)
-             .withColumn("_occ", F.row_number().over(w))
-             .where(F.col("_occ") <= stop))
-    cand = first.where(F.col("_occ") >= start).select(F.col(pos_col).alias("_tp"))
-    if max_test and max_test > 0:
-        cand = cand.orderBy("_tp").limit(max_test)
+    cand = leave_n_out_positions(df, user_col, pos_col, start, stop, max_test).select(
+        F.col(pos_col).alias("_tp"))
     out = df.join(cand, F.col(pos_col) == F.col("_tp"), "left")
     return out.withColumn(col, F.when(F.col("_tp").isNotNull(), F.lit("test"))
                           .otherwise(F.lit("base"))).drop("_tp")
@@ -167,18 +220,26 @@ def complement(all_rows: DataFrame, test: DataFrame, keys) -> DataFrame:
     return all_rows.join(test.select(*keys), list(keys), "left_anti")
 
 
+def files_out_of_order(files: DataFrame, sort_cols: Sequence[str]) -> DataFrame:
+    """(rows, out_of_order) of a frame read from files: how many rows stand
+    before their predecessor in the same file.  One window per file."""
+    w = Window.partitionBy("_file").orderBy("_row")
+    key = F.struct(*sort_cols)
+    rows = files.select(*sort_cols, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return rows.select((F.lag(key).over(w) > key).alias("_bad")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("_bad").cast("bigint")), F.lit(0)).alias("out_of_order"))
+
+
 def write_split_files(labelled: DataFrame, path: str, split_col: str,
-                      sort_cols: Sequence[str] = ("user", "item"), partitions: int | None = None,
-                      mode: str = "errorifexists") -> None:
+                      sort_cols: Sequence[str] = ("user", "item"), mode: str = "errorifexists") -> None:
     """Write a labelled split as one directory per split value, rows sorted by
     ``sort_cols`` (W4 and the split files of U1/U2).
 
     A range partitioning on (split, sort keys) keeps every task's share
     balanced -- a split holding a fifth of all rows is spread over many tasks
     rather than written by one -- and the files of a split directory hold
-    consecutive key ranges, sorted inside."""
-    spark = labelled.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    consecutive key ranges, sorted inside.  The number of partitions is left
+    to adaptive execution."""
     keys = [split_col, *sort_cols]
-    (labelled.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    (labelled.repartitionByRange(*keys).sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy(split_col).parquet(path))

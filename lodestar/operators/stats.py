@@ -13,14 +13,52 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions.vectors import check_vectors
+
 # Up to this many columns the Gram matrix is one aggregate of d(d+1)/2
 # codegen'd sums; above it, per-partition numpy partials are summed instead.
+# Rows with a null or NaN are settled before either (``complete_rows``).
 UNROLLED_GRAM_MAX_COLS = 24
 
 
+def complete_rows(df: DataFrame, cols: Sequence[str], na: str = "error") -> DataFrame:
+    """``cols`` of ``df`` as doubles.  A row with a null or NaN in one of them
+    fails the job (``na="error"``) or is left out whole (``"drop"``)."""
+    out = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    bad = F.lit(False)
+    for c in cols:
+        bad = bad | F.col(c).isNull() | F.isnan(c)
+    if na == "drop":
+        return out.where(~bad)
+    if na != "error":
+        raise ValueError("na must be 'error' or 'drop'")
+    return out.where(F.when(bad, F.raise_error(F.lit("null or NaN in the input"))).otherwise(F.lit(True)))
+
+
+def _cross_products(d: int, read, centre=None):
+    """A task's partial sums: ``XᵀX`` of its rows (less ``centre``) as
+    (i, j, v, n) rows."""
+    def run(batches):
+        acc = np.zeros((d, d))
+        n = 0
+        for batch in batches:
+            x = read(batch)
+            if centre is not None:
+                x = x - centre
+            acc += x.T @ x
+            n += len(x)
+        i, j = np.indices((d, d), dtype=np.int32)
+        # plain Arrow arrays: a NaN stays a NaN and cannot vanish as a null
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.ravel()), pa.array(j.ravel()), pa.array(acc.ravel()),
+             pa.array(np.full(d * d, n, dtype=np.int64))], names=["i", "j", "v", "n"])
+    return run
+
+
 def corr_with_target(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
     """Pearson correlation of every feature with the target (A6), in one
     aggregate, returned long: ``(feature, corr)``."""
@@ -65,20 +103,10 @@ def _gram_partials(df: DataFrame, cols: Sequence[str], target: str | None):
     d = len(cols)
     names = list(cols) + ([target] if target else [])
 
-    def partial(batches):
-        import pandas as pd
-        acc = np.zeros((len(names), len(names)))
-        n = 0
-        for pdf in batches:
-            x = pdf[names].to_numpy(dtype=np.float64)
-            acc += x.T @ x
-            n += len(x)
-        ii, jj = np.meshgrid(np.arange(len(names)), np.arange(len(names)), indexing="ij")
-        yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                            "v": acc.ravel(), "n": np.full(acc.size, n, dtype="int64")})
+    def read(batch):
+        return np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
 
-    parts = (df.select(*[F.col(c).cast("double") for c in names])
-             .mapInPandas(partial, "i int, j int, v double, n long")
+    parts = (df.select(*names).mapInArrow(_cross_products(len(names), read), "i int, j int, v double, n long")
              .groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n")))
     m = np.zeros((len(names), len(names)))
     n = 0
@@ -90,9 +118,11 @@ def _gram_partials(df: DataFrame, cols: Sequence[str], target: str | None):
     return g, t, n
 
 
-def gram(df: DataFrame, cols: Sequence[str], target: str | None = None):
+def gram(df: DataFrame, cols: Sequence[str], target: str | None = None, na: str = "error"):
     """``XᵀX`` (A4) and ``Xᵀy`` (A5) in one pass; returns numpy arrays and the
-    row count.  The result is d x d, bounded by the number of columns."""
+    row count.  The result is d x d, bounded by the number of columns.  Rows
+    with a null or NaN are an error or dropped whole, whatever the width."""
+    df = complete_rows(df, [*cols, *([target] if target else [])], na)
     if len(cols) <= UNROLLED_GRAM_MAX_COLS:
         return _gram_unrolled(df, cols, target)
     return _gram_partials(df, cols, target)
@@ -136,32 +166,40 @@ def count_per_key(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias(name))
 
 
-def covariance_long(df: DataFrame, vec: str, d: int) -> DataFrame:
-    """Sample covariance of the d coordinates of a vector column as
+def vector_mean(df: DataFrame, vec: str) -> tuple[np.ndarray, int]:
+    """(mean vector, rows) of an ``ARRAY<DOUBLE>`` column: one aggregate
+    buffer of d numbers per task for any d."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    s = Summarizer.metrics("mean", "count").summary(array_to_vector(F.col(vec)))
+    row = df.select(s.alias("s")).select(vector_to_array("s.mean").alias("mean"), "s.count").first()
+    return np.array(row["mean"], dtype=np.float64), int(row["count"])
+
+
+def covariance_long(df: DataFrame, vec: str, d: int | None = None, na: str = "error") -> DataFrame:
+    """Sample covariance of the coordinates of a vector column as
     ``(i, j, cov)`` for all i, j (M19's input).
 
     Two passes: means (d numbers to the driver), then per-partition numpy
     partials of the centred cross products, summed by (i, j) in Spark.  The
     driver never holds more than d^2 numbers; nothing is collected per row.
+    Every vector is checked (``functions.vectors.check_vectors``).
     """
-    mean_row = df.agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(d)],
-                      F.count(F.lit(1)).alias("n")).first()
-    mu = np.array([mean_row[f"m{i}"] for i in range(d)], dtype=np.float64)
-    n = int(mean_row["n"])
+    df, d = check_vectors(df.select(F.col(vec).cast("array<double>").alias("v")), "v", d, na)
+    mu, n = vector_mean(df, "v")
 
-    def partial(batches):
-        import pandas as pd
-        acc = np.zeros((d, d))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf["v"].to_numpy()).astype(np.float64) - mu
-            acc += x.T @ x
-        ii, jj = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
-        yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                            "s": acc.ravel()})
+    def read(batch):
+        return batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
-    sums = (df.select(F.col(vec).cast("array<double>").alias("v"))
-            .mapInPandas(partial, "i int, j int, s double")
-            .groupBy("i", "j").agg(F.sum("s").alias("s")))
+    sums = (df.mapInArrow(_cross_products(d, read, mu), "i int, j int, v double, n long")
+            .groupBy("i", "j").agg(F.sum("v").alias("s")))
     return sums.select("i", "j", (F.col("s") / F.lit(n - 1)).alias("cov"))
+
+
+def covariance_matrix(df: DataFrame, vec: str) -> np.ndarray:
+    """:func:`covariance_long` as a d x d array."""
+    rows = covariance_long(df, vec).collect()
+    out = np.zeros((1 + max(r["i"] for r in rows),) * 2)
+    for r in rows:
+        out[r["i"], r["j"]] = r["cov"]
+    return out

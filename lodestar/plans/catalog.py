@@ -6,12 +6,13 @@ derives from them) in full.  Oracles for the same names are in
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.labels import dictionary_names, flag_labels_text, info_text
 from lodestar.functions.numeric import sig_round
-from lodestar.functions.vectors import euclidean_distance, squared_distance, vector_dim
+from lodestar.functions.vectors import check_vectors, dot, euclidean_distance, squared_distance, vector_dim
 from lodestar.operators import classify, cluster, lookup, pca, recommend, regression, splits, stats, topk
 from lodestar.plans import relations as R
 from lodestar.session import scratch_path
@@ -33,7 +34,10 @@ def _r(c: str, digits: int = 6):
 @query
 def topn_per_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 points nearest their label's mean vector, per label."""
-    pts = R.points(spark, sf_dir)
+    return _top_per_cluster(R.points(spark, sf_dir))
+
+
+def _top_per_cluster(pts: DataFrame) -> DataFrame:
     top = cluster.rank_by_centre_distance(pts, "label", "vec_id", "features", 20)
     return top.select(F.col("cluster_id").cast("bigint"), F.col("item_id").cast("bigint"),
                       _r("ranking_score").alias("ranking_score"),
@@ -48,10 +52,12 @@ TRAIN_PCT = 80
 LNO_START, LNO_STOP = 1, 10
 LNO_CAPPED_START, LNO_CAPPED_STOP, LNO_CAP = 11, 20, 1000
 KFOLDS = 5
-LOOKUP_USER, LOOKUP_ITEM = 7, 35
+LOOKUP_USER = 7
 CORR_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
-CORR_THRESHOLD = 0.005
-OLS_FEATURES = ["l_quantity", "l_discount", "intercept"]
+#: two of these depend on the price, so the selection is neither empty nor full
+SELECT_FEATURES = [*CORR_FEATURES, "net_price", "tax_amount"]
+CORR_THRESHOLD = 0.5
+OLS_FEATURES = [*R.DESIGN_FEATURES, "intercept"]
 
 
 def _user_mean_predictions(r: DataFrame, check_size: bool = True) -> DataFrame:
@@ -110,15 +116,36 @@ def split_files_roundtrip(spark, sf_dir):
     return back.select("user", "item", F.col("rating").cast("bigint"), F.col("fold").cast("int"))
 
 
+@query
+def split_files_sorted(spark, sf_dir):
+    """Order inside the written split files -- rows, and rows that stand
+    before their predecessor in their file."""
+    r = R.ratings(spark, sf_dir)
+    lab = splits.kfold_by_position(splits.with_dense_position(r, ["user", "item"], "pos"), "pos", KFOLDS).drop("pos")
+    path = scratch_path(spark, "kfold-sorted")
+    splits.write_split_files(lab, path, "fold", ["user", "item"])
+    return splits.files_out_of_order(spark.read.parquet(path), ["fold", "user", "item"]).select(
+        F.col("rows").cast("bigint").alias("n_rows"), F.col("out_of_order").cast("bigint").alias("n_out_of_order"))
+
+
 @query
 def random_split_counts(spark, sf_dir):
     """R1 parity form: ``randomSplit([0.8, 0.2], 1234)`` of the classification
-    table, row count per side.  Depends on the partition layout, so it has no
-    SQL oracle; the key-hash ``holdout_split`` is the reproducible default."""
-    c = R.classed(spark, sf_dir)
+    table.  Which rows fall where depends on the partition layout; reported is
+    what must hold anyway: all rows, rows in both halves, rows in neither,
+    and whether the train share is within 0.05 of 0.8."""
+    c = R.classed(spark, sf_dir).checkpoint().withColumn("_row", F.monotonically_increasing_id())
     train, test = splits.random_split(c, [0.8, 0.2], 1234)
-    return train.agg(F.lit("train").alias("split"), F.count(F.lit(1)).cast("bigint").alias("n")).unionByName(
-        test.agg(F.lit("test").alias("split"), F.count(F.lit(1)).cast("bigint").alias("n")))
+    sides = train.select("_row", F.lit(1).alias("train"), F.lit(0).alias("test")).unionByName(
+        test.select("_row", F.lit(0).alias("train"), F.lit(1).alias("test")))
+    per_row = c.select("_row", F.lit(0).alias("train"), F.lit(0).alias("test")).unionByName(sides).groupBy("_row").agg(
+        F.sum("train").alias("train"), F.sum("test").alias("test"))
+    n = F.count(F.lit(1))
+    return per_row.agg(
+        n.cast("bigint").alias("n_rows"),
+        F.sum((F.col("train") + F.col("test") > 1).cast("bigint")).alias("n_twice"),
+        F.sum((F.col("train") + F.col("test") == 0).cast("bigint")).alias("n_neither"),
+        (F.abs(F.sum("train") / n - 0.8) < 0.05).alias("share_ok"))
 
 
 @query
@@ -155,10 +182,10 @@ def union_splits(spark, sf_dir):
 
 @query
 def split_complement(spark, sf_dir):
-    """All events minus the leave-n-out test rows (left-anti join)."""
+    """All events minus the leave-n-out test rows: one left-anti join with
+    the candidates' positions."""
     h = R.history(spark, sf_dir).select("event_id", "user_id")
-    test = splits.leave_n_out(h, "user_id", "event_id", LNO_START, LNO_STOP).where(
-        F.col("split") == "test")
+    test = splits.leave_n_out_positions(h, "user_id", "event_id", LNO_START, LNO_STOP)
     return splits.complement(h, test, ["event_id"])
 
 
@@ -206,13 +233,17 @@ def mse_rmse(spark, sf_dir):
 
 @query
 def filter_pair(spark, sf_dir):
-    """P9 + A9: squared error and its root for one (user, item) pair."""
+    """P9 + A9: squared error and its root for one (user, item) pair, the
+    lowest that was rated."""
+    r = R.ratings(spark, sf_dir)
+    pair = r.agg(F.min(F.struct("user", "item")).alias("p")).first()["p"]
     # lazy relation: the key filter is pushed through the join and the
     # aggregates down to the lineitem / orders scans
-    j = _truth_and_predictions(R.ratings(spark, sf_dir), check_size=False).where(
-        lookup.key_equals({"user": LOOKUP_USER, "item": LOOKUP_ITEM}))
+    j = _truth_and_predictions(r, check_size=False).where(
+        lookup.key_equals({"user": pair["user"], "item": pair["item"]}))
     m = stats.mse_rmse(j, "rating", "prediction")
-    return m.select(F.round("mse", 9).alias("squared_error"),
+    return m.select(F.lit(pair["user"]).alias("user"), F.lit(pair["item"]).alias("item"),
+                    F.round("mse", 9).alias("squared_error"),
                     F.round("rmse", 9).alias("root_squared_error"), "n")
 
 
@@ -257,7 +288,7 @@ def _genre_dictionary(spark) -> DataFrame:
 @query
 def genre_labels(spark, sf_dir):
     """S6 + P11 + F3 + F4: item text ``title|A|B|`` from the flag bits."""
-    names = dictionary_names(_genre_dictionary(spark))
+    names = dictionary_names(_genre_dictionary(spark), R.N_FLAGS)
     it = R.items(spark, sf_dir)
     return it.select("item_id", info_text("title", "flags", names).alias("info"),
                      flag_labels_text("flags", names).alias("genres"))
@@ -265,13 +296,15 @@ def genre_labels(spark, sf_dir):
 
 @query
 def topn_per_cluster_enriched(spark, sf_dir):
-    """W1 + J3: the per-cluster top-20 with ``title|genres|`` text attached by a
-    lookup join (ids without an item get nulls)."""
-    names = dictionary_names(_genre_dictionary(spark))
+    """W1 + J3: the per-cluster top-20 of the points that have an item, with
+    ``title|genres|`` text attached by a lookup join that raises for a missing
+    id."""
+    names = dictionary_names(_genre_dictionary(spark), R.N_FLAGS)
     info = R.items(spark, sf_dir).select("item_id", info_text("title", "flags", names).alias("info"))
-    top = topn_per_cluster(spark, sf_dir)
+    pts = R.points(spark, sf_dir).join(info.select(F.col("item_id").alias("vec_id")), "vec_id", "left_semi")
+    top = _top_per_cluster(pts)
     out = lookup.lookup_join(top, info.withColumnRenamed("item_id", "_iid"), "item_id", "_iid",
-                             "info", on_missing="null")
+                             "info", on_missing="error")
     return out.select("cluster_id", "item_id", "info", "ranking_score")
 
 
@@ -301,8 +334,10 @@ def select_by_correlation(spark, sf_dir):
     """Features whose |corr| with the price reaches the threshold; the
     chosen columns are then projected (kept features reported with their
     correlation)."""
-    li = table(spark, sf_dir, "lineitem")
-    projected, chosen = stats.select_by_correlation(li, R.DESIGN_TARGET, CORR_FEATURES,
+    li = table(spark, sf_dir, "lineitem").withColumns({
+        "net_price": F.col("l_extendedprice") * (1 - F.col("l_discount")),
+        "tax_amount": F.col("l_extendedprice") * F.col("l_tax")})
+    projected, chosen = stats.select_by_correlation(li, R.DESIGN_TARGET, SELECT_FEATURES,
                                                     CORR_THRESHOLD, keep=["l_orderkey", "l_linenumber"])
     c = stats.corr_with_target(projected, R.DESIGN_TARGET, chosen) if chosen else None
     if c is None:
@@ -319,6 +354,20 @@ def gram_matrix(spark, sf_dir):
     return g.select("row_name", "col_name", sig_round("value", 10).alias("value"))
 
 
+@query
+def gram_matrix_wide(spark, sf_dir):
+    """A4 + A5 on a wide input: XᵀX of the 64 embedding coordinates from
+    blocked partial sums, upper triangle."""
+    pts = R.points(spark, sf_dir)
+    d = vector_dim(pts, "features")
+    names = [f"x{i}" for i in range(d)]
+    checked, _ = check_vectors(pts, "features", d)
+    g, _, _ = stats.gram(checked.select(*[F.col("features")[i].alias(c) for i, c in enumerate(names)]), names)
+    rows = [(i, j, float(g[i, j])) for i in range(d) for j in range(i, d)]
+    return spark.createDataFrame(rows, "i bigint, j bigint, value double").select(
+        "i", "j", sig_round("value", 9).alias("value"))
+
+
 def _ols_train_test(spark, sf_dir):
     d = R.design(spark, sf_dir)
     return splits.holdout_split(d, ["l_orderkey", "l_linenumber"], TRAIN_PCT)
@@ -453,6 +502,18 @@ def kmeans_lloyd_sampled_init(spark, sf_dir):
                     F.round("value", 9).alias("value"))
 
 
+@query
+def kmeans_lloyd_converged(spark, sf_dir):
+    """M18 to convergence: Lloyd on separated points from one point per label
+    (the lowest id); centres, long form, when the shift test has passed."""
+    pts = _separated_points(spark, sf_dir)
+    first = pts.groupBy("label").agg(F.min_by("features", "vec_id").alias("c")).orderBy("label").collect()
+    res = cluster.lloyd_kmeans(pts, "features", len(first), id_col="vec_id", centres=[list(r["c"]) for r in first])
+    c = cluster.centres_frame(spark, res.centres)
+    return c.select(F.col("cluster_id").cast("bigint"), F.col("dim").cast("bigint"),
+                    F.round("value", 6).alias("value"), F.lit(res.converged).alias("converged"))
+
+
 @query
 def kmeans_lloyd_assign(spark, sf_dir):
     """J6 + F9 + P12: nearest final centre per point (ties to the lowest
@@ -498,8 +559,7 @@ def _separated_points(spark, sf_dir):
 def _mllib_fit(spark, sf_dir):
     pts = _separated_points(spark, sf_dir)
     k = pts.select(F.countDistinct("label")).first()[0]
-    model, feats = cluster.mllib_kmeans(pts, "features", int(k), seed=MLLIB_SEED, restarts=3)
-    return model, feats
+    return cluster.mllib_kmeans(pts, "features", "vec_id", int(k), seed=MLLIB_SEED, restarts=3)
 
 
 @query
@@ -513,6 +573,24 @@ def kmeans_mllib_summary(spark, sf_dir):
                                      F.countDistinct("prediction").cast("bigint").alias("n_clusters"))
 
 
+RANDOM_INIT_K = 4
+RANDOM_INIT_RESTARTS = 8
+
+
+@query
+def kmeans_mllib_random_init(spark, sf_dir):
+    """M16 + R3: MLlib k-means with random initialisation (seeded restarts,
+    best by training cost) on points in four groups far apart (label mod 4);
+    per group, its size and the number of clusters its points fall into."""
+    p = R.points(spark, sf_dir).select("vec_id", (F.col("label") % RANDOM_INIT_K).alias("grp"), "features")
+    p = p.select("vec_id", "grp", F.transform("features", lambda x: x + F.col("grp") * 100.0).alias("features"))
+    model, feats = cluster.mllib_kmeans(p, "features", "vec_id", RANDOM_INIT_K, seed=MLLIB_SEED, init_mode="random",
+                                        restarts=RANDOM_INIT_RESTARTS)
+    return model.transform(feats).groupBy(F.col("grp").cast("bigint").alias("grp")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_points"),
+        F.countDistinct("prediction").cast("bigint").alias("n_clusters"))
+
+
 @query
 def cluster_assignments(spark, sf_dir):
     """M17 + S9 + P7: cluster of every point, named by the smallest label it
@@ -567,30 +645,36 @@ def covariance_long(spark, sf_dir):
                     sig_round("cov", 9).alias("cov"))
 
 
-def _first_two(spark, sf_dir):
-    p = R.points(spark, sf_dir)
-    return p.select("vec_id", "label", F.slice("features", 1, 2).alias("xy"))
-
-
 @query
 def pca_components_2d(spark, sf_dir):
-    """The two principal components of the first two coordinates,
-    largest entry made positive."""
-    pc, _, _ = pca.pca_fit(_first_two(spark, sf_dir), "xy", 2)
-    c = pca.components_frame(spark, pc)
-    return c.select(F.col("component").cast("bigint"), F.col("dim").cast("bigint"),
-                    F.round("value", 6).alias("value"))
+    """All principal components of all coordinates, as checks of the
+    published matrix V against the covariance C: the largest residual
+    |Cv - lambda v| / lambda_1, the largest deviation of V'V from I, the number of
+    eigenvalues out of order, and the eigenvalues' sum and sum of squares
+    (trace and squared Frobenius norm of C)."""
+    pts = R.points(spark, sf_dir)
+    pc, _, _ = pca.pca_fit(pts, "features", vector_dim(pts, "features"))
+    c = stats.covariance_matrix(pts, "features")
+    values = np.einsum("ij,ik,kj->j", pc, c, pc)
+    residual = float(np.abs(c @ pc - pc * values).max() / values[0])
+    off = float(np.abs(pc.T @ pc - np.eye(len(c))).max())
+    row = (residual, off, int((np.diff(values) > 1e-9 * values[0]).sum()), float(values.sum()), float((values**2).sum()))
+    return spark.createDataFrame([row], "residual double, orthonormality double, n_out_of_order bigint, "
+                                 "sum_values double, sum_squares double").select(
+        F.round("residual", 6).alias("residual"), F.round("orthonormality", 6).alias("orthonormality"),
+        "n_out_of_order", sig_round("sum_values", 8).alias("sum_values"), sig_round("sum_squares", 8).alias("sum_squares"))
 
 
 @query
 def pca2_with_cluster(spark, sf_dir):
-    """M20 + J7: uncentred rows projected on the components, with their
-    cluster (label) carried by id instead of zipped by position."""
-    pts = _first_two(spark, sf_dir)
-    pc, _, _ = pca.pca_fit(pts, "xy", 2)
-    out = pca.project(pts, "xy", pc, ["x1", "x2"])
-    return out.select("vec_id", F.round("x1", 6).alias("x1"), F.round("x2", 6).alias("x2"),
-                      F.col("label").cast("bigint").alias("cluster_id"))
+    """M20 + J7: every row projected, uncentred, on all components, its cluster
+    (label) carried by id instead of zipped by position.  The components are an
+    orthonormal basis, so a row's squared projections sum to its squared norm."""
+    pts = R.points(spark, sf_dir)
+    pc, _, _ = pca.pca_fit(pts, "features", vector_dim(pts, "features"))
+    out = pca.project_vector(pts, "features", pc, "x")
+    return out.select("vec_id", F.round(dot("x", "x"), 6).alias("squared_norm"),
+                      F.size("x").cast("bigint").alias("n_components"), F.col("label").cast("bigint").alias("cluster_id"))
 
 
 # ----------------------------------------------------------------- vectors
@@ -657,7 +741,8 @@ def _fit_and_score(spark, sf_dir, kind, **params):
     train, test = _classed_split(spark, sf_dir)
     # features = every column but the last, label = the last
     features, label = classify.feature_label_columns(train.select(*CLASS_FEATURES, "label"))
-    model = classify.fit_pipeline(train, features, label, kind, seed=CLASS_SEED, **params)
+    model = classify.fit_pipeline(train, features, label, kind, seed=CLASS_SEED,
+                                  key_cols=["l_orderkey", "l_linenumber"], **params)
     scored = classify.score(model, test)
     return scored.select("l_orderkey", "l_linenumber", F.col("label").cast("bigint"),
                          F.col("prediction").cast("bigint"))
@@ -691,49 +776,81 @@ def classification_forest_small(spark, sf_dir):
     return _fit_and_score(spark, sf_dir, "forest", numTrees=10)
 
 
-def _saturated(spark, sf_dir):
-    """One 0/1 feature (tax >= 0.04) and the 3-class label: the fitted
-    logistic model is saturated, so its probabilities equal the class
-    frequencies of each feature value."""
-    c = R.classed(spark, sf_dir)
-    return c.select((F.col("l_tax") >= 0.04).cast("double").alias("x"), "label")
+FLAG_FEATURES = R.DESIGN_FEATURES
+
+
+def _flagged_split(spark, sf_dir):
+    """Return flag as class 1/2/3 on the three design features, which do not
+    separate it; 80% train."""
+    li = table(spark, sf_dir, "lineitem")
+    label = F.when(F.col("l_returnflag") == "A", 1.0).when(F.col("l_returnflag") == "N", 2.0).otherwise(3.0)
+    rows = li.select("l_orderkey", "l_linenumber", *FLAG_FEATURES, label.alias("label"))
+    return splits.holdout_split(rows, ["l_orderkey", "l_linenumber"], TRAIN_PCT)
 
 
 @query
 def classification_logreg(spark, sf_dir):
-    """M3 + M9: multinomial logistic regression (maxIter 100, no penalty,
-    tol 1e-8) on the saturated design; class probabilities per feature value."""
-    data = _saturated(spark, sf_dir)
-    model = classify.fit_pipeline(data, ["x"], "label", "logreg", maxIter=100, tol=1e-8)
-    probs = classify.class_probabilities(classify.score(model, data.select("x").distinct()), [1, 2, 3])
-    return probs.select(F.col("x").cast("bigint"), *[F.round(f"p{c}", 5).alias(f"p{c}") for c in (1, 2, 3)],
-                        F.col("prediction").cast("bigint"))
+    """M3 + M9: multinomial logistic regression (maxIter 100, no penalty).
+    At the maximum the training scores vanish: per class and feature the mean
+    of (p - y) x, feature scaled by its mean; beside them the number of
+    held-out rows that got a prediction."""
+    train, test = _flagged_split(spark, sf_dir)
+    model = classify.fit_pipeline(train, FLAG_FEATURES, "label", "logreg", maxIter=100)
+    n_test = classify.score(model, test).where(F.col("prediction").isin(1.0, 2.0, 3.0)).count()
+    probs = classify.class_probabilities(classify.score(model, train), [1, 2, 3])
+    xs = [F.lit(1.0), *[F.col(c) for c in FLAG_FEATURES]]
+    names = ["intercept", *FLAG_FEATURES]
+    sums = probs.agg(*[(F.avg((F.col(f"p{c}") - (F.col("label") == c).cast("double")) * x) / F.avg(x)).alias(f"s{c}_{i}")
+                       for c in (1, 2, 3) for i, x in enumerate(xs)])
+    stack = ", ".join(f"{c}L, '{n}', s{c}_{i}" for c in (1, 2, 3) for i, n in enumerate(names))
+    return sums.selectExpr(f"stack({3 * len(names)}, {stack}) AS (class, feature, score)").select(
+        "class", "feature", (F.round("score", 4) + 0.0).alias("score"), F.lit(n_test).cast("bigint").alias("n_test"))
+
+
+ENET = {"regParam": 0.3, "elasticNetParam": 0.8}
+
+
+def _enet(spark, sf_dir):
+    c = R.classed(spark, sf_dir)
+    return c, classify.fit_pipeline(c, CLASS_FEATURES, "label", "logreg", maxIter=10, **ENET)
 
 
 @query
 def classification_logreg_enet(spark, sf_dir):
     """M4: logistic regression with elastic net (maxIter 10, regParam 0.3,
-    alpha 0.8) on one weak feature: every coefficient is shrunk to zero, so
-    every row gets the majority class."""
-    c = R.classed(spark, sf_dir).select("l_linenumber", "label")
-    model = classify.fit_pipeline(c, ["l_linenumber"], "label", "logreg", maxIter=10,
-                                  regParam=0.3, elasticNetParam=0.8)
-    lr = model.stages[-1]
-    nonzero = int(sum(1 for v in lr.coefficientMatrix.toArray().ravel() if v != 0.0))
-    scored = classify.score(model, c)
-    return scored.groupBy(F.col("prediction").cast("bigint").alias("prediction")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n")).withColumn(
-        "nonzero_coefficients", F.lit(nonzero).cast("bigint"))
+    alpha 0.8) on both features.  Per coefficient, the gradient of the model
+    without features (features standardised) and whether the fit agrees with
+    it: a coefficient the penalty leaves has a gradient above the L1 part, and
+    the one of largest gradient is left."""
+    c, model = _enet(spark, sf_dir)
+    m = model.stages[-1].coefficientMatrix.toArray()
+    hits = {k: (F.col("label") == k).cast("double") for k in (1, 2, 3)}
+    g = c.agg(*[((F.avg(hits[k]) * F.avg(f) - F.avg(hits[k] * F.col(f))) / F.stddev_samp(f)).alias(f"{k} {f}")
+                for k in hits for f in CLASS_FEATURES]).first().asDict()
+    strongest = max(g, key=lambda name: abs(g[name]))
+    l1 = ENET["regParam"] * ENET["elasticNetParam"]
+    rows = []
+    for k in hits:
+        for i, f in enumerate(CLASS_FEATURES):
+            name, kept = f"{k} {f}", m[k, i] != 0.0
+            rows.append((k, f, g[name], bool((not kept or abs(g[name]) > l1) and (name != strongest or kept))))
+    return spark.createDataFrame(rows, "class bigint, feature string, null_gradient double, agrees boolean").withColumn(
+        "null_gradient", F.round("null_gradient", 9) + 0.0)
 
 
 @query
 def logreg_training_accuracy(spark, sf_dir):
-    """Training accuracy from the fitted pipeline's summary."""
-    data = _saturated(spark, sf_dir)
-    model = classify.fit_pipeline(data, ["x"], "label", "logreg", maxIter=100, tol=1e-8)
+    """Training accuracy from the fitted elastic-net model's summary:
+    its difference from the accuracy of the scored rows, and whether it
+    reaches the share of the commonest class."""
+    c, model = _enet(spark, sf_dir)
     acc = classify.training_accuracy(model)
-    return spark.createDataFrame([(acc,)], "accuracy double").select(
-        F.round("accuracy", 9).alias("accuracy"))
+    common = F.greatest(*[F.avg((F.col("label") == k).cast("double")) for k in (1, 2, 3)])
+    scored = classify.score(model, c)
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return scored.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                      (F.round(F.abs(hit - F.lit(acc)), 9) + 0.0).alias("difference"),
+                      (F.lit(acc) >= common - 1e-12).alias("reaches_commonest"))
 
 
 # ----------------------------------------------------------------- ALS
@@ -742,31 +859,56 @@ ALS_SEED = 11
 
 
 def _rank1_ratings(spark, sf_dir):
-    """Complete rank-1 matrix from lineitem: user = line number, item = tax in
-    cents, rating = (1 + 0.1 user)(1 + 0.1 item).  Every (line, tax) pair
-    occurs, so the matrix is complete; built by one aggregate, no cross join."""
-    li = table(spark, sf_dir, "lineitem")
-    pairs = li.groupBy(F.col("l_linenumber").cast("bigint").alias("user"),
-                       F.round(F.col("l_tax") * 100).cast("bigint").alias("item")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    return pairs.select("user", "item",
-                        ((1 + 0.1 * F.col("user")) * (1 + 0.1 * F.col("item"))).alias("rating"))
+    """A rank-1 rating for every rated pair:
+    (1 + 0.1 (user mod 10)) (1 + 0.1 (item mod 10))."""
+    return R.ratings(spark, sf_dir).select(
+        "user", "item", ((1 + 0.1 * (F.col("user") % 10)) * (1 + 0.1 * (F.col("item") % 10))).alias("rating"))
 
 
 @query
 def als_rank1_reconstruct(spark, sf_dir):
-    """M11 + J4: rank-1 ALS (regParam 1e-8) reproduces a rank-1 rating
-    matrix; predictions for every rated pair."""
+    """M11 + J4: rank-1 ALS (regParam 1e-8) reproduces a rank-1 rating matrix
+    on the rated pairs: per user, its pairs and those predicted more than 1%
+    off."""
     r = _rank1_ratings(spark, sf_dir)
-    model = recommend.als_fit(r, rank=1, max_iter=10, reg=1e-8, seed=ALS_SEED)
+    model = recommend.als_fit(r, rank=1, max_iter=20, reg=1e-8, seed=ALS_SEED)
     p = recommend.predict_pairs(model, r)
-    return p.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"),
-                    F.round("rating", 6).alias("rating"),
-                    F.round(F.col("prediction").cast("double"), 3).alias("prediction"))
+    return p.groupBy(F.col("user").cast("bigint").alias("user")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
+        F.sum((F.abs(F.col("prediction") / F.col("rating") - 1) > 0.01).cast("bigint")).alias("n_off"))
+
+
+@query
+def als_mse(spark, sf_dir):
+    """M13 + A7: the fitted model's prediction for every rated pair; pairs,
+    and the difference of its MSE and RMSE from those recomputed by joining the
+    factor tables; and whether it beats the mean rating."""
+    r = R.ratings(spark, sf_dir).checkpoint()
+    model = recommend.als_fit(r, rank=10, max_iter=10, reg=ALS_REG, seed=ALS_SEED)
+    got = stats.mse_rmse(recommend.predict_pairs(model, r), "rating", "prediction").first()
+    factors = [t.select("id", F.col("features").cast("array<double>").alias("features"))
+               for t in (model.userFactors, model.itemFactors)]
+    again = recommend.score_factor_pairs(r, *factors, model.rank)
+    m = stats.mse_rmse(again, "rating", "score")
+    spread = r.agg(F.var_pop("rating")).first()[0]
+    return m.select("n", (F.round(F.abs(F.col("mse") - F.lit(got["mse"])), 4) + 0.0).alias("mse_difference"),
+                    (F.round(F.abs(F.col("rmse") - F.lit(got["rmse"])), 4) + 0.0).alias("rmse_difference"),
+                    (F.lit(got["n"]) == F.col("n")).alias("all_pairs"), (F.col("mse") < F.lit(spread)).alias("beats_mean"))
+
+
+ALS_REG = 0.01
+RESIDUAL_TOLERANCE = 0.01
+
+
+def _unsolved(model, r: DataFrame) -> int:
+    """Users whose regularised normal equations do not hold after the last
+    half-step."""
+    res = recommend.normal_equation_residuals(model.userFactors, model.itemFactors, r, ALS_REG)
+    return res.where(~(F.col("residual") < RESIDUAL_TOLERANCE)).count()
 
 
 def _als10(spark, sf_dir):
-    return recommend.als_fit(R.ratings(spark, sf_dir), rank=10, max_iter=10, reg=0.01, seed=ALS_SEED)
+    return recommend.als_fit(R.ratings(spark, sf_dir), rank=10, max_iter=10, reg=ALS_REG, seed=ALS_SEED)
 
 
 @query
@@ -792,25 +934,116 @@ def als_topk_rows(spark, sf_dir):
 
 @query
 def als_factor_shape(spark, sf_dir):
-    """Factor tables -- ids per side and vector length (= rank)."""
-    model = _als10(spark, sf_dir)
+    """Factor tables -- ids per side and vector length (= rank), and the
+    users whose normal equations do not hold after the fit."""
+    r = R.ratings(spark, sf_dir).checkpoint()
+    model = recommend.als_fit(r, rank=10, max_iter=10, reg=ALS_REG, seed=ALS_SEED)
+    unsolved = F.lit(_unsolved(model, r)).cast("bigint").alias("n_unsolved")
     u = model.userFactors.agg(F.lit("user").alias("side"), F.count(F.lit(1)).cast("bigint").alias("n_ids"),
-                              F.max(F.size("features")).cast("bigint").alias("rank"))
+                              F.max(F.size("features")).cast("bigint").alias("rank"), unsolved)
     i = model.itemFactors.agg(F.lit("item").alias("side"), F.count(F.lit(1)).cast("bigint").alias("n_ids"),
-                              F.max(F.size("features")).cast("bigint").alias("rank"))
+                              F.max(F.size("features")).cast("bigint").alias("rank"), unsolved)
     return u.unionByName(i)
 
 
+def _item_clusters(spark, sf_dir):
+    """(model, ratings, k-means model, frame it predicts on): rank-50 ALS item
+    factors clustered by seeded k-means, k = 5, random initialisation."""
+    r = R.ratings(spark, sf_dir).checkpoint()
+    model = recommend.als_fit(r, rank=50, max_iter=10, reg=ALS_REG, seed=ALS_SEED)
+    items_f = model.itemFactors.select(F.col("id").alias("item"),
+                                       F.col("features").cast("array<double>").alias("features")).checkpoint()
+    km, feats = cluster.mllib_kmeans(items_f, "features", "item", 5, seed=MLLIB_SEED, init_mode="random")
+    return model, r, km, feats
+
+
 @query
 def als_item_clusters(spark, sf_dir):
     """M12 + M16 + M17: rank-50 ALS item factors clustered by k-means (k=5,
-    seeded); every item gets exactly one cluster id in 0..4."""
-    model = recommend.als_fit(R.ratings(spark, sf_dir), rank=50, max_iter=10, reg=0.01, seed=ALS_SEED)
-    items_f = model.itemFactors.select(F.col("id").alias("item"),
-                                       F.col("features").cast("array<double>").alias("features"))
-    km, feats = cluster.mllib_kmeans(items_f, "features", 5, seed=MLLIB_SEED, init_mode="random")
+    seeded); every item gets exactly one cluster id in 0..4, that of its
+    nearest centre; and the users whose normal equations do not hold."""
+    model, r, km, feats = _item_clusters(spark, sf_dir)
+    centres = [list(map(float, c)) for c in km.clusterCenters()]
     pred = km.transform(feats)
+    pred = cluster.assign_nearest(pred, "features", centres, len(centres[0]), "nearest")
     return pred.agg(F.count(F.lit(1)).cast("bigint").alias("n_items"),
                     F.countDistinct("item").cast("bigint").alias("n_distinct_items"),
                     F.sum(((F.col("prediction") < 0) | (F.col("prediction") > 4)).cast("bigint"))
-                    .cast("bigint").alias("n_bad_cluster_ids"))
+                    .cast("bigint").alias("n_bad_cluster_ids"),
+                    F.sum((F.col("prediction") != F.col("nearest")).cast("bigint")).alias("n_not_nearest"),
+                    F.lit(_unsolved(model, r)).cast("bigint").alias("n_unsolved"))
+
+
+def cluster_report(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The clustering end to end: ALS factors, k-means, distance to the own
+    centre, the 20 nearest items of each cluster with title and genres, and
+    their place on the first two principal components.  Returns (report, all
+    items with cluster and distance)."""
+    _, _, km, feats = _item_clusters(spark, sf_dir)
+    centres = [list(map(float, c)) for c in km.clusterCenters()]
+    placed = km.transform(feats).select(
+        F.col("prediction").cast("bigint").alias("cluster_id"), "item", "features").withColumn(
+        "distance", cluster.centre_distance("features", centres, "cluster_id"))
+    pc, _, _ = pca.pca_fit(feats, "features", 2)
+    placed = pca.project(placed, "features", pc, ["x1", "x2"]).checkpoint()
+    top = topk.top_n_per_group(placed.drop("features"), "cluster_id", ["distance", "item"], 20, salts=16)
+    names = dictionary_names(_genre_dictionary(spark), R.N_FLAGS)
+    info = R.items(spark, sf_dir).select(F.col("item_id").alias("_iid"), "title", flag_labels_text("flags", names).alias("genres"))
+    return lookup.lookup_join(top, info, "item", "_iid", ["title", "genres"], on_missing="error"), placed
+
+
+@query
+def als_cluster_report(spark, sf_dir):
+    """The clustering end to end, one row per (cluster, rank).  The factors are
+    a fit's, so there is no SQL; ``als_cluster_report_checks`` holds the rows
+    against the published factors."""
+    report, _ = cluster_report(spark, sf_dir)
+    return report.select("cluster_id", F.col("rank").cast("bigint"), F.col("item").cast("bigint"), "distance", "title", "genres",
+                         "x1", "x2")
+
+
+@query
+def als_cluster_report_checks(spark, sf_dir):
+    """Violations in the cluster report: ranks not 1..min(20, size), distances
+    that decrease with rank, items left out though nearer than a listed one,
+    items without title; and the items clustered."""
+    report, placed = cluster_report(spark, sf_dir)
+    sizes = placed.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    listed = report.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("last"),
+                                              F.max(F.struct("distance", "item")).alias("far"))
+    w = Window.partitionBy("cluster_id").orderBy("rank")
+    falls = report.select((F.lag("distance").over(w) > F.col("distance")).alias("f")).agg(
+        F.sum(F.coalesce(F.col("f"), F.lit(False)).cast("bigint")).alias("n_falls"))
+    # <= 20 x clusters rows
+    left_out = placed.join(F.broadcast(report.select("item")), "item", "left_anti").join(F.broadcast(listed), "cluster_id").where(
+        F.struct("distance", "item") < F.col("far")).agg(F.count(F.lit(1)).alias("n_left_out"))
+    whole = sizes.join(listed, "cluster_id", "left").agg(
+        F.sum("size").cast("bigint").alias("n_items"),
+        F.sum((~((F.col("n") == F.least("size", F.lit(20))) & (F.col("last") == F.col("n")))).cast("bigint")).alias("n_bad_ranks"))
+    untitled = report.agg(F.sum(F.col("title").isNull().cast("bigint")).alias("n_untitled"))
+    one = whole  # single rows, side by side
+    for other in (falls, left_out, untitled):
+        one = one.withColumn("_k", F.lit(1)).join(other.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return one
+
+
+@query
+def als_topk_titles(spark, sf_dir):
+    """M15 + J2: the ten best items for one user from fitted factors, with
+    titles: recommendations, ranks out of order, scores that differ from the
+    factors' dot product, items left out though better, missing titles."""
+    r = R.ratings(spark, sf_dir).checkpoint()
+    model = recommend.als_fit(r, rank=10, max_iter=10, reg=ALS_REG, seed=ALS_SEED)
+    user = int(r.agg(F.min("user")).first()[0])
+    vec = recommend.factor_vector(model.userFactors, user)
+    items_f = model.itemFactors.select("id", F.col("features").cast("array<double>").alias("features")).checkpoint()
+    titles = lookup.dedup_dictionary(R.items(spark, sf_dir), "item_id", "title")
+    top = lookup.lookup_join(recommend.recommend_for_user(vec, items_f, 10, len(vec)), titles, "id", "item_id", "title",
+                             on_missing="error").orderBy(F.desc("score"), "id").collect()  # ten rows
+    scores = {x["id"]: float(np.dot(vec, x["features"])) for x in top}
+    least = min((x["score"] for x in top), default=0.0)
+    better = items_f.where(~F.col("id").isin([x["id"] for x in top]) & (dot("features", vec, len(vec)) > least + 1e-9)).count()
+    row = (user, len(top), sum(a["score"] < b["score"] for a, b in zip(top, top[1:], strict=False)),
+           sum(abs(x["score"] - scores[x["id"]]) > 1e-6 for x in top), better, sum(x["title"] is None for x in top))
+    return spark.createDataFrame([row], "user bigint, n_recs bigint, n_out_of_order bigint, n_wrong_scores bigint, "
+                                 "n_left_out bigint, n_untitled bigint")

@@ -121,6 +121,16 @@ s AS (SELECT count(*) AS n FROM ratings)
 SELECT "user", item, CAST(rating AS BIGINT) AS rating, CAST((pos * 5) // n AS INTEGER) AS fold FROM p, s
 """
 
+ORACLES["split_files_sorted"] = f"""
+WITH {RATINGS}
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order FROM ratings
+"""
+
+ORACLES["random_split_counts"] = """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_twice, CAST(0 AS BIGINT) AS n_neither, true AS share_ok
+FROM lineitem
+"""
+
 ORACLES["leave_n_out"] = f"""
 WITH {_lno(1, 10)}
 SELECT e.event_id, e.user_id,
@@ -174,10 +184,10 @@ FROM joined
 
 ORACLES["filter_pair"] = f"""
 WITH {RATINGS}, {PREDICTIONS}
-SELECT round(avg((rating - prediction) * (rating - prediction)), 9) + 0.0 AS squared_error,
+SELECT min("user") AS "user", min(item) AS item, round(avg((rating - prediction) * (rating - prediction)), 9) + 0.0 AS squared_error,
        round(sqrt(avg((rating - prediction) * (rating - prediction))), 9) + 0.0 AS root_squared_error,
        CAST(count(*) AS BIGINT) AS n
-FROM joined WHERE "user" = 7 AND item = 35
+FROM joined WHERE ("user", item) = (SELECT ("user", item) FROM ratings ORDER BY "user", item LIMIT 1)
 """
 
 ORACLES["user_ratings_lookup"] = f"""
@@ -217,6 +227,7 @@ SELECT item_id, title || '|' || {GENRES_TEXT} AS info, {GENRES_TEXT} AS genres F
 """
 
 ORACLES["topn_per_cluster_enriched"] = ORACLES["topn_per_cluster"].replace(
+    "FROM embeddings", "FROM embeddings WHERE vec_id IN (SELECT p_partkey FROM part)").replace(
     "SELECT CAST(label AS BIGINT) AS cluster_id, CAST(vec_id AS BIGINT) AS item_id,\n"
     "       round(dist, 6) + 0.0 AS ranking_score, CAST(rn AS BIGINT) AS rank\n"
     "FROM r WHERE rn <= 20",
@@ -225,7 +236,7 @@ ORACLES["topn_per_cluster_enriched"] = ORACLES["topn_per_cluster"].replace(
 SELECT CAST(r.label AS BIGINT) AS cluster_id, CAST(r.vec_id AS BIGINT) AS item_id,
        i.title || '|' || {GENRES_TEXT.replace('f', 'i.f').replace("'Ci.f", "'Cf")} AS info,
        round(r.dist, 6) + 0.0 AS ranking_score
-FROM r LEFT JOIN items i ON r.vec_id = i.item_id WHERE r.rn <= 20""").replace(
+FROM r JOIN items i ON r.vec_id = i.item_id WHERE r.rn <= 20""").replace(
     "WITH \npl AS", "WITH \npl AS")
 
 # ---------------------------------------------------------------- statistics
@@ -245,8 +256,17 @@ ORACLES["corr_with_target"] = "\nUNION ALL\n".join(
     for c in _CORR_FEATURES)
 
 ORACLES["select_by_correlation"] = f"""
-WITH c AS ({ORACLES["corr_with_target"]})
-SELECT feature, corr FROM c WHERE abs(corr) >= 0.005
+WITH c AS ({ORACLES["corr_with_target"]}
+UNION ALL SELECT 'net_price', round(corr(l_extendedprice, l_extendedprice * (1 - l_discount)), 9) FROM lineitem
+UNION ALL SELECT 'tax_amount', round(corr(l_extendedprice, l_extendedprice * l_tax), 9) FROM lineitem)
+SELECT feature, corr FROM c WHERE abs(corr) >= 0.5
+"""
+
+ORACLES["gram_matrix_wide"] = f"""
+WITH {_POINTS_LONG}
+SELECT CAST(a.dim AS BIGINT) AS i, CAST(b.dim AS BIGINT) AS j, {_sig('sum(a.x * b.x)', 9)} AS value
+FROM pl a JOIN pl b ON a.vec_id = b.vec_id AND a.dim <= b.dim
+GROUP BY a.dim, b.dim
 """
 
 _GRAM_COLS = ["l_quantity", "l_discount", "l_tax", "intercept"]
@@ -268,27 +288,28 @@ ORACLES["gram_matrix"] = _gram_sql()
 
 
 def _ols_sql(where: str) -> str:
-    """Two features + intercept in closed form from sample covariances."""
+    """Three features + intercept: Cramer's rule on the sample covariances."""
+    x = ["l_quantity", "l_discount", "l_tax"]
+    cov = ", ".join([f"covar_samp({x[i]}, {x[j]}) AS s{i}{j}" for i in range(3) for j in range(3)]
+                    + [f"covar_samp({x[i]}, l_extendedprice) AS s{i}y, avg({x[i]}) AS m{i}" for i in range(3)])
+
+    def det(replaced: int | None) -> str:
+        c = [[f"s{i}{'y' if j == replaced else j}" for j in range(3)] for i in range(3)]
+        return " + ".join(f"{c[0][j]} * ({c[1][(j + 1) % 3]} * {c[2][(j + 2) % 3]} - {c[1][(j + 2) % 3]} * {c[2][(j + 1) % 3]})"
+                          for j in range(3))
+
     return f"""
-s AS (
-  SELECT covar_samp(l_quantity, l_quantity) AS s11, covar_samp(l_discount, l_discount) AS s22,
-         covar_samp(l_quantity, l_discount) AS s12,
-         covar_samp(l_quantity, l_extendedprice) AS s1y, covar_samp(l_discount, l_extendedprice) AS s2y,
-         avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my
-  FROM lineitem {where}
-),
-b AS (
-  SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
-         (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my
-  FROM s
-),
-w AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)"""
+s AS (SELECT {cov}, avg(l_extendedprice) AS my FROM lineitem {where}),
+b AS (SELECT ({det(0)}) / ({det(None)}) AS b1, ({det(1)}) / ({det(None)}) AS b2, ({det(2)}) / ({det(None)}) AS b3,
+             m0, m1, m2, my FROM s),
+w AS (SELECT b1, b2, b3, my - b1 * m0 - b2 * m1 - b3 * m2 AS b0 FROM b)"""
 
 
 ORACLES["ols_coefficients"] = f"""
 WITH {_ols_sql("")}
 SELECT 'l_quantity' AS feature, {_sig('b1', 9)} AS coefficient FROM w
 UNION ALL SELECT 'l_discount', {_sig('b2', 9)} FROM w
+UNION ALL SELECT 'l_tax', {_sig('b3', 9)} FROM w
 UNION ALL SELECT 'intercept', {_sig('b0', 9)} FROM w
 """
 
@@ -297,7 +318,7 @@ _TRAIN = "WHERE " + HASH80.format(k1="l_orderkey", k2="l_linenumber")
 ORACLES["ols_predictions"] = f"""
 WITH {_ols_sql(_TRAIN)}
 SELECT l_orderkey, l_linenumber,
-       {_sig('l_quantity * b1 + l_discount * b2 + 1.0 * b0', 9)} AS prediction
+       {_sig('l_quantity * b1 + l_discount * b2 + l_tax * b3 + 1.0 * b0', 9)} AS prediction
 FROM lineitem, w
 WHERE NOT {HASH80.format(k1="l_orderkey", k2="l_linenumber")}
 """
@@ -402,6 +423,19 @@ SELECT label, CAST(count(*) AS BIGINT) AS n_points, CAST(1 AS BIGINT) AS n_clust
 FROM embeddings GROUP BY label
 """
 
+ORACLES["kmeans_mllib_random_init"] = """
+SELECT CAST(label % 4 AS BIGINT) AS grp, CAST(count(*) AS BIGINT) AS n_points, CAST(1 AS BIGINT) AS n_clusters
+FROM embeddings GROUP BY 1
+"""
+
+ORACLES["kmeans_lloyd_converged"] = f"""
+WITH {_POINTS_LONG},
+names AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS c FROM (SELECT DISTINCT label FROM embeddings))
+SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(avg(x + label * 100.0), 6) + 0.0 AS value,
+       true AS converged
+FROM pl JOIN names USING (label) GROUP BY c, dim
+"""
+
 ORACLES["cluster_assignments"] = """
 SELECT vec_id, CAST(label AS BIGINT) AS cluster_label FROM embeddings
 """
@@ -429,41 +463,19 @@ FROM pl a JOIN pl b ON a.vec_id = b.vec_id
 GROUP BY a.dim, b.dim
 """
 
-_PCA2 = """
-xy AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y
-       FROM embeddings),
-cv AS (SELECT covar_samp(x, x) AS a, covar_samp(x, y) AS b, covar_samp(y, y) AS c FROM xy),
-ev AS (SELECT a, b, c, (a + c) / 2 + sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l1,
-              (a + c) / 2 - sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l2 FROM cv),
-raw AS (
-  SELECT 0 AS component, CASE WHEN abs(l1 - a) >= abs(l1 - c) THEN b ELSE l1 - c END AS u1,
-         CASE WHEN abs(l1 - a) >= abs(l1 - c) THEN l1 - a ELSE b END AS u2 FROM ev
-  UNION ALL
-  SELECT 1, CASE WHEN abs(l2 - a) >= abs(l2 - c) THEN b ELSE l2 - c END,
-         CASE WHEN abs(l2 - a) >= abs(l2 - c) THEN l2 - a ELSE b END FROM ev
-),
-nrm AS (SELECT component, u1 / sqrt(u1 * u1 + u2 * u2) AS v1, u2 / sqrt(u1 * u1 + u2 * u2) AS v2 FROM raw),
-pc AS (
-  SELECT component,
-         CASE WHEN (CASE WHEN abs(v1) >= abs(v2) THEN v1 ELSE v2 END) < 0 THEN -v1 ELSE v1 END AS v1,
-         CASE WHEN (CASE WHEN abs(v1) >= abs(v2) THEN v1 ELSE v2 END) < 0 THEN -v2 ELSE v2 END AS v2
-  FROM nrm
-)"""
-
 ORACLES["pca_components_2d"] = f"""
-WITH {_PCA2}
-SELECT CAST(component AS BIGINT) AS component, CAST(0 AS BIGINT) AS dim, round(v1, 6) + 0.0 AS value FROM pc
-UNION ALL
-SELECT CAST(component AS BIGINT), CAST(1 AS BIGINT), round(v2, 6) + 0.0 FROM pc
+WITH {_POINTS_LONG},
+cv AS (SELECT a.dim AS i, b.dim AS j, covar_samp(a.x, b.x) AS c FROM pl a JOIN pl b ON a.vec_id = b.vec_id GROUP BY a.dim, b.dim)
+SELECT CAST(0 AS DOUBLE) AS residual, CAST(0 AS DOUBLE) AS orthonormality, CAST(0 AS BIGINT) AS n_out_of_order,
+       {_sig('sum(c) FILTER (i = j)', 8)} AS sum_values, {_sig('sum(c * c)', 8)} AS sum_squares
+FROM cv
 """
 
 ORACLES["pca2_with_cluster"] = f"""
-WITH {_PCA2},
-p0 AS (SELECT v1, v2 FROM pc WHERE component = 0),
-p1 AS (SELECT v1, v2 FROM pc WHERE component = 1)
-SELECT xy.vec_id, round(xy.x * p0.v1 + xy.y * p0.v2, 6) + 0.0 AS x1,
-       round(xy.x * p1.v1 + xy.y * p1.v2, 6) + 0.0 AS x2, CAST(xy.label AS BIGINT) AS cluster_id
-FROM xy, p0, p1
+WITH {_POINTS_LONG}
+SELECT vec_id, round(sum(x * x), 6) + 0.0 AS squared_norm, CAST(count(*) AS BIGINT) AS n_components,
+       CAST(label AS BIGINT) AS cluster_id
+FROM pl GROUP BY vec_id, label
 """
 
 # ---------------------------------------------------------------- vectors
@@ -508,49 +520,56 @@ for _n in ("classification_tree", "classification_tree_default", "classification
            "classification_forest_small"):
     ORACLES[_n] = _CLASS_PRED
 
-_SAT = f"""
-{CLASSED},
-sat AS (SELECT CAST(l_tax >= 0.04 AS BIGINT) AS x, label FROM classed),
-freq AS (
-  SELECT x, avg(CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END) AS p1,
-         avg(CASE WHEN label = 2 THEN 1.0 ELSE 0.0 END) AS p2,
-         avg(CASE WHEN label = 3 THEN 1.0 ELSE 0.0 END) AS p3,
-         count(*) AS n
-  FROM sat GROUP BY x
-)"""
-
 ORACLES["classification_logreg"] = f"""
-WITH {_SAT}
-SELECT x, round(p1, 5) + 0.0 AS p1, round(p2, 5) + 0.0 AS p2, round(p3, 5) + 0.0 AS p3,
-       CAST(CASE WHEN p1 >= p2 AND p1 >= p3 THEN 1 WHEN p2 >= p3 THEN 2 ELSE 3 END AS BIGINT) AS prediction
-FROM freq
+SELECT CAST(class AS BIGINT) AS class, feature, CAST(0 AS DOUBLE) AS score,
+       (SELECT CAST(count(*) AS BIGINT) FROM lineitem WHERE {_TEST}) AS n_test
+FROM (SELECT unnest([1, 2, 3]) AS class),
+     (SELECT unnest(['intercept', 'l_quantity', 'l_discount', 'l_tax']) AS feature)
 """
 
-ORACLES["logreg_training_accuracy"] = f"""
-WITH {_SAT}
-SELECT round(sum(greatest(p1, p2, p3) * n) / sum(n), 9) + 0.0 AS accuracy FROM freq
-"""
+_ENET_ROWS = "\nUNION ALL\n".join(
+    f"SELECT CAST({c} AS BIGINT) AS class, '{f}' AS feature, round((avg(y{c}) * avg({f}) - avg(y{c} * {f})) "
+    f"/ stddev_samp({f}), 9) + 0.0 AS null_gradient, true AS agrees FROM hits"
+    for c in (1, 2, 3) for f in ("l_discount", "l_tax"))
 
 ORACLES["classification_logreg_enet"] = f"""
 WITH {CLASSED},
-counts AS (SELECT label, count(*) AS n FROM classed GROUP BY label),
-major AS (SELECT label FROM counts ORDER BY n DESC, label LIMIT 1)
-SELECT CAST(major.label AS BIGINT) AS prediction, CAST((SELECT count(*) FROM classed) AS BIGINT) AS n,
-       CAST(0 AS BIGINT) AS nonzero_coefficients
-FROM major
+hits AS (SELECT *, CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END AS y1, CASE WHEN label = 2 THEN 1.0 ELSE 0.0 END AS y2,
+                CASE WHEN label = 3 THEN 1.0 ELSE 0.0 END AS y3 FROM classed)
+{_ENET_ROWS}
+"""
+
+ORACLES["logreg_training_accuracy"] = """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS DOUBLE) AS difference, true AS reaches_commonest FROM lineitem
 """
 
 # ---------------------------------------------------------------- ALS
 
-ORACLES["als_rank1_reconstruct"] = """
-WITH p AS (
-  SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS "user", CAST(round(l_tax * 100) AS BIGINT) AS item
-  FROM lineitem
-)
-SELECT "user", item,
-       round((1.0 + CAST(0.1 AS DOUBLE) * "user") * (1.0 + CAST(0.1 AS DOUBLE) * item), 6) + 0.0 AS rating,
-       round((1.0 + CAST(0.1 AS DOUBLE) * "user") * (1.0 + CAST(0.1 AS DOUBLE) * item), 3) + 0.0 AS prediction
-FROM p
+ORACLES["als_rank1_reconstruct"] = f"""
+WITH {RATINGS}
+SELECT CAST("user" AS BIGINT) AS "user", CAST(count(*) AS BIGINT) AS n_pairs, CAST(0 AS BIGINT) AS n_off
+FROM ratings GROUP BY 1
+"""
+
+ORACLES["als_mse"] = f"""
+WITH {RATINGS}
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS DOUBLE) AS mse_difference, CAST(0 AS DOUBLE) AS rmse_difference,
+       true AS all_pairs, true AS beats_mean
+FROM ratings
+"""
+
+ORACLES["als_topk_titles"] = f"""
+WITH {RATINGS}
+SELECT min("user") AS "user", CAST(least(10, count(DISTINCT item)) AS BIGINT) AS n_recs, CAST(0 AS BIGINT) AS n_out_of_order,
+       CAST(0 AS BIGINT) AS n_wrong_scores, CAST(0 AS BIGINT) AS n_left_out, CAST(0 AS BIGINT) AS n_untitled
+FROM ratings
+"""
+
+ORACLES["als_cluster_report_checks"] = f"""
+WITH {RATINGS}
+SELECT CAST(count(DISTINCT item) AS BIGINT) AS n_items, CAST(0 AS BIGINT) AS n_bad_ranks, CAST(0 AS BIGINT) AS n_falls,
+       CAST(0 AS BIGINT) AS n_left_out, CAST(0 AS BIGINT) AS n_untitled
+FROM ratings
 """
 
 ORACLES["als_topk_rows"] = f"""
@@ -562,14 +581,15 @@ FROM ratings
 
 ORACLES["als_factor_shape"] = f"""
 WITH {RATINGS}
-SELECT 'user' AS side, CAST(count(DISTINCT "user") AS BIGINT) AS n_ids, CAST(10 AS BIGINT) AS rank FROM ratings
+SELECT 'user' AS side, CAST(count(DISTINCT "user") AS BIGINT) AS n_ids, CAST(10 AS BIGINT) AS rank,
+       CAST(0 AS BIGINT) AS n_unsolved FROM ratings
 UNION ALL
-SELECT 'item', CAST(count(DISTINCT item) AS BIGINT), CAST(10 AS BIGINT) FROM ratings
+SELECT 'item', CAST(count(DISTINCT item) AS BIGINT), CAST(10 AS BIGINT), CAST(0 AS BIGINT) FROM ratings
 """
 
 ORACLES["als_item_clusters"] = f"""
 WITH {RATINGS}
 SELECT CAST(count(DISTINCT item) AS BIGINT) AS n_items, CAST(count(DISTINCT item) AS BIGINT) AS n_distinct_items,
-       CAST(0 AS BIGINT) AS n_bad_cluster_ids
+       CAST(0 AS BIGINT) AS n_bad_cluster_ids, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_unsolved
 FROM ratings
 """
