@@ -67,12 +67,12 @@ items AS (
   FROM part
 )"""
 
-GENRES_TEXT = ("concat(CASE WHEN f0 = 1 THEN 'unknown|' ELSE '' END, "
-               "CASE WHEN f1 = 1 THEN 'Action|' ELSE '' END, "
-               "CASE WHEN f2 = 1 THEN 'Adventure|' ELSE '' END, "
-               "CASE WHEN f3 = 1 THEN 'Animation|' ELSE '' END, "
-               "CASE WHEN f4 = 1 THEN 'Children''s|' ELSE '' END, "
-               "CASE WHEN f5 = 1 THEN 'Comedy|' ELSE '' END)")
+GENRES_TEXT = ("concat(CASE WHEN f0 = 1 THEN 'Plain|' ELSE '' END, "
+               "CASE WHEN f1 = 1 THEN 'Brisk|' ELSE '' END, "
+               "CASE WHEN f2 = 1 THEN 'Sunny|' ELSE '' END, "
+               "CASE WHEN f3 = 1 THEN 'Woven|' ELSE '' END, "
+               "CASE WHEN f4 = 1 THEN 'Tall|' ELSE '' END, "
+               "CASE WHEN f5 = 1 THEN 'Quiet|' ELSE '' END)")
 
 HASH80 = ("((('0x' || substr(md5(CAST({k1} AS VARCHAR) || ':' || CAST({k2} AS VARCHAR)), 1, 8))::BIGINT"
           " % 100) < 80)")
@@ -234,7 +234,7 @@ ORACLES["topn_per_cluster_enriched"] = ORACLES["topn_per_cluster"].replace(
     f""",
 {ITEMS}
 SELECT CAST(r.label AS BIGINT) AS cluster_id, CAST(r.vec_id AS BIGINT) AS item_id,
-       i.title || '|' || {GENRES_TEXT.replace('f', 'i.f').replace("'Ci.f", "'Cf")} AS info,
+       i.title || '|' || {GENRES_TEXT.replace('WHEN f', 'WHEN i.f')} AS info,
        round(r.dist, 6) + 0.0 AS ranking_score
 FROM r JOIN items i ON r.vec_id = i.item_id WHERE r.rn <= 20""").replace(
     "WITH \npl AS", "WITH \npl AS")

@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 
 from lodestar.sources.tables import table
 
-# Genre names given to the six flag bits of ``p_size``
-# (bit 0 first).  They are the first six genre names of the public
-# MovieLens-100k genre file, in file order.
-GENRE_NAMES = ["unknown", "Action", "Adventure", "Animation", "Children's", "Comedy"]
+# Names given to the six flag bits of ``p_size`` (bit 0 first).
+GENRE_NAMES = ["Plain", "Brisk", "Sunny", "Woven", "Tall", "Quiet"]
 N_FLAGS = len(GENRE_NAMES)
 
 

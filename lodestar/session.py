@@ -33,6 +33,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -69,7 +70,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.append(os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}"))
+    return _scratch[-1]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this job wrote and has read for the last time."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes all folders :func:`scratch_path` has named.  Call it when the
+    frames that read them are done with: results are lazy, so a query cannot
+    delete its own."""
+    while _scratch:
+        remove_folder(spark, _scratch.pop())

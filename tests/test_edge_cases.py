@@ -229,3 +229,13 @@ def test_leave_n_out_with_a_hot_user(spark):
     assert hot == [3, 6, 9, 12, 15]            # occurrences 2..6 of user 0
     assert lab.count() == 3000
     assert test.count() == 5 * 51
+
+
+def test_scratch_folders_are_removed(spark):
+    from lodestar.session import clean_scratch
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.replace("file:", "")
+    assert os.path.isdir(local)
+    clean_scratch(spark)
+    assert not os.path.exists(local)
