@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_batches, remove
+from lodestar.llm.common import map_batches
 from lodestar.llm.words import U64, byte_hashes, segment_sum, slices, utf8_column
-from lodestar.session import scratch_path
+from lodestar.session import remove_folder, scratch_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
@@ -290,7 +290,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
     map_batches(raw, _pack(spark.sparkContext.broadcast(rank_of)),
                 f"file int, doc_id {kind}, tie long, n_tokens long, control binary, data binary").write.option(
         "compression", "zstd").parquet(f"{path}/coded")
-    remove(spark, raw_path)
+    remove_folder(spark, raw_path)
 
 
 def _decode(id_of):
