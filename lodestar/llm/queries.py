@@ -19,6 +19,9 @@ from lodestar.llm import (
     url_filter,
 )
 from lodestar.llm.common import is_held_out, table
+from lodestar.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_crf_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,5 +86,3 @@ QUERIES = {f.__name__: f for f in (
     op9_subword_toxicity,
     op10_sentencepiece_codec,
 )}
-#: the other operators have no SQL form; tests hold them against brute force
-ORACLES: dict[str, str] = {"op7_bloom_url_filter": url_filter.oracle()}

@@ -272,7 +272,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
         ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
-            .repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "tie")
+            .repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
             .withColumn("file", F.spark_partition_id()))
     raw_path = f"{path}/raw"
     map_batches(rows, _tokenize(tokenizer_path or default_tokenizer_path(), end_id),

@@ -18,7 +18,7 @@ bucket (``BUCKETS`` doubles sent to the tasks), whatever the input size.
 
 Defined cases: null, empty and wordless texts score the softmax's bias.
 Labels that are null or not 0/1 and labels without a document are ignored;
-repeated labels count once.  Without labels of both classes every score is
+repeated labels count once, and of documents of one doc_id one trains.  Without labels of both classes every score is
 the share of toxic labels (0 without any).  Extra columns are ignored
 (``score``) or passed through (``drop_toxic``).
 """
@@ -180,8 +180,10 @@ def sample_labels(labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """The trained model; ``docs`` are joined with the sampled labels only."""
     sample = sample_labels(labels.select("doc_id", "toxic"), train_rows)
-    # bounded by train_rows, so a broadcast: the documents' texts stay in place
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic", "weight")
+    # bounded by train_rows, so a broadcast: the documents' texts stay in place;
+    # one row per doc_id, however often it is repeated
+    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select(
+        "text", "toxic", "weight")
 
     def learn(batches):
         rows = [r for b in batches for r in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(),
