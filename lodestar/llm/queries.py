@@ -25,44 +25,53 @@ __all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_crf_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     bench = table(spark, sf_dir, "benchmark", "item_id", "text")
     return decontaminate.leak_report(decontaminate.find_leaks(docs, bench))
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     found = language.identify(docs, language.fit(docs))
     return found.select("doc_id", is_held_out("doc_id", *language.HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of every document in the token files."""
     return tokens.encoded_positions(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op6_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return masked_lm.score(docs, masked_lm.fit(docs))
 
 
 def op7_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge(pages, url_filter.listed_hosts(pages))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
     return jaccard_join.linked_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
@@ -70,6 +79,7 @@ def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, decoded again."""
     coded = sentencepiece_codec.round_trips(table(spark, sf_dir, "documents", "doc_id", "text"))
     return coded.select("doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "lossless")
 
