@@ -242,7 +242,7 @@ def filter_pair(spark, sf_dir):
     j = _truth_and_predictions(r, check_size=False).where(
         lookup.key_equals({"user": pair["user"], "item": pair["item"]}))
     m = stats.mse_rmse(j, "rating", "prediction")
-    return m.select(F.lit(pair["user"]).alias("user"), F.lit(pair["item"]).alias("item"),
+    return m.select(F.lit(pair["user"]).cast("bigint").alias("user"), F.lit(pair["item"]).cast("bigint").alias("item"),
                     F.round("mse", 9).alias("squared_error"),
                     F.round("rmse", 9).alias("root_squared_error"), "n")
 
