@@ -15,11 +15,13 @@ makes are left out.  Stretches with neighbouring word marks are merged
 outright, since the pieces of several marks share one score.)
 
 A character that no piece covers costs ten below the least piece score and is
-written as its bytes' pieces (or the unknown id, without byte pieces).  No
-piece holds the word mark after another character, so the best segmentation
-of a text is that of its stretches ``marks + other characters`` in turn; each
-distinct stretch is segmented once per task and kept (at most ``CACHED``
-stretches of at most ``CACHED_CHARS`` characters).
+written as its bytes' pieces (or the unknown id, without byte pieces).  Where
+two neighbouring characters stand in no piece together, no piece and no merge
+can span them, so the best segmentation of a text is that of the stretches
+between such places in turn.  Columns of texts are cut into stretches by a
+table of the pairs that occur in pieces; each distinct stretch is segmented
+once per task and kept (at most ``CACHED`` stretches of at most
+``CACHED_CHARS`` characters, as 64-bit hashes).
 
 Model files are read as published: pieces with scores and types, the model
 type and the normaliser's flags.  Only identity normalisation is accepted.
@@ -35,6 +37,7 @@ in a text come back as spaces.  Extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import zlib
 from array import array
@@ -46,12 +49,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lodestar.llm.common import map_batches
-from lodestar.llm.words import slices
+from lodestar.llm.words import U64, byte_hashes, segment_sum, slices
 
 MARK = "▁"
-CACHED = 400_000
+CACHED = 800_000
 CACHED_CHARS = 64
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNKNOWN_PENALTY = 10.0
 
 # fixed values of the published model format
@@ -145,21 +147,37 @@ class Codec:
                         if t == BYTE}
         usable = {p: i for i, (p, t) in enumerate(zip(model.pieces, model.types, strict=True))
                   if t in (NORMAL, USER_DEFINED) and p}
-        if any(MARK in p.lstrip(MARK) for p in usable):
-            raise ValueError("a piece holds the word mark after another character")
         if any(model.types[i] == USER_DEFINED for i in usable.values()):
             raise ValueError("user-defined pieces are not supported")
         self.scores = model.scores
         self.unknown_score = min((model.scores[i] for i in usable.values()), default=0.0) - UNKNOWN_PENALTY
         self.usable = usable
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # left << 20 | right
         self._build({p: i for p, i in usable.items() if not model.merges or len(self.merge(p)) == 1})
-        self.cache: dict[str, tuple[int, ...]] = {}
+        # which characters may stand side by side in a piece, as bits
+        self.character = np.zeros(0x110000, dtype=np.int32)  # 0: in no piece
+        for i, c in enumerate(sorted({c for p in usable for c in p}), 1):
+            self.character[ord(c)] = i
+        n = int(self.character.max()) + 1
+        self.together = np.zeros((n, -(-n // 8)), dtype=np.uint8)
+        for p in usable:
+            for a, b in itertools.pairwise(p):
+                i, j = self.character[ord(a)], self.character[ord(b)]
+                self.together[i, j >> 3] |= 1 << (j & 7)
+        self._forget()
         spelled = []
         for p, t in zip(model.pieces, model.types, strict=True):
             spelled.append(b"" if t == CONTROL else bytes([int(p[3:5], 16)]) if t == BYTE
                            else " ⁇ ".encode() if t == UNKNOWN else p.replace(MARK, " ").encode())
-        self.spelled = spelled
+        self.spelled = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        self.spelled_size = np.array([len(x) for x in spelled], dtype=np.int64)
+        self.spelled_first = np.cumsum(self.spelled_size) - self.spelled_size
+
+    def _forget(self) -> None:
+        self.known = np.zeros(0, dtype=U64)
+        self.first = np.zeros(0, dtype=np.int64)
+        self.count = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.int32)
 
     def _build(self, usable: dict[str, int]) -> None:
         """Goto, failure, output and output links of the automaton."""
@@ -188,13 +206,15 @@ class Codec:
                 fail[child] = f
                 link[child] = f if output[f] >= 0 else link[f]
                 todo.append(child)
-        self.goto, self.fail, self.link, self.output = goto, fail, link, output
-        self.size = [0] * len(goto)
-        for piece in usable:
-            state = 0
-            for c in piece:
-                state = goto[state][c]
-            self.size[state] = len(piece)
+        # the output links of every state followed to their end, longest first
+        ending: list[tuple[tuple[int, int], ...]] = [()] * len(goto)
+        todo = deque(goto[0].values())
+        while todo:
+            state = todo.popleft()
+            own = ((output[state], len(self.model.pieces[output[state]])),) if output[state] >= 0 else ()
+            ending[state] = own + ending[link[state]]
+            todo.extend(goto[state].values())
+        self.goto, self.fail, self.ending = goto, fail, ending
 
     def merge(self, text: str) -> list[str]:
         """Pieces of ``text`` after merging its characters: always the pair
@@ -213,12 +233,10 @@ class Codec:
 
     def follows(self, left: int, right: int) -> bool:
         """Whether merging leaves these two pieces side by side."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= CACHED:
-                self.pairs.clear()
-            a, b = self.model.pieces[left], self.model.pieces[right]
-            known = self.pairs[left, right] = self.merge(a + b) == [a, b]
+        if len(self.pairs) >= CACHED // 4:
+            self.pairs.clear()
+        a, b = self.model.pieces[left], self.model.pieces[right]
+        known = self.pairs[left << 20 | right] = self.merge(a + b) == [a, b]
         return known
 
     def spell(self, part: str) -> list[int]:
@@ -235,28 +253,35 @@ class Codec:
         merges = self.model.merges
         if merges and MARK + MARK in text:
             return tuple(i for part in self.merge(text) for i in self.spell(part))
-        goto, fail, link, output, size, scores = self.goto, self.fail, self.link, self.output, self.size, self.scores
+        goto, fail, ending, scores, pairs = self.goto, self.fail, self.ending, self.scores, self.pairs
         n = len(text)
         best = [0.0] * (n + 1)
         back = [0] * (n + 1)
         piece = [-1] * (n + 1)
         state = 0
-        for end in range(1, n + 1):
-            c = text[end - 1]
-            while state and c not in goto[state]:
+        for end, c in enumerate(text, 1):
+            after = goto[state].get(c)
+            while after is None and state:
                 state = fail[state]
-            state = goto[state].get(c, 0)
+                after = goto[state].get(c)
+            state = after or 0
             top = None
-            at = state if output[state] >= 0 else link[state]
             one = False
-            while at:  # longest first
-                begin = end - size[at]
-                one = size[at] == 1
-                value = best[begin] + scores[output[at]]
-                if (top is None or value > top) and (
-                        not merges or not begin or piece[begin] < 0 or self.follows(piece[begin], output[at])):
-                    top, back[end], piece[end] = value, begin, output[at]
-                at = link[at]
+            for i, size in ending[state]:  # longest first
+                begin = end - size
+                one = size == 1
+                if merges:
+                    left = piece[begin]
+                    if left >= 0:
+                        fits = pairs.get(left << 20 | i)
+                        if not (self.follows(left, i) if fits is None else fits):
+                            continue  # minus infinity
+                    top, back[end], piece[end] = best[begin] + scores[i], begin, i
+                    one = True
+                    break  # the only finite one
+                value = best[begin] + scores[i]
+                if top is None or value > top:
+                    top, back[end], piece[end] = value, begin, i
             if not one:
                 value = best[end - 1] + self.unknown_score
                 if top is None or value > top:
@@ -280,24 +305,70 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK)
 
+    def _segmented(self, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, ...]]:
+        return [self.segment(points[a:b].tobytes().decode("utf-32-le")) for a, b in zip(start, end, strict=True)]
+
+    def encode_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids back to back, number per text)."""
+        texts = [self.normalise(t or "") for t in texts]
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
+        if not len(points):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        kind = self.character[points]
+        cut = np.ones(len(points), dtype=bool)
+        cut[1:] = (self.together[kind[:-1], kind[1:] >> 3] >> (kind[1:] & 7).astype(np.uint8)) & 1 == 0
+        cut[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(points))
+        hashes = byte_hashes(points, start, end)
+        first, count = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
+        short = np.flatnonzero(end - start <= CACHED_CHARS)
+        distinct, where, inverse = np.unique(hashes[short], return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
+        if len(self.known) + len(new) > CACHED:
+            self._forget()
+            new = np.arange(len(distinct))
+        if len(new):
+            own = self._segmented(points, start[short[where[new]]], end[short[where[new]]])
+            n = np.array([len(i) for i in own], dtype=np.int64)
+            known = np.concatenate([self.known, distinct[new]])
+            by = np.argsort(known, kind="stable")
+            self.known = known[by]
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(n) - n])[by]
+            self.count = np.concatenate([self.count, n])[by]
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(own), np.int32)])
+        at = np.searchsorted(self.known, distinct)[inverse]
+        first[short], count[short] = self.first[at], self.count[at]
+        ids = self.ids
+        long = np.flatnonzero(end - start > CACHED_CHARS)
+        if len(long):
+            own = self._segmented(points, start[long], end[long])
+            count[long] = [len(i) for i in own]
+            first[long] = len(ids) + np.cumsum(count[long]) - count[long]
+            ids = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(own), np.int32)])
+        flat = ids[np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        return flat, segment_sum(count, np.diff(np.searchsorted(start, edges)))
+
+    def decode_texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """Texts of ids back to back."""
+        size = self.spelled_size[ids]
+        place = np.arange(int(size.sum())) + np.repeat(self.spelled_first[ids] - (np.cumsum(size) - size), size)
+        data = self.spelled[place].tobytes()
+        edges = np.concatenate([[0], np.cumsum(segment_sum(size, counts))])
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise(edges.tolist())]
+        if self.model.dummy_prefix:
+            texts = [t[1:] if t[:1] == " " else t for t in texts]
+        return texts
+
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        cache = self.cache
-        for stretch in _STRETCH.findall(self.normalise(text or "")):
-            known = cache.get(stretch)
-            if known is None:
-                known = self.segment(stretch)
-                if len(stretch) <= CACHED_CHARS:
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    cache[stretch] = known
-            ids += known
-        return ids
+        return self.encode_texts([text])[0].tolist()
 
     def decode(self, ids) -> str:
-        spelled = self.spelled
-        text = b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
+        ids = np.asarray(ids, dtype=np.int64)
+        return self.decode_texts(ids, np.array([len(ids)]))[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -313,9 +384,9 @@ def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
         own = codec(path)
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                ids = [own.encode(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
-                                                 names=["doc_id", "ids"])
+                ids, n = own.encode_texts(part.column("text").to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], names=["doc_id", "ids"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids array<int>")
 
@@ -327,7 +398,9 @@ def decode(coded: DataFrame, model_path: str | None = None) -> DataFrame:
     def run(batches):
         own = codec(path)
         for batch in batches:
-            texts = [own.decode(i or ()) for i in batch.column("ids").to_pylist()]
+            lists = [i or [] for i in batch.column("ids").to_pylist()]
+            texts = own.decode_texts(np.array([i for ids in lists for i in ids], dtype=np.int64),
+                                     np.array([len(ids) for ids in lists], dtype=np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
                                              names=["doc_id", "text"])
     kind = coded.schema["doc_id"].dataType.simpleString()
@@ -344,11 +417,12 @@ def round_trips(docs: DataFrame, model_path: str | None = None) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 texts = part.column("text").to_pylist()
-                ids = [own.encode(t) for t in texts]
-                back = [own.decode(i) for i in ids]
+                ids, n = own.encode_texts(texts)
+                back = own.decode_texts(ids, n)
+                raw, edges = ids.astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(4 * n)]).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
-                     pa.array([zlib.crc32(array("I", i).tobytes()) for i in ids], pa.int64()),
+                    [part.column("doc_id"), pa.array(n),
+                     pa.array([zlib.crc32(raw[a:b]) for a, b in itertools.pairwise(edges)], pa.int64()),
                      pa.array(back, pa.string()),
                      pa.array([b == (t or "") for b, t in zip(back, texts, strict=True)])],
                     names=["doc_id", "n_ids", "ids_crc32", "decoded", "lossless"])
