@@ -91,57 +91,80 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def train(texts, toxic: np.ndarray, weight: np.ndarray, seed: int = 11) -> tuple[np.ndarray, float]:
+class TrainingWords:
+    """The words of the training texts: occurrences as ids into the distinct
+    words, and those words' n-gram buckets.  Texts are not kept."""
+
+    def __init__(self):
+        self.known = np.zeros(0, dtype=U64)  # sorted
+        self.fresh: list[np.ndarray] = []  # hashes in the order of their ids
+        self.chunks: list[tuple[np.ndarray, np.ndarray]] = []
+        self.grams: list[np.ndarray] = []
+        self.per_word: list[np.ndarray] = []
+        self.n_words: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []
+
+    def add(self, column) -> None:
+        words = Words(column)
+        distinct, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+        new = np.flatnonzero(~np.isin(distinct, self.known, assume_unique=True))
+        self.known = np.union1d(self.known, distinct[new])
+        self.fresh.append(distinct[new])
+        self.chunks.append((distinct, inverse.astype(np.int32)))
+        self.n_words.append(words.n_words)
+        place = (np.arange(len(words.hash)) - np.repeat(words.lo, words.n_words)).astype(U64)
+        self.keys.append(segment_sum(mix(words.hash + place), words.n_words))
+        text = b" ".join(words.data[words.start[w]:words.end[w]].tobytes() for w in where[new])
+        grams, per_word = word_grams(Words(pa.array([text.decode("utf-8", "replace")], pa.large_string())))
+        if len(per_word) != len(new):
+            raise AssertionError("a word is one word")
+        self.grams.append(grams)
+        self.per_word.append(per_word.astype(np.int32))
+
+    def finish(self):
+        """(occurrences, words per text, buckets, buckets per word, a hash per text)."""
+        fresh = np.concatenate(self.fresh)
+        by = np.argsort(fresh)
+        ids = np.empty(len(fresh), dtype=np.int32)
+        ids[:] = by
+        tokens = [ids[np.searchsorted(fresh, distinct, sorter=by)][inverse] for distinct, inverse in self.chunks]
+        self.chunks = []
+        return tuple(np.concatenate(x) for x in (tokens, self.n_words, self.grams, self.per_word, self.keys))
+
+
+def train(index: TrainingWords, toxic: np.ndarray, weight: np.ndarray, seed: int = 11) -> tuple[np.ndarray, float]:
     """(number per bucket, bias): the log-odds of a passage is the bias plus
     the mean over its words of the mean of their buckets' numbers."""
     rng = np.random.default_rng(seed)
-    # occurrences as ids into the sample's distinct words
-    seen: dict[int, int] = {}
-    tokens, n_words, grams, per_word = [], [], [], []
-    for first in range(0, len(texts), 512):
-        words = Words(pa.array(texts[first:first + 512], pa.large_string()))
-        uniq, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-        ids = np.empty(len(uniq), dtype=np.int32)
-        new = []
-        for u, (h, w) in enumerate(zip(uniq.tolist(), where.tolist(), strict=True)):
-            i = seen.get(h)
-            if i is None:
-                i = seen[h] = len(seen)
-                new.append(w)
-            ids[u] = i
-        tokens.append(ids[inverse])
-        n_words.append(words.n_words)
-        own = Words(pa.array([words.data[words.start[w]:words.end[w]].tobytes().decode("utf-8", "replace")
-                              for w in new], pa.large_string()))
-        g, c = word_grams(own)
-        if len(c) != len(new):
-            raise AssertionError("a word is one word")
-        grams.append(g)
-        per_word.append(c)
-    tokens, n_words = np.concatenate(tokens), np.concatenate(n_words)
-    grams, per_word = np.concatenate(grams), np.concatenate(per_word)
-    keep = n_words > 0
+    tokens, n_words, grams, per_word, keys = index.finish()
+    first_gram = np.cumsum(per_word) - per_word
     first_token = np.cumsum(n_words) - n_words
-    docs = np.flatnonzero(keep)
+    # texts in the order of their hash: the order of arrival is Spark's
+    docs = np.lexsort((toxic, keys))
+    docs = docs[n_words[docs] > 0]
 
     embed = rng.normal(0, 0.1, (BUCKETS, DIM))
     soft = rng.normal(0, 0.3, (DIM, 2))
     bias = np.zeros(2)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (embed, soft, bias)]
     mean_weight = weight[docs].mean()
-    step = 0
-    for epoch in range(EPOCHS):
-        sharp = 0.0 if epoch < 2 else min(8.0, 0.5 * 2 ** (epoch - 2))
-        for part in np.array_split(rng.permutation(docs), BATCHES):
-            if not len(part):
-                continue
-            step += 1
+    # fixed batches, so that their words are gathered once
+    batches = []
+    for part in np.array_split(rng.permutation(docs), BATCHES):
+        if len(part):
             n = n_words[part]
             own = tokens[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first_token[part], n)]
             used, local = np.unique(own, return_inverse=True)
+            batches.append((part, n, used, local.astype(np.int32)))
+    del tokens
+    step = 0
+    for epoch in range(EPOCHS):
+        sharp = 0.0 if epoch < 2 else min(8.0, 0.5 * 2 ** (epoch - 2))
+        for turn in rng.permutation(len(batches)):
+            part, n, used, local = batches[turn]
             c = per_word[used]
-            begin = (np.cumsum(per_word) - per_word)[used]
-            g = grams[np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin, c)]
+            g = grams[np.arange(int(c.sum())) + np.repeat(first_gram[used] - (np.cumsum(c) - c), c)]
+            step += 1
             line = soft[:, 1] - soft[:, 0]
             word = segment_sum((embed @ line)[g], c) / c
             sizes, per_doc = passage_sizes(n), passage_counts(n)
@@ -152,7 +175,7 @@ def train(texts, toxic: np.ndarray, weight: np.ndarray, seed: int = 11) -> tuple
             delta = (_sigmoid(logit) - toxic[part]) * weight[part] / mean_weight / len(part)
             # d loss / d word occurrence -> distinct word -> n-gram bucket
             up = np.repeat(np.repeat(delta, per_doc) * attend / sizes, sizes)
-            on_bucket = np.bincount(g, np.repeat(np.bincount(local, up, minlength=len(used)) / c, c), BUCKETS)
+            on_bucket = np.bincount(g, np.repeat(np.bincount(local, up, minlength=len(c)) / c, c), BUCKETS)
             bag = on_bucket @ embed
             grads = (on_bucket[:, None] * line[None, :], np.stack([-bag, bag], axis=1),
                      np.array([-delta.sum(), delta.sum()]))
@@ -186,15 +209,18 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         "text", "toxic", "weight")
 
     def learn(batches):
-        rows = [r for b in batches for r in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(),
-                                               b.column("weight").to_pylist(), strict=True)]
-        rows.sort(key=lambda r: (r[0] or "", r[1]))  # the order of arrival is Spark's
-        toxic = np.array([r[1] for r in rows], dtype=float)
-        weight = np.array([r[2] for r in rows])
+        toxic, weight = [], []
+
+        index = TrainingWords()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                toxic += part.column("toxic").to_pylist()
+                weight += part.column("weight").to_pylist()
+                index.add(part.column("text"))
         line, bias = np.zeros(BUCKETS), -500.0
-        if len(rows) and 0 < toxic.sum() < len(rows):
-            line, bias = train([r[0] for r in rows], toxic, weight)
-        elif len(rows) and toxic.sum():
+        if toxic and 0 < sum(toxic) < len(toxic):
+            line, bias = train(index, np.array(toxic, dtype=float), np.array(weight))
+        elif toxic and sum(toxic):
             bias = 500.0
         yield pa.RecordBatch.from_arrays([pa.array([line.tobytes()], pa.binary()), pa.array([bias])],
                                          names=["line", "bias"])
