@@ -124,12 +124,18 @@ class TrainingWords:
     def finish(self):
         """(occurrences, words per text, buckets, buckets per word, a hash per text)."""
         fresh = np.concatenate(self.fresh)
-        by = np.argsort(fresh)
-        ids = np.empty(len(fresh), dtype=np.int32)
-        ids[:] = by
-        tokens = [ids[np.searchsorted(fresh, distinct, sorter=by)][inverse] for distinct, inverse in self.chunks]
-        self.chunks = []
-        return tuple(np.concatenate(x) for x in (tokens, self.n_words, self.grams, self.per_word, self.keys))
+        by = np.argsort(fresh).astype(np.int32)
+        # each list goes as it is joined: the peak is one copy, not two
+        tokens = np.empty(sum(len(inverse) for _, inverse in self.chunks), dtype=np.int32)
+        end = len(tokens)
+        while self.chunks:
+            distinct, inverse = self.chunks.pop()
+            tokens[end - len(inverse):end] = by[np.searchsorted(fresh, distinct, sorter=by)][inverse]
+            end -= len(inverse)
+        self.known, self.fresh = np.zeros(0, dtype=U64), []
+        grams, self.grams = np.concatenate(self.grams), []
+        n_words, per_word, keys = (np.concatenate(x) for x in (self.n_words, self.per_word, self.keys))
+        return tokens, n_words, grams, per_word, keys
 
 
 def train(index: TrainingWords, toxic: np.ndarray, weight: np.ndarray, seed: int = 11) -> tuple[np.ndarray, float]:
