@@ -17,6 +17,11 @@ from lodestar.sources.tables import table as read_table
 
 _shipped: set[str] = set()
 
+#: rows and bytes of text that a Python worker is sent at a time: its memory,
+#: and the JVM's beside the heap, stay small however long the texts are
+BATCH_ROWS = 2000
+BATCH_BYTES = 8 << 20
+
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that their
@@ -43,7 +48,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 
