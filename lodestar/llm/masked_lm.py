@@ -5,10 +5,15 @@ embeddings side by side, a tanh layer, a softmax over ``CLASSES`` word classes
 and one over the words of the class.  A document's score is the sum over its
 words of log P(word | its neighbours).
 
-The vocabulary has the ``TOP`` most frequent words of the corpus (equal
-counts: lower hash first); all others share ``CLASSES**2 - TOP`` buckets by
-hash.  Counts come from all documents and also set the output biases, so
-training starts from the corpus' word frequencies.
+The network's outputs are the ``TOP`` most frequent words of the corpus (equal
+counts: lower hash first) and ``CLASSES**2 - TOP`` buckets, by hash, of all
+others.  P(word | neighbours) of a word in a bucket is the network's P(bucket |
+neighbours) times the word's share of the bucket's count, so every distinct
+word has a probability of its own and they sum to one over the words.  Each
+bucket keeps a count of ``REST`` for words that are not in the corpus.  Counts
+come from all documents and also set the output biases, so training starts
+from the corpus' word frequencies.  Scoring knows the counts of about ``HEAD``
+words by heart and joins the other occurrences with the written counts.
 
 Training is in numpy where the data lie: each round, every partition runs
 Adam from the common parameters over the masked positions of all its
@@ -25,7 +30,7 @@ ignored.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,8 @@ DIM = 16
 HIDDEN = 32
 CLASSES = 64
 TOP = 3072
+HEAD = 1 << 16
+REST = 0.5
 MASK = 8
 ROUNDS = 2
 BATCH = 4096
@@ -66,17 +73,27 @@ def views(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 @dataclass
 class Model:
-    top: np.ndarray  # sorted hashes of the words with ids of their own
+    head: np.ndarray  # sorted hashes of the most frequent words
     ids: np.ndarray  # their ids
+    log_n: np.ndarray  # log of their counts; 0 for words with ids of their own
+    log_total: np.ndarray  # per id: log of its bucket's count; 0 for the words with ids of their own
     flat: np.ndarray
+    counts: DataFrame | None = None  # hash, n of every word; not sent to tasks
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id, log P(word | id), whether in ``head``) of every word; for a
+        word not in ``head`` the log of its count is still to be added."""
+        ids = TOP + (hashes & U64(VOCABULARY - TOP - 1)).astype(np.int64)
+        share, known = np.zeros(len(hashes)), np.zeros(len(hashes), dtype=bool)
+        if len(self.head):
+            at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
+            known = self.head[at] == hashes
+            ids[known] = self.ids[at[known]]
+            share[known] = self.log_n[at[known]]
+        return ids, share - self.log_total[ids], known
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
-        out = TOP + (hashes & U64(VOCABULARY - TOP - 1)).astype(np.int64)
-        if len(self.top):
-            at = np.minimum(np.searchsorted(self.top, hashes), len(self.top) - 1)
-            known = self.top[at] == hashes
-            out[known] = self.ids[at[known]]
-        return out
+        return self.look_up(hashes)[0]
 
 
 def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,13 +244,31 @@ def vocabulary(docs: DataFrame) -> Model:
     top = counts.orderBy(F.desc("n"), "hash").limit(TOP).collect()
     buckets = counts.groupBy(F.col("hash").bitwiseAND(F.lit(VOCABULARY - TOP - 1)).alias("b")).agg(
         F.sum("n").alias("n")).collect()
-    mass = np.full(VOCABULARY, 0.5)
+    mass = np.full(VOCABULARY, REST)
     for r in buckets:
         mass[TOP + r["b"]] += r["n"]
-    hashes = np.array([r["hash"] for r in top], dtype=np.int64).view(U64)
+    own = np.array([r["hash"] for r in top], dtype=np.int64).view(U64)
     for i, r in enumerate(top):
         mass[i] += r["n"]
-        mass[TOP + int(hashes[i] & U64(VOCABULARY - TOP - 1))] -= r["n"]
+        mass[TOP + int(own[i] & U64(VOCABULARY - TOP - 1))] -= r["n"]
+    log_total = np.log(mass)
+    log_total[:TOP] = 0
+    # the next words by whole steps of frequency, as many as HEAD allows
+    step = F.floor(F.log2("n") * 8)
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    least, room = 1 << 20, HEAD
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["step"]
+    more = counts.where(step >= least).collect()
+    more_hash = np.array([r["hash"] for r in more], dtype=np.int64).view(U64)
+    fresh = ~np.isin(more_hash, own)
+    hashes = np.concatenate([own, more_hash[fresh]])
+    log_n = np.concatenate([np.zeros(len(own)), np.log(np.array([r["n"] for r in more], dtype=float)[fresh])])
+    ids = np.concatenate([np.arange(len(own)),
+                          TOP + (more_hash[fresh] & U64(VOCABULARY - TOP - 1)).astype(np.int64)])
     order = np.argsort(hashes)
     rng = np.random.default_rng(3)
     flat = np.zeros(SIZE, np.float32)
@@ -243,7 +278,7 @@ def vocabulary(docs: DataFrame) -> Model:
     by_class = mass.reshape(CLASSES, CLASSES)
     p["class_bias"][:] = np.log(by_class.sum(axis=1) / mass.sum())
     p["word_bias"][:] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
-    return Model(hashes[order], order.astype(np.int64), flat)
+    return Model(hashes[order], ids[order], log_n[order], log_total, flat, counts)
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BATCH, rate: float = RATE) -> Model:
@@ -253,7 +288,7 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BA
     model = vocabulary(docs)
     cuts = np.linspace(0, SIZE, PIECES + 1).astype(int)
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast(replace(model, counts=None))
 
         def learn(batches, sent=sent, turn=turn):
             own = sent.value
@@ -293,36 +328,49 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BA
         if not means:
             break
         flat = np.concatenate([np.frombuffer(r["share"], np.float32) for r in sorted(means, key=lambda r: r["piece"])])
-        model = Model(model.top, model.ids, flat)
+        model = replace(model, flat=flat)
     return model
 
 
 def score_words(words: Words, model: Model) -> np.ndarray:
-    """log P(word | neighbours) of every word."""
+    """log P(word | neighbours) of every word; for the words not in ``head``
+    the log of their count is still to be added."""
     p = views(model.flat)
-    ids = model.word_ids(words.hash)
+    ids, share, _ = model.look_up(words.hash)
     doc = words.doc_of_word()
     out = np.empty(len(ids))
     for first in range(0, len(ids), 1 << 14):
         at = np.arange(first, min(first + (1 << 14), len(ids)))
         own = doc[at]
         out[at] = log_probabilities(p, contexts(ids, words.lo[own], words.hi[own], at), ids[at])
-    return out
+    return out + share
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, log_prob (summed) and mean_log_prob of every text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """doc_id, n_tokens, log_prob (summed) and mean_log_prob of every text.
+    All words not in the corpus that was fitted score as one per bucket."""
+    sent = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
                 words = Words(part.column("text"))
                 total = segment_sum(score_words(words, sent.value), words.n_words)
-                n = words.n_words
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(total), mean],
-                                                 names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+                rare = ~sent.value.look_up(words.hash)[2]
+                edges = np.concatenate([[0], np.cumsum(segment_sum(rare.astype(np.int64), words.n_words))])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(words.n_words, pa.int64()), pa.array(total),
+                     pa.LargeListArray.from_arrays(edges, words.hash[rare].view(np.int64)).cast(pa.list_(pa.int64()))],
+                    names=["doc_id", "n_tokens", "log_prob", "rare"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), run,
-                       f"doc_id {kind}, n_tokens long, log_prob double, mean_log_prob double")
+    # doc_id may be null or repeated: the rows are numbered as they are written
+    scored = written(map_batches(docs.select("doc_id", "text"), run,
+                                 f"doc_id {kind}, n_tokens long, log_prob double, rare array<long>")
+                     .withColumn("row", F.monotonically_increasing_id()), "masked-scores")
+    log_n = F.log(F.coalesce(F.col("n").cast("double"), F.lit(REST)))
+    rare = scored.select("row", F.explode("rare").alias("hash")).join(model.counts, "hash", "left").groupBy("row").agg(
+        F.sum(log_n).alias("rare"))
+    total = F.col("log_prob") + F.coalesce("rare", F.lit(0.0))
+    return scored.drop("rare").join(rare, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_prob"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))

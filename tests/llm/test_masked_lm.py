@@ -67,6 +67,24 @@ def test_counts_cover_all_documents_and_training_learns_pairs(spark):
     assert after > lm.score_words(shuffled, model).mean() + 1.0
 
 
+def test_every_word_has_its_own_probability(spark, small):
+    """One-word texts of 80,000 words: their probabilities (between the same
+    neighbours, none) sum to one, and follow the counts."""
+    n = 80_000
+    count = [1 + n // (4 * (i + 1)) for i in range(n)]
+    texts = [" ".join([f"w{i}"] * count[i]) for i in range(n)]
+    docs = spark.read.parquet(small(documents={"doc_id": list(range(n)), "text": texts}) + "/documents.parquet")
+    asked = spark.read.parquet(small(documents={
+        "doc_id": [*range(n), -1], "text": [*(f"w{i}" for i in range(n)), "garbage"]}) + "/documents.parquet")
+    for model, near in ((lm.vocabulary(docs), 0.35), (lm.fit(docs), None)):
+        got = {r["doc_id"]: r["log_prob"] for r in lm.score(asked, model).collect()}
+        unseen = got.pop(-1)
+        assert np.exp(list(got.values())).sum() == pytest.approx(1, abs=0.01)
+        assert unseen < min(got.values())
+        for i in (0, 299, 4999, 9999, n - 1) if near else ():
+            assert np.exp(got[i]) * sum(count) == pytest.approx(count[i], rel=near)
+
+
 def test_query_sums_and_edges(spark, small):
     texts = [*sentences(40, 4), None, "", "%%%", "one", "again and again " * 20000, "one"]
     t = pa.table({"doc_id": pa.array([*range(len(texts) - 1), None], pa.int64()), "text": pa.array(texts),
