@@ -17,8 +17,10 @@ words by heart and joins the other occurrences with the written counts.
 
 Training is in numpy where the data lie: each round, every partition runs
 Adam from the common parameters over the masked positions of all its
-documents (one in ``MASK``, others each round), and the partitions' parameters
-are averaged, weighted by their targets.  What is gathered is a parameter
+documents, and the partitions' parameters are averaged, weighted by their
+targets.  A round masks one position in ``MASK`` and the next round the one
+after it, so that in ``MASK`` rounds every position of every document is a
+target once.  What is gathered is a parameter
 vector (about 0.8 MB) per partition and round and a count per distinct word
 and partition, so it grows with the corpus; sums are streamed.  The result
 depends slightly on how the input is split into partitions.
@@ -47,8 +49,8 @@ CLASSES = 64
 TOP = 3072
 HEAD = 1 << 16
 REST = 0.5
-MASK = 8
-ROUNDS = 2
+MASK = 2
+ROUNDS = MASK
 BATCH = 4096
 RATE = 0.003
 PIECES = 16
@@ -96,22 +98,22 @@ class Model:
         return self.look_up(hashes)[0]
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log normaliser, probabilities) of every row."""
-    top = x.max(axis=1, keepdims=True)
-    e = np.exp(x - top)
-    total = e.sum(axis=1, keepdims=True)
-    e /= total
-    return (top + np.log(total))[:, 0], e
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Turns every row of ``x`` into probabilities; returns their log normalisers."""
+    top = x.max(axis=1)
+    x -= top[:, None]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    x /= total[:, None]
+    return top + np.log(total)
 
 
-def _by_class(targets: np.ndarray):
-    """(class, rows of the batch whose target is in it)."""
-    order = np.argsort(targets // CLASSES, kind="stable")
-    own = (targets // CLASSES)[order]
-    edges = np.searchsorted(own, np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(edges)):
-        yield int(c), order[edges[c]:edges[c + 1]]
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(an order of the targets by class, (class, first, end) of each)."""
+    own = (targets // CLASSES).astype(np.uint8)
+    order = np.argsort(own, kind="stable")
+    edges = np.searchsorted(own[order], np.arange(CLASSES + 1))
+    return order, [(int(c), int(edges[c]), int(edges[c + 1])) for c in np.flatnonzero(np.diff(edges))]
 
 
 def contexts(ids: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -125,45 +127,68 @@ def contexts(ids: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray) ->
     return out
 
 
+def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(neighbours' embeddings side by side, hidden layer)."""
+    x = p["embed"].take(context.ravel(), axis=0).reshape(len(context), -1)
+    h = x @ p["hidden"]
+    h += p["hidden_bias"]
+    return x, np.tanh(h, out=h)
+
+
+def _word_logits(p: dict[str, np.ndarray], h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits of the words of each row's class; the rows of a class lie together."""
+    out = np.empty((len(h), CLASSES), h.dtype)
+    for c, a, b in classes:
+        np.matmul(h[a:b], p["words"][c], out=out[a:b])
+        out[a:b] += p["word_bias"][c]
+    return out
+
+
 def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    x = p["embed"][context].reshape(len(context), -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
-    logits = h @ p["classes"] + p["class_bias"]
-    out = logits[np.arange(len(targets)), targets // CLASSES] - _softmax(logits)[0]
-    for c, rows in _by_class(targets):
-        logits = h[rows] @ p["words"][c] + p["word_bias"][c]
-        out[rows] += logits[np.arange(len(rows)), targets[rows] % CLASSES] - _softmax(logits)[0]
+    order, classes = _by_class(targets)
+    targets, rows = targets[order], np.arange(len(targets))
+    h = _hidden(p, context[order])[1]
+    total = np.zeros(len(targets))
+    for logits, own in ((h @ p["classes"] + p["class_bias"], targets // CLASSES),
+                        (_word_logits(p, h, classes), targets % CLASSES)):
+        total += logits[rows, own]
+        total -= _softmax(logits)
+    out = np.empty(len(targets))
+    out[order] = total
     return out
 
 
 def gradient(p: dict[str, np.ndarray], g: dict[str, np.ndarray], context: np.ndarray, targets: np.ndarray) -> None:
     """Adds the gradient of the mean negative log-probability to ``g``."""
     n = len(targets)
-    x = p["embed"][context].reshape(n, -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
-    d = _softmax(h @ p["classes"] + p["class_bias"])[1]
-    d[np.arange(n), targets // CLASSES] -= 1
+    order, classes = _by_class(targets)
+    context, targets, rows = context[order], targets[order], np.arange(n)
+    x, h = _hidden(p, context)
+    d = h @ p["classes"]
+    d += p["class_bias"]
+    _softmax(d)
+    d[rows, targets // CLASSES] -= 1
     d /= n
     g["classes"] += h.T @ d
     g["class_bias"] += d.sum(axis=0)
     dh = d @ p["classes"].T
-    for c, rows in _by_class(targets):
-        own = h[rows]
-        d = _softmax(own @ p["words"][c] + p["word_bias"][c])[1]
-        d[np.arange(len(rows)), targets[rows] % CLASSES] -= 1
-        d /= n
-        g["words"][c] += own.T @ d
-        g["word_bias"][c] += d.sum(axis=0)
-        dh[rows] += d @ p["words"][c].T
+    d = _word_logits(p, h, classes)
+    _softmax(d)
+    d[rows, targets % CLASSES] -= 1
+    d /= n
+    g["word_bias"][[c for c, _, _ in classes]] += np.add.reduceat(d, [a for _, a, _ in classes], axis=0)
+    for c, a, b in classes:
+        g["words"][c] += h[a:b].T @ d[a:b]
+        dh[a:b] += d[a:b] @ p["words"][c].T
     dh *= 1 - h * h
     g["hidden"] += x.T @ dh
     g["hidden_bias"] += dh.sum(axis=0)
     dx = (dh @ p["hidden"].T).reshape(-1, DIM)
-    flat = context.ravel()
+    flat = context.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     own = flat[order]
     begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    g["embed"][own[begin]] += np.add.reduceat(dx[order], begin, axis=0)
+    g["embed"][own[begin]] += np.add.reduceat(dx.take(order, axis=0), begin, axis=0)
 
 
 class Trainer:
@@ -203,12 +228,9 @@ class Trainer:
 
 
 def _masked(words: Words, turn: int, mask: int = MASK) -> np.ndarray:
-    """One position in ``mask``, by place and document, others each turn."""
-    doc = words.doc_of_word()
-    place = np.arange(len(words.hash)) - words.lo[doc]
-    salt = (words.hash[np.minimum(words.lo, max(len(words.hash) - 1, 0))][doc] >> U64(40)).astype(np.int64) \
-        if len(words.hash) else np.zeros(0, np.int64)
-    return np.flatnonzero((place + salt + turn) % mask == 0)
+    """One position in ``mask`` of every document; each of ``mask`` turns has others."""
+    place = np.arange(len(words.hash)) - words.lo[words.doc_of_word()]
+    return np.flatnonzero((place + turn) % mask == 0)
 
 
 def vocabulary(docs: DataFrame) -> Model:
@@ -296,7 +318,7 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BA
             for batch in batches:
                 for part in slices(batch, "text", 1 << 19):
                     words = Words(part.column("text"))
-                    at = _masked(words, turn * (mask // 2), mask)
+                    at = _masked(words, turn, mask)
                     if not len(at):
                         continue
                     ids = own.word_ids(words.hash)
@@ -339,8 +361,8 @@ def score_words(words: Words, model: Model) -> np.ndarray:
     ids, share, _ = model.look_up(words.hash)
     doc = words.doc_of_word()
     out = np.empty(len(ids))
-    for first in range(0, len(ids), 1 << 14):
-        at = np.arange(first, min(first + (1 << 14), len(ids)))
+    for first in range(0, len(ids), 1 << 12):
+        at = np.arange(first, min(first + (1 << 12), len(ids)))
         own = doc[at]
         out[at] = log_probabilities(p, contexts(ids, words.lo[own], words.hi[own], at), ids[at])
     return out + share

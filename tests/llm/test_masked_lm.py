@@ -67,6 +67,24 @@ def test_counts_cover_all_documents_and_training_learns_pairs(spark):
     assert after > lm.score_words(shuffled, model).mean() + 1.0
 
 
+def test_every_position_is_a_target_once():
+    texts = ["one", "one two", "", "a b c d e f g h i j k", "a b c d e f g h i j k", "x " * 1000]
+    words = Words(pa.array(texts))
+    targets = np.concatenate([lm._masked(words, turn) for turn in range(lm.ROUNDS)])
+    assert sorted(targets) == list(range(len(words.hash)))
+
+
+def test_production_parameters_learn_pairs(spark):
+    docs = spark.createDataFrame(list(enumerate(sentences(8_000, 1))), "doc_id long, text string").repartition(2)
+    start, model = lm.vocabulary(docs), lm.fit(docs)
+    held = Words(pa.array(sentences(50, 9)))
+    rnd = random.Random(3)
+    shuffled = Words(pa.array([" ".join(rnd.sample(t.split(), len(t.split()))) for t in sentences(50, 9)]))
+    before, after = lm.score_words(held, start).mean(), lm.score_words(held, model).mean()
+    assert after > before + 1.0
+    assert after > lm.score_words(shuffled, model).mean() + 1.0
+
+
 def test_every_word_has_its_own_probability(spark, small):
     """One-word texts of 80,000 words: their probabilities (between the same
     neighbours, none) sum to one, and follow the counts."""
@@ -80,7 +98,8 @@ def test_every_word_has_its_own_probability(spark, small):
         got = {r["doc_id"]: r["log_prob"] for r in lm.score(asked, model).collect()}
         unseen = got.pop(-1)
         assert np.exp(list(got.values())).sum() == pytest.approx(1, abs=0.01)
-        assert unseen < min(got.values())
+        ids = model.word_ids(Words(pa.array([*(f"w{i}" for i in range(n)), "garbage"])).hash)
+        assert unseen < min(got[i] for i in np.flatnonzero(ids[:n] == ids[n]))
         for i in (0, 299, 4999, 9999, n - 1) if near else ():
             assert np.exp(got[i]) * sum(count) == pytest.approx(count[i], rel=near)
 
