@@ -195,7 +195,8 @@ def _scan(index_of, carried: bool):
 def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
     """The benchmark's indexes, one per block of about ``block_chars``."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    # copies of an item would all go to one block
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, math.ceil(size / block_chars))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))

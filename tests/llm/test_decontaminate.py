@@ -64,6 +64,17 @@ def test_spans_and_items_match_brute_force(spark, block_chars):
         [x for x in docs if not brute([x], items)[0][5]], key=repr)
 
 
+def test_copies_of_an_item_are_indexed_once(spark):
+    """A third of the benchmark's rows are one item: its copies neither fill a
+    block nor add blocks."""
+    items = [(f"i{k}", f"{k} " + " ".join(str(k * j) for j in range(40))) for k in range(100)]
+    copies = [items[0]] * 50
+    b = spark.createDataFrame(items + copies, "item_id string, text string")
+    blocks = [index.value.ids for index in decontaminate.benchmark_blocks(b, 2000)]
+    assert sorted(i for ids in blocks for i in ids) == sorted(i for i, _ in items)
+    assert len(blocks) == len(list(decontaminate.benchmark_blocks(b.distinct(), 2000)))
+
+
 def test_query_on_clashing_columns_and_empty_tables(spark, small):
     docs = pa.table({"doc_id": pa.array([1, None]), "text": pa.array(["a b", None]),
                      "n_words": pa.array([5, 6]), "spans": pa.array(["x", "y"])})
