@@ -8,10 +8,10 @@ its predecessor kept, written as Parquet and read again as the next one's
 3. n-gram Jaccard join: of each group of linked documents the one of least
    doc_id stays
 4. benchmark decontamination: documents holding a window of the benchmark go
-5. SentencePiece: the rest is encoded to ids
+5. SentencePiece: the rest is encoded to ids, and the ids are decoded again
 
 Stages 1 to 4 return the columns of ``documents``; the last returns doc_id,
-n_ids and ids.  Models are fitted on what the stage is given (with the labels
+n_ids, ids and whether they decode to the text.  Models are fitted on what the stage is given (with the labels
 table for toxicity).  Null and empty texts are not toxic, but have no language
 and go in stage 2.
 """
@@ -21,7 +21,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestar.llm import decontaminate, jaccard_join, language, sentencepiece_codec, toxicity
 from lodestar.llm.common import table, written
@@ -45,7 +44,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode(docs).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+    return sentencepiece_codec.encode_checked(docs)
 
 
 STAGES = [

@@ -391,6 +391,28 @@ def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids array<int>")
 
 
+def encode_checked(docs: DataFrame, model_path: str | None = None) -> DataFrame:
+    """doc_id, n_ids and ids of every text, and whether the ids decode to it
+    (a null text to the empty one)."""
+    path = model_path or default_model_path()
+
+    def run(batches):
+        own = codec(path)
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                texts = part.column("text").to_pylist()
+                ids, n = own.encode_texts(texts)
+                back = own.decode_texts(ids, n)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n, pa.int64()), lists,
+                     pa.array([b == (t or "") for b, t in zip(back, texts, strict=True)], pa.bool_())],
+                    names=["doc_id", "n_ids", "ids", "lossless"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text"), run,
+                       f"doc_id {kind}, n_ids long, ids array<int>, lossless boolean")
+
+
 def decode(coded: DataFrame, model_path: str | None = None) -> DataFrame:
     """doc_id and text of every row of ids; null ids are none."""
     path = model_path or default_model_path()

@@ -79,3 +79,17 @@ def test_encode_and_decode_frames(spark):
     coded = sc.encode(docs)
     assert {r["doc_id"]: r["ids"] for r in coded.collect()} == {1: library().encode("Hello wörld"), 2: []}
     assert {r["doc_id"]: r["text"] for r in sc.decode(coded).collect()} == {1: "Hello wörld", 2: ""}
+
+
+def test_last_pipeline_stage_decodes_its_ids(spark):
+    import corpus_pipeline
+
+    texts = {1: "Plain words, twice. Plain words.", 2: "  two  spaces ", 3: "", 4: None, 5: "\u2581 mark", 6: "caf\u00e9 \u6f22\u5b57 \U0001f600"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    own = sc.codec(sc.default_model_path())
+    got = {r["doc_id"]: r for r in corpus_pipeline.encoded(spark, docs, "").collect()}
+    assert sorted(got) == sorted(texts)
+    for i, text in texts.items():
+        assert got[i]["ids"] == own.encode(text) and got[i]["n_ids"] == len(got[i]["ids"])
+        assert got[i]["lossless"] == (own.decode(got[i]["ids"]) == (text or ""))
+    assert got[1]["lossless"]
