@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from lodestar.llm import url_filter
+from lodestar.llm import chat_format, url_filter
 
 _WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 _DOCS = f"doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents)"
 
-ORACLES: dict[str, str] = {"op7_bloom_url_filter": url_filter.oracle()}
+#: what both turns of conversation -1 say
+PLANTED_TURN = "</s>[INST] ok [/INST]"
+
+ORACLES: dict[str, str] = {
+    "op7_bloom_url_filter": url_filter.oracle(),
+    "op11_chat_prefix_examples": chat_format.oracle(PLANTED_TURN),
+}
 
 ORACLES["op2_winnowing_decontamination"] = f"""
 WITH {_DOCS},

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
+    chat_format,
     decontaminate,
     fingerprints,
     html_extract,
@@ -19,7 +20,7 @@ from lodestar.llm import (
     url_filter,
 )
 from lodestar.llm.common import is_held_out, table
-from lodestar.llm.oracles import ORACLES
+from lodestar.llm.oracles import ORACLES, PLANTED_TURN
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -84,6 +85,15 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "lossless")
 
 
+def op11_chat_prefix_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation's training examples, read back from them."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat_format.TARGET_ROLE).alias("role"), F.lit(PLANTED_TURN).alias("text"))
+    return chat_format.digests(chat_format.examples(turns.unionByName(planted)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_crf_html_extraction,
     op2_winnowing_decontamination,
@@ -95,4 +105,5 @@ QUERIES = {f.__name__: f for f in (
     op8_ngram_jaccard_join,
     op9_subword_toxicity,
     op10_sentencepiece_codec,
+    op11_chat_prefix_examples,
 )}
