@@ -10,6 +10,7 @@ from lodestar.llm import (
     chat_format,
     decontaminate,
     fingerprints,
+    hard_negatives,
     html_extract,
     jaccard_join,
     language,
@@ -20,7 +21,7 @@ from lodestar.llm import (
     url_filter,
 )
 from lodestar.llm.common import is_held_out, table
-from lodestar.llm.oracles import ORACLES, PLANTED_TURN
+from lodestar.llm.oracles import ANCHOR_EVERY, ORACLES, PLANTED_TURN
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -94,6 +95,14 @@ def op11_chat_prefix_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.examples(turns.unionByName(planted)))
 
 
+def op12_residue_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantized(rows.withColumn("label", label))
+    return hard_negatives.mine(rows, F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_crf_html_extraction,
     op2_winnowing_decontamination,
@@ -106,4 +115,5 @@ QUERIES = {f.__name__: f for f in (
     op9_subword_toxicity,
     op10_sentencepiece_codec,
     op11_chat_prefix_examples,
+    op12_residue_hard_negatives,
 )}
