@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import map_batches, written
+from lodestar.llm.common import map_batches, sorted_groups, written
 from lodestar.llm.words import U64, Words, doc_shingles, mix, segment_sum, slices
 
 SHINGLE = 5
@@ -117,26 +117,6 @@ def _sketch(batches):
                 names=["doc_id", "key", "bands", "values"])
 
 
-def sorted_groups(batches, names: tuple[str, ...]):
-    """Tables of consecutive rows with equal (integer) ``names``."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1)
-        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            key = tuple(keys[a])
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 UNIT = ("bucket", "low", "high")
 
 

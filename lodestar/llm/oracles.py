@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestar.llm import chat_format, hard_negatives, url_filter
+from lodestar.llm import chat_format, hard_negatives, merkle, url_filter
 
 _WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -12,11 +12,14 @@ _DOCS = f"doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, [
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 #: anchors are the vectors whose id it divides
 ANCHOR_EVERY = 50
+#: documents are tampered with where it divides the crc32 of their id
+TAMPERED_EVERY = 7
 
 ORACLES: dict[str, str] = {
     "op7_bloom_url_filter": url_filter.oracle(),
     "op11_chat_prefix_examples": chat_format.oracle(PLANTED_TURN),
     "op12_residue_hard_negatives": hard_negatives.oracle(ANCHOR_EVERY),
+    "op13_merkle_manifest": merkle.oracle(TAMPERED_EVERY),
 }
 
 ORACLES["op2_winnowing_decontamination"] = f"""

@@ -15,13 +15,14 @@ from lodestar.llm import (
     jaccard_join,
     language,
     masked_lm,
+    merkle,
     sentencepiece_codec,
     tokens,
     toxicity,
     url_filter,
 )
 from lodestar.llm.common import is_held_out, table
-from lodestar.llm.oracles import ANCHOR_EVERY, ORACLES, PLANTED_TURN
+from lodestar.llm.oracles import ANCHOR_EVERY, ORACLES, PLANTED_TURN, TAMPERED_EVERY
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -103,6 +104,20 @@ def op12_residue_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("vec_id") % ANCHOR_EVERY == 0)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, checked against the root."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+
+    def leaf(n_chars):
+        return merkle.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED_EVERY == 0
+    claimed = F.when(tampered, leaf(F.col("n_chars").cast("decimal(20,0)") + 1))
+    manifest = merkle.Manifest(docs.select(F.col("lang").alias("tree_key"), F.col("doc_id").alias("id"),
+                                           leaf(F.col("n_chars")).alias("leaf"), claimed.alias("claimed")))
+    return manifest.proofs().withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_crf_html_extraction,
     op2_winnowing_decontamination,
@@ -116,4 +131,5 @@ QUERIES = {f.__name__: f for f in (
     op10_sentencepiece_codec,
     op11_chat_prefix_examples,
     op12_residue_hard_negatives,
+    op13_merkle_manifest,
 )}

@@ -24,4 +24,4 @@ def test_query_matches_its_sql(spark, name):
 def test_all_queries_are_registered():
     names = set(E.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
