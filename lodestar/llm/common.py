@@ -85,6 +85,17 @@ def sorted_groups(batches, names: tuple[str, ...]):
         yield pa.Table.from_batches(held)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def is_held_out(column: str, modulus: int, remainder: int):
     """crc32(id as text) mod ``modulus`` = ``remainder``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus == remainder, F.lit(False))

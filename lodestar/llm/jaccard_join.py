@@ -4,8 +4,8 @@ Two documents are linked when the Jaccard similarity of their sets of
 five-word shingles is ``THRESHOLD`` or more (a text of 1 to 4 words has one
 shingle of all of them).
 
-1. One pass over the texts gives each document a 128-bit key of its word
-   sequence, ``HASHES`` MinHash values and ``BANDS`` band hashes of ``ROWS``
+1. One pass over the texts gives each document a 128-bit BLAKE2 key of its
+   word sequence, ``HASHES`` MinHash values and ``BANDS`` band hashes of ``ROWS``
    values.  Documents of equal key form a class; only classes go on, with
    their number of copies.
 2. Classes that share a band meet in that band's bucket.  A bucket of more
@@ -29,7 +29,7 @@ Defined cases: null, empty and wordless texts link to nothing and form
 classes of their own.  Repeated rows count as copies.  Null doc_ids are
 documents like others; a class's id is its least non-null doc_id (null if it
 has none).  Extra columns are ignored (``linked_documents``) or passed
-through (``drop_near_copies``).
+through whatever their names (``drop_near_copies``).
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import map_batches, sorted_groups, written
+from lodestar.llm.common import free_names, map_batches, sorted_groups, written
 from lodestar.llm.words import U64, Words, doc_shingles, mix, segment_sum, slices
 
 SHINGLE = 5
@@ -54,6 +54,7 @@ STEP = 32
 TOLERANCE = 1e-6
 BLOCK = 512
 BROADCAST_ROWS = 1_000_000
+SALTS = 16
 
 _rng = np.random.default_rng(19970611)
 _MUL = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
@@ -73,15 +74,6 @@ def least_matches(n: int) -> int:
 LEAST = {n: least_matches(n) for n in range(STEP, HASHES + 1, STEP)}
 
 
-def text_keys(words: Words) -> list[bytes | None]:
-    """128 bits per word sequence; None for texts without words."""
-    place = (np.arange(len(words.hash)) - np.repeat(words.lo, words.n_words)).astype(U64)
-    halves = [segment_sum(mix(words.hash + place * U64(c)), words.n_words)
-              for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
-    both = np.ascontiguousarray(np.stack(halves, axis=1).astype("<u8"))
-    return [both[d].tobytes() if words.n_words[d] else None for d in range(words.n_docs)]
-
-
 def minhashes(words: Words) -> np.ndarray:
     """(documents x HASHES) values; rows of wordless texts are 0."""
     hashes, _, counts = doc_shingles(words, SHINGLE)
@@ -111,7 +103,7 @@ def _sketch(batches):
             values = minhashes(words)
             bands = band_hashes(values)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(text_keys(words), pa.binary()),
+                [part.column("doc_id"), pa.array(words.text_keys(), pa.binary()),
                  pa.array(list(bands), pa.list_(pa.int64())),
                  pa.array([v.tobytes() for v in values], pa.binary())],
                 names=["doc_id", "key", "bands", "values"])
@@ -130,15 +122,16 @@ def surviving_pairs(values: np.ndarray, block: np.ndarray, low: int, high: int,
         a, b = (x.ravel() for x in np.meshgrid(left[first:first + rows], right, indexing="ij"))
         if low == high:
             a, b = a[a < b], b[a < b]
+        # a pair is handled in the first band it shares
+        for earlier in range(band):
+            own = slice(earlier * ROWS, (earlier + 1) * ROWS)
+            apart = (values[a, own] != values[b, own]).any(axis=1)
+            a, b = a[apart], b[apart]
         matches = np.zeros(len(a), dtype=np.int64)
         for n in range(STEP, HASHES + 1, STEP):
             matches += (values[a, n - STEP:n] == values[b, n - STEP:n]).sum(axis=1)
             keep = matches >= LEAST[n]
             a, b, matches = a[keep], b[keep], matches[keep]
-        if band and len(a):
-            own = slice(0, band * ROWS)
-            earlier = (values[a, own] == values[b, own]).reshape(len(a), band, ROWS).all(axis=2).any(axis=1)
-            a, b = a[~earlier], b[~earlier]
         found_a.append(a)
         found_b.append(b)
     empty = np.zeros(0, dtype=np.int64)
@@ -219,12 +212,14 @@ def _verify(batches):
                  pa.array([keys[find(i)] for i in linked], pa.binary())], names=["key", "links", "root"])
 
 
-def _with_key(batches):
-    for batch in batches:
-        for part in slices(batch, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(text_keys(Words(part.column("text"))), pa.binary())],
-                names=[*part.schema.names, "lodestar text key"])
+def _with_key(name: str):
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(Words(part.column("text")).text_keys(), pa.binary())],
+                    names=[*part.schema.names, name])
+    return run
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -233,6 +228,16 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def join_hot(rows: DataFrame, one_each: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """``rows`` left-joined with ``one_each`` (a row per ``key``).  A key may
+    hold most of ``rows``: they are dealt by ``spread_by`` over ``SALTS`` tasks
+    a key, and ``one_each`` is sent to all of them."""
+    salt = free_names(rows, "salt")[0]
+    left = rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    right = one_each.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [key, salt], "left").drop(salt)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, label): the least key of each connected component."""
     both = written(edges.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct()
@@ -241,11 +246,12 @@ def components(edges: DataFrame) -> DataFrame:
     labels = both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("near")).select(
         "key", F.least("key", "near").alias("label"))
     while True:
-        near = both.join(labels, F.col("b") == F.col("key")).groupBy("a").agg(F.min("label").alias("near"))
-        nearer = labels.join(near, F.col("key") == F.col("a"), "left").select(
+        near = join_hot(both, labels.withColumnRenamed("key", "b"), "b", "a").groupBy(F.col("a").alias("key")).agg(
+            F.min("label").alias("near"))
+        nearer = labels.join(near, "key", "left").select(
             "key", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        jump = nearer.select(F.col("key").alias("via"), F.col("label").alias("beyond"))
-        labels = written(nearer.join(jump, F.col("label") == F.col("via"), "left").select(
+        jump = nearer.select(F.col("key").alias("label"), F.col("label").alias("beyond"))
+        labels = written(join_hot(nearer, jump, "label", "key").select(
             "key", F.least("label", F.coalesce("beyond", "label")).alias("label"), "old"), "labels")
         if labels.where("label <> old").isEmpty():
             return labels.select("key", "label")
@@ -278,8 +284,8 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     needed = written(pruned.select("key").distinct().join(classes.select("key", "rep"), "key"), "needed")
     texts = docs.select("doc_id", "text").join(
         small(needed.select("rep").distinct()), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    texts = map_batches(texts, _with_key, f"doc_id {kind}, text string, `lodestar text key` binary").select(
-        F.col("lodestar text key").alias("key"), "text").where("key is not null").dropDuplicates(["key"])
+    texts = map_batches(texts, _with_key("key"), f"doc_id {kind}, text string, key binary").select(
+        "key", "text").where("key is not null").dropDuplicates(["key"])
     verified = written(map_batches(
         pruned.join(texts, "key").repartition(*UNIT).sortWithinPartitions(*UNIT, "at"), _verify,
         "key binary, links long, root binary"), "verified")
@@ -293,10 +299,10 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def linked_documents(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (least doc_id of its group of linked documents) and
     n_links (documents similar to it, copies included), a row per document."""
-    rows, classes = _classes(docs)
+    rows, classes = _classes(docs)  # exact copies share a key: the document joins are hot too
     ids = classes.groupBy("label").agg(F.min("rep").alias("class_id"))
-    by_key = classes.join(ids, "label").select("key", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
-    return rows.join(by_key, "key", "left").select(
+    by_key = join_hot(classes, ids, "label", "key").select("key", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
+    return join_hot(rows, by_key, "key", "doc_id").select(
         "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
@@ -307,15 +313,16 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     rows, classes = _classes(docs)
     best = classes.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "key")).alias("b")).select(
         "label", F.col("b.rep").alias("best_id"), F.col("b.key").alias("best_key"))
-    counted = (rows.where("key is not null").groupBy("doc_id", "key").agg(F.count("*").alias("n"))
-               .join(classes.select("key", "label"), "key").join(best, "label"))
+    labelled = join_hot(classes.select("key", "label"), best, "label", "key")
+    counted = rows.where("key is not null").groupBy("doc_id", "key").agg(F.count("*").alias("n"))
+    counted = join_hot(counted, labelled, "key", "doc_id")
     is_best = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("key") == F.col("best_key"))
+    key, gone_id, gone_key = free_names(docs, "text_key", "gone_id", "gone_key")
+    again = free_names(docs, "again")[0]
     out = written(counted.where(~is_best | (F.col("n") > 1)).select(
-        F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), is_best.alias("again")), "gone")
-    keyed = map_batches(docs, _with_key, T.StructType(
-        [*docs.schema.fields, T.StructField("lodestar text key", T.BinaryType())]))
-    key = F.col("lodestar text key")
-    match = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key"))
+        F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key), is_best.alias(again)), "gone")
+    keyed = map_batches(docs, _with_key(key), T.StructType([*docs.schema.fields, T.StructField(key, T.BinaryType())]))
+    match = keyed["doc_id"].eqNullSafe(out[gone_id]) & (keyed[key] == out[gone_key])
     kept = keyed.join(small(out), match, "left_anti")
-    again = keyed.join(small(out.where("again")), match, "left_semi").dropDuplicates(["doc_id", "lodestar text key"])
-    return kept.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    once = keyed.join(small(out.where(F.col(again))), match, "left_semi").dropDuplicates(["doc_id", key])
+    return kept.unionByName(once).drop(key)

@@ -321,7 +321,7 @@ class Codec:
         cut[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(points))
-        hashes = byte_hashes(points, start, end)
+        hashes = byte_hashes(points.view(np.uint8), 4 * start, 4 * end)
         first, count = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
         short = np.flatnonzero(end - start <= CACHED_CHARS)
         distinct, where, inverse = np.unique(hashes[short], return_index=True, return_inverse=True)

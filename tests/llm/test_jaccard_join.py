@@ -7,6 +7,7 @@ import pytest
 
 from lodestar.llm import jaccard_join as jj
 from lodestar.llm.queries import QUERIES
+from lodestar.llm.words import Words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -76,9 +77,10 @@ def test_links_and_classes_match_brute_force(spark, monkeypatch, block):
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)[0]
 
 
-def test_one_document_of_each_group_stays(spark):
+@pytest.mark.parametrize("names", [("key", "label"), ("gone_id", "gone_key"), ("lodestar text key", "text_key"), ("again", "Gone_Id"), ("salt", "links")])
+def test_one_document_of_each_group_stays(spark, names):
     rows = corpus(6)
-    d = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, key int, label string")
+    d = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], f"doc_id long, text string, `{names[0]}` int, `{names[1]}` string")
     kept = jj.drop_near_copies(d)
     assert kept.columns == d.columns
     kept = [(r["doc_id"], r["text"]) for r in kept.collect()]
@@ -108,3 +110,31 @@ def test_query_edges(spark, small):
     assert q(spark, small(documents=t.slice(0, 0))).collect() == []
     assert jj.drop_near_copies(spark.read.parquet(small(documents=t.slice(0, 0)) + "/documents.parquet")).collect() == []
     assert np.all(np.array(list(jj.LEAST)) % jj.STEP == 0)
+
+
+def test_words_that_collide_modulo_a_power_of_two_are_apart(spark):
+    x = "a"
+    while len(x) < 1024:  # equal under every polynomial modulo 2^64
+        x += x.translate(str.maketrans("ab", "ba"))
+    y = x.translate(str.maketrans("ab", "ba"))
+    rows = [(i, f"one two three four five six {w}") for i, w in enumerate((x, y))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jj.linked_documents(df).collect())) == [(0, 0, 0), (1, 1, 0)]
+    assert jj.drop_near_copies(df).count() == 2
+
+
+def test_text_keys_are_those_of_the_word_sequence():
+    texts = ["a b", " A\tb!", "ab", "", None, "a b a", "  ", "x" * 5000 + " y", "b", "é É", "é\nÉ", "a  b"]
+    keys = Words(pa.array(texts)).text_keys()
+    want = [tuple(WORD.findall((t or "").translate(LOWER))) for t in texts]
+    for i, a in enumerate(want):
+        assert (keys[i] is None) == (not a)
+        for j, b in enumerate(want):
+            assert (keys[i] == keys[j]) == (a == b)
+
+
+def test_word_hashes_follow_the_bytes():
+    words = ["a", "b", "ab", "ba", "abcdefgh", "abcdefghi", "abcdefgh" * 2, "abcdefgh" * 3, "x" * 255, "x" * 256, "x" * 257, "x" * 258]
+    hashes = Words(pa.array([" ".join(words), " ".join(reversed(words))])).hash
+    assert len(set(hashes.tolist())) == len(words)
+    assert hashes[:len(words)].tolist() == hashes[len(words):][::-1].tolist()
