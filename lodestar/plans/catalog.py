@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from lodestar.functions.labels import dictionary_names, flag_labels_text, info_text
 from lodestar.functions.numeric import sig_round
 from lodestar.functions.vectors import check_vectors, dot, euclidean_distance, squared_distance, vector_dim
-from lodestar.operators import classify, cluster, lookup, pca, recommend, regression, splits, stats, topk
+from lodestar.operators import (classify, cluster, factor_search, lookup, pca, recommend, regression, splits, stats,
+                                topk)
 from lodestar.plans import relations as R
 from lodestar.session import scratch_path
 from lodestar.sources import text as io
@@ -726,6 +727,18 @@ def recommend_topk(spark, sf_dir):
     return ranked.select("item", F.round("score", 9).alias("score"), "rank")
 
 
+USERS_EVERY = 100
+
+
+@query
+def recommend_topk_users(spark, sf_dir):
+    """M15 + W2 + J5 for a set of users: the 10 best items, by dot product over
+    the whole embedding table, of every user whose id 100 divides."""
+    f = _factors(spark, sf_dir)
+    top, _ = factor_search.recommend_for_users(f.where(F.col("id") % USERS_EVERY == 0), f, 10)
+    return top.select("user", "item", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
 # ----------------------------------------------------------------- classification
 
 CLASS_FEATURES = ["l_discount", "l_tax"]

@@ -505,6 +505,15 @@ SELECT item, round(score, 9) + 0.0 AS score,
 FROM s ORDER BY score DESC, item LIMIT 10
 """
 
+ORACLES["recommend_topk_users"] = """
+WITH s AS (SELECT u.vec_id AS "user", i.vec_id AS item,
+                  list_inner_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score
+           FROM embeddings u, embeddings i WHERE u.vec_id % 100 = 0)
+SELECT "user", item, round(score, 9) + 0.0 AS score,
+       CAST(row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS BIGINT) AS rank
+FROM s QUALIFY rank <= 10
+"""
+
 
 # ---------------------------------------------------------------- classification
 

@@ -11,8 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -92,3 +93,32 @@ def clean_scratch(spark: SparkSession) -> None:
     delete its own."""
     while _scratch:
         remove_folder(spark, _scratch.pop())
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder under the shared scratch folder and read
+    back: the lineage ends there, and lost executors do not lose it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application: functions that
+    run inside tasks are pickled by name, so their Python workers import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lodestar-package-"), "lodestar-package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("lodestar", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
