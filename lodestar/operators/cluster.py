@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ from lodestar.functions.vectors import (check_vectors, distance_array, euclidean
 from lodestar.operators.lookup import checked_broadcast
 from lodestar.operators.partitioning import ROWS_PER_PARTITION, dealt_by_key
 from lodestar.operators.topk import top_n_per_group
+from lodestar.operators.units import matrix
+from lodestar.session import ship_package
 
 
 def group_centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
@@ -167,6 +171,126 @@ def lloyd_kmeans(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter:
         data.unpersist()
 
 
+@dataclass
+class BoundedResult(LloydResult):
+    distances: int = 0    # worked out
+    possible: int = 0     # points x centres x iterations
+
+    @property
+    def skipped_share(self) -> float:
+        return 1 - self.distances / self.possible if self.possible else 0.0
+
+
+CHECKPOINT_EVERY = 8
+#: numbers in a block of differences
+BLOCK_CELLS = 1 << 21
+#: bounds decide only by more than what rounding can do to them
+BOUND_MARGIN = 1e-9
+
+
+def _bounded_step(centres: np.ndarray, drift: np.ndarray | None, d: int):
+    """One assignment of (id, vector, cluster, upper, lower, worked): a point's
+    distance to its centre is at most ``upper``, to any other at least
+    ``lower``; ``drift`` is how far each centre has moved since."""
+    k = len(centres)
+    apart = np.full(k, np.inf)
+    if k > 1:
+        between = np.sqrt(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
+        np.fill_diagonal(between, np.inf)
+        apart = between.min(axis=1) / 2
+    others = np.zeros(k)  # the farthest move among the other centres
+    if drift is not None and k > 1:
+        top = np.argsort(-drift)
+        others[:] = drift[top[0]]
+        others[top[0]] = drift[top[1]]
+
+    def run(batches):
+        for batch in batches:
+            x = matrix(batch.column(1), d)
+            n = len(x)
+            cluster, upper, lower = (batch.column(i).to_numpy(zero_copy_only=False).copy() for i in (2, 3, 4))
+            worked = np.zeros(n, dtype=np.int64)
+            todo = np.arange(n)
+            if drift is not None:
+                upper += drift[cluster]
+                lower -= others[cluster]
+                sure = np.maximum(lower, apart[cluster]) * (1 - BOUND_MARGIN)
+                todo = np.flatnonzero(upper >= sure)
+                upper[todo] = np.sqrt(((x[todo] - centres[cluster[todo]]) ** 2).sum(axis=1))
+                worked[todo] = 1
+                todo = todo[upper[todo] >= sure[todo]]
+            rows = max(1, BLOCK_CELLS // (k * d))
+            for first in range(0, len(todo), rows):
+                own = todo[first:first + rows]
+                squared = ((x[own][:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+                nearest = squared.argmin(axis=1)  # ties: the lowest index
+                cluster[own], upper[own] = nearest, np.sqrt(squared[np.arange(len(own)), nearest])
+                squared[np.arange(len(own)), nearest] = np.inf
+                lower[own] = np.sqrt(squared.min(axis=1))
+                worked[own] = k
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(v) for v in (cluster, upper, lower, worked))],
+                names=batch.schema.names)
+    return run
+
+
+def kmeans_bounded(df: DataFrame, vec: str, k: int, id_col: str = "id", max_iter: int = 100, tol: float = 1e-4,
+                   init: str = "first", seed: int = 1, centres=None, fixed_iterations: int | None = None,
+                   na: str = "error", rows_per_partition: int = ROWS_PER_PARTITION) -> BoundedResult:
+    """:func:`lloyd_kmeans` for many centres: the same centres with fewer
+    distances (M18, J6).
+
+    Every point carries its cluster, an upper bound of its distance to that
+    centre and a lower bound of that to all others from one iteration to the
+    next; the centres' moves widen them.  While the bounds decide, no distance
+    is worked out; else first the one to the own centre, then all.  The centres
+    go to the tasks as one array.  The points with their bounds are kept
+    (MEMORY_AND_DISK), those of the iteration before are released, and every
+    ``CHECKPOINT_EVERY`` iterations they are written to the shared folder."""
+    spark = df.sparkSession
+    ship_package(spark)
+    checked, d = check_vectors(df.select(id_col, F.col(vec).cast("array<double>").alias(vec)), vec, None, na)
+    dealt = dealt_by_key(checked, id_col, df.count(), rows_per_partition)
+    kind = dealt.schema[id_col].dataType.simpleString()
+    state = dealt.withColumns({"_c": F.lit(0), "_upper": F.lit(0.0), "_lower": F.lit(0.0), "_worked": F.lit(0).cast("long")}).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    kept = [state]
+    try:
+        cur = [list(c) for c in centres] if centres is not None else init_centres(state, id_col, vec, k, init, seed)
+        res = BoundedResult(centres=cur)
+        n, drift = state.count(), None
+        limit = fixed_iterations if fixed_iterations is not None else max_iter
+        for it in range(max(1, limit)):
+            step = _bounded_step(np.array(cur, dtype=float).reshape(len(cur), d), drift, d)
+            state = state.mapInArrow(step, f"`{id_col}` {kind}, `{vec}` array<double>, _c int, _upper double, _lower double, _worked long")
+            if it % CHECKPOINT_EVERY == CHECKPOINT_EVERY - 1:
+                state = state.checkpoint()
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(state)
+            means = _cluster_means(state, vec, "_c").collect()  # at most K rows
+            res.distances += state.agg(F.sum("_worked")).first()[0] or 0
+            res.possible += n * len(cur)
+            kept.pop(0).unpersist()
+            new = [list(c) for c in cur]
+            for r in means:
+                new[r["_c"]] = list(r["mean"])
+            moved = np.array(new, dtype=float).reshape(len(cur), d) - np.array(cur, dtype=float).reshape(len(cur), d)
+            drift = np.sqrt((moved**2).sum(axis=1)) * (1 + BOUND_MARGIN)
+            cur = new
+            res.shifts.append(float((moved**2).sum()))
+            res.iterations = it + 1
+            res.converged = res.shifts[-1] <= tol
+            if fixed_iterations is None and res.converged:
+                break
+        res.centres = cur
+        if fixed_iterations is None and not res.converged:
+            raise NotConvergedError(f"shift {res.shifts[-1]:g} > {tol:g} after {res.iterations} iterations")
+        return res
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
 def centres_frame(spark, centres) -> DataFrame:
     """Centres as a long-form frame ``(cluster_id, dim, value)``: K x d rows."""
     rows = [(int(c), int(i), float(v)) for c, cen in enumerate(centres) for i, v in enumerate(cen)]
@@ -226,7 +350,7 @@ def centre_distance(vec_col: str, centres, cluster_col: str) -> "F.Column":
 
 
 __all__ = [
-    "LloydResult", "NotConvergedError", "assign_nearest", "centre_distance", "centres_frame",
-    "clustering_cost", "group_centroids", "init_centres", "lloyd_kmeans", "mllib_kmeans",
+    "BoundedResult", "LloydResult", "NotConvergedError", "assign_nearest", "centre_distance", "centres_frame",
+    "clustering_cost", "group_centroids", "init_centres", "kmeans_bounded", "lloyd_kmeans", "mllib_kmeans",
     "rank_by_centre_distance", "squared_distance",
 ]

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.stats import complete_rows, covariance_matrix, gram, vector_mean
+from lodestar.operators.stats import UNROLLED_GRAM_MAX_COLS, complete_rows, covariance_matrix, gram, vector_mean
 
 
 class CollinearError(ValueError):
@@ -22,12 +22,23 @@ class CollinearError(ValueError):
 
 def _covariance_moments(df: DataFrame, xs: Sequence[str], target: str):
     """Sample covariances among the features and with the target, and the
-    means: one pass for the means, one of blocked partial sums around them
+    means: one aggregate up to ``UNROLLED_GRAM_MAX_COLS`` columns; beyond, one
+    pass for the means and one of blocked partial sums around them
     (``stats.covariance_long``), so wide inputs stay d^2 numbers."""
-    row = df.select(F.array(*xs, target).alias("v"))
+    columns = [*xs, target]
+    if len(columns) <= UNROLLED_GRAM_MAX_COLS:
+        pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+        row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                     *[F.covar_samp(columns[i], columns[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
+        means = {c: row[f"m{i}"] for i, c in enumerate(columns)}
+        cov = np.empty((len(columns), len(columns)))
+        for i, j in pairs:
+            cov[i, j] = cov[j, i] = np.nan if row[f"s{i}_{j}"] is None else row[f"s{i}_{j}"]
+        return cov[:-1, :-1], cov[:-1, -1], means
+    row = df.select(F.array(*columns).alias("v"))
     mean, _ = vector_mean(row, "v")
     cov = covariance_matrix(row, "v")
-    means = dict(zip([*xs, target], mean.tolist(), strict=True))
+    means = dict(zip(columns, mean.tolist(), strict=True))
     return cov[:-1, :-1], cov[:-1, -1], means
 
 
@@ -51,8 +62,8 @@ def ols_fit(df: DataFrame, features: Sequence[str], target: str, na: str = "erro
     covariance matrix and the feature/target covariances, intercept from the
     means.  This is algebraically ``(XᵀX)⁻¹Xᵀy`` but does not lose digits when
     features have very different scales.  Without an intercept the raw moments
-    ``XᵀX``, ``Xᵀy`` are used.  Either way one aggregate pass, d x d on the
-    driver.
+    ``XᵀX``, ``Xᵀy`` are used.  Up to 24 columns this is one aggregate; the
+    driver gets d x d numbers.
 
     ``na="error"`` fails on a null in any used column (a null would otherwise
     turn every coefficient into NaN); ``"drop"`` removes such rows.  A singular

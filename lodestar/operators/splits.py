@@ -220,6 +220,33 @@ def complement(all_rows: DataFrame, test: DataFrame, keys) -> DataFrame:
     return all_rows.join(test.select(*keys), list(keys), "left_anti")
 
 
+#: copies of one row that a task writes
+COPIES_PER_TASK = 1_000_000
+
+
+def bag_complement(all_rows: DataFrame, test: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> DataFrame:
+    """The rows of ``all_rows`` less those of ``test``, as bags (U2): a row that
+    stands m times in the one and n times in the other stays max(m - n, 0)
+    times; nulls equal nulls.  One aggregate sums +1 and -1 per row (copies are
+    pre-aggregated in the tasks that read them), and what is left is
+    replicated; a row left more than ``copies_per_task`` times is first dealt
+    in portions."""
+    columns = list(all_rows.columns)
+    if sorted(columns) != sorted(test.columns):
+        raise ValueError(f"columns differ: {columns} and {test.columns}")
+    left = "left"
+    while left in columns:
+        left = "_" + left
+    signed = all_rows.withColumn(left, F.lit(1)).unionByName(test.withColumn(left, F.lit(-1)))
+    kept = signed.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.sum(left).alias(left)).where(F.col(left) > 0)
+    n, size = F.col(left), F.lit(copies_per_task).cast("long")
+    few = kept.where(n <= size)
+    portion = F.transform(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / size)), lambda i: F.least(size, n - i * size))
+    many = kept.where(n > size).withColumn(left, F.explode(portion)).repartition(
+        int(all_rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return few.unionByName(many).withColumn(left, F.explode(F.sequence(F.lit(1).cast("long"), n))).drop(left)
+
+
 def files_out_of_order(files: DataFrame, sort_cols: Sequence[str]) -> DataFrame:
     """(rows, out_of_order) of a frame read from files: how many rows stand
     before their predecessor in the same file.  One window per file."""

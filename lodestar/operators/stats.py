@@ -61,7 +61,8 @@ def _cross_products(d: int, read, centre=None):
 
 def corr_with_target(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
     """Pearson correlation of every feature with the target (A6), in one
-    aggregate, returned long: ``(feature, corr)``."""
+    aggregate, returned long: ``(feature, corr)``.  A pair with a null side is
+    left out of that feature's correlation."""
     wide = df.agg(*[F.corr(target, c).alias(c) for c in features])
     stack = ", ".join(f"'{c}', `{c}`" for c in features)
     return wide.selectExpr(f"stack({len(features)}, {stack}) AS (feature, corr)")
@@ -128,10 +129,12 @@ def gram(df: DataFrame, cols: Sequence[str], target: str | None = None, na: str
     return _gram_partials(df, cols, target)
 
 
-def gram_long(df: DataFrame, cols: Sequence[str], target: str | None = None) -> DataFrame:
+def gram_long(df: DataFrame, cols: Sequence[str], target: str | None = None, na: str = "error") -> DataFrame:
     """``XᵀX`` and ``Xᵀy`` as a long frame ``(row_name, col_name, value)``:
     upper triangle of XᵀX plus one row per feature against the target.
-    A single aggregate; the stack happens on the one-row result."""
+    A single aggregate; the stack happens on the one-row result.  Rows with a
+    null or NaN are an error or dropped whole, as in :func:`gram`."""
+    df = complete_rows(df, [*cols, *([target] if target else [])], na)
     aggs, labels = [], []
     for i, a in enumerate(cols):
         for b in cols[i:]:
@@ -146,11 +149,11 @@ def gram_long(df: DataFrame, cols: Sequence[str], target: str | None = None) ->
 
 
 def mse_rmse(pairs: DataFrame, truth: str, pred: str) -> DataFrame:
-    """Mean squared error and its root (A7, F10): one aggregate."""
+    """Mean squared error and its root (A7, F10) in one aggregate; a pair with a
+    null side is in neither the mean nor ``n``."""
     e = F.col(truth).cast("double") - F.col(pred).cast("double")
     mse = F.avg(e * e)
-    return pairs.agg(mse.alias("mse"), F.sqrt(mse).alias("rmse"),
-                     F.count(F.lit(1)).cast("bigint").alias("n"))
+    return pairs.agg(mse.alias("mse"), F.sqrt(mse).alias("rmse"), F.count(e).cast("bigint").alias("n"))
 
 
 def accuracy(scored: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:

@@ -14,7 +14,7 @@ from lodestar.functions.labels import dictionary_names, flag_labels_text, info_t
 from lodestar.functions.numeric import sig_round
 from lodestar.functions.vectors import check_vectors, dot, euclidean_distance, squared_distance, vector_dim
 from lodestar.operators import (classify, cluster, factor_search, lookup, pca, recommend, regression, splits, stats,
-                                topk)
+                                topk, wide)
 from lodestar.plans import relations as R
 from lodestar.session import scratch_path
 from lodestar.sources import text as io
@@ -190,6 +190,15 @@ def split_complement(spark, sf_dir):
     return splits.complement(h, test, ["event_id"])
 
 
+@query
+def bag_complement(spark, sf_dir):
+    """U2 as a bag: the (user, type) of all events less those of the leave-n-out
+    test rows, every repetition counted."""
+    h = R.history(spark, sf_dir).select("event_id", "user_id", "event_type")
+    test = splits.leave_n_out(h, "user_id", "event_id", LNO_START, LNO_STOP).where(F.col("split") == "test")
+    return splits.bag_complement(h.select("user_id", "event_type"), test.select("user_id", "event_type"))
+
+
 # ----------------------------------------------------------------- lookups, projections
 
 
@@ -224,6 +233,20 @@ def ratings_vs_predictions(spark, sf_dir):
     return _truth_and_predictions(r)
 
 
+#: rows of a user from which its rows are split
+JOIN_HOT_ROWS = 50
+
+
+@query
+def join_pairs_skewed(spark, sf_dir):
+    """J1 + J4 with hot keys: every rated pair joined with its user's rounded
+    mean rating; users with many pairs are found by a sketch and split."""
+    r = R.ratings(spark, sf_dir).checkpoint(eager=True)
+    means = r.groupBy("user").agg(F.round(F.avg("rating"), 0).alias("prediction"))
+    j = lookup.join_pairs_skewed(r, means, "user", hot_rows=JOIN_HOT_ROWS)
+    return j.select("user", "item", F.col("rating").cast("double").alias("rating"), "prediction")
+
+
 @query
 def mse_rmse(spark, sf_dir):
     """A7 + F10: mean squared error and its root over the joined pairs."""
@@ -369,6 +392,24 @@ def gram_matrix_wide(spark, sf_dir):
         "i", "j", sig_round("value", 9).alias("value"))
 
 
+@query
+def gram_tiled(spark, sf_dir):
+    """A4 + A5 for many columns: XᵀX of the 64 embedding coordinates from tiles
+    of 24, summed tile by tile and never in one place; upper triangle."""
+    pts = R.points(spark, sf_dir)
+    g = wide.gram_entries(wide.gram_tiled(pts, "features", tile=24), vector_dim(pts, "features"), tile=24)
+    return g.select("i", "j", sig_round("value", 9).alias("value"))
+
+
+@query
+def ols_qr(spark, sf_dir):
+    """M21 + F8 without squaring the condition number: w from the tree of QR
+    factors of the whole design table."""
+    w = wide.ols_qr(R.design(spark, sf_dir), OLS_FEATURES, R.DESIGN_TARGET)
+    rows = {c: v for c, v in w.items() if c is not None}
+    return regression.coefficients_frame(spark, rows).select("feature", sig_round("coefficient", 9).alias("coefficient"))
+
+
 def _ols_train_test(spark, sf_dir):
     d = R.design(spark, sf_dir)
     return splits.holdout_split(d, ["l_orderkey", "l_linenumber"], TRAIN_PCT)
@@ -443,6 +484,21 @@ def csv_roundtrip_noheader(spark, sf_dir):
                        F.col("_c4").cast("bigint"))
 
 
+@query
+def csv_one_file(spark, sf_dir):
+    """K1 as one file: all ratings, sorted, in one CSV file with its header,
+    written in parallel and joined by the file system; the rows read back, and
+    how many of them stand before their predecessor."""
+    path = scratch_path(spark, "ratings-one") + ".csv"
+    ratings = R.ratings(spark, sf_dir).select("user", "item", "rating")
+    io.write_csv_one_file(ratings, path, ["user", "item"])
+    back = io.read_csv(spark, path, header=True, schema="user bigint, item bigint, rating bigint").select(
+        "*", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    by_block = Window.partitionBy("block").orderBy("row")  # the order of lines in a split of the file
+    key = F.struct("user", "item")
+    return back.select("user", "item", "rating", F.coalesce(F.lag(key).over(by_block) > key, F.lit(False)).alias("out_of_order"))
+
+
 @query
 def csv_roundtrip_header(spark, sf_dir):
     """S3 + K2: CSV with header, read back with the writer's schema."""
@@ -490,6 +546,18 @@ def kmeans_lloyd_centroids(spark, sf_dir):
                     F.round("value", 9).alias("value"))
 
 
+@query
+def kmeans_bounded(spark, sf_dir):
+    """M18 + J6 with bounds on every point's distances: the centres after 3
+    iterations from the 5 lowest ids, which must be Lloyd's, and whether
+    distances were skipped."""
+    res = cluster.kmeans_bounded(R.points(spark, sf_dir), "features", LLOYD_K, id_col="vec_id", init="first",
+                                 fixed_iterations=LLOYD_ITERS)
+    c = cluster.centres_frame(spark, res.centres)
+    return c.select(F.col("cluster_id").cast("bigint"), F.col("dim").cast("bigint"), F.round("value", 9).alias("value"),
+                    F.lit(res.distances < res.possible).alias("skipped"))
+
+
 @query
 def kmeans_lloyd_sampled_init(spark, sf_dir):
     """M18 + R2: Lloyd started, as in the reference, from a seeded sample of
@@ -670,12 +738,22 @@ def pca_components_2d(spark, sf_dir):
 def pca2_with_cluster(spark, sf_dir):
     """M20 + J7: every row projected, uncentred, on all components, its cluster
     (label) carried by id instead of zipped by position.  The components are an
-    orthonormal basis, so a row's squared projections sum to its squared norm."""
+    orthonormal basis, so a row's squared projections sum to its squared norm;
+    and with what depends on which basis it is: the projections do not covary,
+    their variances fall, and sum to the covariance's trace and, squared, to its
+    squared Frobenius norm."""
     pts = R.points(spark, sf_dir)
-    pc, _, _ = pca.pca_fit(pts, "features", vector_dim(pts, "features"))
-    out = pca.project_vector(pts, "features", pc, "x")
+    d = vector_dim(pts, "features")
+    out = pca.project_vector(pts, "features", pca.pca_model(pts, "features", d), "x")
+    cov = stats.covariance_matrix(out, "x")
+    var = np.diag(cov)
+    off = float(np.abs(cov - np.diag(var)).max() / var.max())
     return out.select("vec_id", F.round(dot("x", "x"), 6).alias("squared_norm"),
-                      F.size("x").cast("bigint").alias("n_components"), F.col("label").cast("bigint").alias("cluster_id"))
+                      F.size("x").cast("bigint").alias("n_components"), F.col("label").cast("bigint").alias("cluster_id"),
+                      F.round(F.lit(off), 6).alias("covariance_off_diagonal"),
+                      F.lit(int((np.diff(var) > 1e-9 * var[0]).sum())).cast("bigint").alias("n_variances_out_of_order"),
+                      sig_round(F.lit(float(var.sum())), 8).alias("sum_variances"),
+                      sig_round(F.lit(float((var**2).sum())), 8).alias("sum_squared_variances"))
 
 
 # ----------------------------------------------------------------- vectors
@@ -727,6 +805,16 @@ def recommend_topk(spark, sf_dir):
     return ranked.select("item", F.round("score", 9).alias("score"), "rank")
 
 
+@query
+def score_bucketed(spark, sf_dir):
+    """M14 + J4: predicted score of every rated pair from factor tables written
+    bucketed by id; only the pairs are shuffled."""
+    f = _factors(spark, sf_dir)
+    factors = recommend.BucketedFactors(f, f, vector_dim(f, "features"))
+    s = factors.score(R.ratings(spark, sf_dir).select("user", "item"))
+    return s.select("user", "item", F.round("score", 9).alias("score"))
+
+
 USERS_EVERY = 100
 
 
@@ -929,20 +1017,42 @@ def als_topk_rows(spark, sf_dir):
     """M15 + W2: top-10 items for one user from the fitted ALS factors -- the
     user's factor vector (rank numbers) as a literal, one scan of the item
     factors, a bounded top-k merge; no users x items product.  Reports the
-    number of recommendations, distinct items and ordering violations."""
+    number of recommendations, distinct items, ordering violations, scores that
+    are not the factors' dot product and items left out though better."""
     model = _als10(spark, sf_dir)
     vec = recommend.factor_vector(model.userFactors, LOOKUP_USER)
-    items_f = model.itemFactors.select("id", F.col("features").cast("array<double>").alias("features"))
+    items_f = model.itemFactors.select("id", F.col("features").cast("array<double>").alias("features")).checkpoint()
     if vec is None:                     # unknown user: no recommendations
         top = items_f.limit(0).withColumn("score", F.lit(0.0))
     else:
         top = recommend.recommend_for_user(vec, items_f, 10, len(vec))
-    w = Window.orderBy(F.col("score").desc(), F.col("id"))
-    ranked = top.withColumn("_prev", F.lag("score").over(w))
-    return ranked.agg(F.lit(LOOKUP_USER).cast("bigint").alias("user"),
-                      F.count(F.lit(1)).cast("bigint").alias("n_recs"),
-                      F.countDistinct("id").cast("bigint").alias("n_items"),
-                      F.sum((F.col("_prev") < F.col("score")).cast("bigint")).cast("bigint").alias("n_out_of_order"))
+    rows = top.collect()                # ten rows
+    wrong = sum(abs(x["score"] - float(np.dot(vec, x["features"]))) > 1e-6 for x in rows)
+    left_out = 0
+    if rows:
+        left_out = items_f.where(~F.col("id").isin([x["id"] for x in rows]) &
+                                 (dot("features", vec, len(vec)) > min(x["score"] for x in rows) + 1e-9)).count()
+    row = (LOOKUP_USER, len(rows), len({x["id"] for x in rows}),
+           sum(a["score"] < b["score"] for a, b in zip(rows, rows[1:], strict=False)), wrong, left_out)
+    return spark.createDataFrame([row], "user bigint, n_recs bigint, n_items bigint, n_out_of_order bigint, "
+                                 "n_wrong_scores bigint, n_left_out bigint")
+
+
+@query
+def als_heldout_mse(spark, sf_dir):
+    """M13 + R1 + A7: ALS fitted on 80% of the rated pairs (key hash), scored on
+    those and, where both sides are known, on the rest: pairs of both kinds,
+    whether the MSEs equal those recomputed from the factor tables, and whether
+    the held-out error is the larger."""
+    train, test = splits.holdout_split(R.ratings(spark, sf_dir).checkpoint(), ["user", "item"], TRAIN_PCT)
+    model = recommend.als_fit(train, rank=10, max_iter=10, reg=ALS_REG, seed=ALS_SEED)
+    factors = [t.select("id", F.col("features").cast("array<double>").alias("features"))
+               for t in (model.userFactors, model.itemFactors)]
+    fitted, held = (stats.mse_rmse(recommend.predict_pairs(model, r), "rating", "prediction").first() for r in (train, test))
+    again = [stats.mse_rmse(recommend.score_factor_pairs(r, *factors, model.rank), "rating", "score").first() for r in (train, test)]
+    same = all(abs(a["mse"] - b["mse"]) < 1e-3 and a["n"] == b["n"] for a, b in zip((fitted, held), again, strict=True))
+    return spark.createDataFrame([(fitted["n"], held["n"], same, held["mse"] > fitted["mse"])],
+                                 "n_train bigint, n_heldout bigint, mse_recomputed boolean, heldout_is_larger boolean")
 
 
 @query

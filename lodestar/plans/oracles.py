@@ -158,6 +158,13 @@ WITH {_lno(1, 10)}
 SELECT event_id, user_id FROM events WHERE event_id NOT IN (SELECT event_id FROM cand)
 """
 
+ORACLES["bag_complement"] = f"""
+WITH {_lno(1, 10)}
+SELECT user_id, event_type FROM events
+EXCEPT ALL
+SELECT user_id, event_type FROM events WHERE event_id IN (SELECT event_id FROM cand)
+"""
+
 # ---------------------------------------------------------------- lookups, projections
 
 ORACLES["first_n_ordered"] = f"""
@@ -174,6 +181,8 @@ WITH {RATINGS}, {PREDICTIONS}
 SELECT * FROM joined
 """
 
+ORACLES["join_pairs_skewed"] = ORACLES["ratings_vs_predictions"]
+
 ORACLES["mse_rmse"] = f"""
 WITH {RATINGS}, {PREDICTIONS}
 SELECT round(avg((rating - prediction) * (rating - prediction)), 9) + 0.0 AS mse,
@@ -269,6 +278,8 @@ FROM pl a JOIN pl b ON a.vec_id = b.vec_id AND a.dim <= b.dim
 GROUP BY a.dim, b.dim
 """
 
+ORACLES["gram_tiled"] = ORACLES["gram_matrix_wide"]
+
 _GRAM_COLS = ["l_quantity", "l_discount", "l_tax", "intercept"]
 
 
@@ -313,6 +324,8 @@ UNION ALL SELECT 'l_tax', {_sig('b3', 9)} FROM w
 UNION ALL SELECT 'intercept', {_sig('b0', 9)} FROM w
 """
 
+ORACLES["ols_qr"] = ORACLES["ols_coefficients"]
+
 _TRAIN = "WHERE " + HASH80.format(k1="l_orderkey", k2="l_linenumber")
 
 ORACLES["ols_predictions"] = f"""
@@ -350,6 +363,11 @@ SELECT CAST(l_orderkey AS BIGINT) AS _c0, CAST(l_linenumber AS BIGINT) AS _c1,
 FROM classed
 """
 
+ORACLES["csv_one_file"] = f"""
+WITH {RATINGS}
+SELECT "user", item, CAST(rating AS BIGINT) AS rating, false AS out_of_order FROM ratings
+"""
+
 ORACLES["csv_roundtrip_header"] = """
 SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, CAST(1.0 AS DOUBLE) AS intercept,
        l_extendedprice
@@ -396,6 +414,10 @@ ORACLES["kmeans_lloyd_centroids"] = _L + """
 SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(v, 9) + 0.0 AS value FROM c3
 """
 
+ORACLES["kmeans_bounded"] = _L + """
+SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(v, 9) + 0.0 AS value, true AS skipped FROM c3
+"""
+
 ORACLES["kmeans_lloyd_sampled_init"] = _lloyd_sql(
     order="md5('1:' || CAST(vec_id AS VARCHAR)), vec_id") + """
 SELECT CAST(c AS BIGINT) AS cluster_id, CAST(dim AS BIGINT) AS dim, round(v, 9) + 0.0 AS value FROM c3
@@ -472,10 +494,14 @@ FROM cv
 """
 
 ORACLES["pca2_with_cluster"] = f"""
-WITH {_POINTS_LONG}
+WITH {_POINTS_LONG},
+cv AS (SELECT a.dim AS i, b.dim AS j, covar_samp(a.x, b.x) AS c FROM pl a JOIN pl b ON a.vec_id = b.vec_id GROUP BY a.dim, b.dim),
+m AS (SELECT {_sig('sum(c) FILTER (i = j)', 8)} AS sum_variances, {_sig('sum(c * c)', 8)} AS sum_squared_variances FROM cv)
 SELECT vec_id, round(sum(x * x), 6) + 0.0 AS squared_norm, CAST(count(*) AS BIGINT) AS n_components,
-       CAST(label AS BIGINT) AS cluster_id
-FROM pl GROUP BY vec_id, label
+       CAST(label AS BIGINT) AS cluster_id, CAST(0 AS DOUBLE) AS covariance_off_diagonal,
+       CAST(0 AS BIGINT) AS n_variances_out_of_order, any_value(sum_variances) AS sum_variances,
+       any_value(sum_squared_variances) AS sum_squared_variances
+FROM pl, m GROUP BY vec_id, label
 """
 
 # ---------------------------------------------------------------- vectors
@@ -505,6 +531,8 @@ SELECT item, round(score, 9) + 0.0 AS score,
 FROM s ORDER BY score DESC, item LIMIT 10
 """
 
+ORACLES["score_bucketed"] = ORACLES["factor_score_pairs"]
+
 ORACLES["recommend_topk_users"] = """
 WITH s AS (SELECT u.vec_id AS "user", i.vec_id AS item,
                   list_inner_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score
@@ -584,10 +612,21 @@ FROM ratings
 ORACLES["als_topk_rows"] = f"""
 WITH {RATINGS}
 SELECT CAST(7 AS BIGINT) AS "user", CAST(least(10, count(DISTINCT item)) AS BIGINT) AS n_recs,
-       CAST(least(10, count(DISTINCT item)) AS BIGINT) AS n_items, CAST(0 AS BIGINT) AS n_out_of_order
+       CAST(least(10, count(DISTINCT item)) AS BIGINT) AS n_items, CAST(0 AS BIGINT) AS n_out_of_order,
+       CAST(0 AS BIGINT) AS n_wrong_scores, CAST(0 AS BIGINT) AS n_left_out
 FROM ratings
 """
 
+ORACLES["als_heldout_mse"] = f"""
+WITH {RATINGS},
+tagged AS (SELECT *, {HASH80.format(k1='"user"', k2='item')} AS train FROM ratings)
+SELECT CAST(count(*) FILTER (WHERE train) AS BIGINT) AS n_train,
+       CAST(count(*) FILTER (WHERE NOT train AND "user" IN (SELECT "user" FROM tagged WHERE train)
+                             AND item IN (SELECT item FROM tagged WHERE train)) AS BIGINT) AS n_heldout,
+       true AS mse_recomputed, true AS heldout_is_larger
+FROM tagged
+"""
+
 ORACLES["als_factor_shape"] = f"""
 WITH {RATINGS}
 SELECT 'user' AS side, CAST(count(DISTINCT "user") AS BIGINT) AS n_ids, CAST(10 AS BIGINT) AS rank,

@@ -42,13 +42,13 @@ def test_point_lookup_filters_reach_the_scans(spark):
     assert re.search(r"DataFilters: \[[^\]]*\(o_custkey#\d+L = \d+\)", plan)
 
 
-def test_size_check_runs_no_job_and_bounds_bytes(spark):
+def test_size_check_measures_only_small_tables_and_bounds_bytes(spark):
     from lodestar.operators import lookup
     from pyspark.sql import functions as F
-    df = spark.range(1000).withColumn("v", F.raise_error(F.lit("must not run")).cast("string"))
+    df = spark.range(1_000_000).withColumn("v", F.raise_error(F.lit("must not run")).cast("string"))
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("size-check", "")
-    lookup.checked_broadcast(df)
+    lookup.checked_broadcast(df, 1 << 20)  # its estimate alone is beyond the bound
     assert tracker.getJobIdsForGroup("size-check") == []
     spark.sparkContext.setJobGroup("", "")
     facts = spark.range(5).withColumnRenamed("id", "k")
@@ -91,7 +91,7 @@ def test_union_blocks_read_pruned_fold_directories(spark):
 
 
 def test_one_user_recommendation_has_no_all_pairs_product(spark):
-    plan = _plan(spark, "als_topk_rows")
+    plan = _plan(spark, "recommend_topk")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "TakeOrderedAndProject" in plan
 
