@@ -11,7 +11,7 @@ of documents at once.
 
 Documents are dealt into ranges of ascending doc_id, one file each, sorted;
 the first shuffle (whole texts) is the only one.  Token counts come from all
-documents; the rank table has a row per vocabulary entry.  Offsets of files
+documents, from the tasks that encode them; the rank table has a row per vocabulary entry.  Offsets of files
 are running sums over one row per file.
 
 Defined cases: null is the empty text, i.e. the end id alone.  Null doc_ids
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import os
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -215,51 +216,77 @@ def binary_column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+#: the file number of a task's id counts among its documents' rows
+COUNTS = -1
+
+
 def _tokenize(path: str, end_id: int):
+    """Rows of the documents' ids, then one row (file ``COUNTS``) of the task's
+    ids and how often each occurs."""
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = chunk_encoder(path)
+        total = np.zeros(max(len(encoder.id_bytes), end_id + 1), dtype=np.int64)
+        like = None
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
+                like = part.schema
                 ids, n = encoder.encode(part.column("text"))
+                total += np.bincount(ids, minlength=len(total))
+                total[end_id] += len(n)
                 with_end = np.full(len(ids) + len(n), end_id, dtype=encoder.id_type)
                 with_end[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
                 yield pa.RecordBatch.from_arrays(
                     [part.column("file"), part.column("doc_id"), part.column("tie"), pa.array(n + 1),
                      binary_column(with_end.view(np.uint8), (n + 1) * with_end.itemsize)],
                     names=["file", "doc_id", "tie", "n_tokens", "ids"])
+        if like is not None:
+            at = np.flatnonzero(total)
+            counts = np.concatenate([at, total[at]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([COUNTS], pa.int32()), pa.nulls(1, like.field("doc_id").type), pa.nulls(1, pa.int64()),
+                 pa.array([len(at)], pa.int64()), pa.array([counts.tobytes()], pa.binary())],
+                names=["file", "doc_id", "tie", "n_tokens", "ids"])
     return run
 
 
-def _id_type(row_bytes: int, n: int) -> str:
-    return "<u2" if row_bytes == 2 * n else "<u4"
+def _counts(batches):
+    """(id, n) of the tasks' counts rows."""
+    for batch in batches:
+        for raw in batch.column("ids").to_pylist():
+            at, n = np.frombuffer(raw, np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["id", "n"])
 
 
-def _count(batches):
-    total = np.zeros(0, dtype=np.int64)
-    for batch in batches:
-        for raw, n in zip(batch.column("ids"), batch.column("n_tokens").to_pylist(), strict=True):
-            raw = raw.as_py()
-            c = np.bincount(np.frombuffer(raw, _id_type(len(raw), n)), minlength=len(total))
-            c[:len(total)] += total
-            total = c
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
+def binary_bytes(column: pa.Array) -> np.ndarray:
+    """The bytes of a binary column without nulls, back to back."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+
+
+def pack_values(values: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control bytes, their number per document, data bytes, their number) of
+    documents of ``n`` values each; every document starts a control byte."""
+    extra, data = encode_values(values)
+    n_control = -(-n // 4)
+    padded = np.zeros(4 * int(n_control.sum()), dtype=np.uint8)
+    padded[np.arange(len(extra)) + np.repeat(4 * (np.cumsum(n_control) - n_control) - (np.cumsum(n) - n), n)] = extra
+    return control_bytes(padded), n_control, data, segment_sum(extra.astype(np.int64) + 1, n)
 
 
 def _pack(rank_of):
     def run(batches):
         ranks = rank_of.value
         for batch in batches:
-            out = {"control": [], "data": []}
-            for raw, n in zip(batch.column("ids"), batch.column("n_tokens").to_pylist(), strict=True):
-                raw = raw.as_py()
-                extra, data = encode_values(ranks[np.frombuffer(raw, _id_type(len(raw), n))])
-                out["control"].append(control_bytes(extra).tobytes())
-                out["data"].append(data.tobytes())
+            if not batch.num_rows:
+                continue
+            n = batch.column("n_tokens").to_numpy()
+            raw = binary_bytes(batch.column("ids"))
+            ids = raw.view("<u2" if len(raw) == 2 * n.sum() else "<u4")
+            control, n_control, data, n_data = pack_values(ranks[ids], n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("file"), batch.column("doc_id"), batch.column("tie"), batch.column("n_tokens"),
-                 pa.array(out["control"], pa.binary()), pa.array(out["data"], pa.binary())],
+                 binary_column(control, n_control), binary_column(data, n_data)],
                 names=["file", "doc_id", "tie", "n_tokens", "control", "data"])
     return run
 
@@ -279,7 +306,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
                 f"file int, doc_id {kind}, tie long, n_tokens long, ids binary").write.option(
         "compression", "zstd").parquet(raw_path)
     raw = spark.read.parquet(raw_path)
-    ranks = (map_batches(raw.select("n_tokens", "ids"), _count, "id long, n long")
+    ranks = (map_batches(raw.where(F.col("file") == COUNTS).select("ids"), _counts, "id long, n long")
              .groupBy("id").agg(F.sum("n").alias("n"))
              .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1))  # vocabulary rows
     ranks.select("rank", "id", "n").write.parquet(f"{path}/ranks")
@@ -287,51 +314,55 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
     rank_of = np.zeros(max((r["id"] for r in table), default=0) + 1, dtype=np.uint32)
     for r in table:
         rank_of[r["id"]] = r["rank"]
-    map_batches(raw, _pack(spark.sparkContext.broadcast(rank_of)),
+    map_batches(raw.where(F.col("file") != COUNTS), _pack(spark.sparkContext.broadcast(rank_of)),
                 f"file int, doc_id {kind}, tie long, n_tokens long, control binary, data binary").write.option(
         "compression", "zstd").parquet(f"{path}/coded")
     remove_folder(spark, raw_path)
 
 
-def _decode(id_of):
+def _decoded(id_of, column: str, made):
+    """Documents' rows with ``made(ids of each as bytes)`` as the last column."""
     def run(batches):
         ids = id_of.value
         for batch in batches:
-            n_all = np.array(batch.column("n_tokens").to_pylist(), dtype=np.int64)
+            n_all = batch.column("n_tokens").to_numpy(zero_copy_only=False)
             first = 0
             while first < batch.num_rows:
                 last = max(first + 1, int(np.searchsorted(np.cumsum(n_all[first:]), BLOCK_TOKENS)) + first)
                 part = batch.slice(first, last - first)
                 n = n_all[first:last]
                 first = last
-                control, data = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8)
-                                 for c in ("control", "data"))
-                raw = ids[decode_values(control, n, data)].astype("<u4").tobytes()
-                edge = np.concatenate([[0], np.cumsum(4 * n)])
+                control, data = (binary_bytes(part.column(c)) for c in ("control", "data"))
+                raw = memoryview(ids[decode_values(control, n, data)].astype("<u4").view(np.uint8))
+                edge = np.concatenate([[0], np.cumsum(4 * n)]).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [part.column("file"), part.column("doc_id"), part.column("tie"), part.column("n_tokens"),
-                     pa.array([raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())],
-                    names=["file", "doc_id", "tie", "n_tokens", "ids"])
+                     made([raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)])],
+                    names=["file", "doc_id", "tie", "n_tokens", column])
     return run
 
 
-def read_files(spark, path: str) -> DataFrame:
-    """file, doc_id, tie, n_tokens and ids (little-endian unsigned 32-bit) of
-    every document in the files."""
+def _read(spark, path: str, column: str, made, kind: str) -> DataFrame:
     coded = spark.read.parquet(f"{path}/coded")
     ranks = spark.read.parquet(f"{path}/ranks").select("rank", "id").collect()
     id_of = np.zeros(max(len(ranks), 1), dtype=np.uint32)
     for r in ranks:
         id_of[r["rank"]] = r["id"]
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    return map_batches(coded, _decode(spark.sparkContext.broadcast(id_of)),
-                       f"file int, doc_id {kind}, tie long, n_tokens long, ids binary")
+    own = coded.schema["doc_id"].dataType.simpleString()
+    return map_batches(coded, _decoded(spark.sparkContext.broadcast(id_of), column, made),
+                       f"file int, doc_id {own}, tie long, n_tokens long, {column} {kind}")
+
+
+def read_files(spark, path: str) -> DataFrame:
+    """file, doc_id, tie, n_tokens and ids (little-endian unsigned 32-bit) of
+    every document in the files."""
+    return _read(spark, path, "ids", lambda texts: pa.array([bytes(t) for t in texts], pa.binary()), "binary")
 
 
 def positions(spark, path: str) -> DataFrame:
     """doc_id, start (ids before it in all files), n_tokens and ids_crc32 of
-    every document, from the files."""
-    read = read_files(spark, path).select("file", "doc_id", "tie", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    every document, from the files; the decoded ids stay in their tasks."""
+    read = _read(spark, path, "ids_crc32", lambda texts: pa.array([zlib.crc32(t) for t in texts], pa.int64()), "long")
     in_file = (Window.partitionBy("file").orderBy(F.asc_nulls_first("doc_id"), "tie")
                .rowsBetween(Window.unboundedPreceding, -1))
     # one row per file: the running sum over files is small
