@@ -37,6 +37,7 @@ in a text come back as spaces.  Extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import heapq
 import itertools
 import re
 import zlib
@@ -218,18 +219,37 @@ class Codec:
 
     def merge(self, text: str) -> list[str]:
         """Pieces of ``text`` after merging its characters: always the pair
-        whose union scores most, the first of equal ones."""
-        parts = list(text)
+        whose union scores most, the first of equal ones.  Pairs wait in a
+        heap, so n characters take n log n steps."""
+        n = len(text)
         usable, scores = self.usable, self.scores
-        while True:
-            top = at = None
-            for k in range(len(parts) - 1):
-                i = usable.get(parts[k] + parts[k + 1])
-                if i is not None and (top is None or scores[i] > top):
-                    top, at = scores[i], k
-            if at is None:
-                return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        parts: list[str | None] = list(text)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[float, int, int, int]] = []
+
+        def offer(left: int) -> None:
+            right = after[left]
+            if right < n:
+                i = usable.get(parts[left] + parts[right])
+                if i is not None:
+                    heapq.heappush(heap, (-scores[i], left, right, len(parts[left]) + len(parts[right])))
+
+        for k in range(n - 1):
+            offer(k)
+        while heap:
+            _, left, right, size = heapq.heappop(heap)
+            # either side may have grown or gone since the pair was offered
+            if parts[left] is None or after[left] != right or len(parts[left]) + len(parts[right]) != size:
+                continue
+            parts[left] += parts[right]
+            parts[right] = None
+            after[left] = after[right]
+            if after[left] < n:
+                before[after[left]] = left
+            offer(left)
+            if before[left] >= 0:
+                offer(before[left])
+        return [p for p in parts if p is not None]
 
     def follows(self, left: int, right: int) -> bool:
         """Whether merging leaves these two pieces side by side."""

@@ -1,6 +1,7 @@
 import functools
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -93,3 +94,17 @@ def test_last_pipeline_stage_decodes_its_ids(spark):
         assert got[i]["ids"] == own.encode(text) and got[i]["n_ids"] == len(got[i]["ids"])
         assert got[i]["lossless"] == (own.decode(got[i]["ids"]) == (text or ""))
     assert got[1]["lossless"]
+
+
+def test_long_runs_of_spaces():
+    codec = sc.Codec(sc.PieceModel.read(sc.default_model_path()))
+    library = sentencepiece.SentencePieceProcessor(model_file=sc.default_model_path())
+    texts = ["a" + " " * n + "b" for n in (1, 2, 3, 5, 17, 64, 100, 333)] + ["x  y   z " * 300, " " * 1000, "▁▁ ▁a  "]
+    ids, n = codec.encode_texts(texts)
+    first = 0
+    for t, k in zip(texts, n, strict=True):
+        assert ids[first:first + k].tolist() == library.encode(t), t[:20]
+        first += k
+    began = time.perf_counter()
+    ids, n = codec.encode_texts([" " * 100_000 + "end"])
+    assert time.perf_counter() - began < 20 and n[0] == len(library.encode(" " * 100_000 + "end"))
