@@ -18,7 +18,9 @@ Pages are extracted one by one in a narrow pass.
 
 Defined cases: null and empty html have the empty text, as have pages without
 a main block.  Unended comments, scripts and styles reach to the page's end.
-Repeated rows give a row each.  Extra columns are ignored.
+Equally likely labels: other.  Time and memory follow the page's length, however
+deep its elements nest.  Repeated rows give a row each.  Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -74,11 +76,31 @@ def _element(tag: str, attributes: str) -> tuple[str, tuple[str, ...], str | Non
     return tag, tuple(features), main
 
 
+class Path:
+    """A block element and, through its parent, all block elements around it;
+    ``found`` are the features of all of them."""
+
+    __slots__ = ("parent", "element", "found")
+
+    def __init__(self, parent: Path | None, element: tuple):
+        self.parent, self.element = parent, element
+        # an element that adds nothing shares its parent's set, so depth costs nothing
+        above = parent.found if parent else frozenset()
+        self.found = above if above.issuperset(element[1]) else above.union(element[1])
+
+    def key(self) -> tuple[frozenset, str]:
+        return self.found, self.element[0]
+
+
+_TOP = (frozenset(), "")
+
+
 def leaf_blocks(page: str):
     """(text, element path, share of characters in links) of each leaf block."""
     blocks = []
-    stack: list[tuple] = []  # open elements
-    path: tuple = ()  # those of them that are block elements
+    stack: list[tuple] = []  # open elements and the path they were opened in
+    path: Path | None = None  # the innermost open block element
+    places: dict[str, list[int]] = {}  # of a tag's open elements in the stack
     text: list[str] = []
     linked = links = 0
 
@@ -93,20 +115,23 @@ def leaf_blocks(page: str):
 
     def close(at: int):
         nonlocal links, path
-        gone = stack[at:]
+        outer = stack[at][1]
+        blocks_gone = False
+        for element, _ in stack[at:]:
+            places[element[0]].pop()
+            links -= element[0] == "a"
+            blocks_gone = blocks_gone or element[0] not in INLINE
         del stack[at:]
-        links -= sum(e[0] == "a" for e in gone)
-        if any(e[0] not in INLINE for e in gone):
+        if blocks_gone:
             flush()
-            path = tuple(e for e in stack if e[0] not in INLINE)
+            path = outer
+
+    def innermost(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
     def nearest(names, stops=()) -> int | None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stops:
-                return None
-        return None
+        i = innermost(names)
+        return i if i >= 0 and i > innermost(t for t in stops if t not in names) else None
 
     at, size = 0, len(page)
     while at < size:
@@ -151,20 +176,20 @@ def leaf_blocks(page: str):
                     close(i)
         if tag in VOID:
             continue
-        stack.append(_element(tag, m["attributes"]))
+        element = _element(tag, m["attributes"])
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((element, path))
         if tag not in INLINE:
-            path = (*path, stack[-1])
+            path = Path(path, element)
         elif tag == "a":
             links += 1
     flush()
     return blocks
 
 
-@functools.lru_cache(maxsize=20_000)
-def _path_features(path: tuple) -> tuple[str, ...]:
-    found = {f for element in path for f in element[1]}
-    found.add("own " + (path[-1][0] if path else ""))
-    return tuple(sorted(found))
+def _path_features(path: Path | None) -> tuple[str, ...]:
+    found, tag = path.key() if path else _TOP
+    return tuple(sorted(found | {"own " + tag}))
 
 
 def _bucket(n: int) -> int:
@@ -176,8 +201,12 @@ def text_features(text: str, link_share: float) -> tuple[str, ...]:
             f"stop {text[-1] in '.?!…'}", f"mark {text[0] in '©®|»›'}")
 
 
-def label_of(path: tuple) -> int:
-    return next((int(e[2]) for e in reversed(path) if e[2] is not None), 0)
+def label_of(path: Path | None) -> int:
+    while path is not None:
+        if path.element[2] is not None:
+            return int(path.element[2])
+        path = path.parent
+    return 0
 
 
 class Field:
@@ -207,11 +236,12 @@ class Field:
         back = []
         a = b = 0.0
         for k, (text, path, share) in enumerate(blocks):
-            own = self.by_path.get(path)
+            key = path.key() if path else _TOP
+            own = self.by_path.get(key)
             if own is None:
                 if len(self.by_path) > 20_000:
                     self.by_path.clear()
-                own = self.by_path[path] = self.score(_path_features(path))
+                own = self.by_path[key] = self.score(_path_features(path))
             more = self.score(text_features(text, share))
             e0, e1 = own[0] + more[0], own[1] + more[1]
             if k == 0:

@@ -1,3 +1,5 @@
+import time
+
 import pyarrow as pa
 import pytest
 
@@ -65,3 +67,14 @@ def test_query_on_odd_rows(spark, small):
     assert [by[f"u{i}"] for i in range(len(CASES))] == [c[1] for c in CASES]
     assert by[None].count("\n") == 19999
     assert QUERIES["op1_crf_html_extraction"](spark, small(pages=t.slice(0, 0))).collect() == []
+
+
+def test_deep_nesting_and_stray_end_tags_take_linear_time():
+    field = hx.default_field()
+    began = time.perf_counter()
+    for page, words in (("<div>word " * 100_000, 100_000), ("<b>" * 50_000 + "</i>x" * 50_000, 50_000),
+                        ("<p><div>" + "<b>" * 50_000 + "<hr>y" * 50_000, 50_000), ("<ul>" + "<li>z<i>" * 50_000, 50_000)):
+        blocks = hx.leaf_blocks(page)
+        assert sum(len(b[0].split()) or 1 for b in blocks) >= words or len(blocks[0][0]) >= words
+        assert len(field.decode(blocks)) == len(blocks)
+    assert time.perf_counter() - began < 30
