@@ -7,8 +7,10 @@ by 1/``GRAM`` because neighbouring n-grams overlap.  Expectation-maximisation
 over a document's words estimates its language proportions.  The language
 set is chosen by penalised likelihood: the ``s`` strongest languages are
 fitted for s = 1, 2, ... and the best of ``loglik - s * PENALTY * log(words +
-1)`` wins.  A larger set is fitted only if all languages together gain more
-than one penalty, since no smaller set can gain more than they do.
+1)`` wins.  A larger set is fitted only if all languages together may gain more
+than one penalty, since no smaller set can gain more than they do; what they
+may gain is their log-likelihood after ``ROUNDS`` rounds and a bound of what
+further rounds could add.  Sets are fitted to within ``TOLERANCE``.
 
 The prediction is the language of the largest proportion, the score that
 proportion.  Ties go to the alphabetically first language.
@@ -41,6 +43,9 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.1
 PENALTY = 2.0
 ROUNDS = 12
+FIT_ROUNDS = 500
+#: a set's log-likelihood is fitted to within this
+TOLERANCE = 0.01
 HELD_OUT = (4, 2)
 MIN_SHARE = 0.5
 _ASCII_LETTER = np.zeros(256, dtype=bool)
@@ -111,16 +116,32 @@ def fit(docs: DataFrame) -> Model:
     return Model([r["lang"] for r in rows], np.log(p) / GRAM)
 
 
-def _mixture(like: np.ndarray, n_words: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _mixture(like: np.ndarray, n_words: np.ndarray, allowed: np.ndarray, rounds: int,
+             tolerance: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """EM per document over its words' likelihoods (words x languages), with
-    proportions kept at 0 outside ``allowed`` (documents x languages)."""
+    proportions kept at 0 outside ``allowed`` (documents x languages).
+
+    Returns the proportions, the log-likelihood and how much more any
+    proportions could reach: the log-likelihood is concave in them, so it can
+    gain at most the greatest of its slopes towards one language alone.  A
+    document is done when that is within ``tolerance``."""
     share = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(ROUNDS):
-        joint = like * np.repeat(share, n_words, axis=0)
-        joint /= joint.sum(axis=1, keepdims=True)
-        share = segment_sum(joint, n_words) / n_words[:, None]
-    total = (like * np.repeat(share, n_words, axis=0)).sum(axis=1)
-    return share, segment_sum(np.log(total), n_words)
+    value, gap = np.zeros(len(n_words)), np.full(len(n_words), np.inf)
+    todo = np.arange(len(n_words))
+    for turn in range(rounds + 1):
+        own = like if len(todo) == len(n_words) else like[np.isin(np.repeat(np.arange(len(n_words)), n_words), todo)]
+        n = n_words[todo]
+        joint = own * np.repeat(share[todo], n, axis=0)
+        total = joint.sum(axis=1)
+        value[todo] = segment_sum(np.log(total), n)
+        slope = segment_sum(own / total[:, None], n)
+        gap[todo] = np.maximum(np.where(allowed[todo] > 0, slope, 0).max(axis=1) - n, 0)
+        going = gap[todo] > tolerance
+        if turn == rounds or not going.any():
+            break
+        share[todo[going]] *= slope[going] / n[going, None]
+        todo = todo[going]
+    return share, value, gap
 
 
 def proportions(words: Words, model: Model) -> np.ndarray:
@@ -135,7 +156,7 @@ def proportions(words: Words, model: Model) -> np.ndarray:
     top = log_like.max(axis=1, keepdims=True)
     like = np.exp(log_like - top)
     n_langs = like.shape[1]
-    share, full = _mixture(like, n_words, np.ones((len(docs), n_langs)))
+    share, full, more_yet = _mixture(like, n_words, np.ones((len(docs), n_langs)), ROUNDS)
     rank = np.argsort(-share, axis=1, kind="stable")
     # one language: every word under it
     alone = segment_sum(log_like - top, n_words)
@@ -144,7 +165,8 @@ def proportions(words: Words, model: Model) -> np.ndarray:
     best[np.arange(len(docs)), first] = 1.0
     penalty = PENALTY * np.log(n_words + 1.0)
     value = alone[np.arange(len(docs)), first] - penalty
-    more = np.flatnonzero(full - 2 * penalty > value)
+    # no set can gain more than all languages at their best
+    more = np.flatnonzero(full + more_yet - 2 * penalty > value)
     word_doc = np.repeat(np.arange(len(docs)), n_words)
     for s in range(2, n_langs + 1):
         if not len(more):
@@ -153,7 +175,7 @@ def proportions(words: Words, model: Model) -> np.ndarray:
         np.put_along_axis(allowed, rank[more, :s], 1.0, axis=1)
         chosen = np.zeros(len(docs), dtype=bool)
         chosen[more] = True
-        fit_share, fit_value = _mixture(like[chosen[word_doc]], n_words[more], allowed)
+        fit_share, fit_value, _ = _mixture(like[chosen[word_doc]], n_words[more], allowed, FIT_ROUNDS, TOLERANCE)
         fit_value = fit_value - s * penalty[more]
         better = fit_value > value[more]
         best[more[better]], value[more[better]] = fit_share[better], fit_value[better]
@@ -167,7 +189,9 @@ def has_letter(column) -> np.ndarray:
     sums = np.concatenate([[0], np.cumsum(_ASCII_LETTER[raw])])
     found = sums[offsets[1:]] > sums[offsets[:-1]]
     for d in np.flatnonzero(~found & (np.diff(offsets) > 0)):
-        found[d] = bool(_LETTER.search(raw[offsets[d]:offsets[d + 1]].tobytes().decode("utf-8", "replace")))
+        text = raw[offsets[d]:offsets[d + 1]].tobytes().decode("utf-8", "replace")
+        # the pattern also finds signs of numbers, which are no letters
+        found[d] = any(m.group().isalpha() for m in _LETTER.finditer(text))
     return found
 
 

@@ -1,6 +1,7 @@
 import binascii
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from lodestar.llm import language
@@ -65,3 +66,31 @@ def test_mixtures_are_recovered_and_filtered(spark):
     rows = [(1, text(rnd, "cc", 5), 7), (2, third, 7), (3, None, 7), (4, "12 34", 7), (1, text(rnd, "aa", 50), 7)]
     kept = language.drop_unidentified(spark.createDataFrame(rows, "doc_id long, text string, score int"), model)
     assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], rows[4]])
+
+
+def test_signs_of_numbers_are_no_letters():
+    texts = ["² ½ ①", "Ⅷ", "½ 12", "①", "x²", "é", "漢", "ʰ", None, "", "_ 12 %"]
+    assert language.has_letter(pa.array(texts)).tolist() == [
+        any(c.isalpha() for c in t or "") for t in texts]
+    model = language.Model(["aa"], np.zeros((language.BUCKETS, 1)))
+    assert language.predict(pa.array(["² ½ ①", "Ⅷ"]), model)[0] == ["und", "und"]
+
+
+def test_proportions_are_the_likeliest():
+    """Against plain EM run for thousands of rounds, and the bound of what is left."""
+    rng = np.random.default_rng(6)
+    n_words = np.array([3, 40, 7, 1])
+    like = rng.random((int(n_words.sum()), 3)) ** 3 + 1e-6
+    first = 0
+    share, value, gap = language._mixture(like, n_words, np.ones((4, 3)), 500, 0.01)
+    early = language._mixture(like, n_words, np.ones((4, 3)), 4)
+    for d, n in enumerate(n_words):
+        own, p = like[first:first + n], np.full(3, 1 / 3)
+        first += n
+        for _ in range(5000):
+            joint = own * p
+            p = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+        best = np.log(own @ p).sum()
+        assert value[d] <= best + 1e-9 and best <= value[d] + gap[d] + 1e-9 and gap[d] <= 0.01
+        assert early[1][d] <= best + 1e-9 <= early[1][d] + early[2][d] + 1e-6
+        assert np.isclose(share[d].sum(), 1)
