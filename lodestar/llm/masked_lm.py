@@ -20,13 +20,15 @@ Adam from the common parameters over the masked positions of all its
 documents, and the partitions' parameters are averaged, weighted by their
 targets.  A round masks one position in ``MASK`` and the next round the one
 after it, so that in ``MASK`` rounds every position of every document is a
-target once.  What is gathered is a parameter
+target once.  The texts are split into words twice, for the counts and for the
+ids that training and scoring read; the ids lie in the shared folder.  What is gathered is a parameter
 vector (about 0.8 MB) per partition and round and a count per distinct word
 and partition, so it grows with the corpus; sums are streamed.  The result
 depends slightly on how the input is split into partitions.
 
 Defined cases: null, empty and wordless texts have no tokens, score 0 and a
-null mean.  Repeated rows train and score like others.  Extra columns are
+null mean.  Repeated rows train and score like others; equal texts' scores are equal
+but for float32 rounding.  Extra columns are
 ignored.
 """
 
@@ -52,7 +54,9 @@ REST = 0.5
 MASK = 2
 ROUNDS = MASK
 BATCH = 4096
-RATE = 0.003
+ROWS_AT_ONCE = 1024
+SCORED_AT_ONCE = 1 << 15
+RATE = 0.01
 PIECES = 16
 VOCABULARY = CLASSES * CLASSES
 PAD = VOCABULARY
@@ -98,14 +102,25 @@ class Model:
         return self.look_up(hashes)[0]
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Turns every row of ``x`` into probabilities; returns their log normalisers."""
-    top = x.max(axis=1)
-    x -= top[:, None]
+#: float32 exponentials of logits within this neither overflow nor vanish
+_SAFE = 60.0
+
+
+def _bounded(p: dict[str, np.ndarray]) -> bool:
+    """Whether no logit can leave -_SAFE .. _SAFE (the hidden layer is within -1 .. 1)."""
+    return all(float((np.abs(p[w]).sum(axis=-2) + np.abs(p[b])).max()) < _SAFE
+               for w, b in (("classes", "class_bias"), ("words", "word_bias")))
+
+
+def _exponentials(x: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray | float]:
+    """Turns every row of ``x`` into exponentials; returns (their sum, what was
+    taken from the row before)."""
+    top = 0.0
+    if not bounded:
+        top = x.max(axis=1)
+        x -= top[:, None]
     np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
-    x /= total[:, None]
-    return top + np.log(total)
+    return x @ np.ones(x.shape[1], x.dtype), top
 
 
 def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -135,26 +150,27 @@ def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray,
     return x, np.tanh(h, out=h)
 
 
-def _word_logits(p: dict[str, np.ndarray], h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
-    """Logits of the words of each row's class; the rows of a class lie together."""
-    out = np.empty((len(h), CLASSES), h.dtype)
-    for c, a, b in classes:
-        np.matmul(h[a:b], p["words"][c], out=out[a:b])
-        out[a:b] += p["word_bias"][c]
-    return out
-
-
 def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """log P(target | context) of every row; the rows of a class are worked on
+    together, ``ROWS_AT_ONCE`` at a time."""
     order, classes = _by_class(targets)
-    targets, rows = targets[order], np.arange(len(targets))
-    h = _hidden(p, context[order])[1]
-    total = np.zeros(len(targets))
-    for logits, own in ((h @ p["classes"] + p["class_bias"], targets // CLASSES),
-                        (_word_logits(p, h, classes), targets % CLASSES)):
-        total += logits[rows, own]
-        total -= _softmax(logits)
+    bounded = _bounded(p)
     out = np.empty(len(targets))
-    out[order] = total
+    for c, first, end in classes:
+        for a in range(first, end, ROWS_AT_ONCE):
+            own = order[a:min(a + ROWS_AT_ONCE, end)]
+            h = _hidden(p, context[own])[1]
+            logits = h @ p["classes"]
+            logits += p["class_bias"]
+            total = logits[:, c].astype(np.float64)
+            each, top = _exponentials(logits, bounded)
+            total -= top + np.log(each)
+            logits = h @ p["words"][c]
+            logits += p["word_bias"][c]
+            total += logits[np.arange(len(own)), targets[own] % CLASSES]
+            each, top = _exponentials(logits, bounded)
+            total -= top + np.log(each)
+            out[own] = total
     return out
 
 
@@ -163,32 +179,32 @@ def gradient(p: dict[str, np.ndarray], g: dict[str, np.ndarray], context: np.nda
     n = len(targets)
     order, classes = _by_class(targets)
     context, targets, rows = context[order], targets[order], np.arange(n)
+    bounded = _bounded(p)
     x, h = _hidden(p, context)
     d = h @ p["classes"]
     d += p["class_bias"]
-    _softmax(d)
-    d[rows, targets // CLASSES] -= 1
-    d /= n
+    d /= (_exponentials(d, bounded)[0] * np.float32(n))[:, None]
+    d[rows, targets // CLASSES] -= np.float32(1 / n)
     g["classes"] += h.T @ d
     g["class_bias"] += d.sum(axis=0)
     dh = d @ p["classes"].T
-    d = _word_logits(p, h, classes)
-    _softmax(d)
-    d[rows, targets % CLASSES] -= 1
-    d /= n
-    g["word_bias"][[c for c, _, _ in classes]] += np.add.reduceat(d, [a for _, a, _ in classes], axis=0)
+    inside = targets % CLASSES
     for c, a, b in classes:
-        g["words"][c] += h[a:b].T @ d[a:b]
-        dh[a:b] += d[a:b] @ p["words"][c].T
+        own = h[a:b]
+        d = own @ p["words"][c]
+        d += p["word_bias"][c]
+        d /= (_exponentials(d, bounded)[0] * np.float32(n))[:, None]
+        d[rows[:b - a], inside[a:b]] -= np.float32(1 / n)
+        g["word_bias"][c] += d.sum(axis=0)
+        g["words"][c] += own.T @ d
+        dh[a:b] += d @ p["words"][c].T
     dh *= 1 - h * h
     g["hidden"] += x.T @ dh
     g["hidden_bias"] += dh.sum(axis=0)
-    dx = (dh @ p["hidden"].T).reshape(-1, DIM)
-    flat = context.ravel().astype(np.uint16)
-    order = np.argsort(flat, kind="stable")
-    own = flat[order]
-    begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    g["embed"][own[begin]] += np.add.reduceat(dx.take(order, axis=0), begin, axis=0)
+    dx = np.ascontiguousarray((dh @ p["hidden"].T).reshape(-1, DIM).T)
+    flat = context.ravel()
+    for j in range(DIM):
+        g["embed"][:, j] += np.bincount(flat, dx[j], len(g["embed"]))
 
 
 class Trainer:
@@ -220,16 +236,24 @@ class Trainer:
             grad = np.zeros(SIZE, np.float32)
             gradient(views(self.flat), views(grad), context[part], targets[part])
             self.step += 1
-            self.mean += 0.1 * (grad - self.mean)
-            self.square += 0.01 * (grad * grad - self.square)
             rate = self.rate * np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
-            self.flat -= np.float32(rate) * self.mean / (np.sqrt(self.square) + np.float32(1e-8))
+            self.mean *= np.float32(0.9)
+            self.square *= np.float32(0.99)
+            self.square += np.float32(0.01) * (grad * grad)
+            grad *= np.float32(0.1)
+            self.mean += grad
+            np.sqrt(self.square, out=grad)
+            grad += np.float32(1e-8)
+            np.divide(self.mean, grad, out=grad)
+            grad *= np.float32(rate)
+            self.flat -= grad
         self.seen += len(targets)
 
 
-def _masked(words: Words, turn: int, mask: int = MASK) -> np.ndarray:
-    """One position in ``mask`` of every document; each of ``mask`` turns has others."""
-    place = np.arange(len(words.hash)) - words.lo[words.doc_of_word()]
+def _masked(n_words: np.ndarray, turn: int, mask: int = MASK) -> np.ndarray:
+    """One position in ``mask`` of every document of ``n_words`` words, back to
+    back; each of ``mask`` turns has others."""
+    place = np.arange(int(n_words.sum())) - np.repeat(np.cumsum(n_words) - n_words, n_words)
     return np.flatnonzero((place + turn) % mask == 0)
 
 
@@ -303,27 +327,69 @@ def vocabulary(docs: DataFrame) -> Model:
     return Model(hashes[order], ids[order], log_n[order], log_total, flat, counts)
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BATCH, rate: float = RATE) -> Model:
-    """Vocabulary and parameters from all of ``docs`` (text)."""
+def coded(docs: DataFrame, model: Model) -> DataFrame:
+    """Every document as ids, so that training and scoring read no text: row,
+    doc_id, n_tokens, ids (16-bit, back to back), share (summed log P(word |
+    id)), and the words not in ``head`` with how often each occurs."""
+    sent = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 19):
+                words = Words(part.column("text"))
+                ids, share, known = sent.value.look_up(words.hash)
+                doc = words.doc_of_word()[~known]
+                order = np.lexsort((words.hash[~known], doc))
+                doc, rare = doc[order], words.hash[~known][order]
+                fresh = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])])[:len(doc)])
+                times = np.diff(np.append(fresh, len(doc)))
+                edges = np.searchsorted(doc[fresh], np.arange(words.n_docs + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(words.n_words, pa.int64()),
+                     pa.array([x.tobytes() for x in np.split(ids.astype("<u2"), words.hi[:-1])], pa.binary()),
+                     pa.array(segment_sum(share, words.n_words)),
+                     pa.ListArray.from_arrays(edges, rare[fresh].view(np.int64)),
+                     pa.ListArray.from_arrays(edges, times)],
+                    names=["doc_id", "n_tokens", "ids", "share", "rare", "times"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # doc_id may be null or repeated: the rows are numbered as they are written
+    return written(map_batches(docs.select("doc_id", "text"), run,
+                               f"doc_id {kind}, n_tokens long, ids binary, share double, rare array<long>, times array<long>")
+                   .withColumn("row", F.monotonically_increasing_id()), "coded-words")
+
+
+def _blocks(batch: pa.RecordBatch):
+    """(first row, words per document, ids) of at most about ``SCORED_AT_ONCE``
+    words, one document at least."""
+    n_all = batch.column("n_tokens").to_numpy()
+    ends = np.cumsum(n_all)
+    first = 0
+    while first < batch.num_rows:
+        last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SCORED_AT_ONCE, side="right"))
+        last = min(max(last, first + 1), batch.num_rows)
+        ids = np.frombuffer(b"".join(batch.column("ids").slice(first, last - first).to_pylist()), "<u2").astype(np.int64)
+        yield first, n_all[first:last], ids
+        first = last
+
+
+def train(texts: DataFrame, model: Model, rounds: int = ROUNDS, mask: int = MASK, batch: int = BATCH, rate: float = RATE) -> Model:
+    """``model`` with parameters trained on all of ``texts`` (from :func:`coded`)."""
     batch_size = batch
-    spark = docs.sparkSession
-    model = vocabulary(docs)
+    spark = texts.sparkSession
     cuts = np.linspace(0, SIZE, PIECES + 1).astype(int)
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast(replace(model, counts=None))
+        sent = spark.sparkContext.broadcast(model.flat)
 
         def learn(batches, sent=sent, turn=turn):
-            own = sent.value
-            trainer = Trainer(own.flat, batch_size, rate)
+            trainer = Trainer(sent.value, batch_size, rate)
             for batch in batches:
-                for part in slices(batch, "text", 1 << 19):
-                    words = Words(part.column("text"))
-                    at = _masked(words, turn, mask)
+                for _, n, ids in _blocks(batch):
+                    at = _masked(n, turn, mask)
                     if not len(at):
                         continue
-                    ids = own.word_ids(words.hash)
-                    doc = words.doc_of_word()[at]
-                    trainer.add(contexts(ids, words.lo[doc], words.hi[doc], at), ids[at])
+                    end = np.cumsum(n)
+                    doc = np.repeat(np.arange(len(n)), n)[at]
+                    trainer.add(contexts(ids, (end - n)[doc], end[doc], at), ids[at])
             trainer.flush()
             if trainer.seen:
                 share = trainer.flat.astype(np.float64) * trainer.seen
@@ -345,7 +411,7 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BA
                 names=["piece", "seen", "share"])
 
         schema = "piece int, seen long, share binary"
-        shares = map_batches(docs.select("text"), learn, schema)
+        shares = map_batches(texts.select("n_tokens", "ids"), learn, schema)
         means = map_batches(shares.repartition(PIECES, "piece"), total, schema).collect()
         if not means:
             break
@@ -354,45 +420,60 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = BA
     return model
 
 
-def score_words(words: Words, model: Model) -> np.ndarray:
-    """log P(word | neighbours) of every word; for the words not in ``head``
-    the log of their count is still to be added."""
-    p = views(model.flat)
-    ids, share, _ = model.look_up(words.hash)
-    doc = words.doc_of_word()
+def fit(docs: DataFrame, **how) -> Model:
+    """Vocabulary and parameters from all of ``docs`` (doc_id, text)."""
+    model = vocabulary(docs)
+    return train(coded(docs, model), model, **how)
+
+
+def score_ids(ids: np.ndarray, n_words: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarray:
+    """log P(id | neighbours) of every position of documents back to back."""
+    end = np.cumsum(n_words)
+    doc = np.repeat(np.arange(len(n_words)), n_words)
     out = np.empty(len(ids))
-    for first in range(0, len(ids), 1 << 12):
-        at = np.arange(first, min(first + (1 << 12), len(ids)))
+    for first in range(0, len(ids), SCORED_AT_ONCE):
+        at = np.arange(first, min(first + SCORED_AT_ONCE, len(ids)))
         own = doc[at]
-        out[at] = log_probabilities(p, contexts(ids, words.lo[own], words.hi[own], at), ids[at])
-    return out + share
+        out[at] = log_probabilities(p, contexts(ids, (end - n_words)[own], end[own], at), ids[at])
+    return out
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, log_prob (summed) and mean_log_prob of every text.
-    All words not in the corpus that was fitted score as one per bucket."""
-    sent = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))
+def score_coded(texts: DataFrame, model: Model) -> DataFrame:
+    """:func:`score` of documents from :func:`coded`."""
+    sent = texts.sparkSession.sparkContext.broadcast(model.flat)
 
     def run(batches):
+        p = views(sent.value)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 19):
-                words = Words(part.column("text"))
-                total = segment_sum(score_words(words, sent.value), words.n_words)
-                rare = ~sent.value.look_up(words.hash)[2]
-                edges = np.concatenate([[0], np.cumsum(segment_sum(rare.astype(np.int64), words.n_words))])
+            for first, n, ids in _blocks(batch):
+                part = batch.slice(first, len(n))
+                total = segment_sum(score_ids(ids, n, p), n) + part.column("share").to_numpy()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(words.n_words, pa.int64()), pa.array(total),
-                     pa.LargeListArray.from_arrays(edges, words.hash[rare].view(np.int64)).cast(pa.list_(pa.int64()))],
-                    names=["doc_id", "n_tokens", "log_prob", "rare"])
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    # doc_id may be null or repeated: the rows are numbered as they are written
-    scored = written(map_batches(docs.select("doc_id", "text"), run,
-                                 f"doc_id {kind}, n_tokens long, log_prob double, rare array<long>")
-                     .withColumn("row", F.monotonically_increasing_id()), "masked-scores")
+                    [part.column("row"), part.column("doc_id"), part.column("n_tokens"), pa.array(total)],
+                    names=["row", "doc_id", "n_tokens", "log_prob"])
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    scored = map_batches(texts.select("row", "doc_id", "n_tokens", "ids", "share"), run,
+                         f"row long, doc_id {kind}, n_tokens long, log_prob double")
     log_n = F.log(F.coalesce(F.col("n").cast("double"), F.lit(REST)))
-    rare = scored.select("row", F.explode("rare").alias("hash")).join(model.counts, "hash", "left").groupBy("row").agg(
-        F.sum(log_n).alias("rare"))
+    # a document's rare words are grouped: a row per word and document
+    rare = texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
+        "row", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
+    rare = rare.join(model.counts, "hash", "left").groupBy("row").agg(F.sum(F.col("times") * log_n).alias("rare"))
     total = F.col("log_prob") + F.coalesce("rare", F.lit(0.0))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.join(rare, "row", "left").select(
         "doc_id", "n_tokens", total.alias("log_prob"),
         F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, log_prob (summed) and mean_log_prob of every text.
+    All words not in the corpus that was fitted score as one per bucket."""
+    return score_coded(coded(docs, model), model)
+
+
+def scored_corpus(docs: DataFrame) -> DataFrame:
+    """Scores of ``docs`` under a model of themselves; their texts are split
+    into words twice, for the counts and for the ids."""
+    start = vocabulary(docs)
+    texts = coded(docs, start)
+    return score_coded(texts, train(texts, start))

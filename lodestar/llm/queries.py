@@ -59,7 +59,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked pseudo-likelihood of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return masked_lm.score(docs, masked_lm.fit(docs))
+    return masked_lm.scored_corpus(docs)
 
 
 def op7_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

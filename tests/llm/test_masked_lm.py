@@ -16,6 +16,11 @@ def sentences(n, seed):
     return [" ".join(f"a{k} b{k} c" for k in (rnd.randrange(30) for _ in range(rnd.choice([3, 20, 60])))) for _ in range(n)]
 
 
+def score_words(words, model):
+    ids, share, _ = model.look_up(words.hash)
+    return lm.score_ids(ids, words.n_words, lm.views(model.flat)) + share
+
+
 def test_gradient_matches_differences():
     rng = np.random.default_rng(1)
     flat = rng.normal(0, 0.1, lm.SIZE)
@@ -62,15 +67,15 @@ def test_counts_cover_all_documents_and_training_learns_pairs(spark):
     held = Words(pa.array(sentences(50, 9)))
     rnd = random.Random(3)
     shuffled = Words(pa.array([" ".join(rnd.sample(t.split(), len(t.split()))) for t in sentences(50, 9)]))
-    before, after = lm.score_words(held, start).mean(), lm.score_words(held, model).mean()
+    before, after = score_words(held, start).mean(), score_words(held, model).mean()
     assert after > before + 1.0
-    assert after > lm.score_words(shuffled, model).mean() + 1.0
+    assert after > score_words(shuffled, model).mean() + 1.0
 
 
 def test_every_position_is_a_target_once():
     texts = ["one", "one two", "", "a b c d e f g h i j k", "a b c d e f g h i j k", "x " * 1000]
     words = Words(pa.array(texts))
-    targets = np.concatenate([lm._masked(words, turn) for turn in range(lm.ROUNDS)])
+    targets = np.concatenate([lm._masked(words.n_words, turn) for turn in range(lm.ROUNDS)])
     assert sorted(targets) == list(range(len(words.hash)))
 
 
@@ -80,9 +85,9 @@ def test_production_parameters_learn_pairs(spark):
     held = Words(pa.array(sentences(50, 9)))
     rnd = random.Random(3)
     shuffled = Words(pa.array([" ".join(rnd.sample(t.split(), len(t.split()))) for t in sentences(50, 9)]))
-    before, after = lm.score_words(held, start).mean(), lm.score_words(held, model).mean()
+    before, after = score_words(held, start).mean(), score_words(held, model).mean()
     assert after > before + 1.0
-    assert after > lm.score_words(shuffled, model).mean() + 1.0
+    assert after > score_words(shuffled, model).mean() + 1.0
 
 
 def test_every_word_has_its_own_probability(spark, small):
@@ -113,6 +118,32 @@ def test_query_sums_and_edges(spark, small):
     by = {r["doc_id"]: r for r in got}
     for i in (40, 41, 42):
         assert (by[i]["n_tokens"], by[i]["log_prob"], by[i]["mean_log_prob"]) == (0, 0.0, None)
-    assert by[43]["log_prob"] == by[None]["log_prob"] < 0 and by[44]["n_tokens"] == 60000
+    assert by[43]["log_prob"] == pytest.approx(by[None]["log_prob"], rel=1e-6) and by[43]["log_prob"] < 0
+    assert by[44]["n_tokens"] == 60000
     assert all(r["mean_log_prob"] == pytest.approx(r["log_prob"] / r["n_tokens"]) for r in got if r["n_tokens"])
     assert QUERIES["op6_masked_lm_scoring"](spark, small(documents=t.slice(0, 0))).collect() == []
+
+
+def test_scores_are_the_summed_log_probabilities(spark):
+    """The query's sums, recomputed word by word with plain loops."""
+    texts = [*sentences(30, 8), "one two three", "a0", None, "a0 zz a0 zz zz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.fit(docs)
+    p = lm.views(model.flat)
+    counts = collections.Counter(w for t in texts for w in (t or "").split())
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    got = {r["doc_id"]: r["log_prob"] for r in lm.score(docs, model).collect()}
+    for d in (0, 7, 30, 31, 33):
+        words = texts[d].split()
+        ids = [int(i) for i in model.word_ids(Words(pa.array([texts[d]])).hash)]
+        total = 0.0
+        for k, (w, i) in enumerate(zip(words, ids, strict=True)):
+            near = [ids[k + o] if 0 <= k + o < len(ids) else lm.PAD for o in (-2, -1, 1, 2)]
+            h = np.tanh(np.concatenate([p["embed"][x] for x in near]) @ p["hidden"] + p["hidden_bias"])
+            c, inside = divmod(i, lm.CLASSES)
+            total += np.log(softmax(h @ p["classes"] + p["class_bias"])[c])
+            total += np.log(softmax(h @ p["words"][c] + p["word_bias"][c])[inside])
+            if i >= lm.TOP:
+                bucket = [v for x, v in counts.items() if model.word_ids(Words(pa.array([x])).hash)[0] == i]
+                total += np.log(counts[w] / (sum(bucket) + lm.REST))
+        assert got[d] == pytest.approx(total, rel=1e-4)
