@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import is_held_out, map_batches
-from lodestar.llm.words import U64, Words, mix, segment_sum, slices, utf8_column
+from lodestar.llm.words import U64, Words, mix, segment_sum, slices, utf8_column, word_portions
 
 GRAM = 4
 BUCKETS = 1 << 15
@@ -53,16 +53,17 @@ _ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def marked_grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every byte n-gram of ``<word>``, number per word); a word
-    shorter than the n-gram is one n-gram."""
-    n = words.end - words.start
+def marked_grams(words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of every byte n-gram of ``<word>``, number per word) of the words
+    ``which``; a word shorter than the n-gram is one n-gram."""
+    start = words.start[which]
+    n = words.end[which] - start
     size = np.maximum(n + 2, GRAM)
     begin = np.cumsum(size) - size
     total = int(size.sum())
     text = np.full(total + GRAM, 1, dtype=np.uint8)
     inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    text[np.repeat(begin + 1, n) + inside] = words.data[np.repeat(words.start, n) + inside]
+    text[np.repeat(begin + 1, n) + inside] = words.data[np.repeat(start, n) + inside]
     rolled = text[:total].astype(U64)
     for k in range(1, GRAM):
         rolled = rolled * U64(0x100000001B3) + text[k:total + k]
@@ -87,14 +88,15 @@ def fit(docs: DataFrame) -> Model:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"))
-                grams, per_word = marked_grams(words)
-                per_doc = segment_sum(per_word, words.n_words)
-                langs = part.column("lang").to_pylist()
-                names = sorted(set(langs))
-                code = np.array([names.index(x) for x in langs], dtype=np.int64)
-                both = np.bincount(np.repeat(code, per_doc) * BUCKETS + grams, minlength=len(names) * BUCKETS)
-                for name, c in zip(names, both.reshape(len(names), BUCKETS), strict=True):
-                    totals[name] = totals[name] + c if name in totals else c
+                langs = np.array(part.column("lang").to_pylist(), dtype=object)
+                for name in sorted(set(langs.tolist())):
+                    own = np.flatnonzero(np.repeat(langs == name, words.n_words))
+                    # every distinct word is cut once
+                    _, where, times = np.unique(words.hash[own], return_index=True, return_counts=True)
+                    c = totals.setdefault(name, np.zeros(BUCKETS, dtype=np.int64))
+                    for at, portion in word_portions(words, own[where]):
+                        grams, per_word = marked_grams(words, portion)
+                        c += np.bincount(grams, np.repeat(times[at], per_word), BUCKETS).astype(np.int64)
         for name, c in totals.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays(
@@ -151,8 +153,12 @@ def proportions(words: Words, model: Model) -> np.ndarray:
     if not len(docs):
         return out
     n_words = words.n_words[docs]
-    grams, counts = marked_grams(words)
-    log_like = segment_sum(model.log_p[grams], counts)
+    _, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+    each = []
+    for _, portion in word_portions(words, where):
+        grams, counts = marked_grams(words, portion)
+        each.append(segment_sum(model.log_p[grams], counts))
+    log_like = np.concatenate(each)[inverse]
     top = log_like.max(axis=1, keepdims=True)
     like = np.exp(log_like - top)
     n_langs = like.shape[1]

@@ -3,24 +3,33 @@
 A word's vector is the mean of the embeddings of its byte n-grams (3 to 5,
 with word marks) and of the whole word, all hashed into ``BUCKETS`` rows; a
 passage of ``PASSAGE`` words is the mean of its words' vectors; a linear
-softmax turns it into P(toxic).  A document scores as its most toxic passage,
-so a few words in a long text are not diluted.  Unseen spellings share
-n-grams with seen ones.
-
-Embeddings and softmax are trained jointly with Adam in numpy, in one task,
-on a bounded sample: at most about ``TRAIN_ROWS`` labelled documents, half of
-the bound per class, drawn by the hash of their id and weighted back to the
-classes' true shares.  A training document's loss weighs its passages by a
-softmax over their scores that sharpens from the plain mean to the maximum.
+softmax turns it into P(toxic).  Passages start every ``STRIDE`` words, the
+last one ends with the text.  A document scores as its most toxic passage, so a
+few words in a long text are not diluted.  Unseen spellings share n-grams with
+seen ones.
+
+Embeddings and softmax are trained jointly with Adam in numpy on a bounded
+sample: at most about ``TRAIN_ROWS`` labelled documents, half of the bound per
+class, drawn by the hash of their id and weighted back to the classes' true
+shares.  The sample is dealt by the hash of its texts into ``BATCHES`` batches,
+which are written as word ids and n-grams (in blocks of ``BLOCK_BYTES`` of text,
+so no task holds all of it).  A step reads one batch in ``TURNS``: tasks turn
+their blocks into the gradient by n-gram bucket, and the driver adds up
+``BUCKETS`` numbers a task and moves the parameters.  A training document's
+loss weighs its passages by a softmax over their scores that sharpens from the
+plain mean to the maximum.
 
 Scoring is one narrow pass: the trained model reduces to a number per n-gram
-bucket (``BUCKETS`` doubles sent to the tasks), whatever the input size.
+bucket (``BUCKETS`` doubles sent to the tasks), whatever the input size.  Every
+distinct word of a slice of texts is cut into n-grams once.
 
 Defined cases: null, empty and wordless texts score the softmax's bias.
 Labels that are null or not 0/1 and labels without a document are ignored;
-repeated labels count once, and of documents of one doc_id one trains.  Without labels of both classes every score is
-the share of toxic labels (0 without any).  Extra columns are ignored
-(``score``) or passed through (``drop_toxic``).
+repeated labels count once (the greatest), and of documents of one doc_id the
+text of least hash trains.  Without labels of both classes every score is the
+share of toxic labels (0 without any).  A text is never cut; scoring takes about
+20 bytes per byte of it.  Extra columns are ignored (``score``) or passed
+through (``drop_toxic``).
 """
 
 from __future__ import annotations
@@ -30,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import is_held_out, map_batches
-from lodestar.llm.words import U64, Words, mix, segment_sum, slices
+from lodestar.llm.common import is_held_out, map_batches, written
+from lodestar.llm.words import U64, Words, mix, segment_sum, slices, word_portions
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
@@ -41,12 +50,17 @@ TRAIN_ROWS = 20_000
 HELD_OUT = (5, 0)
 EPOCHS = 14
 BATCHES = 24
+TURNS = 4
+RATE = 0.1
+STRIDE = 4
+BLOCK_BYTES = 4 << 20
 
 
-def word_grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every n-gram, number per word): byte n-grams of ``<word>``
-    and the word itself."""
-    n = words.end - words.start
+def word_grams(words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of every n-gram, number per word) of the words ``which``: byte
+    n-grams of ``<word>`` and the word itself."""
+    start = words.start[which]
+    n = words.end[which] - start
     # every word between two marks, back to back
     size = n + 2
     begin = np.cumsum(size) - size
@@ -54,12 +68,12 @@ def word_grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     text = np.full(total, 1, dtype=np.uint8)
     body = np.ones(total, dtype=bool)
     body[begin] = body[begin + n + 1] = False
-    inside = np.repeat(words.start, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    inside = np.repeat(start, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     text[body] = words.data[inside]
     codes = text.astype(U64)
     owner = np.repeat(np.arange(len(n)), size)
     left = (np.repeat(begin + size, size) - np.arange(total)).astype(np.int32)  # bytes to the word's end
-    grams, owners = [words.hash], [np.arange(len(n))]
+    grams, owners = [words.hash[which]], [np.arange(len(n))]
     rolled = codes.copy()
     for k in range(2, max(GRAMS) + 1):
         if total < k:
@@ -74,123 +88,107 @@ def word_grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return (ids[order] & U64(BUCKETS - 1)).astype(np.int32), np.bincount(owners, minlength=len(n))
 
 
-def passage_counts(n_words: np.ndarray) -> np.ndarray:
-    return -(-n_words // PASSAGE)
+def passages(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, number per text) of the passages of texts whose words
+    stand back to back: every ``STRIDE`` words, the last one at the end."""
+    per_doc = np.where(n_words > PASSAGE, 1 - (-(n_words - PASSAGE) // STRIDE), (n_words > 0).astype(n_words.dtype))
+    within = np.arange(int(per_doc.sum())) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+    n = np.repeat(n_words, per_doc)
+    first = np.minimum(within * STRIDE, np.maximum(n - PASSAGE, 0))
+    return first + np.repeat(np.cumsum(n_words) - n_words, per_doc), np.minimum(n, PASSAGE), per_doc
 
 
-def passage_sizes(n_words: np.ndarray) -> np.ndarray:
-    """Words in each passage, documents back to back; the last may be short."""
-    per_doc = passage_counts(n_words)
-    sizes = np.full(int(per_doc.sum()), PASSAGE, dtype=np.int64)
-    full = per_doc > 0
-    sizes[np.cumsum(per_doc)[full] - 1] = (n_words - (per_doc - 1) * PASSAGE)[full]
-    return sizes
+def passage_scores(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Mean of the words' numbers over each passage."""
+    total = np.zeros(len(first))
+    for k in range(PASSAGE):  # one way of adding, wherever a passage stands
+        total += np.where(k < size, word[np.minimum(first + k, len(word) - 1)], 0.0)
+    return total / size
 
 
 def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-class TrainingWords:
-    """The words of the training texts: occurrences as ids into the distinct
-    words, and those words' n-gram buckets.  Texts are not kept."""
+class Block:
+    """Training texts as word ids, the distinct words' n-gram buckets, labels
+    and weights."""
+
+    def __init__(self, tokens, n_words, grams, per_word, toxic, weight):
+        self.tokens, self.n_words, self.grams, self.per_word = tokens, n_words, grams, per_word
+        self.toxic, self.weight = toxic, weight
+        self.first, self.size, self.per_doc = passages(n_words)
 
-    def __init__(self):
-        self.known = np.zeros(0, dtype=U64)  # sorted
-        self.fresh: list[np.ndarray] = []  # hashes in the order of their ids
-        self.chunks: list[tuple[np.ndarray, np.ndarray]] = []
-        self.grams: list[np.ndarray] = []
-        self.per_word: list[np.ndarray] = []
-        self.n_words: list[np.ndarray] = []
-        self.keys: list[np.ndarray] = []
+    #: how the arrays are written
+    TYPES = (np.int32, np.int64, np.int32, np.int32, np.float64, np.float64)
 
-    def add(self, column) -> None:
+    @classmethod
+    def of(cls, column, toxic, weight) -> Block:
+        """Of texts; those without words are left out."""
         words = Words(column)
+        own = words.n_words > 0
         distinct, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-        new = np.flatnonzero(~np.isin(distinct, self.known, assume_unique=True))
-        self.known = np.union1d(self.known, distinct[new])
-        self.fresh.append(distinct[new])
-        self.chunks.append((distinct, inverse.astype(np.int32)))
-        self.n_words.append(words.n_words)
-        place = (np.arange(len(words.hash)) - np.repeat(words.lo, words.n_words)).astype(U64)
-        self.keys.append(segment_sum(mix(words.hash + place), words.n_words))
-        text = b" ".join(words.data[words.start[w]:words.end[w]].tobytes() for w in where[new])
-        grams, per_word = word_grams(Words(pa.array([text.decode("utf-8", "replace")], pa.large_string())))
-        if len(per_word) != len(new):
-            raise AssertionError("a word is one word")
-        self.grams.append(grams)
-        self.per_word.append(per_word.astype(np.int32))
-
-    def finish(self):
-        """(occurrences, words per text, buckets, buckets per word, a hash per text)."""
-        fresh = np.concatenate(self.fresh)
-        by = np.argsort(fresh).astype(np.int32)
-        # each list goes as it is joined: the peak is one copy, not two
-        tokens = np.empty(sum(len(inverse) for _, inverse in self.chunks), dtype=np.int32)
-        end = len(tokens)
-        while self.chunks:
-            distinct, inverse = self.chunks.pop()
-            tokens[end - len(inverse):end] = by[np.searchsorted(fresh, distinct, sorter=by)][inverse]
-            end -= len(inverse)
-        self.known, self.fresh = np.zeros(0, dtype=U64), []
-        grams, self.grams = np.concatenate(self.grams), []
-        n_words, per_word, keys = (np.concatenate(x) for x in (self.n_words, self.per_word, self.keys))
-        return tokens, n_words, grams, per_word, keys
-
-
-def train(index: TrainingWords, toxic: np.ndarray, weight: np.ndarray, seed: int = 11) -> tuple[np.ndarray, float]:
+        parts = [word_grams(words, p) for _, p in word_portions(words, where)]
+        grams = np.concatenate([np.zeros(0, np.int32), *(g for g, _ in parts)])
+        per_word = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
+        return cls(inverse.astype(np.int32), words.n_words[own], grams, per_word.astype(np.int32),
+                   np.asarray(toxic, dtype=float)[own], np.asarray(weight, dtype=float)[own])
+
+    def arrays(self) -> list[bytes]:
+        return [np.ascontiguousarray(x, dtype=t).tobytes() for x, t in zip(
+            (self.tokens, self.n_words, self.grams, self.per_word, self.toxic, self.weight), self.TYPES, strict=True)]
+
+    @classmethod
+    def read(cls, arrays) -> Block:
+        return cls(*(np.frombuffer(x, t) for x, t in zip(arrays, cls.TYPES, strict=True)))
+
+    def gradient(self, line: np.ndarray, bias: float, sharp: float) -> tuple[np.ndarray, float]:
+        """(by bucket, by bias) of the texts' summed weighted loss, where a
+        word's number is the mean of ``line`` over its buckets."""
+        word = segment_sum(line[self.grams], self.per_word) / self.per_word
+        score = passage_scores(word[self.tokens], self.first, self.size)
+        per_doc = self.per_doc
+        attend = np.exp(sharp * (score - np.repeat(np.maximum.reduceat(score, np.cumsum(per_doc) - per_doc), per_doc)))
+        attend /= np.repeat(segment_sum(attend, per_doc), per_doc)
+        delta = (_sigmoid(segment_sum(attend * score, per_doc) + bias) - self.toxic) * self.weight
+        up = np.repeat(delta, per_doc) * attend / self.size
+        # from the passages that start and end at each occurrence
+        n = len(self.tokens)
+        on_token = np.cumsum(np.bincount(self.first, up, n + 1) - np.bincount(self.first + self.size, up, n + 1))[:n]
+        on_word = np.bincount(self.tokens, on_token, len(word))
+        on_bucket = np.bincount(self.grams, np.repeat(on_word / self.per_word, self.per_word), BUCKETS)
+        return on_bucket, float(delta.sum())
+
+
+def train(gradients, seed: int = 11, epochs: int = EPOCHS, turns: int = TURNS, rate: float = RATE) -> tuple[np.ndarray, float]:
     """(number per bucket, bias): the log-odds of a passage is the bias plus
-    the mean over its words of the mean of their buckets' numbers."""
-    rng = np.random.default_rng(seed)
-    tokens, n_words, grams, per_word, keys = index.finish()
-    first_gram = np.cumsum(per_word) - per_word
-    first_token = np.cumsum(n_words) - n_words
-    # texts in the order of their hash: the order of arrival is Spark's
-    docs = np.lexsort((toxic, keys))
-    docs = docs[n_words[docs] > 0]
+    the mean over its words of the mean of their buckets' numbers.
 
+    ``gradients(turn, line, bias, sharp)`` gives the summed gradient (by bucket,
+    by bias) and weight of the batches whose turn it is."""
+    rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM))
     soft = rng.normal(0, 0.3, (DIM, 2))
     bias = np.zeros(2)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (embed, soft, bias)]
-    mean_weight = weight[docs].mean()
-    # fixed batches, so that their words are gathered once
-    batches = []
-    for part in np.array_split(rng.permutation(docs), BATCHES):
-        if len(part):
-            n = n_words[part]
-            own = tokens[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first_token[part], n)]
-            used, local = np.unique(own, return_inverse=True)
-            batches.append((part, n, used, local.astype(np.int32)))
-    del tokens
     step = 0
-    for epoch in range(EPOCHS):
-        sharp = 0.0 if epoch < 2 else min(8.0, 0.5 * 2 ** (epoch - 2))
-        for turn in rng.permutation(len(batches)):
-            part, n, used, local = batches[turn]
-            c = per_word[used]
-            g = grams[np.arange(int(c.sum())) + np.repeat(first_gram[used] - (np.cumsum(c) - c), c)]
-            step += 1
+    for epoch in range(epochs):
+        sharp = 0.0 if epoch < 2 else min(8.0, 0.5 * 2 ** ((epoch - 2) / 2))
+        for turn in rng.permutation(turns):
             line = soft[:, 1] - soft[:, 0]
-            word = segment_sum((embed @ line)[g], c) / c
-            sizes, per_doc = passage_sizes(n), passage_counts(n)
-            score = segment_sum(word[local], sizes) / sizes
-            attend = np.exp(sharp * (score - np.repeat(np.maximum.reduceat(score, np.cumsum(per_doc) - per_doc), per_doc)))
-            attend /= np.repeat(segment_sum(attend, per_doc), per_doc)
-            logit = segment_sum(attend * score, per_doc) + bias[1] - bias[0]
-            delta = (_sigmoid(logit) - toxic[part]) * weight[part] / mean_weight / len(part)
-            # d loss / d word occurrence -> distinct word -> n-gram bucket
-            up = np.repeat(np.repeat(delta, per_doc) * attend / sizes, sizes)
-            on_bucket = np.bincount(g, np.repeat(np.bincount(local, up, minlength=len(c)) / c, c), BUCKETS)
+            on_bucket, on_bias, weight = gradients(int(turn), embed @ line, float(bias[1] - bias[0]), sharp)
+            if not weight:
+                continue
+            step += 1
+            on_bucket, on_bias = on_bucket / weight, on_bias / weight
             bag = on_bucket @ embed
-            grads = (on_bucket[:, None] * line[None, :], np.stack([-bag, bag], axis=1),
-                     np.array([-delta.sum(), delta.sum()]))
+            grads = (on_bucket[:, None] * line[None, :], np.stack([-bag, bag], axis=1), np.array([-on_bias, on_bias]))
             for p, d, (m, v) in zip((embed, soft, bias), grads, moments, strict=True):
                 m *= 0.9
                 m += 0.1 * d
                 v *= 0.99
                 v += 0.01 * d * d
-                p -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+                p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return embed @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0])
 
 
@@ -206,35 +204,79 @@ def sample_labels(labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
         "doc_id", "toxic", (1.0 / kept).alias("weight"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """The trained model; ``docs`` are joined with the sampled labels only."""
-    sample = sample_labels(labels.select("doc_id", "toxic"), train_rows)
-    # bounded by train_rows, so a broadcast: the documents' texts stay in place;
-    # one row per doc_id, however often it is repeated
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select(
-        "text", "toxic", "weight")
+def _blocks(block_bytes: int):
+    """Blocks of the sampled texts; rows come sorted by batch."""
+    def block(batch, texts, toxic, weight):
+        own = Block.of(pa.array(texts, pa.large_string()), toxic, weight)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([batch], pa.int32()), pa.array([float(own.weight.sum())]), *(pa.array([x], pa.binary()) for x in own.arrays())],
+            names=["batch", "total", *_ARRAYS])
 
-    def learn(batches):
-        toxic, weight = [], []
-
-        index = TrainingWords()
+    def run(batches):
+        held, size, current = ([], [], []), 0, None
         for batch in batches:
-            for part in slices(batch, "text"):
-                toxic += part.column("toxic").to_pylist()
-                weight += part.column("weight").to_pylist()
-                index.add(part.column("text"))
-        line, bias = np.zeros(BUCKETS), -500.0
-        if toxic and 0 < sum(toxic) < len(toxic):
-            line, bias = train(index, np.array(toxic, dtype=float), np.array(weight))
-        elif toxic and sum(toxic):
-            bias = 500.0
-        yield pa.RecordBatch.from_arrays([pa.array([line.tobytes()], pa.binary()), pa.array([bias])],
-                                         names=["line", "bias"])
-
-    model = map_batches(joined.repartition(1), learn, "line binary, bias double").collect()
-    if not model:
-        return np.zeros(BUCKETS), -500.0
-    return np.frombuffer(model[0]["line"]), model[0]["bias"]
+            for number, *row in zip(*(batch.column(c).to_pylist() for c in ("batch", "text", "toxic", "weight")), strict=True):
+                if held[0] and (number != current or size + len(row[0]) > block_bytes):
+                    yield block(current, *held)
+                    held, size = ([], [], []), 0
+                current = number
+                size += len(row[0])
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
+        if held[0]:
+            yield block(current, *held)
+    return run
+
+
+_ARRAYS = ("tokens", "n_words", "grams", "per_word", "toxic", "weight")
+
+
+def training_blocks(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """The sampled documents as blocks, a row each: batch, total weight, arrays."""
+    own = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(sample), "doc_id")
+    tie = F.xxhash64("text")
+    # repeated doc_ids: the text of least hash; a row per sampled label
+    least = written(own.groupBy("doc_id").agg(F.min(tie).alias("least")), "training-texts")
+    own = own.join(F.broadcast(least), "doc_id").where(tie == F.col("least")).dropDuplicates(["doc_id"])
+    dealt = own.select(F.pmod(F.xxhash64("text", "toxic"), F.lit(BATCHES)).cast("int").alias("batch"), "text", "toxic", "weight", "least")
+    dealt = dealt.repartition(BATCHES, "batch").sortWithinPartitions("batch", "least")
+    return written(map_batches(dealt.select("batch", "text", "toxic", "weight"), _blocks(BLOCK_BYTES),
+                               "batch int, total double, " + ", ".join(f"{c} binary" for c in _ARRAYS)), "training-blocks")
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
+    """The trained model; ``docs`` are joined with the sampled labels only."""
+    sample = written(sample_labels(labels.select("doc_id", "toxic"), train_rows), "training-labels")
+    blocks = training_blocks(docs, sample)  # the sample is bounded by train_rows: a broadcast
+    weight = {r["batch"]: r["w"] for r in blocks.groupBy("batch").agg(F.sum("total").alias("w")).collect()}
+    classes = {r["toxic"] for r in docs.select("doc_id").join(F.broadcast(sample), "doc_id").select("toxic").distinct().collect()}
+    if classes != {0, 1}:
+        return np.zeros(BUCKETS), 500.0 if classes == {1} else -500.0
+    spark = docs.sparkSession
+
+    def gradients(turn, line, bias, sharp):
+        sent = spark.sparkContext.broadcast(line)
+
+        def run(batches):
+            total, on_bias = np.zeros(BUCKETS), 0.0
+            any_rows = False
+            for batch in batches:
+                for row in zip(*(batch.column(c) for c in _ARRAYS), strict=True):
+                    own = Block.read([x.as_buffer() for x in row])
+                    if len(own.n_words):
+                        by_bucket, by_bias = own.gradient(sent.value, bias, sharp)
+                        total += by_bucket
+                        on_bias += by_bias
+                        any_rows = True
+            if any_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([on_bias])], names=["total", "on_bias"])
+
+        rows = map_batches(blocks.where(F.col("batch") % TURNS == turn).select(*_ARRAYS), run, "total binary, on_bias double").collect()
+        sent.unpersist()
+        on_bucket = np.sum([np.frombuffer(r["total"]) for r in rows], axis=0) if rows else np.zeros(BUCKETS)
+        return on_bucket, sum(r["on_bias"] for r in rows), sum(w for b, w in weight.items() if b % TURNS == turn)
+
+    return train(gradients)
 
 
 def score_texts(column, model: tuple[np.ndarray, float]) -> np.ndarray:
@@ -242,11 +284,14 @@ def score_texts(column, model: tuple[np.ndarray, float]) -> np.ndarray:
     line, bias = model
     words = Words(column)
     best = np.zeros(words.n_docs)
-    if len(words.hash):
-        grams, per_word = word_grams(words)
-        word = segment_sum(line[grams], per_word) / per_word
-        sizes, per_doc = passage_sizes(words.n_words), passage_counts(words.n_words)
-        score = segment_sum(word, sizes) / sizes
+    if len(words.start):
+        _, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+        each = []
+        for _, portion in word_portions(words, where):
+            grams, per_word = word_grams(words, portion)
+            each.append(segment_sum(line[grams], per_word) / per_word)
+        first, size, per_doc = passages(words.n_words)
+        score = passage_scores(np.concatenate(each)[inverse], first, size)
         full = per_doc > 0
         best[full] = np.maximum.reduceat(score, (np.cumsum(per_doc) - per_doc)[full])
     return _sigmoid(best + bias)

@@ -146,6 +146,21 @@ class Words:
         return b" ".join(data[s[i]:e[i]].tobytes() for i in range(first, first + n))
 
 
+#: bytes of words that are cut into n-grams at a time
+PORTION_BYTES = 1 << 20
+
+
+def word_portions(words: Words, which: np.ndarray):
+    """(slice, word numbers) of ``which`` in runs of about ``PORTION_BYTES``."""
+    if not len(which):
+        return
+    ends = np.cumsum(words.end[which] - words.start[which])
+    cuts = np.searchsorted(ends, np.arange(1, int(ends[-1]) // PORTION_BYTES + 1) * PORTION_BYTES) + 1
+    edges = np.unique(np.concatenate([[0], np.minimum(cuts, len(which)), [len(which)]]))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield slice(a, b), which[a:b]
+
+
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` words (across documents; mask the ends)."""
     n = len(hashes) - k + 1

@@ -94,3 +94,36 @@ def test_proportions_are_the_likeliest():
         assert value[d] <= best + 1e-9 and best <= value[d] + gap[d] + 1e-9 and gap[d] <= 0.01
         assert early[1][d] <= best + 1e-9 <= early[1][d] + early[2][d] + 1e-6
         assert np.isclose(share[d].sum(), 1)
+
+
+def _plain_log_like(word, model):
+    text = b"\x01" + word.lower().encode() + b"\x01"
+    text += b"\x01" * (language.GRAM - len(text))
+    return sum(model.log_p[_bucket(text[i:i + language.GRAM])] for i in range(len(text) - language.GRAM + 1))
+
+
+def _bucket(gram):
+    h = np.array([gram[0]], dtype=np.uint64)
+    for c in gram[1:]:
+        h = h * np.uint64(0x100000001B3) + np.uint64(c)
+    return int(language.mix(h)[0] & np.uint64(language.BUCKETS - 1))
+
+
+def test_word_likelihoods_and_shares_against_plain_loops():
+    """Single-language choice and proportions from plain per-word sums."""
+    rng = np.random.default_rng(9)
+    model = language.Model(["aa", "bb"], np.log(rng.dirichlet(np.ones(language.BUCKETS), 2).T + 1e-9) / language.GRAM)
+    texts = ["Aber aber über x", "the the the quick fox", "é", "a b c d e f g " * 30]
+    for t in texts:
+        words = t.split()
+        like = np.array([_plain_log_like(w, model) for w in words])
+        alone = like.sum(axis=0)
+        penalty = language.PENALTY * np.log(len(words) + 1)
+        p = np.array([0.5, 0.5])
+        for _ in range(4000):
+            joint = np.exp(like - like.max(axis=1, keepdims=True)) * p
+            p = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+        mixed = np.logaddexp(like[:, 0] + np.log(p[0] + 1e-300), like[:, 1] + np.log(p[1] + 1e-300)).sum()
+        want = p if mixed - 2 * penalty > alone.max() - penalty + 0.02 else np.eye(2)[alone.argmax()]
+        got = language.proportions(Words(pa.array([t])), model)[0]
+        assert np.allclose(got, want, atol=0.05), t
