@@ -43,9 +43,9 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.1
 PENALTY = 2.0
 ROUNDS = 12
-FIT_ROUNDS = 500
+FIT_ROUNDS = 200
 #: a set's log-likelihood is fitted to within this
-TOLERANCE = 0.01
+TOLERANCE = 0.05
 HELD_OUT = (4, 2)
 MIN_SHARE = 0.5
 _ASCII_LETTER = np.zeros(256, dtype=bool)
@@ -118,31 +118,34 @@ def fit(docs: DataFrame) -> Model:
     return Model([r["lang"] for r in rows], np.log(p) / GRAM)
 
 
-def _mixture(like: np.ndarray, n_words: np.ndarray, allowed: np.ndarray, rounds: int,
+def _mixture(like: np.ndarray, times: np.ndarray, units: np.ndarray, allowed: np.ndarray, rounds: int,
              tolerance: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """EM per document over its words' likelihoods (words x languages), with
-    proportions kept at 0 outside ``allowed`` (documents x languages).
+    """EM per document over the likelihoods of its ``units`` distinct words
+    (words x languages), each standing ``times`` times, with proportions kept at
+    0 outside ``allowed`` (documents x languages).
 
     Returns the proportions, the log-likelihood and how much more any
     proportions could reach: the log-likelihood is concave in them, so it can
     gain at most the greatest of its slopes towards one language alone.  A
     document is done when that is within ``tolerance``."""
     share = allowed / allowed.sum(axis=1, keepdims=True)
-    value, gap = np.zeros(len(n_words)), np.full(len(n_words), np.inf)
-    todo = np.arange(len(n_words))
+    n_words = segment_sum(times, units)
+    value, gap = np.zeros(len(units)), np.full(len(units), np.inf)
+    todo = np.arange(len(units))
+    owner = np.repeat(np.arange(len(units)), units)
     for turn in range(rounds + 1):
-        own = like if len(todo) == len(n_words) else like[np.isin(np.repeat(np.arange(len(n_words)), n_words), todo)]
-        n = n_words[todo]
-        joint = own * np.repeat(share[todo], n, axis=0)
-        total = joint.sum(axis=1)
-        value[todo] = segment_sum(np.log(total), n)
-        slope = segment_sum(own / total[:, None], n)
-        gap[todo] = np.maximum(np.where(allowed[todo] > 0, slope, 0).max(axis=1) - n, 0)
+        total = (like * np.repeat(share[todo], units[todo], axis=0)).sum(axis=1)
+        value[todo] = segment_sum(times * np.log(total), units[todo])
+        slope = segment_sum(like * (times / total)[:, None], units[todo])
+        gap[todo] = np.maximum(np.where(allowed[todo] > 0, slope, 0).max(axis=1) - n_words[todo], 0)
         going = gap[todo] > tolerance
         if turn == rounds or not going.any():
             break
-        share[todo[going]] *= slope[going] / n[going, None]
-        todo = todo[going]
+        share[todo[going]] *= slope[going] / n_words[todo[going], None]
+        if not going.all():
+            todo = todo[going]
+            own = np.isin(owner, todo)
+            like, times, owner = like[own], times[own], owner[own]
     return share, value, gap
 
 
@@ -153,19 +156,23 @@ def proportions(words: Words, model: Model) -> np.ndarray:
     if not len(docs):
         return out
     n_words = words.n_words[docs]
-    _, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+    distinct, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
     each = []
     for _, portion in word_portions(words, where):
         grams, counts = marked_grams(words, portion)
         each.append(segment_sum(model.log_p[grams], counts))
-    log_like = np.concatenate(each)[inverse]
+    # a document's distinct words and how often each stands in it
+    keys, times = np.unique(np.repeat(np.arange(len(docs)), n_words) * len(distinct) + inverse, return_counts=True)
+    owner = keys // len(distinct)
+    units = np.bincount(owner, minlength=len(docs))
+    log_like = np.concatenate(each)[keys % len(distinct)]
     top = log_like.max(axis=1, keepdims=True)
     like = np.exp(log_like - top)
     n_langs = like.shape[1]
-    share, full, more_yet = _mixture(like, n_words, np.ones((len(docs), n_langs)), ROUNDS)
+    share, full, more_yet = _mixture(like, times, units, np.ones((len(docs), n_langs)), ROUNDS)
     rank = np.argsort(-share, axis=1, kind="stable")
     # one language: every word under it
-    alone = segment_sum(log_like - top, n_words)
+    alone = segment_sum((log_like - top) * times[:, None], units)
     first = alone.argmax(axis=1)
     best = np.zeros_like(share)
     best[np.arange(len(docs)), first] = 1.0
@@ -173,15 +180,13 @@ def proportions(words: Words, model: Model) -> np.ndarray:
     value = alone[np.arange(len(docs)), first] - penalty
     # no set can gain more than all languages at their best
     more = np.flatnonzero(full + more_yet - 2 * penalty > value)
-    word_doc = np.repeat(np.arange(len(docs)), n_words)
+    chosen = np.isin(owner, more)
     for s in range(2, n_langs + 1):
         if not len(more):
             break
         allowed = np.zeros((len(more), n_langs))
         np.put_along_axis(allowed, rank[more, :s], 1.0, axis=1)
-        chosen = np.zeros(len(docs), dtype=bool)
-        chosen[more] = True
-        fit_share, fit_value, _ = _mixture(like[chosen[word_doc]], n_words[more], allowed, FIT_ROUNDS, TOLERANCE)
+        fit_share, fit_value, _ = _mixture(like[chosen], times[chosen], units[more], allowed, FIT_ROUNDS, TOLERANCE)
         fit_value = fit_value - s * penalty[more]
         better = fit_value > value[more]
         best[more[better]], value[more[better]] = fit_share[better], fit_value[better]

@@ -79,13 +79,13 @@ def test_signs_of_numbers_are_no_letters():
 def test_proportions_are_the_likeliest():
     """Against plain EM run for thousands of rounds, and the bound of what is left."""
     rng = np.random.default_rng(6)
-    n_words = np.array([3, 40, 7, 1])
-    like = rng.random((int(n_words.sum()), 3)) ** 3 + 1e-6
+    units = np.array([3, 40, 7, 1])
+    like, times = rng.random((int(units.sum()), 3)) ** 3 + 1e-6, rng.integers(1, 4, int(units.sum()))
     first = 0
-    share, value, gap = language._mixture(like, n_words, np.ones((4, 3)), 500, 0.01)
-    early = language._mixture(like, n_words, np.ones((4, 3)), 4)
-    for d, n in enumerate(n_words):
-        own, p = like[first:first + n], np.full(3, 1 / 3)
+    share, value, gap = language._mixture(like, times, units, np.ones((4, 3)), 5000, 0.01)
+    early = language._mixture(like, times, units, np.ones((4, 3)), 4)
+    for d, n in enumerate(units):
+        own, p = np.repeat(like[first:first + n], times[first:first + n], axis=0), np.full(3, 1 / 3)
         first += n
         for _ in range(5000):
             joint = own * p
