@@ -16,9 +16,11 @@ shingle of all of them).
    of n equal, the posterior of similarity >= ``THRESHOLD`` under a uniform
    prior is P(Binomial(n + 1, THRESHOLD) <= m); pairs below ``TOLERANCE`` are
    dropped.  (Having met in a band only raises m, so it never costs a link.)
-4. The texts of the remaining pairs' classes are fetched and compared exactly.
-   A unit returns, per class, the number of linked documents and the least
-   key reached by its links.
+   A unit hands on the classes that are left in some pair, not the pairs.
+4. The texts of these classes are fetched; the unit's pairs are found again from
+   the values and compared exactly.  A unit returns, per class, the number of
+   linked documents and the least key reached by its links, so no row is ever
+   written for a pair.
 5. Connected components over those keys, by label propagation with pointer
    jumping; every round is written to the shared folder.
 
@@ -138,29 +140,22 @@ def surviving_pairs(values: np.ndarray, block: np.ndarray, low: int, high: int,
     return np.concatenate([empty, *found_a]), np.concatenate([empty, *found_b])
 
 
+def _unit_pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    first = {c: group.column(c)[0].as_py() for c in (*UNIT, "band")}
+    values = np.frombuffer(b"".join(group.column("values").to_pylist()), np.uint32).reshape(-1, HASHES)
+    return surviving_pairs(values, group.column("block").to_numpy(), first["low"], first["high"], first["band"])
+
+
 def _prune(batches):
+    """The rows of a unit that are in a surviving pair; the pairs stay here."""
     for group in sorted_groups(batches, UNIT):
-        first = {c: group.column(c)[0].as_py() for c in (*UNIT, "band")}
-        values = np.frombuffer(b"".join(group.column("values").to_pylist()), np.uint32).reshape(-1, HASHES)
-        block = group.column("block").to_numpy()
-        a, b = surviving_pairs(values, block, first["low"], first["high"], first["band"])
-        if not len(a):
-            continue
-        kept = np.unique(np.concatenate([a, b]))
-        order = np.argsort(a, kind="stable")
-        a, b = a[order], np.searchsorted(kept, b[order])
-        cut = np.searchsorted(a, kept), np.searchsorted(a, kept, side="right")
-        n = len(kept)
-        taken = group.select(["key", "copies"]).take(pa.array(kept)).combine_chunks()
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array([first[c]] * n, pa.int64()) for c in UNIT), pa.array(np.arange(n, dtype=np.int32)),
-             taken.column("key").combine_chunks(), taken.column("copies").combine_chunks(),
-             pa.array([b[x:y] for x, y in zip(*cut, strict=True)], pa.list_(pa.int32()))],
-            names=[*UNIT, "at", "key", "copies", "partners"])
-
-
-def exact_links(texts, partners: list) -> list[tuple[int, int]]:
-    """The (i, partner) pairs of texts whose Jaccard similarity holds."""
+        kept = np.unique(np.concatenate(_unit_pairs(group)))
+        if len(kept):
+            yield from group.take(pa.array(kept)).combine_chunks().to_batches()
+
+
+def exact_links(texts, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """The (left, right) pairs of texts whose Jaccard similarity holds."""
     hashes, docs, _ = doc_shingles(Words(pa.array(texts, pa.large_string())), SHINGLE)
     order = np.lexsort((hashes, docs))
     hashes, docs = hashes[order], docs[order]
@@ -170,10 +165,10 @@ def exact_links(texts, partners: list) -> list[tuple[int, int]]:
     size = np.bincount(docs, minlength=len(texts))
     begin = np.cumsum(size) - size
     linked = []
-    for i, others in enumerate(partners):
-        if not len(others):
-            continue
-        others = np.asarray(others)
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
+    for i in np.unique(left).tolist():
+        others = right[np.searchsorted(left, i):np.searchsorted(left, i, side="right")]
         own = hashes[begin[i]:begin[i] + size[i]]
         for part in np.array_split(others, max(1, int(size[others].sum()) >> 20)):
             n = size[part]
@@ -187,12 +182,10 @@ def exact_links(texts, partners: list) -> list[tuple[int, int]]:
 
 def _verify(batches):
     for group in sorted_groups(batches, UNIT):
-        at = group.column("at").to_pylist()
         keys, copies = group.column("key").to_pylist(), group.column("copies").to_pylist()
-        place = {a: i for i, a in enumerate(at)}  # rows come sorted by ``at``
-        partners = [[place[p] for p in ps] for ps in group.column("partners").to_pylist()]
-        links = [0] * len(at)
-        root = list(range(len(at)))
+        pairs = _unit_pairs(group)
+        links = [0] * len(keys)
+        root = list(range(len(keys)))
 
         def find(i, root=root):
             while root[i] != i:
@@ -200,7 +193,7 @@ def _verify(batches):
                 i = root[i]
             return i
 
-        for i, j in exact_links(group.column("text").to_pylist(), partners):
+        for i, j in exact_links(group.column("text").to_pylist(), *pairs):
             links[i] += copies[j]
             links[j] += copies[i]
             a, b = sorted((find(i), find(j)), key=lambda x: keys[x])
@@ -276,10 +269,8 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.explode(F.expr("transform(sequence(0L, blocks - 1), j -> struct(least(block, j) AS low, "
                          "greatest(block, j) AS high))")).alias("u")).select(
         "bucket", "band", "key", "block", "u.low", "u.high")
-    units = units.join(classes.select("key", "copies", "values"), "key")
-    pruned = written(map_batches(
-        units.repartition(*UNIT).sortWithinPartitions(*UNIT), _prune,
-        "bucket long, low long, high long, at int, key binary, copies long, partners array<int>"), "pruned")
+    units = units.join(classes.select("key", "copies", "values"), "key").select(*UNIT, "band", "block", "key", "copies", "values")
+    pruned = written(map_batches(units.repartition(*UNIT).sortWithinPartitions(*UNIT), _prune, units.schema), "pruned")
 
     needed = written(pruned.select("key").distinct().join(classes.select("key", "rep"), "key"), "needed")
     texts = docs.select("doc_id", "text").join(
@@ -287,7 +278,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = map_batches(texts, _with_key("key"), f"doc_id {kind}, text string, key binary").select(
         "key", "text").where("key is not null").dropDuplicates(["key"])
     verified = written(map_batches(
-        pruned.join(texts, "key").repartition(*UNIT).sortWithinPartitions(*UNIT, "at"), _verify,
+        pruned.join(texts, "key").repartition(*UNIT).sortWithinPartitions(*UNIT), _verify,
         "key binary, links long, root binary"), "verified")
     links = verified.groupBy("key").agg(F.sum("links").alias("links"))
     labels = components(verified.select("key", "root"))
