@@ -9,15 +9,15 @@ few words in a long text are not diluted.  Unseen spellings share n-grams with
 seen ones.
 
 Embeddings and softmax are trained jointly with Adam in numpy on a bounded
-sample: at most about ``TRAIN_ROWS`` labelled documents, half of the bound per
-class, drawn by the hash of their id and weighted back to the classes' true
-shares.  The sample is dealt by the hash of its texts into ``BATCHES`` batches,
-which are written as word ids and n-grams (in blocks of ``BLOCK_BYTES`` of text,
-so no task holds all of it).  A step reads one batch in ``TURNS``: tasks turn
-their blocks into the gradient by n-gram bucket, and the driver adds up
-``BUCKETS`` numbers a task and moves the parameters.  A training document's
-loss weighs its passages by a softmax over their scores that sharpens from the
-plain mean to the maximum.
+sample: at most about ``TRAIN_ROWS`` labelled documents and ``TRAIN_BYTES`` of
+text, half of the bounds per class, drawn by the hash of their id and weighted
+back to the classes' true shares.  Tasks turn the sample, dealt by the hash of
+its texts into ``BATCHES`` batches, into compact blocks (word ids and the
+distinct words' n-grams, at most ``BLOCK_BYTES`` of text each, about four bytes
+per byte of it); the steps, one batch each, run in one task that holds the blocks and no texts, so the
+bounds are also its bounds in time and memory, whatever the input.  A training
+document's loss weighs its passages by a softmax over their scores that
+sharpens from the plain mean to the maximum.
 
 Scoring is one narrow pass: the trained model reduces to a number per n-gram
 bucket (``BUCKETS`` doubles sent to the tasks), whatever the input size.  Every
@@ -47,11 +47,11 @@ GRAMS = (3, 4, 5)
 PASSAGE = 8
 DIM = 8
 TRAIN_ROWS = 20_000
+TRAIN_BYTES = 128 << 20
 HELD_OUT = (5, 0)
 EPOCHS = 14
 BATCHES = 24
-TURNS = 4
-RATE = 0.1
+RATE = 0.05
 STRIDE = 4
 BLOCK_BYTES = 4 << 20
 
@@ -120,7 +120,7 @@ class Block:
         self.first, self.size, self.per_doc = passages(n_words)
 
     #: how the arrays are written
-    TYPES = (np.int32, np.int64, np.int32, np.int32, np.float64, np.float64)
+    TYPES = (np.int32, np.int64, np.uint16, np.int32, np.float64, np.float64)
 
     @classmethod
     def of(cls, column, toxic, weight) -> Block:
@@ -131,7 +131,7 @@ class Block:
         parts = [word_grams(words, p) for _, p in word_portions(words, where)]
         grams = np.concatenate([np.zeros(0, np.int32), *(g for g, _ in parts)])
         per_word = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
-        return cls(inverse.astype(np.int32), words.n_words[own], grams, per_word.astype(np.int32),
+        return cls(inverse.astype(np.int32), words.n_words[own], grams.astype(np.uint16), per_word.astype(np.int32),
                    np.asarray(toxic, dtype=float)[own], np.asarray(weight, dtype=float)[own])
 
     def arrays(self) -> list[bytes]:
@@ -160,12 +160,10 @@ class Block:
         return on_bucket, float(delta.sum())
 
 
-def train(gradients, seed: int = 11, epochs: int = EPOCHS, turns: int = TURNS, rate: float = RATE) -> tuple[np.ndarray, float]:
+def train(batches: list[list[Block]], seed: int = 11, epochs: int = EPOCHS, rate: float = RATE) -> tuple[np.ndarray, float]:
     """(number per bucket, bias): the log-odds of a passage is the bias plus
-    the mean over its words of the mean of their buckets' numbers.
-
-    ``gradients(turn, line, bias, sharp)`` gives the summed gradient (by bucket,
-    by bias) and weight of the batches whose turn it is."""
+    the mean over its words of the mean of their buckets' numbers.  A step is
+    one batch."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM))
     soft = rng.normal(0, 0.3, (DIM, 2))
@@ -174,13 +172,12 @@ def train(gradients, seed: int = 11, epochs: int = EPOCHS, turns: int = TURNS, r
     step = 0
     for epoch in range(epochs):
         sharp = 0.0 if epoch < 2 else min(8.0, 0.5 * 2 ** ((epoch - 2) / 2))
-        for turn in rng.permutation(turns):
+        for turn in rng.permutation(len(batches)):
             line = soft[:, 1] - soft[:, 0]
-            on_bucket, on_bias, weight = gradients(int(turn), embed @ line, float(bias[1] - bias[0]), sharp)
-            if not weight:
-                continue
+            own = [block.gradient(embed @ line, float(bias[1] - bias[0]), sharp) for block in batches[turn]]
+            weight = sum(block.weight.sum() for block in batches[turn])
             step += 1
-            on_bucket, on_bias = on_bucket / weight, on_bias / weight
+            on_bucket, on_bias = sum(g for g, _ in own) / weight, sum(g for _, g in own) / weight
             bag = on_bucket @ embed
             grads = (on_bucket[:, None] * line[None, :], np.stack([-bag, bag], axis=1), np.array([-on_bias, on_bias]))
             for p, d, (m, v) in zip((embed, soft, bias), grads, moments, strict=True):
@@ -231,52 +228,53 @@ def _blocks(block_bytes: int):
 _ARRAYS = ("tokens", "n_words", "grams", "per_word", "toxic", "weight")
 
 
-def training_blocks(docs: DataFrame, sample: DataFrame) -> DataFrame:
+def training_blocks(docs: DataFrame, sample: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
     """The sampled documents as blocks, a row each: batch, total weight, arrays."""
     own = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(sample), "doc_id")
     tie = F.xxhash64("text")
     # repeated doc_ids: the text of least hash; a row per sampled label
-    least = written(own.groupBy("doc_id").agg(F.min(tie).alias("least")), "training-texts")
-    own = own.join(F.broadcast(least), "doc_id").where(tie == F.col("least")).dropDuplicates(["doc_id"])
-    dealt = own.select(F.pmod(F.xxhash64("text", "toxic"), F.lit(BATCHES)).cast("int").alias("batch"), "text", "toxic", "weight", "least")
-    dealt = dealt.repartition(BATCHES, "batch").sortWithinPartitions("batch", "least")
-    return written(map_batches(dealt.select("batch", "text", "toxic", "weight"), _blocks(BLOCK_BYTES),
-                               "batch int, total double, " + ", ".join(f"{c} binary" for c in _ARRAYS)), "training-blocks")
+    least = written(own.groupBy("doc_id", "toxic").agg(F.min(F.struct(tie.alias("tie"), F.octet_length("text").alias("bytes"))).alias("l"))
+                    .select("doc_id", "toxic", "l.tie", "l.bytes"), "training-texts")
+    size = {r["toxic"]: r["b"] for r in least.groupBy("toxic").agg(F.sum("bytes").alias("b")).collect()}
+    share = F.lit(1.0)
+    for toxic, n in size.items():
+        share = F.when(F.col("toxic") == toxic, min(1.0, train_bytes / 2 / max(n, 1))).otherwise(share)
+    kept = least.withColumn("share", share).where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    own = own.drop("toxic").join(F.broadcast(kept.select(F.col("doc_id").alias("_id"), "toxic", "tie", "share")),
+                                 (F.col("doc_id") == F.col("_id")) & (tie == F.col("tie"))).dropDuplicates(["doc_id"])
+    dealt = own.select(F.pmod(F.xxhash64("text", "toxic"), F.lit(BATCHES)).cast("int").alias("batch"), "text", "toxic",
+                       (F.col("weight") / F.col("share")).alias("weight"), "tie")
+    dealt = dealt.repartition(BATCHES, "batch").sortWithinPartitions("batch", "tie")
+    return map_batches(dealt.select("batch", "text", "toxic", "weight"), _blocks(BLOCK_BYTES),
+                       "batch int, total double, " + ", ".join(f"{c} binary" for c in _ARRAYS))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """The trained model; ``docs`` are joined with the sampled labels only."""
-    sample = written(sample_labels(labels.select("doc_id", "toxic"), train_rows), "training-labels")
+    sample = sample_labels(labels.select("doc_id", "toxic"), train_rows)
     blocks = training_blocks(docs, sample)  # the sample is bounded by train_rows: a broadcast
-    weight = {r["batch"]: r["w"] for r in blocks.groupBy("batch").agg(F.sum("total").alias("w")).collect()}
-    classes = {r["toxic"] for r in docs.select("doc_id").join(F.broadcast(sample), "doc_id").select("toxic").distinct().collect()}
-    if classes != {0, 1}:
-        return np.zeros(BUCKETS), 500.0 if classes == {1} else -500.0
-    spark = docs.sparkSession
-
-    def gradients(turn, line, bias, sharp):
-        sent = spark.sparkContext.broadcast(line)
-
-        def run(batches):
-            total, on_bias = np.zeros(BUCKETS), 0.0
-            any_rows = False
-            for batch in batches:
-                for row in zip(*(batch.column(c) for c in _ARRAYS), strict=True):
-                    own = Block.read([x.as_buffer() for x in row])
-                    if len(own.n_words):
-                        by_bucket, by_bias = own.gradient(sent.value, bias, sharp)
-                        total += by_bucket
-                        on_bias += by_bias
-                        any_rows = True
-            if any_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([on_bias])], names=["total", "on_bias"])
-
-        rows = map_batches(blocks.where(F.col("batch") % TURNS == turn).select(*_ARRAYS), run, "total binary, on_bias double").collect()
-        sent.unpersist()
-        on_bucket = np.sum([np.frombuffer(r["total"]) for r in rows], axis=0) if rows else np.zeros(BUCKETS)
-        return on_bucket, sum(r["on_bias"] for r in rows), sum(w for b, w in weight.items() if b % TURNS == turn)
-
-    return train(gradients)
+
+    def learn(rows):
+        # rows come sorted: the blocks' order of arrival is Spark's
+        by_batch: dict[int, list[tuple[bytes, Block]]] = {}
+        for batch in rows:
+            for number, *arrays in zip(*(batch.column(c) for c in ("batch", *_ARRAYS)), strict=True):
+                raw = [x.as_py() for x in arrays]
+                if raw[1]:
+                    by_batch.setdefault(number.as_py(), []).append((raw[0][:64] + raw[1][:64], Block.read(raw)))
+        batches = [[b for _, b in sorted(own, key=lambda x: x[0])] for _, own in sorted(by_batch.items())]
+        toxic = np.concatenate([np.zeros(0), *(b.toxic for own in batches for b in own)])
+        line, bias = np.zeros(BUCKETS), -500.0
+        if len(toxic) and 0 < toxic.sum() < len(toxic):
+            line, bias = train(batches)
+        elif toxic.sum():
+            bias = 500.0
+        yield pa.RecordBatch.from_arrays([pa.array([line.tobytes()], pa.binary()), pa.array([bias])], names=["line", "bias"])
+
+    model = map_batches(blocks.repartition(1), learn, "line binary, bias double").collect()
+    if not model:
+        return np.zeros(BUCKETS), -500.0
+    return np.frombuffer(model[0]["line"]), model[0]["bias"]
 
 
 def score_texts(column, model: tuple[np.ndarray, float]) -> np.ndarray:

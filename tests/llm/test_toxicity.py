@@ -135,5 +135,9 @@ def test_blocks_hold_every_sampled_text_once(spark, monkeypatch):
     blocks = [toxicity.Block.read([r[c] for c in toxicity._ARRAYS]) for r in rows]
     assert sum(len(b.n_words) for b in blocks) == 300 and len(blocks) > 24
     assert sum(r["total"] for r in rows) == 450.0 and max(len(r["tokens"]) for r in rows) <= 4 * 400
+    fewer = toxicity.training_blocks(spark.createDataFrame(docs, "doc_id long, text string"), sample, train_bytes=2000).collect()
+    small = [toxicity.Block.read([r[c] for c in toxicity._ARRAYS]) for r in fewer]
+    assert 500 < sum(5 * len(b.tokens) for b in small) < 4000
+    assert abs(sum(r["total"] for r in fewer) - 450.0) < 200
     assert sorted({r["batch"] for r in rows}) == list(range(toxicity.BATCHES))
     assert all(len(b.tokens) == b.n_words.sum() and len(b.per_word) == b.tokens.max() + 1 for b in blocks)
