@@ -11,9 +11,17 @@ its predecessor kept, written as Parquet and read again as the next one's
 5. SentencePiece: the rest is encoded to ids, and the ids are decoded again
 
 Stages 1 to 4 return the columns of ``documents``; the last returns doc_id,
-n_ids, ids and whether they decode to the text.  Models are fitted on what the stage is given (with the labels
-table for toxicity).  Null and empty texts are not toxic, but have no language
-and go in stage 2.
+n_ids, ids and whether they decode to the text.  Models are fitted on what the
+stage is given (with the labels table for toxicity).
+
+Defined cases: null and empty texts are not toxic, but have no language and go
+in stage 2, as do texts without a letter.  Repeated rows are judged alike; stage
+3 keeps one row of them (equal ids and equal words), and of linked documents of
+equal doc_id the one of least text key.  Documents with a null doc_id are judged
+by their text and stay only if their group has no other id.  Columns beyond
+those of ``documents`` pass through stages 1 to 4 whatever their names.  Texts of
+any length are worked on whole (about 35 bytes of memory a byte of the longest).
+Empty tables give an empty result.
 """
 
 from __future__ import annotations

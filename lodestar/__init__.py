@@ -1,4 +1,4 @@
-"""lodestar: the reference's analytics jobs re-expressed as Spark DataFrame jobs.
+"""lodestar: analytics jobs as Spark DataFrame jobs.
 
 Subpackages
 -----------
@@ -7,7 +7,7 @@ functions  column expressions (vectors, flag labels)
 operators  splits, lookups, statistics, ranking, models
 plans      working relations derived from the driver tables, registered
            queries and their DuckDB oracles
-streaming  notes on streaming use (the reference has no streams)
+llm        training-data operators (optional: nothing else imports it)
 """
 
 __version__ = "0.1.0"
