@@ -45,7 +45,8 @@ def test_every_decision_takes_effect_and_clean_documents_stay(spark, small):
     path = small(
         documents=pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(docs), "key": ["k"] * len(docs),
                             "lang": ["aa" if i % 7 else None for i in ids], "score": [0.5] * len(docs),
-                            "label": pa.array([None] * len(docs), pa.string())}),
+                            "label": pa.array([None] * len(docs), pa.string()), "gone_id": ids, "gone_key": ["g"] * len(docs),
+                            "lodestar text key": ids, "text_key": ids, "batch": ids}),
         labels=pa.table({"doc_id": pa.array(ids[:300], pa.int64()),
                          "toxic": pa.array([int(kind[i] == "toxic") for i in ids[:300]], pa.int32())}),
         benchmark=pa.table({"item_id": pa.array([1, 2], pa.int64()), "text": pa.array([item, None])}))
