@@ -13,8 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lodestar.session import ship_package
 
 
 def _key_string(key_cols) -> Column:
@@ -249,12 +255,60 @@ def bag_complement(all_rows: DataFrame, test: DataFrame, copies_per_task: int =
 
 def files_out_of_order(files: DataFrame, sort_cols: Sequence[str]) -> DataFrame:
     """(rows, out_of_order) of a frame read from files: how many rows stand
-    before their predecessor in the same file.  One window per file."""
-    w = Window.partitionBy("_file").orderBy("_row")
-    key = F.struct(*sort_cols)
-    rows = files.select(*sort_cols, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return rows.select((F.lag(key).over(w) > key).alias("_bad")).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("_bad").cast("bigint")), F.lit(0)).alias("out_of_order"))
+    before their predecessor in the same file.  The tasks that read the files
+    compare neighbours and hand on the two ends of each batch; a window per
+    file over these compares the rows that batches part."""
+    ship_package(files.sparkSession)
+    keys = [f"k{i}" for i in range(len(sort_cols))]
+    rows = files.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+                        *[F.col(c).alias(k) for c, k in zip(sort_cols, keys, strict=True)])
+    ends = T.StructType([T.StructField(k, rows.schema[k].dataType) for k in keys])
+    schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("start", T.LongType()), T.StructField("first", ends),
+                           T.StructField("last", ends), T.StructField("n", T.LongType()), T.StructField("bad", T.LongType())])
+    runs = rows.mapInArrow(_runs_of_rows(keys), schema)
+    w = Window.partitionBy("file").orderBy("start")
+    parted = (F.lag("last").over(w) > F.col("first")).cast("bigint")
+    return runs.select("n", (F.col("bad") + F.coalesce(parted, F.lit(0))).alias("bad")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("bad"), F.lit(0)).alias("out_of_order"))
+
+
+def _above(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``a`` is greater than, and equal to, ``b`` in Spark's order: null
+    first, NaN last and equal to itself."""
+    if pa.types.is_boolean(a.type):
+        a, b = a.cast(pa.int8()), b.cast(pa.int8())
+    flags = lambda x: np.asarray(pc.fill_null(x, False).to_numpy(zero_copy_only=False), dtype=bool)
+    greater, equal = flags(pc.greater(a, b)), flags(pc.equal(a, b))
+    no_a, no_b = flags(pc.is_null(a)), flags(pc.is_null(b))
+    if pa.types.is_floating(a.type):
+        nan_a, nan_b = flags(pc.is_nan(a)), flags(pc.is_nan(b))
+        greater, equal = greater | nan_a & ~nan_b & ~no_b, equal | nan_a & nan_b
+    return greater | ~no_a & no_b, equal | no_a & no_b
+
+
+def _runs_of_rows(keys: Sequence[str]):
+    """One row per run of consecutive rows of a file in a batch: its ends, its
+    length, and its rows that stand before their predecessor."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, row = batch.column("file"), batch.column("row").to_numpy()
+            other, _ = _above(file[:-1], file[1:])
+            less, _ = _above(file[1:], file[:-1])
+            begin = np.concatenate([[0], np.flatnonzero(other | less | (row[1:] != row[:-1] + 1)) + 1])
+            end = np.append(begin[1:], len(row))
+            bad, same = np.zeros(len(row) - 1, bool), np.ones(len(row) - 1, bool)
+            for k in keys:
+                column = batch.column(k)
+                greater, equal = _above(column[:-1], column[1:])
+                bad, same = bad | same & greater, same & equal
+            counted = np.concatenate([[0], np.cumsum(bad)])  # of the rows up to each
+            ends = [pa.StructArray.from_arrays([batch.column(k).take(pa.array(at)) for k in keys], names=list(keys)) for at in (begin, end - 1)]
+            yield pa.RecordBatch.from_arrays([file.take(pa.array(begin)), pa.array(row[begin]), *ends, pa.array(end - begin),
+                                              pa.array(counted[end - 1] - counted[begin])],
+                                             names=["file", "start", "first", "last", "n", "bad"])
+    return run
 
 
 def write_split_files(labelled: DataFrame, path: str, split_col: str,
