@@ -39,6 +39,16 @@ BLOCK_TOKENS = 1 << 20
 _FOUR = np.arange(4)
 #: control byte -> lengths of its four values
 LENGTHS = ((np.arange(256)[:, None] >> (2 * _FOUR)) & 3) + 1
+#: kinds of bytes of UTF-8: space and line feed, ASCII letters, other visible
+#: ASCII, and the first of two bytes (no such character is white space but
+#: U+0085 and U+00A0, which start with C2)
+WHITE, LETTER, MARK, TWO = 1, 2, 4, 8
+VISIBLE, SHOWN = LETTER | MARK, LETTER | MARK | TWO
+KINDS = np.zeros(256, dtype=np.uint8)
+KINDS[[0x20, 0x0A]] = WHITE
+KINDS[0x21:0x7F] = MARK
+KINDS[0x41:0x5B] = KINDS[0x61:0x7B] = LETTER
+KINDS[0xC3:0xE0] = TWO
 
 
 def default_tokenizer_path() -> str:
@@ -96,17 +106,25 @@ class ChunkEncoder:
 
     A chunk starts at a single space between two visible characters.  A
     byte-level pre-tokenizer always cuts there and no merge crosses its cuts,
-    so a text's ids are its chunks' ids in turn.  A column's new chunks go to
-    the library joined into one text; the ids' byte lengths tell which chunk
-    each belongs to.  Known chunks (up to ``CACHED_CHUNKS`` of at most
-    ``CACHED_BYTES`` bytes, as sorted 64-bit hashes) stay for later columns.
+    so a text's ids are its chunks' ids in turn.  With the library's own
+    pattern (``ByteLevel``), chunks also start at a single line feed between
+    two visible characters and at an ASCII digit or mark after an ASCII letter:
+    no match of the pattern goes on there, and none looks back.  A column's new
+    chunks go to the library joined into one text; the ids' byte lengths tell
+    which chunk each belongs to.  Known chunks (up to ``CACHED_CHUNKS`` of at
+    most ``CACHED_BYTES`` bytes, by their 64-bit hashes) stay for later columns
+    until there are too many of them or of their ids (``CACHED_IDS``).
     """
 
     CACHED_BYTES = 64
-    CACHED_CHUNKS = 1 << 20
+    CACHED_CHUNKS = 1 << 21
+    CACHED_IDS = 1 << 24
 
     def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = _tokenizer(path)
+        cutter = self.tokenizer.pre_tokenizer
+        self.own_pattern = isinstance(cutter, ByteLevel) and cutter.use_regex and self.tokenizer.normalizer is None
         vocab = self.tokenizer.get_vocab()
         self.id_type = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
         self.id_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
@@ -115,42 +133,100 @@ class ChunkEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, dtype=U64)
-        self.first = np.zeros(0, dtype=np.int64)
-        self.count = np.zeros(0, dtype=np.int64)
+        self.n_known = 0
         self.ids = np.zeros(0, dtype=self.id_type)
+        self._slots_for(1 << 15)
+
+    def _slots_for(self, n: int) -> None:
+        """An empty hash table of at least ``2 * n`` slots; hash 0 is a free one."""
+        slots = 2 << max(n - 1, 1).bit_length()
+        self.known = np.zeros(slots, dtype=U64)
+        self.first = np.zeros(slots, dtype=np.int32)
+        self.count = np.zeros(slots, dtype=np.uint8)
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        """Of every hash its slot, or the free one where its search ends."""
+        last = len(self.known) - 1
+        slot = (hashes & U64(last)).astype(np.int64)
+        there = self.known[slot]
+        todo = np.flatnonzero((there != hashes) & (there != 0))
+        while len(todo):
+            at = (slot[todo] + 1) & last
+            slot[todo] = at
+            there = self.known[at]
+            todo = todo[(there != hashes[todo]) & (there != 0)]
+        return slot
+
+    def _put(self, hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
+        """Enters distinct hashes that are not in the table."""
+        while len(hashes):
+            slot = self._slot(hashes)
+            self.known[slot] = hashes  # of several for one slot, one stays
+            stays = self.known[slot] == hashes
+            self.first[slot[stays]] = first[stays]
+            self.count[slot[stays]] = count[stays]
+            hashes, first, count = hashes[~stays], first[~stays], count[~stays]
 
     def _each(self, chunks: list[bytes]) -> list[np.ndarray]:
         coded = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
         return [np.array(e.ids, dtype=self.id_type) for e in coded]
 
-    def _joined(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number per chunk) of chunks that start with their space."""
-        ids = self._each([b"".join(chunks)])[0]
-        ends = np.cumsum([len(c) for c in chunks])
+    def _joined(self, raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number per chunk) of chunks that start with their white space."""
+        ids = self._each([raw])[0]
         at = np.cumsum(self.id_bytes[ids])
         last = np.searchsorted(at, ends)
         if len(ids) and (at[np.minimum(last, len(at) - 1)] != ends).any():
             raise ValueError("this tokenizer does not cut at single spaces")
         return ids, np.diff(np.concatenate([[-1], last]))
 
-    def learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
-        spaced = np.array([c[:1] == b" " and c[1:2] != b" " and len(c) > 1 for c in chunks], dtype=bool)
-        parts, counts = [], np.zeros(len(chunks), dtype=np.int64)
+    def learn(self, hashes: np.ndarray, raw: np.ndarray, start: np.ndarray, size: np.ndarray,
+              spaced: np.ndarray) -> None:
+        """Encodes new chunks of distinct hashes; those ``spaced`` start with
+        one white space and a visible character."""
+        parts, counts = [], np.zeros(len(start), dtype=np.int64)
         if spaced.any():
-            ids, counts[spaced] = self._joined([c for c, ok in zip(chunks, spaced, strict=True) if ok])
+            ends = np.cumsum(size[spaced])
+            own = np.arange(ends[-1]) + np.repeat(start[spaced] - (ends - size[spaced]), size[spaced])
+            ids, counts[spaced] = self._joined(raw[own].tobytes(), ends)
             parts.append(ids)
-        rest = self._each([c for c, ok in zip(chunks, spaced, strict=True) if not ok])
-        counts[~spaced] = [len(i) for i in rest]
-        order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
-        first = np.zeros(len(chunks), dtype=np.int64)
+        other = np.flatnonzero(~spaced)
+        rest = self._each([raw[start[i]:start[i] + size[i]].tobytes() for i in other])
+        counts[other] = [len(i) for i in rest]
+        order = np.concatenate([np.flatnonzero(spaced), other])
+        first = np.zeros(len(start), dtype=np.int64)
         first[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
         self.ids = np.concatenate([self.ids, *parts, *rest])
-        known = np.concatenate([self.known, hashes])
-        by = np.argsort(known, kind="stable")
-        self.known = known[by]
-        self.first = np.concatenate([self.first, first])[by]
-        self.count = np.concatenate([self.count, counts])[by]
+        self.n_known += len(hashes)
+        if 2 * self.n_known > len(self.known):
+            full = self.known != 0
+            old = self.known[full], self.first[full], self.count[full]
+            self._slots_for(self.n_known)
+            self._put(*old)
+        self._put(hashes, first, counts)
+
+    def _cuts(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first bytes of all chunks, whether each starts with one white space
+        and a visible character)."""
+        kind = KINDS[raw]
+        white = kind == WHITE if self.own_pattern else raw == 0x20
+        after = (kind & SHOWN) > 0
+        before = (kind & VISIBLE) > 0
+        before[1:] |= kind[:-1] == TWO
+        cut = np.zeros(len(raw), dtype=bool)
+        cut[1:-1] = white[1:-1] & before[:-2] & after[2:]
+        if self.own_pattern:
+            cut[1:] |= (kind[1:] == MARK) & (kind[:-1] == LETTER)
+        full = np.diff(offsets) > 0
+        begins, ends = offsets[:-1][full], offsets[1:][full]
+        # white space must have both neighbours in its own text
+        lone = ends - 1
+        cut[lone[white[lone]]] = False
+        cut[begins] = True
+        start = np.flatnonzero(cut)
+        spaced = white[start] & after[np.minimum(start + 1, len(raw) - 1)]
+        spaced[np.searchsorted(start, begins[ends - begins == 1])] = False
+        return start, spaced
 
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(ids back to back, number per text); null is the empty text."""
@@ -158,48 +234,39 @@ class ChunkEncoder:
         n_docs = len(offsets) - 1
         if not len(raw):
             return np.zeros(0, dtype=self.id_type), np.zeros(n_docs, dtype=np.int64)
-        visible = (raw > 0x20) & (raw < 0x7F)
-        two = (raw >= 0xC3) & (raw <= 0xDF)  # first of two bytes, none of them white space
-        cut = np.zeros(len(raw), dtype=bool)
-        before = visible.copy()
-        before[1:] |= two[:-1]
-        cut[1:-1] = (raw[1:-1] == 0x20) & before[:-2] & (visible | two)[2:]
-        begins = offsets[:-1][np.diff(offsets) > 0]
-        cut[begins] = True
-        # the space must have both neighbours in its own text
-        ends = offsets[1:][np.diff(offsets) > 0]
-        lone = ends[:-1] - 1
-        lone = lone[~np.isin(lone, begins)]
-        cut[lone] = False
-        after = begins[begins + 1 < len(raw)] + 1
-        edge = after[(raw[after] == 0x20) & ~before[after - 1]]
-        cut[edge[~np.isin(edge, begins)]] = False
-        start = np.flatnonzero(cut)
+        start, spaced = self._cuts(raw, offsets)
         end = np.append(start[1:], len(raw))
-        hashes = byte_hashes(raw, start, end)
         size = end - start
-        first, count = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
-        short = np.flatnonzero(size <= self.CACHED_BYTES)
-        distinct, where, inverse = np.unique(hashes[short], return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
-        new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
-        if len(self.known) + len(new) > self.CACHED_CHUNKS:
-            self.forget()
-            new = np.arange(len(distinct))
+        hashes = byte_hashes(raw, start, end)
+        hashes[hashes == 0] = 1
+        long = np.flatnonzero(size > self.CACHED_BYTES)
+        short = np.flatnonzero(size <= self.CACHED_BYTES) if len(long) else slice(None)
+        of_short = hashes[short]
+        slot = self._slot(of_short)
+        new = np.flatnonzero(self.known[slot] == 0)
         if len(new):
-            at = short[where[new]]
-            self.learn(distinct[new], [raw[start[i]:end[i]].tobytes() for i in at])
-        at = np.searchsorted(self.known, distinct)[inverse]
-        first[short], count[short] = self.first[at], self.count[at]
+            distinct, where = np.unique(of_short[new], return_index=True)
+            if self.n_known + len(distinct) > self.CACHED_CHUNKS or len(self.ids) > self.CACHED_IDS:
+                self.forget()
+                distinct, where = np.unique(of_short, return_index=True)
+                new = np.arange(len(of_short))
+            at = np.arange(len(start))[short][new[where]]
+            slots = len(self.known)
+            self.learn(distinct, raw, start[at], size[at], spaced[at])
+            if len(self.known) == slots:
+                slot[new] = self._slot(of_short[new])
+            else:
+                slot = self._slot(of_short)
+        first, count = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
+        first[short], count[short] = self.first[slot], self.count[slot]
         ids = self.ids
-        long = np.flatnonzero(size > self.CACHED_BYTES)
         if len(long):
             own = self._each([raw[start[i]:end[i]].tobytes() for i in long])
             count[long] = [len(i) for i in own]
             first[long] = len(ids) + np.cumsum(count[long]) - count[long]
             ids = np.concatenate([ids, *own])
-        total = int(count.sum())
-        flat = ids[np.arange(total) + np.repeat(first - (np.cumsum(count) - count), count)]
+        ends = np.cumsum(count)
+        flat = ids[np.arange(ends[-1]) + np.repeat(first - (ends - count), count)]
         per_doc = segment_sum(count, np.diff(np.searchsorted(start, offsets)))
         return flat, per_doc
 

@@ -66,3 +66,76 @@ def test_null_ids_and_empty_table(spark, small):
     assert sorted(r["start"] for r in got if r["doc_id"] is None)[0] == 0
     assert [r["start"] for r in got if r["doc_id"] == 3] == [5]
     assert QUERIES["op5_token_files"](spark, small(documents=t.slice(0, 0))).collect() == []
+
+
+class Spy:
+    """Counts what goes to the library."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def encoder(**limits):
+    made = tokens.ChunkEncoder(PATH)
+    made.tokenizer = Spy(made.tokenizer)
+    for name, value in limits.items():
+        setattr(made, name, value)
+    return made
+
+
+def check(made, texts):
+    ids, n = made.encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library(t) for t in texts]
+
+
+def test_a_word_goes_to_the_library_once_whatever_follows_it():
+    made, rnd = encoder(), random.Random(3)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(9)) for _ in range(300)]
+    for after in [" ", ", ", ".\n", "! ", "'s ", "...\n", "7 ", "\n", ") ", ": "]:
+        check(made, ["x " + "".join(w + after.replace("\n", "\n- ") for w in words) + "x"])
+    assert sum(map(len, made.tokenizer.given)) < 1.2 * sum(len(w) + 1 for w in words)
+
+
+def test_the_library_is_not_asked_again_for_a_million_chunks():
+    made = encoder()
+    # more chunks than were kept before, all of them short
+    for _ in range(2):
+        for first in range(0, 1_100_000, 100_000):
+            made.encode(pa.array(["x" + "".join(f" {i:x}" for i in range(first, first + 100_000))]))
+        asked = len(made.tokenizer.given)
+        made.tokenizer.given.clear()
+    assert asked == 0
+
+
+@pytest.fixture(scope="module")
+def made():
+    return encoder(), encoder(CACHED_CHUNKS=3, CACHED_BYTES=5)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.text(alphabet=" \n\t\r'.,-(sldtvmreAZ09é¿ßñ漢́\u0085 　 😀\x7f\x1c", max_size=40), min_size=1, max_size=5))
+def test_every_cut_is_one_of_the_library(made, texts):
+    made[0].forget()
+    check(made[0], texts)
+    check(made[1], texts + texts[::-1])
+
+
+def test_white_space_at_the_ends_of_neighbouring_texts():
+    check(encoder(), ["b a ", " \nfoo", "b c\n", "\n\nd", "e ", " f", "\n", " ", "g\n"])
+
+
+def test_other_patterns_are_cut_at_spaces_only(tmp_path):
+    from tokenizers import Regex, Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+    other = Tokenizer.from_file(PATH)
+    other.pre_tokenizer = Sequence([Split(Regex(r"[A-Za-z]+[.,]*\n*| ?[^\sA-Za-z]+\n*| [A-Za-z]+|\s"), "isolated"),
+                                    ByteLevel(add_prefix_space=False, use_regex=False)])
+    other.save(str(tmp_path / "other.json"))
+    made = tokens.ChunkEncoder(str(tmp_path / "other.json"))
+    texts = ["well.\nthen, a word.\n- of 12,\nand\nmore..\nthe end"]
+    ids, _ = made.encode(pa.array(texts))
+    assert ids.tolist() == made.tokenizer.encode(texts[0], add_special_tokens=False).ids
