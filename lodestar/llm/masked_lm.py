@@ -34,6 +34,7 @@ ignored.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -54,29 +55,38 @@ REST = 0.5
 MASK = 2
 ROUNDS = MASK
 BATCH = 4096
-ROWS_AT_ONCE = 1024
+ROWS_AT_ONCE = 2048
 SCORED_AT_ONCE = 1 << 15
+STEPPED_AT_ONCE = 1 << 16
 RATE = 0.01
 PIECES = 16
 VOCABULARY = CLASSES * CLASSES
 PAD = VOCABULARY
 
+#: the last row of ``classes`` and of every class's ``words`` is its bias
 _SHAPES = {"embed": (VOCABULARY + 1, DIM), "hidden": (2 * SIDE * DIM, HIDDEN), "hidden_bias": (HIDDEN,),
-           "classes": (HIDDEN, CLASSES), "class_bias": (CLASSES,),
-           "words": (CLASSES, HIDDEN, CLASSES), "word_bias": (CLASSES, CLASSES)}
+           "classes": (HIDDEN + 1, CLASSES), "words": (CLASSES, HIDDEN + 1, CLASSES)}
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
 
 
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
-    """The named parameters as views of one vector."""
+    """The named parameters as views of one vector; ``*_and_bias`` are the
+    weights with their bias as the last row."""
     out, at = {}, 0
     for name, shape in _SHAPES.items():
         n = int(np.prod(shape))
         out[name] = flat[at:at + n].reshape(shape)
         at += n
+    for name, bias in (("classes", "class_bias"), ("words", "word_bias")):
+        both = out[f"{name}_and_bias"] = out[name]
+        out[name], out[bias] = both[..., :-1, :], both[..., -1, :]
     return out
 
 
+#: hashes are looked up from their first bits on
+_FIRST = 18
+
+
 @dataclass
 class Model:
     head: np.ndarray  # sorted hashes of the most frequent words
@@ -86,13 +96,29 @@ class Model:
     flat: np.ndarray
     counts: DataFrame | None = None  # hash, n of every word; not sent to tasks
 
+    @functools.cached_property
+    def _first(self) -> np.ndarray:
+        """Per value of the first ``_FIRST`` bits: the place in ``head`` of the first such hash."""
+        return np.searchsorted(self.head, np.arange(1 << _FIRST, dtype=U64) << U64(64 - _FIRST))
+
+    def _place(self, hashes: np.ndarray) -> np.ndarray:
+        """Where in ``head`` each hash is, or would be (the last place at most)."""
+        last = len(self.head) - 1
+        at = np.minimum(self._first[(hashes >> U64(64 - _FIRST)).astype(np.int64)], last)
+        late = np.flatnonzero(self.head[at] < hashes)
+        while len(late):  # hashes are spread evenly: a few steps
+            late = late[at[late] < last]
+            at[late] += 1
+            late = late[self.head[at[late]] < hashes[late]]
+        return at
+
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(id, log P(word | id), whether in ``head``) of every word; for a
         word not in ``head`` the log of its count is still to be added."""
         ids = TOP + (hashes & U64(VOCABULARY - TOP - 1)).astype(np.int64)
         share, known = np.zeros(len(hashes)), np.zeros(len(hashes), dtype=bool)
         if len(self.head):
-            at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
+            at = self._place(hashes)
             known = self.head[at] == hashes
             ids[known] = self.ids[at[known]]
             share[known] = self.log_n[at[known]]
@@ -108,19 +134,22 @@ _SAFE = 60.0
 
 def _bounded(p: dict[str, np.ndarray]) -> bool:
     """Whether no logit can leave -_SAFE .. _SAFE (the hidden layer is within -1 .. 1)."""
-    return all(float((np.abs(p[w]).sum(axis=-2) + np.abs(p[b])).max()) < _SAFE
-               for w, b in (("classes", "class_bias"), ("words", "word_bias")))
+    return all(float(np.abs(p[w]).sum(axis=-2).max()) < _SAFE for w in ("classes_and_bias", "words_and_bias"))
 
 
-def _exponentials(x: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray | float]:
+def _exponentials(x: np.ndarray, bounded: bool, parts=((0, 0, None),)) -> tuple[np.ndarray, np.ndarray | float]:
     """Turns every row of ``x`` into exponentials; returns (their sum, what was
-    taken from the row before)."""
+    taken from the row before).  The rows of each of ``parts`` are summed by a
+    product of their own: the last bit of a sum depends on a row's place in it."""
     top = 0.0
     if not bounded:
         top = x.max(axis=1)
         x -= top[:, None]
     np.exp(x, out=x)
-    return x @ np.ones(x.shape[1], x.dtype), top
+    ones, total = np.ones(x.shape[1], x.dtype), np.empty(len(x), x.dtype)
+    for _, a, b in parts:
+        np.matmul(x[a:b], ones, out=total[a:b])
+    return total, top
 
 
 def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -137,74 +166,83 @@ def contexts(ids: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray) ->
     out = np.empty((len(at), 2 * SIDE), dtype=np.int64)
     for j, offset in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         place = at + offset
-        inside = (place >= lo) & (place < hi)
-        out[:, j] = np.where(inside, ids[np.where(inside, place, 0)], PAD)
+        near = ids.take(place, mode="clip")
+        near[place < lo if offset < 0 else place >= hi] = PAD
+        out[:, j] = near
     return out
 
 
-def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(neighbours' embeddings side by side, hidden layer)."""
+def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(neighbours' embeddings side by side, hidden layer, hidden layer and a
+    column of ones for the biases)."""
     x = p["embed"].take(context.ravel(), axis=0).reshape(len(context), -1)
     h = x @ p["hidden"]
     h += p["hidden_bias"]
-    return x, np.tanh(h, out=h)
+    np.tanh(h, out=h)
+    h1 = np.ones((len(h), HIDDEN + 1), h.dtype)
+    h1[:, :-1] = h
+    return x, h, h1
 
 
 def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """log P(target | context) of every row; the rows of a class are worked on
-    together, ``ROWS_AT_ONCE`` at a time."""
-    order, classes = _by_class(targets)
+    """log P(target | context) of every row; ``ROWS_AT_ONCE`` rows are worked
+    on at a time, those of a class side by side."""
+    sort = np.argsort((targets // CLASSES).astype(np.uint8), kind="stable")
     bounded = _bounded(p)
     out = np.empty(len(targets))
-    for c, first, end in classes:
-        for a in range(first, end, ROWS_AT_ONCE):
-            own = order[a:min(a + ROWS_AT_ONCE, end)]
-            h = _hidden(p, context[own])[1]
-            logits = h @ p["classes"]
-            logits += p["class_bias"]
-            total = logits[:, c].astype(np.float64)
-            each, top = _exponentials(logits, bounded)
-            total -= top + np.log(each)
-            logits = h @ p["words"][c]
-            logits += p["word_bias"][c]
-            total += logits[np.arange(len(own)), targets[own] % CLASSES]
-            each, top = _exponentials(logits, bounded)
-            total -= top + np.log(each)
-            out[own] = total
+    for first in range(0, len(targets), ROWS_AT_ONCE):
+        own = sort[first:first + ROWS_AT_ONCE]
+        to, rows = targets[own], np.arange(len(own))
+        h1 = _hidden(p, context[own])[2]
+        logits = h1 @ p["classes_and_bias"]
+        total = logits[rows, to // CLASSES].astype(np.float64)
+        each, top = _exponentials(logits, bounded)
+        total -= top + np.log(each)
+        for c, a, b in _by_class(to)[1]:
+            np.matmul(h1[a:b], p["words_and_bias"][c], out=logits[a:b])
+        total += logits[rows, to % CLASSES]
+        each, top = _exponentials(logits, bounded)
+        total -= top + np.log(each)
+        out[own] = total
     return out
 
 
 def gradient(p: dict[str, np.ndarray], g: dict[str, np.ndarray], context: np.ndarray, targets: np.ndarray) -> None:
-    """Adds the gradient of the mean negative log-probability to ``g``."""
+    """Puts the gradient of the mean negative log-probability into ``g``.  The
+    rows of a class lie side by side and only its products are by class."""
     n = len(targets)
     order, classes = _by_class(targets)
     context, targets, rows = context[order], targets[order], np.arange(n)
     bounded = _bounded(p)
-    x, h = _hidden(p, context)
-    d = h @ p["classes"]
-    d += p["class_bias"]
+    x, h, h1 = _hidden(p, context)
+    d = h1 @ p["classes_and_bias"]
     d /= (_exponentials(d, bounded)[0] * np.float32(n))[:, None]
     d[rows, targets // CLASSES] -= np.float32(1 / n)
-    g["classes"] += h.T @ d
-    g["class_bias"] += d.sum(axis=0)
+    np.matmul(h.T, d, out=g["classes"])
+    np.add.reduce(d, axis=0, out=g["class_bias"])
     dh = d @ p["classes"].T
-    inside = targets % CLASSES
     for c, a, b in classes:
-        own = h[a:b]
-        d = own @ p["words"][c]
-        d += p["word_bias"][c]
-        d /= (_exponentials(d, bounded)[0] * np.float32(n))[:, None]
-        d[rows[:b - a], inside[a:b]] -= np.float32(1 / n)
-        g["word_bias"][c] += d.sum(axis=0)
-        g["words"][c] += own.T @ d
-        dh[a:b] += d @ p["words"][c].T
-    dh *= 1 - h * h
-    g["hidden"] += x.T @ dh
-    g["hidden_bias"] += dh.sum(axis=0)
-    dx = np.ascontiguousarray((dh @ p["hidden"].T).reshape(-1, DIM).T)
-    flat = context.ravel()
+        np.matmul(h1[a:b], p["words_and_bias"][c], out=d[a:b])
+    d /= (_exponentials(d, bounded, classes)[0] * np.float32(n))[:, None]
+    d[rows, targets % CLASSES] -= np.float32(1 / n)
+    g["words_and_bias"][:] = 0
+    more = np.empty_like(dh)
+    for c, a, b in classes:
+        np.matmul(h[a:b].T, d[a:b], out=g["words"][c])
+        np.add.reduce(d[a:b], axis=0, out=g["word_bias"][c])
+        np.matmul(d[a:b], p["words"][c].T, out=more[a:b])
+    dh += more
+    h *= h
+    np.subtract(1, h, out=h)
+    dh *= h
+    np.matmul(x.T, dh, out=g["hidden"])
+    np.add.reduce(dh, axis=0, out=g["hidden_bias"])
+    dx = (p["hidden"] @ dh.T).reshape(2 * SIDE, DIM, n)
+    near = context.T.ravel()
+    sums = np.empty((DIM, len(p["embed"])), h.dtype)
     for j in range(DIM):
-        g["embed"][:, j] += np.bincount(flat, dx[j], len(g["embed"]))
+        sums[j] = np.bincount(near, dx[:, j].ravel(), len(p["embed"]))
+    g["embed"][:] = sums.T
 
 
 class Trainer:
@@ -215,6 +253,8 @@ class Trainer:
         self.flat = flat.astype(np.float32).copy()
         self.mean = np.zeros(SIZE, np.float32)
         self.square = np.zeros(SIZE, np.float32)
+        self.grad = np.zeros(SIZE, np.float32)
+        self.at, self.towards = views(self.flat), views(self.grad)
         self.step = self.seen = 0
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
@@ -231,22 +271,24 @@ class Trainer:
         context = np.concatenate([c for c, _ in self.held])
         targets = np.concatenate([t for _, t in self.held])
         self.held, self.waiting = [], 0
-        for first in range(0, len(targets), self.batch):
-            part = slice(first, first + self.batch)
-            grad = np.zeros(SIZE, np.float32)
-            gradient(views(self.flat), views(grad), context[part], targets[part])
+        for start in range(0, len(targets), self.batch):
+            part = slice(start, start + self.batch)
+            gradient(self.at, self.towards, context[part], targets[part])
             self.step += 1
             rate = self.rate * np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
-            self.mean *= np.float32(0.9)
-            self.square *= np.float32(0.99)
-            self.square += np.float32(0.01) * (grad * grad)
-            grad *= np.float32(0.1)
-            self.mean += grad
-            np.sqrt(self.square, out=grad)
-            grad += np.float32(1e-8)
-            np.divide(self.mean, grad, out=grad)
-            grad *= np.float32(rate)
-            self.flat -= grad
+            for first in range(0, SIZE, STEPPED_AT_ONCE):
+                own = slice(first, first + STEPPED_AT_ONCE)
+                grad, mean, square, flat = self.grad[own], self.mean[own], self.square[own], self.flat[own]
+                mean *= np.float32(0.9)
+                square *= np.float32(0.99)
+                square += np.float32(0.01) * (grad * grad)
+                grad *= np.float32(0.1)
+                mean += grad
+                np.sqrt(square, out=grad)
+                grad += np.float32(1e-8)
+                np.divide(mean, grad, out=grad)
+                grad *= np.float32(rate)
+                flat -= grad
         self.seen += len(targets)
 
 
@@ -320,7 +362,7 @@ def vocabulary(docs: DataFrame) -> Model:
     flat = np.zeros(SIZE, np.float32)
     p = views(flat)
     for name in ("embed", "hidden", "classes", "words"):
-        p[name][:] = rng.normal(0, 0.1, _SHAPES[name])
+        p[name][:] = rng.normal(0, 0.1, p[name].shape)
     by_class = mass.reshape(CLASSES, CLASSES)
     p["class_bias"][:] = np.log(by_class.sum(axis=1) / mass.sum())
     p["word_bias"][:] = np.log(by_class / by_class.sum(axis=1, keepdims=True))

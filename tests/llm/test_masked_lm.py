@@ -147,3 +147,59 @@ def test_scores_are_the_summed_log_probabilities(spark):
                 bucket = [v for x, v in counts.items() if model.word_ids(Words(pa.array([x])).hash)[0] == i]
                 total += np.log(counts[w] / (sum(bucket) + lm.REST))
         assert got[d] == pytest.approx(total, rel=1e-4)
+
+
+def test_a_softmax_is_taken_over_the_rows_of_all_classes_at_once(monkeypatch):
+    """Not class by class (65 times a step, mostly of a few rows)."""
+    sizes, one = [], lm._exponentials
+    monkeypatch.setattr(lm, "_exponentials", lambda x, *how: sizes.append(len(x)) or one(x, *how))
+    rng = np.random.default_rng(4)
+    p = lm.views(rng.normal(0, 0.1, lm.SIZE).astype(np.float32))
+    context, targets = rng.integers(0, lm.PAD + 1, (1000, 2 * lm.SIDE)), rng.integers(0, lm.VOCABULARY, 1000)
+    lm.gradient(p, lm.views(np.zeros(lm.SIZE, np.float32)), context, targets)
+    assert sizes == [1000, 1000]
+    whole = lm.log_probabilities(p, context, targets)
+    assert sizes == [1000] * 4
+    monkeypatch.setattr(lm, "ROWS_AT_ONCE", 7)
+    assert lm.log_probabilities(p, context, targets) == pytest.approx(whole, rel=1e-5)
+
+
+def test_gradient_leaves_nothing_of_an_earlier_one():
+    rng = np.random.default_rng(5)
+    p = lm.views(rng.normal(0, 0.1, lm.SIZE))
+    context, targets = rng.integers(0, lm.PAD + 1, (9, 2 * lm.SIDE)), rng.integers(0, lm.VOCABULARY, 9)
+    fresh, used = np.zeros(lm.SIZE), np.full(lm.SIZE, 7.0)
+    for grad in (fresh, used):
+        lm.gradient(p, lm.views(grad), context, targets)
+    assert np.array_equal(fresh, used)
+
+
+def test_steps_are_those_of_adam():
+    rng = np.random.default_rng(6)
+    flat = rng.normal(0, 0.1, lm.SIZE).astype(np.float32)
+    context, targets = rng.integers(0, lm.PAD + 1, (90, 2 * lm.SIDE)), rng.integers(0, lm.VOCABULARY, 90)
+    trainer = lm.Trainer(flat, batch=40)
+    trainer.add(context, targets)
+    assert trainer.seen == 90
+    plain, mean, square = flat.astype(float), 0.0, 0.0
+    for step, part in enumerate((slice(0, 40), slice(40, 80), slice(80, 90)), 1):
+        grad = np.zeros(lm.SIZE)
+        lm.gradient(lm.views(plain), lm.views(grad), context[part], targets[part])
+        mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad * grad
+        plain -= lm.RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step) * mean / (np.sqrt(square) + 1e-8)
+    sure = square > 1e-12  # elsewhere float32's rounding decides
+    assert sure.sum() > 10_000
+    assert trainer.flat[sure] == pytest.approx(plain[sure], abs=1e-4)
+
+
+def test_words_are_found_among_crowded_hashes():
+    rng = np.random.default_rng(7)
+    spread = rng.integers(0, 1 << 62, 3000, dtype=np.uint64) << np.uint64(2)
+    crowd = np.uint64(1 << 63) + np.arange(0, 2000, 2, dtype=np.uint64)
+    edges = np.array([0, 2**64 - 1], np.uint64)
+    for head in (np.unique(np.concatenate([spread, crowd])), np.unique(np.concatenate([spread, crowd, edges])), crowd, spread[:1]):
+        model = lm.Model(head, np.arange(len(head)) % lm.TOP, np.zeros(len(head)), np.zeros(lm.VOCABULARY), np.zeros(0))
+        asked = np.concatenate([spread, crowd, crowd + np.uint64(1), edges, rng.integers(0, 1 << 63, 999, dtype=np.uint64)])
+        ids, _, known = model.look_up(asked)
+        assert np.array_equal(known, np.isin(asked, head))
+        assert np.array_equal(ids[known], np.searchsorted(head, asked[known]) % lm.TOP)
