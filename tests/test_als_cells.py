@@ -28,7 +28,7 @@ def _plain(rows, x, rank, reg, iterations):
     return x, y
 
 
-@pytest.mark.parametrize("per_row,per_chunk,per_part", [(1024, 200_000, 2_000_000), (7, 20, 60)])
+@pytest.mark.parametrize("per_row,per_chunk,per_part", [(256, 200_000, 2_000_000), (7, 20, 60)])
 def test_half_steps_in_cells_are_those_of_als(spark, monkeypatch, per_row, per_chunk, per_part):
     """Vectors against plain loops, whatever the rows, chunks and parts; no
     block is held by Spark's ALS."""
@@ -53,6 +53,27 @@ def test_half_steps_in_cells_are_those_of_als(spark, monkeypatch, per_row, per_c
     assert recommend.predict_pairs(model, spark.createDataFrame([(999, 1)], "user long, item long")).count() == 0
 
 
+@pytest.mark.parametrize("per_row", [256, 7])
+def test_residuals_in_cells_are_those_of_the_pairs(spark, monkeypatch, per_row):
+    """Ids with many ratings, with none, without a vector, null and beyond INT."""
+    monkeypatch.setattr(als_cells, "RATINGS_PER_ROW", per_row)
+    r = _ratings(spark)
+    model = recommend.als_fit(r, rank=3, max_iter=2, reg=0.1, seed=5)
+    users, items = model.userFactors.where("id != 4").unionByName(model.userFactors.where("id = 4").selectExpr("id + 5000 as id", "features")), model.itemFactors.where("id != 2")
+    r = r.union(spark.createDataFrame([(None, 1, 1.0), (1, None, 1.0), (2**33, 1, 1.0), (1, 2**40, 2.0), (7, 4000, 2.0)], r.schema))
+    rows = lambda: {x["id"]: x["residual"] for x in recommend.normal_equation_residuals(users, items, r, 0.1).collect()}
+    want = rows()
+    monkeypatch.setattr(recommend, "RATINGS_IN_MEMORY", 100)
+    monkeypatch.setattr(recommend, "map_pairs", lambda *a: pytest.fail("vectors sent to cells of pairs"))
+    got = rows()
+    assert got.keys() == want.keys() and 5004 not in got and 4 not in got
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    monkeypatch.undo()
+    users = users.union(users)  # ids that come twice stay with the pairs
+    monkeypatch.setattr(recommend, "RATINGS_IN_MEMORY", 100)
+    assert rows().keys() == want.keys()
+
+
 def test_bad_ratings_raise_in_cells(spark, monkeypatch):
     monkeypatch.setattr(recommend, "RATINGS_IN_MEMORY", 1)
     for row in ((None, 1, 1.0), (1, None, 1.0), (1, 1, None), (1, 1, float("nan")), (1, 1, float("inf"))):
@@ -72,10 +93,11 @@ def test_ratings_that_come_before_the_vectors_wait():
     def solved(rows):
         batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 2], strict=True), (
             pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["id", "pieces", "others", "ratings"]) for k in range(0, len(rows), 2)]
-        return {i: v for b in als_cells._half_step(iter(batches), 3, 2, 0.1, 2) for i, v in zip(
+        return {i: v for b in als_cells._half_step(iter(batches), {-1: als_cells._Fixed(3, 2)}, *how, 2) for i, v in zip(
             als_cells._numbers(b.column("ids"), np.int32).tolist(),
             als_cells._numbers(b.column("vectors"), np.float32).reshape(-1, 2).tolist(), strict=True)}
 
+    how = als_cells._normal_equations, als_cells._solutions(0.1)
     y, v = vectors.astype(float), np.array([4.0, 2.0, 1.0])
     want = np.linalg.solve(y.T @ y + 0.3 * np.eye(2), y.T @ v)
     for rows in (table + ratings, ratings[::-1] + table, table[:1] + ratings + table[1:]):
